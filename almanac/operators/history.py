@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from almanac.functions.coerce import coerce_day, coerce_number, coerce_numbers
 from almanac.operators.dedupe import keep_last
 from almanac.operators.enrich import align
-from almanac.operators.joins import lookup_join
+from almanac.operators.joins import fits_broadcast, lookup_join
 from almanac.schemas import LITE, LITE_COLUMNS, MIN_DATE, PRICE_COLUMNS
 
 KEY = ["symbol", "date"]
 
 
 def since(df: DataFrame, floor: str | dt.date = MIN_DATE) -> DataFrame:
+    """Rows at or after the floor; a NULL date is neither."""
     return df.where(F.col("date") >= F.lit(str(floor)).cast("date"))
 
 
@@ -28,7 +29,7 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
 def clean_observations(df: DataFrame, floor: str = MIN_DATE) -> DataFrame:
     """Coerce prices and dates, drop rows without date or close, apply the floor."""
     df = coerce_numbers(df, PRICE_COLUMNS).withColumn("date", coerce_day(df))
-    return since(df.dropna(subset=["date", "close"]), floor)
+    return since(df, floor).where(F.col("close").isNotNull())
 
 
 def latest_arrivals(df: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -48,7 +49,7 @@ def upsert(existing: DataFrame, new: DataFrame, floor: str = MIN_DATE) -> DataFr
             df = df.withColumn("seq", F.lit(None))
         df = df.withColumn("date", coerce_day(df))
         df = align(coerce_numbers(df, PRICE_COLUMNS), keep=("seq",))
-        return since(df.dropna(subset=["date"]), floor).withColumn("_batch", F.lit(batch))
+        return since(df, floor).withColumn("_batch", F.lit(batch))
 
     both = side(existing, 0).unionByName(side(new, 1))
     return keep_last(both, KEY, ["_batch", "seq"]).drop("_batch", "seq")
@@ -59,16 +60,34 @@ def active_symbols(catalog: DataFrame) -> DataFrame:
 
 
 def keep_active(df: DataFrame, active: DataFrame, row_id: list[str] | None = None,
-                small: bool | None = None) -> DataFrame:
-    """Rows whose symbol is in ``active``; an empty set keeps nothing."""
-    return lookup_join(df, active, "symbol", "left_semi", row_id or KEY, small)
+                small: bool | None = None, spread: bool = True) -> DataFrame:
+    """Rows whose symbol is in ``active``; an empty set keeps nothing.
+
+    ``spread=False`` is for frames that are unique per symbol and day.
+    """
+    return lookup_join(df, active, "symbol", "left_semi", row_id or KEY, small, spread)
+
+
+def upsert_active(existing: DataFrame, new: DataFrame, active: DataFrame,
+                  floor: str = MIN_DATE, small: bool | None = None) -> DataFrame:
+    """Upsert, then only active symbols.
+
+    The symbol is part of the upsert key, so a broadcast active set filters both sides before
+    the shuffle; a large one is joined after it, when no symbol is hot any more.
+    """
+    small = fits_broadcast(active) if small is None else small
+    if small:
+        existing, new = (keep_active(df, active, small=True) for df in (existing, new))
+        return upsert(existing, new, floor)
+    return keep_active(upsert(existing, new, floor), active, small=False, spread=False)
 
 
 def lite(df: DataFrame, floor: str = MIN_DATE) -> DataFrame:
     """Six-column projection of complete rows; copies are kept."""
     rows = align(df, LITE)
     rows = rows.withColumns({"date": coerce_day(rows), "close": coerce_number(rows, "close")})
-    return since(rows.dropna(subset=["date", "indicator_name", "close"]), floor)
+    return since(rows, floor).where(
+        F.col("indicator_name").isNotNull() & F.col("close").isNotNull())
 
 
 def segments(df: DataFrame, floor: str = MIN_DATE) -> DataFrame:

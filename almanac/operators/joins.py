@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -17,13 +18,18 @@ HOT_KEYS = 200_000
 
 def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS,
                    max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure the lookup, reading no more than ``max_rows + 1`` of its rows."""
-    width = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = (
-        lookup.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)))
-        .first()
-    )
+    """Measure the lookup: one row of partial sums per task, whatever its size."""
+    width = F.lit(0)
+    for field in lookup.schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            as_text = F.to_json(F.struct(field.name))
+            width = width + F.octet_length(as_text)
+        else:
+            width = width + 8
+    rows, size = lookup.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 

@@ -43,7 +43,7 @@ def dataset(history: DataFrame) -> DataFrame:
     """History with typed dates and numbers, rows without date or close dropped."""
     rows = history.withColumn("date", coerce_day(history))
     rows = coerce_numbers(rows, [*PRICE_COLUMNS, "change", "change_pct"])
-    return rows.dropna(subset=["date", "close"])
+    return rows.where(F.col("date").isNotNull() & F.col("close").isNotNull())
 
 
 def facet_values(df: DataFrame) -> DataFrame:

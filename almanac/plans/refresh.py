@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from almanac.operators.history import active_symbols, keep_active, lite, upsert
+from almanac.operators.history import active_symbols, lite, upsert_active
 from almanac.operators.joins import fits_broadcast
 from almanac.operators.snapshot import in_table_order, latest_snapshot
 from almanac.schemas import MIN_DATE
@@ -30,7 +30,7 @@ class Refreshed:
 def refresh_frames(existing: DataFrame, new: DataFrame, active: DataFrame,
                    floor: str = MIN_DATE, small: bool | None = None) -> Refreshed:
     """The run as one lazy plan, without writing: merged history and what derives from it."""
-    history = keep_active(upsert(existing, new, floor), active, small=small)
+    history = upsert_active(existing, new, active, floor, small)
     snapshot = latest_snapshot(history).where(F.col("refresh") == SNAPSHOT_REFRESH)
     return Refreshed(history, lite(history, floor), snapshot)
 
@@ -72,8 +72,9 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     active = active_symbols(catalog if scope == "catalog" else wanted)
     small = fits_broadcast(catalog)
 
-    new = fetch(wanted, landing, run_at, floor, small=small).observations
-    fetched, n_fetched = store.stage(new, "fetched", version)
+    new = fetch(wanted, landing, run_at, floor, small=small)
+    fetched, n_fetched = store.stage(new.observations, "fetched", version)
+    _, n_rejected = store.stage(new.rejects, "rejects", version)
     old = store.read(held)
     losing = (
         old.select("symbol", "year").distinct()
@@ -81,7 +82,7 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     )
     years = {*_years(fetched), *[r["year"] for r in losing.collect()]}
     touched = store.read({y: e for y, e in held.items() if y in years})
-    merged = keep_active(upsert(touched, fetched, floor), active, small=small)
+    merged = upsert_active(touched, fetched, active, floor, small)
     written = store.write_years(merged, version, floor)
     held = {y: e for y, e in held.items() if y not in years} | written
 
@@ -90,7 +91,7 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
         latest_snapshot(history).where(F.col("refresh") == SNAPSHOT_REFRESH),
         "snapshot", version)
     run = store.publish(version, run_at, refresh, held,
-                        {"fetched": n_fetched, "snapshot": n_snapshot})
+                        {"fetched": n_fetched, "rejected": n_rejected, "snapshot": n_snapshot})
     if exports is not None:
         write_csv(in_files(history, ["indicator_name", "date"]), f"{exports}/history", bom=bom)
         write_csv(in_files(lite(history, floor), ["indicator_name", "date"]),

@@ -38,8 +38,8 @@ def ingest_archives(spark: SparkSession, archives: str, out: str, bom: bool = Tr
                     years: range = EXPORT_YEARS, strict_months: bool = True) -> IndexRun:
     """Read archives under ``archives`` and write every export under ``out``.
 
-    The tidy table is written once and the four exports read it back, so archives are unpacked
-    a single time.
+    The tidy table is written once and the four exports read it back instead of unpacking the
+    archives again. ``rejects`` is lazy.
     """
     records = read_archives(spark, archives)
     index_from_archives(records, strict_months=strict_months).write.mode("overwrite").parquet(

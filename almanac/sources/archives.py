@@ -38,6 +38,17 @@ def _readable(archive: zipfile.ZipFile, member: str, encoding: str) -> bool:
         return False
 
 
+def _unique(names: list[str]) -> list[str]:
+    """Repeated header names get a running number, so only the first one keeps its meaning."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in names:
+        count = seen.get(name, 0)
+        seen[name] = count + 1
+        out.append(f"{name}.{count}" if count else name)
+    return out
+
+
 def _archive_rows(path: str, content: bytes, encodings: tuple[str, ...]) -> Iterator[pd.DataFrame]:
     def failed(reason: str, member: str | None = None) -> pd.DataFrame:
         return pd.DataFrame([(path, member, None, None, None, None, reason)],
@@ -59,7 +70,7 @@ def _archive_rows(path: str, content: bytes, encodings: tuple[str, ...]) -> Iter
             yield failed("no encoding reads the member", member)
             return
         records = _records(archive, member, encoding)
-        header = next(records)
+        header = _unique(next(records))
         batch: list[tuple] = []
         for number, record in enumerate(records):
             cells = [c if c != "" else None for c in record]

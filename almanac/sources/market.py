@@ -82,11 +82,9 @@ def _pages(landing: Landing, catalog: DataFrame, anchored: bool,
     pages = landing.pages
     if not small:
         # Copies of one download give the same observation; what is left has a row identity.
-        pages = pages.withColumn("_body", F.xxhash64("html")).dropDuplicates(
-            ["symbol", "url", "fetched_at", "_body"])
+        pages = pages.select("symbol", "url", "html", "fetched_at").distinct()
     joined = lookup_join(
-        pages, wanted, "symbol", row_id=None if small else ["fetched_at", "url", "_body"],
-        small=small)
+        pages, wanted, "symbol", row_id=["fetched_at", "url", "html"], small=small)
 
     def of(kind: str) -> DataFrame:
         return joined.where(F.col("source_type") == kind)

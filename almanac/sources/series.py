@@ -10,7 +10,7 @@ from almanac.functions.coerce import strip, to_day, to_number
 
 def read_series_files(spark: SparkSession, path: str) -> DataFrame:
     """Landed series files as bodies; the file's stem is the series id."""
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     stem = F.regexp_extract("_metadata.file_path", r"([^/]+)\.[^./]*$", 1)
     return rows.select(
         F.url_decode(stem).alias("series_id"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.pagetext import MONTHS
+from almanac.operators.joins import lookup_join
 from almanac.operators.wide import TARGET_SERIES
 from almanac.schemas import CATALOG
 from almanac.sources import catalog as C
@@ -48,11 +49,15 @@ def event_observations(spark: SparkSession, sf: str) -> DataFrame:
 def order_observations(spark: SparkSession, sf: str) -> DataFrame:
     """Order totals by nation."""
     nation = F.col("n_nationkey")
-    return (
-        table(spark, sf, "orders")
-        .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    customers = (
+        table(spark, sf, "customer")
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == nation)
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("c_custkey", "c_mktsegment", "n_nationkey", "n_name", "r_name")
+    )
+    return (
+        lookup_join(orders, customers, "c_custkey", row_id=["o_orderkey"])
         .select(
             F.col("o_orderdate").cast("date").alias("date"),
             F.col("o_totalprice").alias("close"),
