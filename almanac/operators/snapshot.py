@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+TABLE_ORDER = ["refresh", "category", "region", "indicator_name"]
+
 
 def latest_snapshot(df: DataFrame, name_first: bool = False,
                     order: list[str] | None = None) -> DataFrame:
@@ -38,5 +40,4 @@ def latest_snapshot(df: DataFrame, name_first: bool = False,
 
 
 def in_table_order(df: DataFrame) -> DataFrame:
-    keys = ("refresh", "category", "region", "indicator_name")
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in keys])
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in TABLE_ORDER])

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from almanac.operators.history import active_symbols, lite, upsert_active
 from almanac.operators.joins import fits_broadcast
-from almanac.operators.snapshot import in_table_order, latest_snapshot
+from almanac.operators.snapshot import TABLE_ORDER, latest_snapshot
 from almanac.schemas import MIN_DATE
-from almanac.sinks.csv import in_files, write_csv, write_segments
+from almanac.sinks.csv import write_csv, write_segments
 from almanac.sinks.store import HistoryStore
 from almanac.sources.catalog import by_refresh
 from almanac.sources.market import Landing, fetch
@@ -93,9 +93,9 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     run = store.publish(version, run_at, refresh, held,
                         {"fetched": n_fetched, "rejected": n_rejected, "snapshot": n_snapshot})
     if exports is not None:
-        write_csv(in_files(history, ["indicator_name", "date"]), f"{exports}/history", bom=bom)
-        write_csv(in_files(lite(history, floor), ["indicator_name", "date"]),
-                  f"{exports}/history_lite", bom=bom)
-        write_csv(in_table_order(snapshot), f"{exports}/latest_snapshot", bom=bom)
+        by_name = ["indicator_name", "date"]
+        write_csv(history, f"{exports}/history", by_name, bom=bom)
+        write_csv(lite(history, floor), f"{exports}/history_lite", by_name, bom=bom)
+        write_csv(snapshot, f"{exports}/latest_snapshot", TABLE_ORDER, bom=bom)
         write_segments(store.read(written), f"{exports}/segments", bom=bom)
     return run

@@ -12,13 +12,15 @@ from pyspark.sql import types as T
 
 from almanac.functions.coerce import iso_day, iso_instant
 from almanac.operators.history import segments
-from almanac.schemas import INDEX_LITE_COLUMNS
+from almanac.schemas import INDEX_COLUMNS, INDEX_LITE_COLUMNS
 
 BOM = "\ufeff"
 # --- fixed values -----------------------------------------------------------
 EXPORT_YEARS = range(2020, 2027)
 # ----------------------------------------------------------------------------
 
+INDEX_ORDER = ["indicator_name", "date", "classification1", "classification2"]
+
 
 def as_text(df: DataFrame) -> DataFrame:
     """Dates and instants in their ISO text form."""
@@ -28,24 +30,27 @@ def as_text(df: DataFrame) -> DataFrame:
     })
 
 
-def in_files(df: DataFrame, order: list[str], files: int | None = None,
-             partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Rows in sorted part files. Directory columns lead, in the order the writer needs."""
-    keys = [F.col(c).asc() for c in partition_by] + [F.col(c).asc_nulls_last() for c in order]
-    parts = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-    return parts.sortWithinPartitions(*keys)
-
-
-def write_csv(df: DataFrame, path: str, sep: str = ",", bom: bool = True,
-              partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, order: list[str] | None = None, sep: str = ",",
+              bom: bool = True, partition_by: tuple[str, ...] = (), files: int | None = None,
+              mode: str = "overwrite") -> None:
     """Header CSV; ``bom`` starts every file with a byte order mark.
 
-    With ``partition_by`` only the partitions present in ``df`` are replaced.
+    With ``order`` the part files are sorted, NULLs last. With ``partition_by`` only the
+    partitions present in ``df`` are replaced; those columns are directories, not in the files.
     """
     out = as_text(df)
-    kept = [c for c in out.columns if c not in (partition_by or [])]
+    names = {c: c for c in out.columns}
     if bom:
-        out = out.withColumnRenamed(kept[0], BOM + kept[0])
+        first = next(c for c in out.columns if c not in partition_by)
+        names[first] = BOM + first
+        out = out.withColumnRenamed(first, names[first])
+    if order:
+        # The sort comes last and leads with the directory columns in the writer's own order,
+        # else the writer would sort again, by the directories alone.
+        keys = [F.col(c).asc() for c in partition_by]
+        keys += [F.col(names[c]).asc_nulls_last() for c in order]
+        by = ([files] if files else []) + keys
+        out = out.repartitionByRange(*by).sortWithinPartitions(*keys)
     writer = (
         out.write.mode(mode)
         .option("header", True).option("sep", sep)
@@ -59,10 +64,11 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", bom: bool = True,
 def write_segments(history: DataFrame, path: str, bom: bool = True,
                    files: int | None = None) -> None:
     """Lite rows by cadence and year; segments without rows keep their old files."""
-    # A directory column is not in the file, which has to keep ``refresh``.
-    rows = segments(history).withColumn("cadence", F.col("refresh"))
-    rows = in_files(rows, ["indicator_name", "date"], files, ("cadence", "year"))
-    write_csv(rows, path, bom=bom, partition_by=["cadence", "year"])
+    # A directory column is not in the file, which has to keep ``refresh``. A string directory
+    # has to be free of NULLs, or the writer converts it and sorts again.
+    rows = segments(history).withColumn("cadence", F.coalesce("refresh", F.lit("")))
+    write_csv(rows, path, ["indicator_name", "date"], bom=bom, files=files,
+              partition_by=("cadence", "year"))
 
 
 def write_yearly(index: DataFrame, path: str, lite_path: str, years: range = EXPORT_YEARS,
@@ -70,16 +76,14 @@ def write_yearly(index: DataFrame, path: str, lite_path: str, years: range = EXP
     """Full and lite index rows by year; a year without rows gets no file."""
     rows = index.withColumn("year", F.year("date")).where(
         F.col("year").between(years.start, years.stop - 1))
-    order = ["indicator_name", "date", "classification1", "classification2"]
-    rows = in_files(rows, order, files, ("year",))
-    write_csv(rows, path, bom=bom, partition_by=["year"])
-    write_csv(rows.select(*INDEX_LITE_COLUMNS, "year"), lite_path, bom=bom, partition_by=["year"])
+    for columns, where in (([*INDEX_COLUMNS], path), ([*INDEX_LITE_COLUMNS], lite_path)):
+        write_csv(rows.select(*columns, "year"), where, INDEX_ORDER, bom=bom, files=files,
+                  partition_by=("year",))
 
 
 def write_index(index: DataFrame, csv_path: str, tsv_path: str, bom: bool = True,
                 files: int | None = None) -> None:
     """The full table as CSV and its five lite columns as TSV."""
-    order = ["indicator_name", "date", "classification1", "classification2"]
-    rows = in_files(index, order, files)
-    write_csv(rows, csv_path, bom=bom)
-    write_csv(rows.select(*INDEX_LITE_COLUMNS), tsv_path, sep="\t", bom=bom)
+    write_csv(index.select(*INDEX_COLUMNS), csv_path, INDEX_ORDER, bom=bom, files=files)
+    write_csv(index.select(*INDEX_LITE_COLUMNS), tsv_path, INDEX_ORDER, sep="\t", bom=bom,
+              files=files)

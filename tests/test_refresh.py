@@ -1,0 +1,246 @@
+import datetime as dt
+
+import pytest
+from conftest import values
+from pyspark.sql import functions as F
+
+from almanac.operators.enrich import align
+from almanac.plans.refresh import refresh_frames, refresh_run, run_metrics
+from almanac.schemas import LITE_COLUMNS, OBSERVATION_COLUMNS
+from almanac.sinks.csv import write_segments
+from almanac.sinks.store import HistoryStore
+from almanac.sources import catalog as C
+from almanac.sources.market import Landing, fetch
+from almanac.workload.adapters import catalog_rows
+
+DAY = dt.date
+RUN_AT = dt.datetime(2026, 5, 21, 2, 44, 30, 154369, tzinfo=dt.timezone.utc)
+LATER = RUN_AT + dt.timedelta(days=1)
+
+ENTRIES = [
+    # symbol, name, type, series_id, series_ids, formula, label, refresh
+    ("IDX", "Price index", C.PERIOD_PAGE, None, None, None, None, "monthly"),
+    ("PMI", "PMI name", C.LABELLED_PAGE, None, None, None, "PMI in Japan", "monthly"),
+    ("JPY", "USD/JPY", C.SERIES, "S_JPY", None, None, None, "daily"),
+    ("EUR", "EUR/USD", C.SERIES, "S_EUR", None, None, None, "daily"),
+    ("CROSS", "EUR/JPY", C.DERIVED, None, ["S_JPY", "S_EUR"], "multiply", None, "daily"),
+    ("OIL", "Oil", C.PRICE_PAGE, None, None, None, None, "daily"),
+    ("SOX", "Semis", None, None, None, None, None, "daily"),
+    ("ODD", "Odd", "unheard of", None, None, None, None, "daily"),
+]
+
+
+@pytest.fixture
+def catalog(spark):
+    df = spark.createDataFrame(
+        [(i, *e) for i, e in enumerate(ENTRIES)],
+        "pos int, s string, n string, t string, i string, ids array<string>, f string, l string, r string")
+    return catalog_rows(
+        df, symbol=F.col("s"), name=F.col("n"), source_type=F.col("t"), series_id=F.col("i"),
+        series_ids=F.col("ids"), formula=F.col("f"), page_label=F.col("l"), refresh=F.col("r"),
+        category=F.lit("cat"), region=F.lit("reg"), source=F.lit("src"), pos=F.col("pos"))
+
+
+def landing(spark, series=None, pages=None, ohlcv=None, at=RUN_AT):
+    def frame(rows, schema):
+        return None if rows is None else spark.createDataFrame([(*r, at) for r in rows], schema)
+
+    return Landing(
+        series=frame(series, "series_id string, body string, fetched_at timestamp"),
+        pages=frame(pages, "symbol string, url string, html string, fetched_at timestamp"),
+        ohlcv=frame(ohlcv, "symbol string, Date timestamp, Close double, fetched_at timestamp"))
+
+
+SERIES = [
+    ("S_JPY", "DATE,S_JPY\n2025-12-31,100\n2026-01-02,150\n2026-01-05,.\n2026-01-06,160\n2019-05-05,1\n"),
+    ("S_EUR", "DATE,S_EUR\n2026-01-02,1.5\n2026-01-06,1.25\n2026-01-06,1.2\n2026-01-07,9\n"),
+    ("S_UNUSED", "DATE,S_UNUSED\n2026-01-02,3\n"),
+]
+PAGES = [
+    ("IDX", "u", "<table><tr><td>2025/11</td> 1 2 3 4 101.5</tr><tr><td>2025/12</td> 1 2 3 4 ND</tr></table>"),
+    ("PMI", "u", "PMI in Japan rose to 53.0 points in February 2026"),
+    ("OIL", "u", "Date | Price | --- | --- | May 15, 2026 | 1,234.5 | x"),
+    ("UNKNOWN", "u", "PMI in Japan rose to 53.0 points in February 2026"),
+]
+OHLCV = [("SOX", dt.datetime(2026, 5, 19), 10.0), ("SOX", dt.datetime(2026, 5, 19, 9), 11.0),
+         ("SOX", dt.datetime(2024, 5, 19), 9.0), ("ODD", dt.datetime(2026, 5, 19), 1.0)]
+WANT = sorted([
+    ("JPY", DAY(2025, 12, 31), 100.0), ("JPY", DAY(2026, 1, 2), 150.0), ("JPY", DAY(2026, 1, 6), 160.0),
+    ("EUR", DAY(2026, 1, 2), 1.5), ("EUR", DAY(2026, 1, 6), 1.2), ("EUR", DAY(2026, 1, 7), 9.0),
+    ("CROSS", DAY(2026, 1, 2), 225.0), ("CROSS", DAY(2026, 1, 6), 192.0),
+    ("IDX", DAY(2025, 11, 1), 101.5), ("PMI", DAY(2026, 2, 1), 53.0), ("OIL", DAY(2026, 5, 15), 1234.5),
+    ("SOX", DAY(2026, 5, 19), 11.0),
+], key=repr)
+
+
+@pytest.mark.parametrize("small", [True, False, None])
+def test_fetch_every_source(spark, catalog, small):
+    got = fetch(catalog, landing(spark, SERIES, PAGES, OHLCV), RUN_AT, small=small)
+    rows = got.observations
+    assert rows.columns == OBSERVATION_COLUMNS + ["seq"]
+    assert values(rows, "symbol", "date", "close") == WANT
+    assert values(rows.where("symbol = 'CROSS'"), "indicator_name", "open", "volume", "unit") == [
+        ("EUR/JPY", 192.0, None, ""), ("EUR/JPY", 225.0, None, "")]
+    assert rows.where(F.col("fetched_at") == F.lit(RUN_AT)).count() == len(WANT)
+    assert got.rejects.count() == 0
+
+
+def test_fetch_without_some_sources(spark, catalog):
+    only = fetch(catalog, landing(spark, pages=PAGES), RUN_AT).observations
+    assert values(only, "symbol") == [("IDX",), ("OIL",), ("PMI",)]
+    nothing = fetch(catalog, Landing(), RUN_AT)
+    assert nothing.observations.columns[:15] == OBSERVATION_COLUMNS
+    assert nothing.observations.count() == 0
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_page_is_rejected_alone(spark, catalog, small):
+    pages = [("PMI", "u", "in Cars 2026 PMI in Japan rose to 5"), *PAGES[:1]]
+    got = fetch(catalog, landing(spark, pages=pages), RUN_AT, small=small)
+    assert values(got.observations, "symbol") == [("IDX",)]
+    assert values(got.rejects, "symbol", "stage") == [("PMI", "pages")]
+
+
+def test_the_later_catalog_entry_and_the_later_fetch_win(spark, catalog):
+    twice = catalog.unionByName(
+        catalog.where("symbol = 'JPY'").withColumns({
+            "pos": F.lit(50).cast("bigint"), "series_id": F.lit("S_EUR"), "name": F.lit("again")}))
+    rows = fetch(twice, landing(spark, SERIES), RUN_AT).observations
+    assert values(rows.where("symbol = 'JPY'"), "date", "close", "indicator_name") == [
+        (DAY(2025, 12, 31), 100.0, "USD/JPY"), (DAY(2026, 1, 2), 1.5, "again"),
+        (DAY(2026, 1, 6), 1.2, "again"), (DAY(2026, 1, 7), 9.0, "again")]
+    first = landing(spark, [("S_EUR", "DATE,S_EUR\n2026-01-02,7\n")], at=LATER).series
+    second = landing(spark, SERIES).series
+    rows = fetch(catalog, Landing(series=first.unionByName(second)), LATER).observations
+    assert values(rows.where("symbol = 'EUR' and date = '2026-01-02'"), "close") == [(7.0,)]
+
+
+def run(spark, path, catalog, land, at=RUN_AT, **more):
+    return refresh_run(HistoryStore(spark, str(path)), catalog, land, at, **more)
+
+
+def current(spark, path):
+    store = HistoryStore(spark, str(path))
+    return store.read(store.years(store.last_run()))
+
+
+def test_refresh_run_publishes_versions(spark, catalog, tmp_path):
+    store = tmp_path / "store"
+    log = run(spark, store, catalog, landing(spark, SERIES, PAGES, OHLCV))
+    assert log["version"] == 1
+    assert log["metrics"] == {"fetched": 12, "rejected": 0, "history": 12, "lite": 12, "snapshot": 5}
+    assert log["segments"] == ["history_daily_2025", "history_daily_2026", "history_monthly"]
+    assert values(current(spark, store), "symbol", "date", "close") == WANT
+
+    update = [("S_JPY", "DATE,S_JPY\n2026-01-06,161\n2026-01-08,162\n")]
+    log = run(spark, store, catalog, landing(spark, update, at=LATER), LATER)
+    years = {y: e["version"] for y, e in log["years"].items()}
+    assert log["version"] == 2 and years == {"2025": 1, "2026": 2}
+    assert log["metrics"] == {"fetched": 2, "rejected": 0, "history": 13, "lite": 13, "snapshot": 5}
+    changed = [w for w in WANT if w[:2] != ("JPY", DAY(2026, 1, 6))]
+    want = changed + [("JPY", DAY(2026, 1, 6), 161.0), ("JPY", DAY(2026, 1, 8), 162.0)]
+    assert values(current(spark, store), "symbol", "date", "close") == sorted(want, key=repr)
+
+    snapshot = spark.read.parquet(str(store / "snapshot" / "version=2"))
+    assert values(snapshot.where("symbol = 'JPY'"), "close", "prev_close", "change") == [
+        (162.0, 161.0, 1.0)]
+    assert values(snapshot.select("refresh").distinct(), "refresh") == [("daily",)]
+
+    again = run(spark, store, catalog, landing(spark, update, at=LATER), LATER)
+    assert again["metrics"] == log["metrics"]
+    assert values(current(spark, store), "symbol", "date", "close") == sorted(want, key=repr)
+
+
+def test_an_unpublished_run_is_not_seen(spark, catalog, tmp_path):
+    run(spark, tmp_path, catalog, landing(spark, SERIES))
+    store = HistoryStore(spark, str(tmp_path))
+    before = values(current(spark, tmp_path), "symbol", "date", "close")
+    store.write_years(current(spark, tmp_path).withColumn("close", F.lit(0.0)), 2)
+    assert values(current(spark, tmp_path), "symbol", "date", "close") == before
+    log = run(spark, tmp_path, catalog, landing(spark, SERIES))
+    assert log["version"] == 2
+    assert values(current(spark, tmp_path), "symbol", "date", "close") == before
+
+
+def test_symbols_that_left_the_catalog_leave_the_history(spark, catalog, tmp_path):
+    run(spark, tmp_path, catalog, landing(spark, SERIES, PAGES, OHLCV))
+    fewer = catalog.where("symbol not in ('IDX', 'JPY')")
+    log = run(spark, tmp_path, fewer, landing(spark, ohlcv=OHLCV, at=LATER), LATER)
+    assert {s for s, in values(current(spark, tmp_path), "symbol")} == {
+        "EUR", "CROSS", "PMI", "OIL", "SOX"}
+    assert "2025" not in log["years"] and log["metrics"]["history"] == 8
+
+
+def test_scope_of_a_monthly_run(spark, catalog, tmp_path):
+    land = landing(spark, SERIES, PAGES, OHLCV)
+    run(spark, tmp_path / "a", catalog, land)
+    log = run(spark, tmp_path / "a", catalog, land, refresh="monthly")
+    assert log["metrics"]["fetched"] == 2 and log["metrics"]["history"] == 12
+    run(spark, tmp_path / "b", catalog, land)
+    log = run(spark, tmp_path / "b", catalog, land, refresh="monthly", scope="run")
+    assert log["metrics"]["history"] == 2 and log["metrics"]["snapshot"] == 0
+    with pytest.raises(ValueError, match="scope"):
+        run(spark, tmp_path / "c", catalog, land, scope="x")
+
+
+def test_run_without_any_data(spark, catalog, tmp_path):
+    log = run(spark, tmp_path, catalog, Landing())
+    assert log["metrics"] == {"fetched": 0, "rejected": 0, "history": 0, "lite": 0, "snapshot": 0}
+    assert log["segments"] == []
+    assert current(spark, tmp_path).count() == 0
+
+
+def csv_lines(folder):
+    return [line for p in sorted(folder.rglob("part-*.csv"))
+            for line in p.read_text("utf-8-sig").splitlines()]
+
+
+def test_exports(spark, catalog, tmp_path):
+    out = tmp_path / "out"
+    run(spark, tmp_path / "s", catalog, landing(spark, SERIES, PAGES, OHLCV), exports=str(out))
+    segments = out / "segments"
+    assert sorted(str(p.relative_to(segments)) for p in segments.glob("cadence=*/year=*")) == [
+        "cadence=daily/year=2025", "cadence=daily/year=2026",
+        "cadence=monthly/year=2025", "cadence=monthly/year=2026"]
+    lines = csv_lines(segments / "cadence=daily" / "year=2026")
+    assert lines[0] == ",".join(LITE_COLUMNS)
+    body = [x for x in lines if not x.startswith("date")]
+    assert [tuple(x.split(",")[i] for i in (1, 0)) for x in body] == sorted(
+        (n, str(d)) for s, d, _ in WANT for n in [next(e[1] for e in ENTRIES if e[0] == s)]
+        if d.year == 2026 and s not in ("IDX", "PMI"))
+    assert len([x for x in csv_lines(out / "history_lite") if not x.startswith("date")]) == 12
+    snapshot = csv_lines(out / "latest_snapshot")
+    assert snapshot[0].split(",") == OBSERVATION_COLUMNS + ["prev_close", "change", "change_pct"]
+    full = csv_lines(out / "history")
+    assert full[0].split(",") == OBSERVATION_COLUMNS
+
+
+def test_segments_without_rows_keep_their_files(spark, observations, tmp_path):
+    rows = align(observations([("A", "2025-01-01", 1.0, 1), ("A", "2026-01-01", 2.0, 1)]))
+    write_segments(rows, str(tmp_path))
+    write_segments(rows.where("date >= '2026-01-01'").withColumn("close", F.lit(3.0)), str(tmp_path))
+    assert csv_lines(tmp_path / "cadence=daily" / "year=2025")[1].endswith(",1.0")
+    assert csv_lines(tmp_path / "cadence=daily" / "year=2026")[1].endswith(",3.0")
+
+
+def test_large_exports_are_sorted_over_several_files(spark, tmp_path):
+    rows = spark.range(20_000).select(
+        F.expr("date_add(date'2026-01-01', cast(id % 365 as int))").alias("date"),
+        F.concat(F.lit("n"), F.col("id") % 60).alias("indicator_name"),
+        F.when(F.col("id") % 2 < 2, "daily").alias("refresh"),
+        F.col("id").cast("double").alias("close"))
+    write_segments(rows, str(tmp_path), files=5)
+    folder = tmp_path / "cadence=daily" / "year=2026"
+    assert len(list(folder.glob("part-*.csv"))) == 5
+    keys = [(x.split(",")[1], x.split(",")[0]) for x in csv_lines(folder) if not x.startswith("date")]
+    assert len(keys) == 20_000 and keys == sorted(keys)
+
+
+def test_lazy_run(spark, observations):
+    old = observations([("A", "2026-01-01", 1.0, 1), ("B", "2026-01-01", 1.0, 2)])
+    new = observations([("A", "2026-01-02", 3.0, 1)])
+    active = spark.createDataFrame([("A",)], "symbol string")
+    lazy = refresh_frames(old, new, active)
+    assert values(lazy.snapshot, "symbol", "close", "prev_close") == [("A", 3.0, 1.0)]
+    assert values(run_metrics(new, lazy), "metric", "rows") == [
+        ("fetched", 1), ("history", 2), ("lite", 2), ("snapshot", 1)]
