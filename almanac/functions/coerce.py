@@ -57,7 +57,7 @@ def coerce_numbers(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def iso_day(c: Column | str) -> Column:
-    return F.date_format(_col(c), "yyyy-MM-dd")
+    return _col(c).cast("date").cast("string")
 
 
 def iso_instant(c: Column | str) -> Column:

@@ -6,6 +6,8 @@ row's own label inside the regex, and it is reached only where the first one fou
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,6 +61,11 @@ def _ascii_digits(c: Column) -> Column:
     return F.translate(c, "０１２３４５６７８９", "0123456789")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _first(text: Column, pattern: str, group: int = 1) -> Column:
     return empty_to_null(F.regexp_extract(text, pattern, group))
 
@@ -66,12 +73,14 @@ def _first(text: Column, pattern: str, group: int = 1) -> Column:
 def labelled_value(text: Column | str, label: Column | str) -> Column:
     """Number after ``label … <verb phrase>``, else after ``label | Price |``."""
     text, label = _col(text), _col(label)
+    by_verb = rf"(?s)(?:{'|'.join(VERBS)})\s+{AMOUNT}"
+
     # A later occurrence of the label cannot succeed where the first one fails, because the
     # gap to the verb may hold anything; so search once, behind the first occurrence.
-    low, low_label = F.lower(text), F.lower(label)
-    at = F.instr(low, low_label)
-    behind = F.substr(low, at + F.length(low_label), F.length(low))
-    by_verb = F.when(at > 0, _first(behind, rf"(?s)(?:{'|'.join(VERBS)})\s+{AMOUNT}"))
+    def behind_label(low: Column) -> Column:
+        return let(F.instr(low, F.lower(label)), lambda at: F.when(
+            at > 0, _first(F.substr(low, at + F.length(F.lower(label))), by_verb)))
+
     literal = F.replace(label, F.lit(r"\E"), F.lit(r"\E\\E\Q"))
     by_price = empty_to_null(F.call_function(
         "regexp_extract",
@@ -79,53 +88,69 @@ def labelled_value(text: Column | str, label: Column | str) -> Column:
         F.concat(F.lit(r"(?ius)\Q"), literal, F.lit(r"\E\s+[|-]\s+Price\s+[|-].*?" + AMOUNT)),
         F.lit(1),
     ))
-    return clean_number(F.coalesce(by_verb, by_price))
+    return clean_number(F.coalesce(let(F.lower(text), behind_label), by_price))
 
 
-def month_reference(text: Column | str) -> tuple[Column, Column]:
-    """First ``in <word> <year>``: ``(first of that month, found but not a month)``."""
-    text = _col(text)
+def _month_number(word: Column, names: list[str]) -> Column:
+    """1-based month of a lower-case name, 0 if it is none, NULL for NULL."""
+    return F.array_position(F.array(*[F.lit(n) for n in names]), word)
+
+
+def month_reference(text: Column | str) -> Column:
+    """First ``in <word> <year>``: struct of its ``day`` and whether it is ``bad``, no month.
+
+    Both are NULL and false where the text has no such phrase.
+    """
     pattern = r"(?U)" + MONTH_REFERENCE
-    word = _first(text, pattern, 1)
-    year = _ascii_digits(_first(text, pattern, 2))
-    month = F.array_position(
-        F.array(*[F.lit(m[:3]) for m in MONTHS]), F.lower(F.left(word, F.lit(3)))
-    )
-    day = F.try_to_date(F.concat_ws("-", year, month.cast("string"), F.lit("1")), "yyyy-M-d")
-    return F.when(month > 0, day), F.coalesce(month == 0, F.lit(False))
+
+    def read(found: Column) -> Column:
+        word = F.lower(F.left(F.regexp_extract(found, pattern, 1), F.lit(3)))
+        year = _ascii_digits(F.regexp_extract(found, pattern, 2))
+        return let(_month_number(word, [m[:3] for m in MONTHS]), lambda month: F.struct(
+            F.when(month > 0, F.concat_ws("-", year, month, F.lit("1")).try_cast("date"))
+            .alias("day"),
+            ((found != "") & (month == 0)).alias("bad"),
+        ))
+
+    return let(F.regexp_extract(_col(text), pattern, 0), read)
 
 
 def _named_day(cell: Column) -> Column:
     """``May 15, 2026``: the month in full or as three letters, in any case."""
     word = F.lower(F.regexp_extract(cell, r"^([A-Za-z]+)", 1))
-    short = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), word)
-    full = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), word)
-    month = F.greatest(short, full)
+    month = F.greatest(
+        _month_number(word, [m[:3] for m in MONTHS]), _month_number(word, MONTHS))
     day = F.regexp_extract(cell, r"(\d{1,2}),", 1)
     year = F.regexp_extract(cell, r"(\d{4})$", 1)
-    text = F.concat_ws("-", year, month.cast("string"), day)
-    return F.when(month > 0, F.try_to_date(text, "yyyy-M-d"))
-
-
-def price_table_day(text: Column | str) -> Column:
-    """Date of the first row of a piped price table, else the first one after a daily span."""
-    text = _col(text)
-    in_table = _first(text, rf"(?is){TABLE_HEAD}{TABLE_RULE}({DAY_CELL})\s*\|")
-    after_span = _first(text, rf"(?is){DAILY_SPAN}({DAY_CELL})")
-    return F.coalesce(_named_day(in_table), _named_day(after_span))
+    return let(month, lambda m: F.when(
+        m > 0, F.concat_ws("-", year, m, day).try_cast("date")))
 
 
-def price_table_value(text: Column | str, anchored: bool = True) -> Column:
-    """Price of the first row of a piped price table.
+def price_row(text: Column | str, anchored: bool = True) -> Column:
+    """First row of a piped price table as a struct of ``day`` and ``value``.
 
-    ``anchored`` takes the number in the cell behind the date. Without it the first number
-    before a pipe is taken, which in a table that leads with ``May 15, 2026 |`` is the year.
+    The date is in the first row under the table's rule, else the first one after a daily
+    span. ``anchored`` takes the number in the cell behind that date; without it the first
+    number before a pipe is taken, which in a table that leads with ``May 15, 2026 |`` is the
+    year.
     """
     text = _col(text)
+    row = F.regexp_extract(text, rf"(?is){TABLE_HEAD}{TABLE_RULE}({DAY_CELL}\s*\|[^|]*\|?)", 1)
+    after_span = _first(text, rf"(?is){DAILY_SPAN}({DAY_CELL})")
     lead = rf"{DAY_CELL}\s*\|\s*" if anchored else ""
-    in_table = _first(text, rf"(?is){TABLE_HEAD}{TABLE_RULE}{lead}{AMOUNT}\s*\|")
     loose = _first(text, rf"(?is)Historical Data.*?{TABLE_HEAD}{lead}{AMOUNT}")
-    return clean_number(F.coalesce(in_table, loose))
+    first_number = _first(text, rf"(?is){TABLE_HEAD}{TABLE_RULE}{AMOUNT}\s*\|")
+
+    def read(found: Column) -> Column:
+        day = F.coalesce(
+            _named_day(_first(found, rf"({DAY_CELL})")), let(after_span, _named_day))
+        if anchored:
+            value = F.when(found != "", _first(found, rf"\|\s*{AMOUNT}\s*\|$")).otherwise(loose)
+        else:
+            value = F.coalesce(first_number, loose)
+        return F.struct(day.alias("day"), clean_number(value).alias("value"))
+
+    return let(row, read)
 
 
 def period_rows(lines: Column | str) -> Column:
@@ -141,8 +166,8 @@ def period_rows(lines: Column | str) -> Column:
 
 
 def period_day(period: Column | str) -> Column:
-    text = F.concat(_ascii_digits(_col(period)), F.lit("/01"))
-    return F.try_to_date(text, "yyyy/MM/dd")
+    text = F.replace(_ascii_digits(_col(period)), F.lit("/"), F.lit("-"))
+    return F.concat(text, F.lit("-01")).try_cast("date")
 
 
 def token_number(rest: Column | str, position: Column | str) -> Column:

@@ -96,6 +96,15 @@ def segments(df: DataFrame, floor: str = MIN_DATE) -> DataFrame:
     return rows.select(*LITE_COLUMNS, F.year("date").alias("year"))
 
 
-def in_name_order(df: DataFrame, *more: str) -> DataFrame:
-    """Global order by ``indicator_name, date`` (and ``more``), NULLs last."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in ("indicator_name", "date", *more)])
+def name_order(df: DataFrame) -> list[str]:
+    """Sort columns: ``indicator_name, date``, then what tells rows of one name and day apart.
+
+    Without the latter a sort could not split a large group of equal keys over tasks.
+    """
+    more = [c for c in ("symbol", "close", "category", "region") if c in df.columns]
+    return ["indicator_name", "date", *more]
+
+
+def in_name_order(df: DataFrame) -> DataFrame:
+    """Global order by ``indicator_name, date``, NULLs last."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in name_order(df)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TABLE_ORDER = ["refresh", "category", "region", "indicator_name"]
+TABLE_ORDER = ["refresh", "category", "region", "indicator_name", "symbol"]
 
 
 def latest_snapshot(df: DataFrame, name_first: bool = False,

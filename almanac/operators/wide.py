@@ -29,6 +29,8 @@ MONTH_NAME = r"^\d{6}$"
 # ----------------------------------------------------------------------------
 
 IDS = ["code", "series_name", "label_raw"]
+# The close comes last in the order, so that equal labels of a month can be split over tasks.
+INDEX_ORDER = ["indicator_name", "date", "classification1", "classification2", "close"]
 # What makes two long rows copies of each other.
 COPY_KEY = ["date", "indicator_name", "classification1", "classification2", "close"]
 
@@ -99,5 +101,4 @@ def tidy_index(long: DataFrame, order: list[str], names: dict[str, str] = TARGET
 
 
 def in_index_order(df: DataFrame) -> DataFrame:
-    keys = ("indicator_name", "date", "classification1", "classification2")
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in keys])
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in INDEX_ORDER])

@@ -69,7 +69,7 @@ def trend(df: DataFrame, selection: Selection, first: dt.date | str,
     return (
         df.where(selection.condition() & F.col("date").between(lo, hi))
         .select("indicator_name", "symbol", "date", "close")
-        .orderBy(*[F.col(c).asc_nulls_last() for c in ("symbol", "date")])
+        .orderBy(*[F.col(c).asc_nulls_last() for c in ("symbol", "date", "close")])
     )
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from almanac.operators.history import active_symbols, lite, upsert_active
+from almanac.operators.history import active_symbols, lite, name_order, upsert_active
 from almanac.operators.joins import fits_broadcast
 from almanac.operators.snapshot import TABLE_ORDER, latest_snapshot
 from almanac.schemas import MIN_DATE
@@ -93,9 +93,9 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     run = store.publish(version, run_at, refresh, held,
                         {"fetched": n_fetched, "rejected": n_rejected, "snapshot": n_snapshot})
     if exports is not None:
-        by_name = ["indicator_name", "date"]
-        write_csv(history, f"{exports}/history", by_name, bom=bom)
-        write_csv(lite(history, floor), f"{exports}/history_lite", by_name, bom=bom)
+        rows = lite(history, floor)
+        write_csv(history, f"{exports}/history", name_order(history), bom=bom)
+        write_csv(rows, f"{exports}/history_lite", name_order(rows), bom=bom)
         write_csv(snapshot, f"{exports}/latest_snapshot", TABLE_ORDER, bom=bom)
         write_segments(store.read(written), f"{exports}/segments", bom=bom)
     return run

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.functions.coerce import iso_day, iso_instant
-from almanac.operators.history import segments
+from almanac.operators.history import name_order, segments
+from almanac.operators.wide import INDEX_ORDER
 from almanac.schemas import INDEX_COLUMNS, INDEX_LITE_COLUMNS
 
 BOM = "\ufeff"
@@ -19,9 +20,6 @@ BOM = "\ufeff"
 EXPORT_YEARS = range(2020, 2027)
 # ----------------------------------------------------------------------------
 
-INDEX_ORDER = ["indicator_name", "date", "classification1", "classification2"]
-
-
 def as_text(df: DataFrame) -> DataFrame:
     """Dates and instants in their ISO text form."""
     edge = {T.DateType(): iso_day, T.TimestampType(): iso_instant}
@@ -67,7 +65,7 @@ def write_segments(history: DataFrame, path: str, bom: bool = True,
     # A directory column is not in the file, which has to keep ``refresh``. A string directory
     # has to be free of NULLs, or the writer converts it and sorts again.
     rows = segments(history).withColumn("cadence", F.coalesce("refresh", F.lit("")))
-    write_csv(rows, path, ["indicator_name", "date"], bom=bom, files=files,
+    write_csv(rows, path, name_order(rows), bom=bom, files=files,
               partition_by=("cadence", "year"))
 
 

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from almanac.functions.pagetext import DEFAULT_POSITION
 from almanac.operators.dedupe import keep_last
-from almanac.operators.derived import multiply_series, product_legs
+from almanac.operators.derived import combine_series, direct_legs, product_legs
 from almanac.operators.enrich import align, flat_prices, metadata
 from almanac.operators.history import clean_observations, latest_arrivals, union_sources
 from almanac.operators.joins import fits_broadcast, lookup_join
 from almanac.schemas import MIN_DATE
 from almanac.sources import catalog as C
 from almanac.sources.ohlcv import ohlcv_values
-from almanac.sources.pages import labelled_pages, period_pages, price_pages
+from almanac.sources.pages import labelled_hits, page_rows, period_hits, price_hits
 from almanac.sources.series import series_values
 
 
@@ -45,20 +45,16 @@ def _arrival(df: DataFrame) -> DataFrame:
     ))
 
 
-def _series(landing: Landing, catalog: DataFrame, run_at, small: bool) -> list[DataFrame]:
-    values = series_values(landing.series)
-    own_order = F.struct("fetched_at", "row")
-    values = values.withColumn("seq", own_order)
+def _series(landing: Landing, catalog: DataFrame, small: bool) -> DataFrame:
+    """Direct and derived entries in one pass over the bodies."""
+    values = series_values(landing.series).withColumn("seq", F.struct("fetched_at", "row"))
     if not small:
-        # One row per series and day first: then no series is hot in the joins below.
-        values = keep_last(values.dropna(subset=["date"]), ["series_id", "date"], ["seq"])
-    wanted = C.of_type(catalog, C.SERIES).select("series_id", "symbol", "pos")
-    direct = lookup_join(values, wanted, "series_id", small=small, spread=False).select(
-        "symbol", "pos", "date", "close", "fetched_at", "row")
-    legs = product_legs(C.of_type(catalog, C.DERIVED))
-    derived = multiply_series(values, legs, small=small, spread=False).select(
-        "*", run_at.alias("fetched_at"), F.lit(0).cast("bigint").alias("row"))
-    return [flat_prices(direct), flat_prices(derived)]
+        # One row per series and day first: then no series is hot in the join below.
+        values = keep_last(values.where("date is not null"), ["series_id", "date"], ["seq"])
+    legs = direct_legs(C.of_type(catalog, C.SERIES)).unionByName(
+        product_legs(C.of_type(catalog, C.DERIVED)))
+    rows = combine_series(values, legs, small, spread=False)
+    return flat_prices(rows.withColumn("row", F.lit(0).cast("bigint")))
 
 
 def _ohlcv(landing: Landing, catalog: DataFrame, as_of, months: int, small: bool) -> DataFrame:
@@ -71,27 +67,27 @@ def _ohlcv(landing: Landing, catalog: DataFrame, as_of, months: int, small: bool
 
 
 def _pages(landing: Landing, catalog: DataFrame, anchored: bool,
-           small: bool) -> tuple[list[DataFrame], DataFrame]:
-    wanted = catalog.where(F.col("source_type").isin(
-        C.PERIOD_PAGE, C.LABELLED_PAGE, C.PRICE_PAGE,
-    )).select(
+           small: bool) -> tuple[DataFrame, DataFrame]:
+    """Every kind of page in one pass."""
+    kind = F.col("source_type")
+    wanted = catalog.where(kind.isin(C.PERIOD_PAGE, C.LABELLED_PAGE, C.PRICE_PAGE)).select(
         "symbol", "pos", "source_type",
         F.coalesce("page_label", "name").alias("label"),
         F.coalesce("series_position", F.lit(DEFAULT_POSITION)).alias("position"),
     )
-    pages = landing.pages
+    pages = landing.pages.select("symbol", "url", "html", "fetched_at")
     if not small:
         # Copies of one download give the same observation; what is left has a row identity.
-        pages = pages.select("symbol", "url", "html", "fetched_at").distinct()
+        pages = pages.distinct()
     joined = lookup_join(
         pages, wanted, "symbol", row_id=["fetched_at", "url", "html"], small=small)
-
-    def of(kind: str) -> DataFrame:
-        return joined.where(F.col("source_type") == kind)
-
-    labelled, rejects = labelled_pages(of(C.LABELLED_PAGE))
-    frames = [period_pages(of(C.PERIOD_PAGE)), labelled, price_pages(of(C.PRICE_PAGE), anchored)]
-    return [flat_prices(f) for f in frames], rejects
+    hits = (
+        F.when(kind == C.PERIOD_PAGE, period_hits())
+        .when(kind == C.LABELLED_PAGE, labelled_hits())
+        .otherwise(price_hits(anchored))
+    )
+    good, rejects = page_rows(joined, hits)
+    return flat_prices(good), rejects
 
 
 def fetch(catalog: DataFrame, landing: Landing, run_at: dt.datetime | None = None,
@@ -108,13 +104,13 @@ def fetch(catalog: DataFrame, landing: Landing, run_at: dt.datetime | None = Non
     frames: list[DataFrame] = []
     rejects = spark.createDataFrame([], "symbol string, stage string, reason string")
     if landing.series is not None:
-        frames += _series(landing, catalog, now, small)
+        frames.append(_series(landing, catalog, small))
     if landing.ohlcv is not None:
         as_of = None if run_at is None else run_at.date()
         frames.append(_ohlcv(landing, catalog, as_of, lookback_months, small))
     if landing.pages is not None:
         from_pages, rejected = _pages(landing, catalog, anchored, small)
-        frames += from_pages
+        frames.append(from_pages)
         rejects = rejects.unionByName(rejected)
     if not frames:
         return Fetched(align(catalog.limit(0)), rejects)

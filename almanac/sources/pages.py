@@ -1,73 +1,64 @@
 """Observations out of landed pages.
 
-Each page yields an array of hits which is then inlined. The page text is bound once inside
-the array expression, and later filters stay above the generator, so no pattern is matched
-twice on a page.
+Each kind of page is an array expression of hits, so that one generator over the pages can
+serve all kinds at once. The page text is bound once inside the expression, and later filters
+stay above the generator, so no pattern is matched twice on a page.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.functions import pagetext as P
 
 BAD_MONTH = "month reference is not a month"
-ROW = ["symbol", "pos", "date", "close", "fetched_at", "row"]
-
 
-def _one_hit(text: Column, hit) -> Column:
-    """``hit`` of the text as an array, empty where it has no ``close``."""
-    return F.filter(F.transform(F.array(text), hit), lambda h: h["close"].isNotNull())
 
+def _hit(date: Column, close: Column, bad: Column | None = None) -> Column:
+    return F.struct(
+        date.alias("date"), close.alias("close"),
+        (F.lit(False) if bad is None else bad).alias("bad"))
 
-def _text_rows(pages: DataFrame, hit) -> DataFrame:
-    rows = pages.select("symbol", "pos", "fetched_at", F.inline(_one_hit(P.page_text("html"), hit)))
-    return rows.withColumn("row", F.lit(0).cast("bigint"))
 
+def _of_text(make: Callable[[Column], Column]) -> Column:
+    return F.transform(F.array(P.page_text("html")), make)
 
-def labelled_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Value behind the label, dated by the month it refers to or by the fetch day.
 
-    ``pages`` carries ``label`` and ``pos``. Second result: rejected pages.
-    """
+def labelled_hits() -> Column:
+    """Value behind ``label``, dated by the month it refers to or by the fetch day."""
+    return _of_text(lambda text: P.let(P.month_reference(text), lambda month: _hit(
+        F.coalesce(month["day"], F.col("fetched_at").cast("date")),
+        P.labelled_value(text, F.col("label")),
+        month["bad"],
+    )))
 
-    def hit(text: Column) -> Column:
-        day, not_a_month = P.month_reference(text)
-        return F.struct(
-            F.coalesce(day, F.col("fetched_at").cast("date")).alias("date"),
-            P.labelled_value(text, F.col("label")).alias("close"),
-            not_a_month.alias("bad"),
-        )
 
-    rows = _text_rows(pages, hit)
-    rejects = rows.where("bad").select(
-        "symbol", F.lit("pages").alias("stage"), F.lit(BAD_MONTH).alias("reason"))
-    return rows.where("not bad").select(*ROW), rejects
+def price_hits(anchored: bool = True) -> Column:
+    """First row of a piped price table."""
+    return _of_text(lambda text: P.let(
+        P.price_row(text, anchored), lambda row: _hit(row["day"], row["value"])))
 
 
-def price_pages(pages: DataFrame, anchored: bool = True) -> DataFrame:
-    """First row of a piped price table; date and value are both required."""
+def period_hits() -> Column:
+    """One hit per ``YYYY/MM`` line, the number at token ``position``."""
+    return F.transform(P.period_rows(P.page_lines("html")), lambda line: _hit(
+        P.period_day(line["period"]), P.token_number(line["rest"], F.col("position"))))
 
-    def hit(text: Column) -> Column:
-        return F.struct(
-            P.price_table_day(text).alias("date"),
-            P.price_table_value(text, anchored).alias("close"),
-        )
 
-    return _text_rows(pages, hit).dropna(subset=["date"]).select(*ROW)
+def page_rows(pages: DataFrame, hits: Column) -> tuple[DataFrame, DataFrame]:
+    """Hits with date and value as rows, and the rejected pages.
 
-
-def period_pages(pages: DataFrame) -> DataFrame:
-    """One row per ``YYYY/MM`` line; ``pages`` carries ``position``, the token to take."""
-    hits = F.transform(
-        P.period_rows(P.page_lines("html")),
-        lambda r: F.struct(
-            P.period_day(r["period"]).alias("date"),
-            P.token_number(r["rest"], F.col("position")).alias("close"),
-        ),
-    )
+    A page without a value is no reject; one with a value but an unreadable month is.
+    """
     rows = pages.select("symbol", "pos", "fetched_at", F.posexplode(hits).alias("row", "_hit"))
-    return rows.withColumn("row", F.col("row").cast("bigint")).select(
-        "symbol", "pos", "_hit.date", "_hit.close", "fetched_at", "row",
-    ).dropna(subset=["close"])
+    rows = rows.select(
+        "symbol", "pos", "_hit.date", "_hit.close", "fetched_at",
+        F.col("row").cast("bigint").alias("row"), "_hit.bad",
+    ).where(F.col("close").isNotNull())
+    good = rows.where(~F.col("bad") & F.col("date").isNotNull()).drop("bad")
+    rejects = rows.where("bad").select(
+        "symbol", F.lit("pages").alias("stage"), F.lit(BAD_MONTH).alias("reason"))
+    return good, rejects

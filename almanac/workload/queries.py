@@ -13,7 +13,7 @@ from almanac.functions.display import delta_text, number_text
 from almanac.functions.labels import classification
 from almanac.operators import history as H
 from almanac.operators.dedupe import keep_first
-from almanac.operators.derived import multiply_series, product_legs
+from almanac.operators.derived import combine_series, product_legs
 from almanac.operators.enrich import enrich, flat_prices
 from almanac.operators.snapshot import in_table_order, latest_snapshot
 from almanac.operators.wide import in_index_order, melt_columns, name_ids, short_name, target_rows
@@ -21,9 +21,9 @@ from almanac.plans import dashboard as D
 from almanac.plans.refresh import Refreshed, refresh_frames, run_metrics
 from almanac.plans.wide_index import index_from_table
 from almanac.sources import catalog as C
-from almanac.sources import pages as pages_source
 from almanac.sources.market import Landing, fetch
 from almanac.sources.ohlcv import ohlcv_values
+from almanac.sources.pages import labelled_hits, page_rows, period_hits, price_hits
 from almanac.sources.series import series_values
 from almanac.workload import adapters as A
 
@@ -112,7 +112,7 @@ def product_query(spark: SparkSession, sf: str) -> DataFrame:
         series_ids=F.array(A.text("click_", user), A.text("view_", user)),
         pos=user,
     )
-    rows = flat_prices(multiply_series(series, product_legs(entries)))
+    rows = flat_prices(combine_series(series, product_legs(entries)))
     return _out(rows, "symbol", "date", "open", "high", "low", "close", "adj_close", "volume")
 
 
@@ -149,25 +149,25 @@ def _one_value(rows: DataFrame) -> DataFrame:
 
 
 def labelled_query(spark: SparkSession, sf: str) -> DataFrame:
-    return _one_value(pages_source.labelled_pages(A.part_pages(spark, sf))[0])
+    return _one_value(page_rows(A.part_pages(spark, sf), labelled_hits())[0])
 
 
 def web_labelled_query(spark: SparkSession, sf: str) -> DataFrame:
-    return _one_value(pages_source.labelled_pages(A.web_pages(spark, sf))[0])
+    return _one_value(page_rows(A.web_pages(spark, sf), labelled_hits())[0])
 
 
 def month_query(spark: SparkSession, sf: str) -> DataFrame:
-    day, bad = P.month_reference(P.page_text("html"))
-    return A.part_pages(spark, sf).select(
-        "symbol", iso_day(day).alias("month"), bad.alias("rejected"))
+    found = P.month_reference(P.page_text("html"))
+    rows = A.part_pages(spark, sf).select("symbol", F.inline(F.array(found)))
+    return rows.select("symbol", iso_day("day").alias("month"), F.col("bad").alias("rejected"))
 
 
 def period_query(spark: SparkSession, sf: str) -> DataFrame:
-    return _one_value(pages_source.period_pages(A.period_pages(spark, sf)))
+    return _one_value(page_rows(A.period_pages(spark, sf), period_hits())[0])
 
 
 def price_table_query(spark: SparkSession, sf: str) -> DataFrame:
-    return _one_value(pages_source.price_pages(A.price_table_pages(spark, sf)))
+    return _one_value(page_rows(A.price_table_pages(spark, sf), price_hits())[0])
 
 
 def series_query(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from almanac.operators import history as H
 from almanac.operators.dedupe import keep_first, keep_last
-from almanac.operators.derived import multiply_series, product_legs
+from almanac.operators.derived import combine_series, direct_legs, product_legs
 from almanac.operators.enrich import align, enrich, flat_prices
 from almanac.operators.joins import fits_broadcast, hot_keys, lookup_join, spread_join
 from almanac.operators.snapshot import in_table_order, latest_snapshot
@@ -212,7 +212,7 @@ def legs(spark, entries):
                                      series_ids=F.col("ids"), pos=F.col("p")))
 
 
-def test_multiply_series(spark, observations):
+def test_combine_series(spark, observations):
     series = observations([
         ("X", "2026-01-01", 2.0, 1), ("X", "2026-01-01", 3.0, 2), ("X", "2026-01-02", 5.0, 3),
         ("X", "2026-01-04", None, 3), ("Y", "2026-01-01", 10.0, 4), ("Y", "2026-01-01", 20.0, 5),
@@ -227,16 +227,25 @@ def test_multiply_series(spark, observations):
     want = [("XX", DAY(2026, 1, 1), 9.0), ("XX", DAY(2026, 1, 2), 25.0),
             ("XY", DAY(2026, 1, 1), 60.0)]
     for small in (True, False, None):
-        got = multiply_series(series, inputs, small)
+        got = combine_series(series, inputs, small)
         assert values(got, "symbol", "date", "close") == want
 
 
+def test_direct_series(spark, observations):
+    series = observations([("X", "2026-01-01", 2.0, 1), ("X", "2026-01-01", 3.0, 2),
+                           ("X", "2026-01-02", None, 1), ("Y", "2026-01-01", 4.0, 1)])
+    df = spark.createDataFrame([("A", "X", 0), ("B", "X", 1), ("C", None, 2)], "s string, i string, p int")
+    entries = catalog_rows(df, symbol=F.col("s"), series_id=F.col("i"), pos=F.col("p"))
+    got = combine_series(series.withColumnRenamed("symbol", "series_id"), direct_legs(entries))
+    assert values(got, "symbol", "pos", "close") == [("A", 0, 3.0), ("B", 1, 3.0)]
+
+
 def test_product_is_bit_exact(spark, observations):
     # --- fixed values: two days of published input and output closes
     usdjpy = {"2026-01-02": 156.82, "2026-05-15": 158.69}
     eurusd = {"2026-01-02": 1.17305, "2026-05-15": 1.1627}
     rows = [("L", d, v, 1) for d, v in usdjpy.items()] + [("R", d, v, 2) for d, v in eurusd.items()]
-    got = multiply_series(observations(rows).withColumnRenamed("symbol", "series_id"),
+    got = combine_series(observations(rows).withColumnRenamed("symbol", "series_id"),
                           legs(spark, [("P", "multiply", ["L", "R"], 0)]))
     assert values(got, "close") == sorted([(usdjpy[d] * eurusd[d],) for d in usdjpy], key=repr)
     assert (184.50886300000002,) in values(got, "close")

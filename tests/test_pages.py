@@ -56,8 +56,8 @@ def test_month_reference(spark):
         ("in May 26", None, False),
     ]
     df = page_frame(spark, [c[0] for c in cases])
-    day, bad = P.month_reference("html")
-    got = [tuple(r) for r in df.orderBy("pos").select(day, bad).collect()]
+    found = df.orderBy("pos").select(F.inline(F.array(P.month_reference("html"))))
+    got = [tuple(r) for r in found.collect()]
     assert got == [(c[1], c[2]) for c in cases]
 
 
@@ -68,7 +68,7 @@ def test_labelled_pages_dates_and_rejects(spark):
         "in Cars 2026: PMI in Japan rose to 5",
         "in Cars 2026: nothing here",
     ])
-    good, bad = S.labelled_pages(df)
+    good, bad = S.page_rows(df, S.labelled_hits())
     assert values(good, "symbol", "date", "close") == [
         ("s0", DAY(2026, 2, 1), 1053.0), ("s1", DAY(2026, 6, 30), 5.0)]
     assert values(bad, "symbol", "reason") == [("s2", S.BAD_MONTH)]
@@ -83,12 +83,14 @@ def test_price_pages(spark):
         head + "Feb 30, 2026 | 1 | 3 |",
         "Historical Data Daily 05/15/2025 - 05/15/2026 Date | Price | Jun 3, 2026 | 8.5 | 9",
         "Date | Price | --- | no rows",
+        head + "May 15, 2026 | n/a | May 14, 2026 | 5 |",
+        "Daily 1/2/2025 - 1/2/2026 Jan 2, 2026" + head + "Sept 1, 2026 | 6 | x",
     ])
-    assert values(S.price_pages(df), "symbol", "date", "close") == [
+    assert values(S.page_rows(df, S.price_hits())[0], "symbol", "date", "close") == [
         ("s0", DAY(2026, 5, 15), 1234.5), ("s1", DAY(2026, 9, 1), 7.0),
-        ("s4", DAY(2026, 6, 3), 8.5)]
-    loose = df.where("pos = 0").select(P.price_table_value(P.page_text("html"), anchored=False))
-    assert loose.first()[0] == 2026.0
+        ("s4", DAY(2026, 6, 3), 8.5), ("s7", DAY(2026, 1, 2), 6.0)]
+    loose = S.page_rows(df.where("pos = 0"), S.price_hits(anchored=False))[0]
+    assert values(loose, "date", "close") == [(DAY(2026, 5, 15), 2026.0)]
 
 
 def test_period_pages_keep_lines_apart(spark):
@@ -98,25 +100,25 @@ def test_period_pages_keep_lines_apart(spark):
         for m in (1, 2))
     df = page_frame(spark, [f"<pre>{lines}</pre>", f"<table>{cells}</table>", "none",
                             "2022/01 1 2 3 4 5<br/>2022/02 9 9 9 9 6"])
-    assert values(S.period_pages(df), "symbol", "date", "close", "row") == [
-        ("s0", None, 1.0, 3), ("s0", DAY(2020, 1, 1), 5.5, 0),
+    assert values(S.page_rows(df, S.period_hits())[0], "symbol", "date", "close", "row") == [
+        ("s0", DAY(2020, 1, 1), 5.5, 0),
         ("s1", DAY(2021, 1, 1), 1.0, 0), ("s1", DAY(2021, 2, 1), 2.0, 1),
         ("s3", DAY(2022, 1, 1), 5.0, 0), ("s3", DAY(2022, 2, 1), 6.0, 1)]
 
 
 def test_period_position(spark):
     df = page_frame(spark, ["2020/01 7 8"], position=1)
-    assert values(S.period_pages(df), "close") == [(7.0,)]
+    assert values(S.page_rows(df, S.period_hits())[0], "close") == [(7.0,)]
 
 
 def test_whole_long_pages_are_searched(spark):
     filler = "<p>" + "word rose to nothing " * 40_000 + "</p>"
     df = page_frame(spark, [filler + "PMI in Japan" + filler + " was 41.5 in May 2026"])
-    good, _ = S.labelled_pages(df)
+    good, _ = S.page_rows(df, S.labelled_hits())
     assert values(good, "date", "close") == [(DAY(2026, 5, 1), 41.5)]
 
 
 def test_page_text_is_bound_once_per_page(spark):
-    plan = S.labelled_pages(page_frame(spark, ["x"]))[0].select(F.col("close"))
+    plan = S.page_rows(page_frame(spark, ["x"]), S.labelled_hits())[0].select(F.col("close"))
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("<[^>]+>") == 1

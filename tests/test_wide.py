@@ -151,9 +151,10 @@ def test_unpivot_then_pivot_is_the_identity(spark):
 
 def test_index_order(spark):
     tidy = spark.createDataFrame(
-        [("b", DAY(2020, 1, 1), "x", ""), ("a", DAY(2020, 2, 1), "x", ""),
-         ("a", DAY(2020, 1, 1), None, ""), ("a", DAY(2020, 1, 1), "z", "")],
-        "indicator_name string, date date, classification1 string, classification2 string")
+        [("b", DAY(2020, 1, 1), "x", "", 1.0), ("a", DAY(2020, 2, 1), "x", "", 1.0),
+         ("a", DAY(2020, 1, 1), None, "", 1.0), ("a", DAY(2020, 1, 1), "z", "", 1.0)],
+        "indicator_name string, date date, classification1 string, classification2 string, "
+        "close double")
     got = [(r[0], r[1].month, r[2]) for r in W.in_index_order(tidy).collect()]
     assert got == [("a", 1, "z"), ("a", 1, None), ("a", 2, "x"), ("b", 1, "x")]
 
