@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROWS_PER_SLICE = 2_000_000
 HOT_KEYS = 200_000

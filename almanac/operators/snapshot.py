@@ -20,12 +20,13 @@ def latest_snapshot(df: DataFrame, name_first: bool = False,
     by = ["date"] + (order if order is not None else ["seq"] if "seq" in df.columns else [])
     if name_first:
         by = ["indicator_name"] + by
-    newest_first = Window.partitionBy("symbol").orderBy(
+    newest_first = Window.partitionBy("_hash", "symbol").orderBy(
         *[F.col(c).desc_nulls_first() if c in ("date", "indicator_name")
           else F.col(c).desc_nulls_last() for c in by]
     )
     two = (
         df.where(F.col("symbol").isNotNull())
+        .withColumn("_hash", F.xxhash64("symbol"))
         .withColumn("_age", F.row_number().over(newest_first))
         .where("_age <= 2")
     )
@@ -35,7 +36,7 @@ def latest_snapshot(df: DataFrame, name_first: bool = False,
         .where("_age = 1")
         .withColumn("change", change)
         .withColumn("change_pct", F.try_divide(F.col("change"), F.col("prev_close")) * 100)
-        .drop("_age", *([] if "seq" not in df.columns else ["seq"]))
+        .drop("_age", "_hash", "seq")
     )
 
 

@@ -66,7 +66,7 @@ def _loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def upsert_query(spark: SparkSession, sf: str) -> DataFrame:
     old, new = _loads(spark, sf)
-    return _out(H.in_name_order(H.upsert(old, new)), *OBSERVED)
+    return _out(H.upsert(old, new), *OBSERVED)
 
 
 def lite_query(spark: SparkSession, sf: str) -> DataFrame:
