@@ -97,5 +97,5 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
         write_csv(history, f"{exports}/history", name_order(history), bom=bom)
         write_csv(rows, f"{exports}/history_lite", name_order(rows), bom=bom)
         write_csv(snapshot, f"{exports}/latest_snapshot", TABLE_ORDER, bom=bom)
-        write_segments(store.read(written), f"{exports}/segments", bom=bom)
+        write_segments(store.read(written), f"{exports}/segments", bom=bom, floor=floor)
     return run

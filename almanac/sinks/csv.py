@@ -13,9 +13,14 @@ from pyspark.sql import types as T
 from almanac.functions.coerce import iso_day, iso_instant
 from almanac.operators.history import name_order, segments
 from almanac.operators.wide import INDEX_ORDER
-from almanac.schemas import INDEX_COLUMNS, INDEX_LITE_COLUMNS
+from almanac.schemas import INDEX_COLUMNS, INDEX_LITE_COLUMNS, MIN_DATE
 
 BOM = "\ufeff"
+# Text as it is: spaces stay, quotes are doubled, empty and missing look alike.
+CSV_TEXT = {
+    "escape": '"', "emptyValue": "", "nullValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 # --- fixed values -----------------------------------------------------------
 EXPORT_YEARS = range(2020, 2027)
 # ----------------------------------------------------------------------------
@@ -49,22 +54,18 @@ def write_csv(df: DataFrame, path: str, order: list[str] | None = None, sep: str
         keys += [F.col(names[c]).asc_nulls_last() for c in order]
         by = ([files] if files else []) + keys
         out = out.repartitionByRange(*by).sortWithinPartitions(*keys)
-    writer = (
-        out.write.mode(mode)
-        .option("header", True).option("sep", sep)
-        .option("emptyValue", "").option("nullValue", "")
-    )
+    writer = out.write.mode(mode).options(**CSV_TEXT, header=True, sep=sep)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.csv(path)
 
 
 def write_segments(history: DataFrame, path: str, bom: bool = True,
-                   files: int | None = None) -> None:
+                   files: int | None = None, floor: str = MIN_DATE) -> None:
     """Lite rows by cadence and year; segments without rows keep their old files."""
     # A directory column is not in the file, which has to keep ``refresh``. A string directory
     # has to be free of NULLs, or the writer converts it and sorts again.
-    rows = segments(history).withColumn("cadence", F.coalesce("refresh", F.lit("")))
+    rows = segments(history, floor).withColumn("cadence", F.coalesce("refresh", F.lit("")))
     write_csv(rows, path, name_order(rows), bom=bom, files=files,
               partition_by=("cadence", "year"))
 

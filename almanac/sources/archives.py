@@ -82,9 +82,8 @@ def _archive_rows(path: str, content: bytes, encodings: tuple[str, ...]) -> Iter
             yield pd.DataFrame(batch, columns=failed("").columns)
 
 
-def read_archives(spark: SparkSession, path: str,
-                  encodings: tuple[str, ...] = ENCODINGS) -> DataFrame:
-    """Records of the first CSV member of every archive under ``path``.
+def unpack_archives(files: DataFrame, encodings: tuple[str, ...] = ENCODINGS) -> DataFrame:
+    """Records of the first CSV member of every archive in ``(path, content)``.
 
     Encodings are tried in order and the first that reads the whole member wins; members are
     streamed, never held as a whole. An archive that cannot be read is one row with ``error``.
@@ -95,8 +94,13 @@ def read_archives(spark: SparkSession, path: str,
             for name, content in zip(batch["path"], batch["content"]):
                 yield from _archive_rows(name, content, encodings)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(unpack, ROWS)
+    return files.select("path", "content").mapInPandas(unpack, ROWS)
+
+
+def read_archives(spark: SparkSession, path: str,
+                  encodings: tuple[str, ...] = ENCODINGS) -> DataFrame:
+    """Records of the archives under ``path``; one archive may have up to 2 GB."""
+    return unpack_archives(spark.read.format("binaryFile").load(path), encodings)
 
 
 def archive_rejects(rows: DataFrame) -> DataFrame:

@@ -11,13 +11,16 @@ from almanac.operators.enrich import align
 from almanac.schemas import OBSERVATION, PRICE_COLUMNS, SEQ
 
 
-def read_text_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame | None:
+def read_text_table(spark: SparkSession, path: str, sep: str = ",",
+                    multi_line: bool = False) -> DataFrame | None:
     """Header CSV as strings, empty cells NULL, with the file order in ``seq``.
 
-    None if the path does not exist.
+    ``multi_line`` allows line breaks inside quotes, for which a file cannot be split. None if
+    the path does not exist.
     """
     try:
-        rows = spark.read.option("header", True).option("sep", sep).csv(path)
+        rows = spark.read.options(
+            header=True, sep=sep, escape='"', multiLine=multi_line).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -6,6 +6,10 @@ observations, catalogs and raw downloads. Every adapter uses its table as a whol
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -229,6 +233,35 @@ def raw_ohlcv(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def index_archives(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide table as zipped CSV files ``(path, content)`` of a hundred suppliers each."""
+    wide = wide_table(spark, sf)
+    own = [c for c in wide.columns if c != "file_row"]
+    cells = [F.concat(F.lit('"'), F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit('"')) for c in own]
+    header = ",".join(own) + "\r\n"
+
+    @F.pandas_udf("binary")
+    def zipped(texts: pd.Series) -> pd.Series:
+        def pack(text: str) -> bytes:
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("readme.txt", "index table")
+                archive.writestr("INDEX.CSV", text.encode("cp932"))
+            return buffer.getvalue()
+
+        return texts.map(pack)
+
+    lines = wide.select(
+        F.expr("file_row div 100").alias("archive"),
+        F.struct("file_row", F.concat_ws(",", *cells).alias("line")).alias("entry"))
+    texts = lines.groupBy("archive").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+    return texts.select(
+        F.format_string("archive-%012d.zip", "archive").alias("path"),
+        zipped(F.concat(F.lit(header), F.array_join("entries.line", "\r\n"), F.lit("\r\n")))
+        .alias("content"),
+    )
+
+
 def wide_table(spark: SparkSession, sf: str) -> DataFrame:
     """A wide string table: a row per supplier and return flag, a column per ship month.
 

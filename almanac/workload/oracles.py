@@ -112,6 +112,16 @@ def _iso(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d')"
 
 
+TIDY = "WITH " + CELLS + f"""
+SELECT substr(yyyymm, 1, 4) || '-' || substr(yyyymm, 5, 2) || '-01' AS date,
+       {SHORT} AS indicator_name, classification1, classification2, close,
+       'Inflation' AS category, 'Japan' AS region, 'monthly' AS refresh,
+       'Bank of Japan' AS source, 'Index 2020=100' AS unit, code, series_name, label_raw
+FROM cells WHERE series_name <> 'other series'
+QUALIFY row_number() OVER (
+  PARTITION BY yyyymm, series_name, classification1, classification2, close
+  ORDER BY l_suppkey) = 1"""
+
 ORACLES = {
     "latest_snapshot": SNAPSHOT + " SELECT * FROM snap",
     "headline_topk": SNAPSHOT + f"""
@@ -169,15 +179,18 @@ SELECT code, series_name, label_raw, yyyymm, close FROM cells""",
     "target_series": "WITH " + CELLS + f"""
 SELECT DISTINCT code, label_raw, {SHORT} AS indicator_name
 FROM cells WHERE series_name <> 'other series'""",
-    "wide_index_tidy": "WITH " + CELLS + f"""
-SELECT substr(yyyymm, 1, 4) || '-' || substr(yyyymm, 5, 2) || '-01' AS date,
-       {SHORT} AS indicator_name, classification1, classification2, close,
-       'Inflation' AS category, 'Japan' AS region, 'monthly' AS refresh,
-       'Bank of Japan' AS source, 'Index 2020=100' AS unit, code, series_name, label_raw
-FROM cells WHERE series_name <> 'other series'
-QUALIFY row_number() OVER (
-  PARTITION BY yyyymm, series_name, classification1, classification2, close
-  ORDER BY l_suppkey) = 1""",
+    "wide_index_tidy": TIDY,
+    "archive_ingest": TIDY,
+    "yearly_files": f"""
+SELECT date, indicator_name, classification1, classification2, close, code, label_raw,
+       CAST(substr(date, 1, 4) AS INTEGER) AS year
+FROM ({TIDY}) WHERE substr(date, 1, 4) BETWEEN '1996' AND '1999'""",
+    "csv_round_trip": "WITH " + UNIQUE_EVENTS + f"""
+SELECT {_iso('d')} AS date, symbol, indicator_name, category, region, refresh, close FROM uniq""",
+    "segment_files": "WITH " + ORDERS + f"""
+SELECT refresh AS cadence, CAST(year(d) AS INTEGER) AS year, {_iso('d')} AS date,
+       indicator_name, category, region, refresh, close
+FROM ob WHERE d >= DATE '1998-01-01'""",
     "split_labels": r"""
 WITH urls AS (
   SELECT 'u' || CAST(page_id AS VARCHAR) AS id,
@@ -298,3 +311,4 @@ UNION ALL SELECT 'history', count(*) FROM kept
 UNION ALL SELECT 'lite', count(*) FROM kept
 UNION ALL SELECT 'snapshot', count(*) FROM snap WHERE refresh = 'daily'""",
 }
+ORACLES["store_runs"] = ORACLES["fetch_observations"]

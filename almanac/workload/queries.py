@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,18 +15,24 @@ from almanac.functions.labels import classification
 from almanac.operators import history as H
 from almanac.operators.dedupe import keep_first
 from almanac.operators.derived import combine_series, product_legs
-from almanac.operators.enrich import enrich, flat_prices
+from almanac.operators.enrich import align, enrich, flat_prices
 from almanac.operators.snapshot import in_table_order, latest_snapshot
 from almanac.operators.wide import in_index_order, melt_columns, name_ids, short_name, target_rows
 from almanac.plans import dashboard as D
-from almanac.plans.refresh import Refreshed, refresh_frames, run_metrics
-from almanac.plans.wide_index import index_from_table
+from almanac.plans.refresh import Refreshed, refresh_frames, refresh_run, run_metrics
+from almanac.plans.wide_index import index_from_archives, index_from_table
+from almanac.schemas import INDEX_LITE_COLUMNS, LITE_COLUMNS
+from almanac.sinks.csv import write_csv, write_segments, write_yearly
+from almanac.sinks.store import HistoryStore
 from almanac.sources import catalog as C
+from almanac.sources.archives import unpack_archives
 from almanac.sources.market import Landing, fetch
 from almanac.sources.ohlcv import ohlcv_values
 from almanac.sources.pages import labelled_hits, page_rows, period_hits, price_hits
 from almanac.sources.series import series_values
+from almanac.sources.tables import read_observations
 from almanac.workload import adapters as A
+from almanac.workload.scratch import scratch_dir
 
 RUN_AT = dt.datetime(2001, 8, 1)
 OBSERVED = ["date", "symbol", "indicator_name", "category", "region", "refresh", "close"]
@@ -280,8 +287,8 @@ def metrics_query(spark: SparkSession, sf: str) -> DataFrame:
     return run_metrics(*_event_run(spark, sf))
 
 
-def fetch_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Every source type at once: series, OHLCV rows and three kinds of pages."""
+def _all_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, Landing]:
+    """A catalog with every source type, and landed downloads for it."""
     about = {"category": F.lit("cat"), "region": F.lit("reg"), "refresh": F.lit("daily")}
     part, supplier, order = F.col("p_partkey"), F.col("s_suppkey"), F.col("o_orderkey")
     customer = F.col("c_custkey")
@@ -316,12 +323,70 @@ def fetch_query(spark: SparkSession, sf: str) -> DataFrame:
     ohlcv = A.raw_ohlcv(spark, sf).withColumn(
         "Date", F.col("Date").cast("timestamp")
         + F.make_dt_interval(secs=(F.col("Volume") / 1_000_000).cast("decimal(18,6)")))
-    landing = Landing(series=A.series_bodies(spark, sf), ohlcv=ohlcv, pages=pages)
+    return catalog, Landing(series=A.series_bodies(spark, sf), ohlcv=ohlcv, pages=pages)
+
+
+def fetch_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Every source type at once: series, OHLCV rows and three kinds of pages."""
+    catalog, landing = _all_sources(spark, sf)
     rows = fetch(catalog, landing, RUN_AT, floor=A.ORDER_FLOOR).observations
     return _out(rows, "symbol", "date", "open", "close", "volume", "indicator_name", "category",
                 "region", "refresh", "source", "unit")
 
 
+def archive_query(spark: SparkSession, sf: str) -> DataFrame:
+    records = unpack_archives(A.index_archives(spark, sf))
+    rows = index_from_archives(records)
+    return _out(rows, *rows.columns)
+
+
+def csv_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Observations written as CSV with a byte order mark and read back."""
+    path = scratch_dir(spark, "observations")
+    rows = _unique_events(spark, sf)
+    write_csv(align(rows), path, H.name_order(rows))
+    return _out(read_observations(spark, path), *OBSERVED)
+
+
+def segment_files_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Lite rows written by cadence and year and read back; the floor leaves out early days."""
+    path = scratch_dir(spark, "segments")
+    write_segments(A.order_observations(spark, sf), path, floor=A.ORDER_FLOOR)
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(
+        "cadence", "year", *[F.col(c) for c in LITE_COLUMNS if c != "close"],
+        to_number("close").alias("close"))
+
+
+def yearly_files_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Index rows of four years written by year, in full and lite form, and joined again."""
+    full, short = scratch_dir(spark, "yearly"), scratch_dir(spark, "yearly_lite")
+    table = index_from_table(A.wide_table(spark, sf), ["file_row"])
+    write_yearly(table, full, short, range(1996, 2000))
+    rows = spark.read.option("header", True).csv(full)
+    keys = [*INDEX_LITE_COLUMNS, "year"]
+    light = spark.read.option("header", True).csv(short).select(*keys)
+    light = light.withColumnsRenamed({c: f"lite_{c}" for c in keys})
+    same = [F.col(c).eqNullSafe(F.col(f"lite_{c}")) for c in keys]
+    both = rows.join(light, reduce(lambda a, b: a & b, same))
+    return both.select(
+        "date", "indicator_name", "classification1",
+        F.coalesce("classification2", F.lit("")).alias("classification2"),
+        to_number("close").alias("close"), "code", "label_raw", "year")
+
+
+def store_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Two published runs: series and pages first, then OHLCV rows and the pages once more."""
+    catalog, landing = _all_sources(spark, sf)
+    store = HistoryStore(spark, scratch_dir(spark, "store"))
+    for part in (Landing(series=landing.series, pages=landing.pages),
+                 Landing(ohlcv=landing.ohlcv, pages=landing.pages)):
+        run = refresh_run(store, catalog, part, RUN_AT, floor=A.ORDER_FLOOR)
+    rows = store.read(store.years(run))
+    return _out(rows, "symbol", "date", "open", "close", "volume", "indicator_name", "category",
+                "region", "refresh", "source", "unit")
+
+
 QUERIES = {
     "latest_snapshot": snapshot_query,
     "headline_topk": headline_query,
@@ -354,6 +419,11 @@ QUERIES = {
     "trend_slice": trend_query,
     "latest_slice": latest_slice_query,
     "fetch_observations": fetch_query,
+    "archive_ingest": archive_query,
+    "csv_round_trip": csv_query,
+    "segment_files": segment_files_query,
+    "yearly_files": yearly_files_query,
+    "store_runs": store_query,
     "refresh_run": refresh_query,
     "run_metrics": metrics_query,
 }

@@ -57,6 +57,21 @@ def test_csv_round_trip_and_missing_path(spark, tmp_path):
     assert empty.count() == 0 and empty.columns == back.columns
 
 
+def test_csv_text_survives(spark, tmp_path):
+    odd = [' lead', 'trail ', 'a,b', 'say "hi"', "back\\slash", '"', "　wide　", "NA", "tab\tx"]
+    df = spark.createDataFrame([(str(i), x) for i, x in enumerate(odd)], "symbol string, unit string")
+    for sep in (",", "\t"):
+        path = str(tmp_path / ("c" if sep == "," else "t"))
+        write_csv(df.coalesce(1), path, sep=sep)
+        back = read_text_table(spark, path, sep)
+        assert values(back, "symbol", "unit") == values(df, "symbol", "unit")
+    text = next((tmp_path / "c").glob("part-*.csv")).read_text("utf-8-sig")
+    assert '3,"say ""hi"""\n' in text and "1,trail \n" in text
+    lines = spark.createDataFrame([("a", "x\ny")], "symbol string, unit string")
+    write_csv(lines, str(tmp_path / "m"))
+    assert read_text_table(spark, str(tmp_path / "m"), multi_line=True).first()["unit"] == "x\ny"
+
+
 def test_csv_order_follows_the_file(spark, tmp_path):
     path = tmp_path / "h.csv"
     path.write_text("date,symbol,close\n" + "".join(
