@@ -72,7 +72,8 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     active = active_symbols(catalog if scope == "catalog" else wanted)
     small = fits_broadcast(catalog)
 
-    new = fetch(wanted, landing, run_at, floor, small=small)
+    new = fetch(wanted, landing, run_at, floor, small=small,
+                keep=lambda df, name: store.stage(df, name, version)[0])
     fetched, n_fetched = store.stage(new.observations, "fetched", version)
     _, n_rejected = store.stage(new.rejects, "rejects", version)
     old = store.read(held)

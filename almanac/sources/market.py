@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,10 +18,15 @@ from almanac.operators.joins import fits_broadcast, lookup_join
 from almanac.schemas import MIN_DATE
 from almanac.sources import catalog as C
 from almanac.sources.ohlcv import ohlcv_values
-from almanac.sources.pages import labelled_hits, page_rows, period_hits, price_hits
+from almanac.sources.pages import (
+    labelled_hits, page_hits, period_hits, price_hits, split_hits,
+)
 from almanac.sources.series import series_values
 
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
 @dataclass(frozen=True)
 class Landing:
     """What the downloads left; a source that was not fetched is None."""
@@ -66,8 +72,8 @@ def _ohlcv(landing: Landing, catalog: DataFrame, as_of, months: int, small: bool
     return lookup_join(values, wanted, "symbol", small=small, spread=False)
 
 
-def _pages(landing: Landing, catalog: DataFrame, anchored: bool,
-           small: bool) -> tuple[DataFrame, DataFrame]:
+def _pages(landing: Landing, catalog: DataFrame, anchored: bool, small: bool,
+           keep: Keep | None) -> tuple[DataFrame, DataFrame]:
     """Every kind of page in one pass."""
     kind = F.col("source_type")
     wanted = catalog.where(kind.isin(C.PERIOD_PAGE, C.LABELLED_PAGE, C.PRICE_PAGE)).select(
@@ -86,17 +92,20 @@ def _pages(landing: Landing, catalog: DataFrame, anchored: bool,
         .when(kind == C.LABELLED_PAGE, labelled_hits())
         .otherwise(price_hits(anchored))
     )
-    good, rejects = page_rows(joined, hits)
+    rows = page_hits(joined, hits)
+    good, rejects = split_hits(rows if keep is None else keep(rows, "page_hits"))
     return flat_prices(good), rejects
 
 
 def fetch(catalog: DataFrame, landing: Landing, run_at: dt.datetime | None = None,
           floor: str = MIN_DATE, lookback_months: int = 12, anchored: bool = True,
-          small: bool | None = None) -> Fetched:
+          small: bool | None = None, keep: Keep | None = None) -> Fetched:
     """Observations of every catalog entry whose source has landed.
 
     Entries of an unknown type, and entries without a landed source, give no rows. Metadata is
-    attached after the deduplication, when a symbol has at most one row per day left.
+    attached after the deduplication, when a symbol has at most one row per day left. ``keep``
+    may write a named intermediate and return what it wrote: page hits serve both the
+    observations and the rejects, and are far smaller than the pages.
     """
     spark = catalog.sparkSession
     now = F.current_timestamp() if run_at is None else F.lit(run_at).cast("timestamp")
@@ -109,7 +118,7 @@ def fetch(catalog: DataFrame, landing: Landing, run_at: dt.datetime | None = Non
         as_of = None if run_at is None else run_at.date()
         frames.append(_ohlcv(landing, catalog, as_of, lookback_months, small))
     if landing.pages is not None:
-        from_pages, rejected = _pages(landing, catalog, anchored, small)
+        from_pages, rejected = _pages(landing, catalog, anchored, small, keep)
         frames.append(from_pages)
         rejects = rejects.unionByName(rejected)
     if not frames:

@@ -48,17 +48,22 @@ def period_hits() -> Column:
         P.period_day(line["period"]), P.token_number(line["rest"], F.col("position"))))
 
 
-def page_rows(pages: DataFrame, hits: Column) -> tuple[DataFrame, DataFrame]:
-    """Hits with date and value as rows, and the rejected pages.
-
-    A page without a value is no reject; one with a value but an unreadable month is.
-    """
+def page_hits(pages: DataFrame, hits: Column) -> DataFrame:
+    """The hits of all pages as rows; a hit without a value is none."""
     rows = pages.select("symbol", "pos", "fetched_at", F.posexplode(hits).alias("row", "_hit"))
-    rows = rows.select(
+    return rows.select(
         "symbol", "pos", "_hit.date", "_hit.close", "fetched_at",
         F.col("row").cast("bigint").alias("row"), "_hit.bad",
     ).where(F.col("close").isNotNull())
+
+
+def split_hits(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Dated hits, and the rejects: pages with a value but an unreadable month."""
     good = rows.where(~F.col("bad") & F.col("date").isNotNull()).drop("bad")
     rejects = rows.where("bad").select(
         "symbol", F.lit("pages").alias("stage"), F.lit(BAD_MONTH).alias("reason"))
     return good, rejects
+
+
+def page_rows(pages: DataFrame, hits: Column) -> tuple[DataFrame, DataFrame]:
+    return split_hits(page_hits(pages, hits))

@@ -215,11 +215,28 @@ FROM pages""",
 SELECT 'P' || CAST(p_partkey AS VARCHAR) AS symbol, {_iso(PART_MONTH)} AS date,
        p_retailprice AS open, p_retailprice AS close, CAST(NULL AS DOUBLE) AS volume
 FROM part""",
-    "labelled_value_web": """
-SELECT 'W' || CAST(page_id AS VARCHAR) AS symbol, '2024-05-01' AS date,
+    # The page's own text may hold an earlier "in <word> <year>"; if that word is no month, the
+    # page is rejected.
+    "labelled_value_web": r"""
+WITH shown AS (
+  SELECT page_id, regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'),
+                                 '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g')
+                  || ' in May 2024 ' AS text
+  FROM pages),
+found AS (
+  SELECT page_id, regexp_extract(text, 'in\s+([A-Za-z]+)\s+(\d{4})', 1) AS word,
+         regexp_extract(text, 'in\s+([A-Za-z]+)\s+(\d{4})', 2) AS year
+  FROM shown),
+dated AS (
+  SELECT page_id, year, list_position(
+    ['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'],
+    lower(left(word, 3))) AS month
+  FROM found)
+SELECT 'W' || CAST(page_id AS VARCHAR) AS symbol,
+       strftime(make_date(CAST(year AS INTEGER), month, 1), '%Y-%m-%d') AS date,
        page_id * 1000 + 0.5::DOUBLE AS open, page_id * 1000 + 0.5::DOUBLE AS close,
        CAST(NULL AS DOUBLE) AS volume
-FROM pages""",
+FROM dated WHERE month > 0""",
     "month_reference": f"""
 SELECT 'P' || CAST(p_partkey AS VARCHAR) AS symbol, {_iso(PART_MONTH)} AS month,
        false AS rejected
