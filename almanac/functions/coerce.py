@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Literals accepted as numbers. Spark's own cast also takes "1.5d", so it needs the guard.
-NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+NUMBER = r"^(?:\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*|[+-]?(?i:inf|infinity))\z"
 # Year-month-day with one separator throughout; a time part may follow.
 DAY = r"^\s*(\d{4}([-/])\d{1,2}\2\d{1,2})(?:[T ].*)?\s*$"
 

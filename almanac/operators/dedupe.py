@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     window = Window.partitionBy("_hash", *keys).orderBy(*order)
     return (
-        df.withColumn("_hash", F.xxhash64(*keys))
+        df.withColumn("_hash", F.hash(*keys))
         .withColumn("_rank", F.row_number().over(window))
         .where("_rank = 1")
         .drop("_hash", "_rank")

@@ -26,7 +26,7 @@ def latest_snapshot(df: DataFrame, name_first: bool = False,
     )
     two = (
         df.where(F.col("symbol").isNotNull())
-        .withColumn("_hash", F.xxhash64("symbol"))
+        .withColumn("_hash", F.hash("symbol"))
         .withColumn("_age", F.row_number().over(newest_first))
         .where("_age <= 2")
     )

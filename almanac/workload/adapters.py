@@ -287,14 +287,14 @@ def wide_table(spark: SparkSession, sf: str) -> DataFrame:
         items.withColumn("month", F.date_format("l_shipdate", "yyyyMM"))
         .groupBy("l_suppkey", "l_returnflag")
         .pivot("month", months)
-        .agg(F.max("l_quantity").cast("string"))
+        .agg(F.max("l_quantity"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             text("K", F.col("l_suppkey"), F.col("l_returnflag")).alias("id"),
             series.alias("name"),
             label.alias("label"),
             F.lit("unrelated").alias("note"),
-            *months,
+            *[F.col(m).cast("string").alias(m) for m in months],
             F.col("l_suppkey").alias("file_row"),
         )
     )

@@ -293,11 +293,13 @@ def _all_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, Landing]:
     part, supplier, order = F.col("p_partkey"), F.col("s_suppkey"), F.col("o_orderkey")
     customer = F.col("c_custkey")
     suppliers = A.table(spark, sf, "supplier")
+    marks = "FSPOCXU"
 
     def entries(df: DataFrame, key: Column, mark: str, kind: str, **more: Column) -> DataFrame:
         columns = {
             "symbol": A.text(mark, key), "name": A.text(kind, " ", key), "source": F.lit(kind),
-            "source_type": F.lit(kind), "pos": key, **about, **more,
+            "source_type": F.lit(kind), "pos": key * len(marks) + marks.index(mark),
+            **about, **more,
         }
         return A.catalog_rows(df, **columns)
 
@@ -312,8 +314,6 @@ def _all_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, Landing]:
                 series_ids=F.array(A.text("S", supplier), A.text("S", supplier + 1))),
         entries(suppliers, supplier, "U", "unheard of"),
     ])
-    # Positions have to be unique across the catalog; the symbol is.
-    catalog = catalog.withColumn("pos", F.xxhash64("symbol"))
     pages = H.union_sources([
         df.select("symbol", F.lit(None).cast("string").alias("url"), "html", "fetched_at")
         for df in (A.period_pages(spark, sf), A.part_pages(spark, sf),
