@@ -55,6 +55,18 @@ def upsert(existing: DataFrame, new: DataFrame, floor: str = MIN_DATE) -> DataFr
     return keep_last(both, KEY, ["_batch", "seq"]).drop("_batch", "seq")
 
 
+def replace_rows(existing: DataFrame, batch: DataFrame) -> DataFrame:
+    """The upsert of a batch whose keys fit a broadcast, without a shuffle.
+
+    Both sides are clean and unique per ``(symbol, date)`` already: ``existing`` as read from
+    the store, ``batch`` as fetched. Old rows stay where they are unless the batch has their key.
+    """
+    keys = batch.select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date"))
+    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("date") == F.col("_date"))
+    kept = existing.join(F.broadcast(keys), same, "left_anti")
+    return align(kept).unionByName(align(batch))
+
+
 def active_symbols(catalog: DataFrame) -> DataFrame:
     return catalog.select("symbol").where("symbol <> ''").distinct()
 

@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from almanac.operators.history import active_symbols, lite, name_order, upsert_active
+from almanac.operators.history import (
+    KEY, active_symbols, keep_active, lite, name_order, replace_rows, upsert_active,
+)
 from almanac.operators.joins import fits_broadcast
 from almanac.operators.snapshot import TABLE_ORDER, latest_snapshot
 from almanac.schemas import MIN_DATE
@@ -55,13 +57,15 @@ def _years(df: DataFrame) -> list[int]:
 
 def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
                 run_at: dt.datetime, refresh: str | None = None, scope: str = "catalog",
-                exports: str | None = None, floor: str = MIN_DATE, bom: bool = True) -> Row:
+                exports: str | None = None, floor: str = MIN_DATE, bom: bool = True,
+                small_batch: bool | None = None) -> Row:
     """One published run; returns its run-log row with the metrics.
 
     ``refresh`` limits what is fetched. ``scope`` says which symbols stay in the history: those
     of the whole catalog, or with ``"run"`` only the fetched cadence's. Only years that get new
-    rows or lose inactive symbols are rewritten. Single values such as the list of years are all
-    that reaches the driver.
+    rows or lose inactive symbols are rewritten. A batch whose keys fit a broadcast is merged
+    without a shuffle of the history. Single values such as the list of years are all that
+    reaches the driver.
     """
     if scope not in ("catalog", "run"):
         raise ValueError("scope is 'catalog' or 'run'")
@@ -83,8 +87,14 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     )
     years = {*_years(fetched), *[r["year"] for r in losing.collect()]}
     touched = store.read({y: e for y, e in held.items() if y in years})
-    merged = upsert_active(touched, fetched, active, floor, small)
-    written = store.write_years(merged, version, floor)
+    if small_batch is None:
+        small_batch = fits_broadcast(fetched.select(*KEY))
+    if small_batch:
+        merged = replace_rows(*(
+            keep_active(df, active, small=small, spread=False) for df in (touched, fetched)))
+    else:
+        merged = upsert_active(touched, fetched, active, floor, small)
+    written = store.write_years(merged, version, floor, clustered=not small_batch)
     held = {y: e for y, e in held.items() if y not in years} | written
 
     history = store.read(held).drop("year")

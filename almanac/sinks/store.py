@@ -88,19 +88,20 @@ class HistoryStore:
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(where)
         return self.spark.read.parquet(where), seen.get["rows"]
 
-    def write_years(self, history: DataFrame, version: int,
-                    floor: str = MIN_DATE) -> dict[int, dict[str, int]]:
-        """Observations under the version's directory, clustered by symbol inside a year.
+    def write_years(self, history: DataFrame, version: int, floor: str = MIN_DATE,
+                    clustered: bool = True) -> dict[int, dict[str, int]]:
+        """Observations under the version's directory, in symbol order inside every file.
 
+        ``clustered`` also brings the rows of a symbol together across files; without it every
+        task writes the rows it has, which keeps files that were clustered before as they are.
         Returns the log entries of the years that have rows, counted on what was written.
         """
         keys = ["year", "symbol", "date"]
         rows = align(history).withColumn("year", F.year("date"))
         where = self._at("history", f"version={version}")
-        (
-            rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-            .write.mode("overwrite").partitionBy("year").parquet(where)
-        )
+        if clustered:
+            rows = rows.repartitionByRange(*keys)
+        rows.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("year").parquet(where)
         written = self.spark.read.schema(rows.schema).parquet(where)
         is_lite = (
             F.col("indicator_name").isNotNull() & F.col("close").isNotNull()

@@ -5,6 +5,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from almanac.operators.enrich import align
+from almanac.operators.history import replace_rows, upsert
 from almanac.plans.refresh import refresh_frames, refresh_run, run_metrics
 from almanac.schemas import LITE_COLUMNS, OBSERVATION_COLUMNS
 from almanac.sinks.csv import write_segments
@@ -124,16 +125,18 @@ def current(spark, path):
     return store.read(store.years(store.last_run()))
 
 
-def test_refresh_run_publishes_versions(spark, catalog, tmp_path):
+@pytest.mark.parametrize("small_batch", [True, False])
+def test_refresh_run_publishes_versions(spark, catalog, tmp_path, small_batch):
     store = tmp_path / "store"
-    log = run(spark, store, catalog, landing(spark, SERIES, PAGES, OHLCV))
+    log = run(spark, store, catalog, landing(spark, SERIES, PAGES, OHLCV), small_batch=small_batch)
     assert log["version"] == 1
     assert log["metrics"] == {"fetched": 12, "rejected": 0, "history": 12, "lite": 12, "snapshot": 5}
     assert log["segments"] == ["history_daily_2025", "history_daily_2026", "history_monthly"]
     assert values(current(spark, store), "symbol", "date", "close") == WANT
 
     update = [("S_JPY", "DATE,S_JPY\n2026-01-06,161\n2026-01-08,162\n")]
-    log = run(spark, store, catalog, landing(spark, update, at=LATER), LATER)
+    log = run(spark, store, catalog, landing(spark, update, at=LATER), LATER,
+              small_batch=small_batch)
     years = {y: e["version"] for y, e in log["years"].items()}
     assert log["version"] == 2 and years == {"2025": 1, "2026": 2}
     assert log["metrics"] == {"fetched": 2, "rejected": 0, "history": 13, "lite": 13, "snapshot": 5}
@@ -236,6 +239,18 @@ def test_large_exports_are_sorted_over_several_files(spark, tmp_path):
     assert len(keys) == 20_000 and keys == sorted(keys)
 
 
+def test_a_small_batch_moves_no_history(spark, observations):
+    old = align(observations([("A", "2026-01-01", 1.0, 1), ("A", "2026-01-02", 2.0, 1),
+                              (None, "2026-01-01", 3.0, 1), (None, "2026-01-02", 4.0, 1)]))
+    batch = align(observations([("A", "2026-01-02", 5.0, 1), (None, "2026-01-02", 6.0, 1),
+                                ("B", "2026-01-02", 7.0, 1)]))
+    merged = replace_rows(old, batch)
+    assert values(merged, "symbol", "date", "close") == values(
+        upsert(old, batch), "symbol", "date", "close")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_lazy_run(spark, observations):
     old = observations([("A", "2026-01-01", 1.0, 1), ("B", "2026-01-01", 1.0, 2)])
     new = observations([("A", "2026-01-02", 3.0, 1)])
