@@ -80,9 +80,8 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
                 keep=lambda df, name: store.stage(df, name, version)[0])
     fetched, n_fetched = store.stage(new.observations, "fetched", version)
     _, n_rejected = store.stage(new.rejects, "rejects", version)
-    old = store.read(held)
     losing = (
-        old.select("symbol", "year").distinct()
+        store.read(held, "tails").select("symbol", "year").distinct()
         .join(active, "symbol", "left_anti").select("year").distinct()
     )
     years = {*_years(fetched), *[r["year"] for r in losing.collect()]}
@@ -97,13 +96,13 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     written = store.write_years(merged, version, floor, clustered=not small_batch)
     held = {y: e for y, e in held.items() if y not in years} | written
 
-    history = store.read(held).drop("year")
+    tails = store.read(held, "tails").drop("year")
     snapshot, n_snapshot = store.stage(
-        latest_snapshot(history).where(F.col("refresh") == SNAPSHOT_REFRESH),
-        "snapshot", version)
+        latest_snapshot(tails).where(F.col("refresh") == SNAPSHOT_REFRESH), "snapshot", version)
     run = store.publish(version, run_at, refresh, held,
                         {"fetched": n_fetched, "rejected": n_rejected, "snapshot": n_snapshot})
     if exports is not None:
+        history = store.read(held).drop("year")
         rows = lite(history, floor)
         write_csv(history, f"{exports}/history", name_order(history), bom=bom)
         write_csv(rows, f"{exports}/history_lite", name_order(rows), bom=bom)

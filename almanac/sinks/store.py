@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.operators.enrich import align
+from almanac.operators.snapshot import yearly_tails
 from almanac.schemas import MIN_DATE, OBSERVATION
 
 # What the log knows of one year: the version that holds it and its row counts.
@@ -54,29 +55,30 @@ class HistoryStore:
         """Year to its log entry, as of ``run``."""
         return {} if run is None else {int(y): e.asDict() for y, e in run["years"].items()}
 
-    def read(self, years: dict[int, dict[str, int]]) -> DataFrame:
+    def read(self, years: dict[int, dict[str, int]], table: str = "history") -> DataFrame:
         """The history of these years, as a partition filter over one table.
 
-        The result keeps its ``year`` column; without years it is an empty table.
+        The result keeps its ``year`` column; without years it is an empty table. ``"tails"``
+        has the last two rows per symbol and year only.
         """
         held = {year: entry["version"] for year, entry in years.items()}
         if not held:
             return self.spark.createDataFrame(
                 [], T.StructType([*OBSERVATION.fields, T.StructField("year", T.IntegerType())]))
-        table = (
+        rows = (
             self.spark.read
             .schema(T.StructType([
                 *OBSERVATION.fields,
                 T.StructField("version", T.LongType()), T.StructField("year", T.IntegerType()),
             ]))
-            .option("basePath", self._at("history"))
-            .parquet(*[self._at("history", f"version={v}") for v in sorted(set(held.values()))])
+            .option("basePath", self._at(table))
+            .parquet(*[self._at(table, f"version={v}") for v in sorted(set(held.values()))])
         )
         current = F.lit(False)
         for version in sorted(set(held.values())):
             its_years = [y for y, v in held.items() if v == version]
             current |= (F.col("version") == version) & F.col("year").isin(its_years)
-        return table.where(current).drop("version")
+        return rows.where(current).drop("version")
 
     def stage(self, df: DataFrame, name: str, version: int) -> tuple[DataFrame, int]:
         """Write an intermediate table once and read it back, with its number of rows.
@@ -94,7 +96,8 @@ class HistoryStore:
 
         ``clustered`` also brings the rows of a symbol together across files; without it every
         task writes the rows it has, which keeps files that were clustered before as they are.
-        Returns the log entries of the years that have rows, counted on what was written.
+        The tails of these years are written beside them. Returns the log entries of the years
+        that have rows, counted on what was written.
         """
         keys = ["year", "symbol", "date"]
         rows = align(history).withColumn("year", F.year("date"))
@@ -103,6 +106,11 @@ class HistoryStore:
             rows = rows.repartitionByRange(*keys)
         rows.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("year").parquet(where)
         written = self.spark.read.schema(rows.schema).parquet(where)
+        (
+            yearly_tails(written).sortWithinPartitions("year")
+            .write.mode("overwrite").partitionBy("year")
+            .parquet(self._at("tails", f"version={version}"))
+        )
         is_lite = (
             F.col("indicator_name").isNotNull() & F.col("close").isNotNull()
             & ~F.isnan("close") & (F.col("date") >= F.lit(floor).cast("date"))

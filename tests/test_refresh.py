@@ -5,7 +5,8 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from almanac.operators.enrich import align
-from almanac.operators.history import replace_rows, upsert
+from almanac.operators.history import latest_arrivals, replace_rows, upsert
+from almanac.operators.snapshot import latest_snapshot
 from almanac.plans.refresh import refresh_frames, refresh_run, run_metrics
 from almanac.schemas import LITE_COLUMNS, OBSERVATION_COLUMNS
 from almanac.sinks.csv import write_segments
@@ -154,6 +155,19 @@ def test_refresh_run_publishes_versions(spark, catalog, tmp_path, small_batch):
     assert values(current(spark, store), "symbol", "date", "close") == sorted(want, key=repr)
 
 
+def test_tails_give_the_snapshot_of_the_history(spark, observations, tmp_path):
+    rows = [(f"S{i % 9}", f"20{20 + i % 5}-0{i % 9 + 1}-1{i % 7}", float(i * 31 % 97), 1)
+            for i in range(900)] + [("once", "2021-01-01", 1.0, 1), (None, "2021-01-01", 1.0, 1)]
+    history = align(latest_arrivals(observations(rows)))
+    store = HistoryStore(spark, str(tmp_path))
+    held = store.write_years(history, 1)
+    assert sum(e["history"] for e in held.values()) == history.count()
+    columns = ["symbol", "date", "close", "prev_close", "change", "change_pct"]
+    tails = store.read(held, "tails")
+    assert tails.groupBy("symbol", "year").count().agg(F.max("count")).first()[0] == 2
+    assert values(latest_snapshot(tails), *columns) == values(latest_snapshot(history), *columns)
+
+
 def test_an_unpublished_run_is_not_seen(spark, catalog, tmp_path):
     run(spark, tmp_path, catalog, landing(spark, SERIES))
     store = HistoryStore(spark, str(tmp_path))
