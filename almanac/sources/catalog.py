@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.schemas import CATALOG
@@ -14,8 +14,11 @@ DERIVED = "fred_derived"
 PERIOD_PAGE = "boj_main_series"
 LABELLED_PAGE = "tradingeconomics_latest"
 PRICE_PAGE = "investing_historical_latest"
+REQUIRED = ["symbol", "name", "category", "region", "source"]
 # ----------------------------------------------------------------------------
 
+KNOWN = [OHLCV, SERIES, DERIVED, PERIOD_PAGE, LABELLED_PAGE, PRICE_PAGE]
+
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Catalog rows with their position ``pos``; keys an entry lacks are NULL."""
@@ -23,6 +26,22 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("pos", F.monotonically_increasing_id())
 
 
+def missing_keys() -> Column:
+    """The keys an entry of a known type lacks, comma-separated; empty if it is complete."""
+    required = [F.when(F.col(key).isNull(), key) for key in REQUIRED]
+    series = F.when((F.col("source_type") == SERIES) & F.col("series_id").isNull(), "series_id")
+    known = F.coalesce("source_type", F.lit(OHLCV)).isin(KNOWN)
+    return F.when(known, F.concat_ws(", ", *required, series)).otherwise("")
+
+
+def complete(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Usable entries, and the rejects among the others."""
+    rejects = catalog.where(missing_keys() != "").select(
+        "symbol", F.lit("catalog").alias("stage"),
+        F.concat(F.lit("missing "), missing_keys()).alias("reason"))
+    return catalog.where(missing_keys() == ""), rejects
+
+
 def by_refresh(catalog: DataFrame, refresh: str | None) -> DataFrame:
     return catalog if refresh is None else catalog.where(F.col("refresh") == refresh)
 

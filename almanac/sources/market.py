@@ -102,16 +102,16 @@ def fetch(catalog: DataFrame, landing: Landing, run_at: dt.datetime | None = Non
           small: bool | None = None, keep: Keep | None = None) -> Fetched:
     """Observations of every catalog entry whose source has landed.
 
-    Entries of an unknown type, and entries without a landed source, give no rows. Metadata is
+    Entries of an unknown type, and entries without a landed source, give no rows; entries
+    that lack a required key are rejects. Metadata is
     attached after the deduplication, when a symbol has at most one row per day left. ``keep``
     may write a named intermediate and return what it wrote: page hits serve both the
     observations and the rejects, and are far smaller than the pages.
     """
-    spark = catalog.sparkSession
     now = F.current_timestamp() if run_at is None else F.lit(run_at).cast("timestamp")
     small = fits_broadcast(catalog) if small is None else small
     frames: list[DataFrame] = []
-    rejects = spark.createDataFrame([], "symbol string, stage string, reason string")
+    catalog, rejects = C.complete(catalog)
     if landing.series is not None:
         frames.append(_series(landing, catalog, small))
     if landing.ohlcv is not None:

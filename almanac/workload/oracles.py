@@ -124,6 +124,15 @@ QUALIFY row_number() OVER (
 
 ORACLES = {
     "latest_snapshot": SNAPSHOT + " SELECT * FROM snap",
+    "latest_snapshot_by_name": "WITH " + UNIQUE_EVENTS + f""",
+named AS (SELECT * REPLACE (symbol || '/' || CAST(seq % 3 AS VARCHAR) AS indicator_name) FROM uniq),
+ranked AS (
+  SELECT *, lag(close) OVER by_name AS prev_close, lead(close) OVER by_name IS NULL AS newest
+  FROM named WINDOW by_name AS (PARTITION BY symbol ORDER BY indicator_name, d))
+SELECT {_iso('d')} AS date, symbol, indicator_name, category, region, refresh, close, prev_close,
+       close - prev_close AS change,
+       ((close - prev_close) / nullif(prev_close, 0)) * 100 AS change_pct
+FROM ranked WHERE newest""",
     "headline_topk": SNAPSHOT + f"""
 SELECT symbol, indicator_name, close, change_pct,
        {_number_text('close')} AS close_text, {_delta_text('change_pct')} AS delta_text

@@ -55,6 +55,13 @@ def snapshot_query(spark: SparkSession, sf: str) -> DataFrame:
     return _out(in_table_order(rows), *SNAPSHOT)
 
 
+def snapshot_by_name_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Symbols that change their name with the event, ordered by name before date."""
+    renamed = A.text(F.col("symbol"), "/", F.col("seq") % 3)
+    rows = _unique_events(spark, sf).withColumn("indicator_name", renamed)
+    return _out(latest_snapshot(rows, name_first=True), *SNAPSHOT)
+
+
 def headline_query(spark: SparkSession, sf: str) -> DataFrame:
     return D.headline(D.latest_rows(_unique_events(spark, sf), D.Selection()))
 
@@ -389,6 +396,7 @@ def store_query(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "latest_snapshot": snapshot_query,
+    "latest_snapshot_by_name": snapshot_by_name_query,
     "headline_topk": headline_query,
     "dedupe_keep_last": dedupe_last_query,
     "dedupe_keep_first": dedupe_first_query,

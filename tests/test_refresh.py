@@ -103,6 +103,19 @@ def test_a_page_is_rejected_alone(spark, catalog, small):
     assert values(got.rejects, "symbol", "stage") == [("PMI", "pages")]
 
 
+def test_incomplete_entries_are_rejected(spark, catalog):
+    broken = catalog.withColumns({
+        "region": F.when(F.col("symbol") != "EUR", F.col("region")),
+        "series_id": F.when(F.col("symbol") != "JPY", F.col("series_id")),
+        "name": F.when(~F.col("symbol").isin("EUR", "ODD"), F.col("name")),
+    })
+    got = fetch(broken, landing(spark, SERIES, PAGES, OHLCV), RUN_AT)
+    assert values(got.rejects, "symbol", "stage", "reason") == [
+        ("EUR", "catalog", "missing name, region"), ("JPY", "catalog", "missing series_id")]
+    assert values(got.observations, "symbol", "date", "close") == [
+        w for w in WANT if w[0] not in ("EUR", "JPY")]
+
+
 def test_the_later_catalog_entry_and_the_later_fetch_win(spark, catalog):
     twice = catalog.unionByName(
         catalog.where("symbol = 'JPY'").withColumns({
