@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from almanac.functions.coerce import _col, clean_number, empty_to_null, to_number
+from almanac.functions.coerce import _col, clean_number, to_number
 
 # --- fixed values -----------------------------------------------------------
 TAG = r"<[^>]+>"
@@ -66,10 +66,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _first(text: Column, pattern: str, group: int = 1) -> Column:
-    return empty_to_null(F.regexp_extract(text, pattern, group))
-
-
 def labelled_value(text: Column | str, label: Column | str) -> Column:
     """Number after ``label … <verb phrase>``, else after ``label | Price |``."""
     text, label = _col(text), _col(label)
@@ -79,21 +75,18 @@ def labelled_value(text: Column | str, label: Column | str) -> Column:
     # gap to the verb may hold anything; so search once, behind the first occurrence.
     def behind_label(low: Column) -> Column:
         return let(F.instr(low, F.lower(label)), lambda at: F.when(
-            at > 0, _first(F.substr(low, at + F.length(F.lower(label))), by_verb)))
+            at > 0,
+            F.regexp_extract(F.substr(low, at + F.length(F.lower(label))), by_verb, 1)))
 
     literal = F.replace(label, F.lit(r"\E"), F.lit(r"\E\\E\Q"))
-    by_price = empty_to_null(F.call_function(
+    by_price = F.call_function(
         "regexp_extract",
         text,
         F.concat(F.lit(r"(?ius)\Q"), literal, F.lit(r"\E\s+[|-]\s+Price\s+[|-].*?" + AMOUNT)),
         F.lit(1),
-    ))
-    return clean_number(F.coalesce(let(F.lower(text), behind_label), by_price))
-
-
-def _month_number(word: Column, names: list[str]) -> Column:
-    """1-based month of a lower-case name, 0 if it is none, NULL for NULL."""
-    return F.array_position(F.array(*[F.lit(n) for n in names]), word)
+    )
+    # No match is an empty string, which is no number.
+    return F.coalesce(clean_number(let(F.lower(text), behind_label)), clean_number(by_price))
 
 
 def month_reference(text: Column | str) -> Column:
@@ -102,11 +95,12 @@ def month_reference(text: Column | str) -> Column:
     Both are NULL and false where the text has no such phrase.
     """
     pattern = r"(?U)" + MONTH_REFERENCE
+    names = F.array(*[F.lit(m[:3]) for m in MONTHS])
 
     def read(found: Column) -> Column:
         word = F.lower(F.left(F.regexp_extract(found, pattern, 1), F.lit(3)))
         year = _ascii_digits(F.regexp_extract(found, pattern, 2))
-        return let(_month_number(word, [m[:3] for m in MONTHS]), lambda month: F.struct(
+        return let(F.array_position(names, word), lambda month: F.struct(
             F.when(month > 0, F.concat_ws("-", year, month, F.lit("1")).try_cast("date"))
             .alias("day"),
             ((found != "") & (month == 0)).alias("bad"),
@@ -116,14 +110,15 @@ def month_reference(text: Column | str) -> Column:
 
 
 def _named_day(cell: Column) -> Column:
-    """``May 15, 2026``: the month in full or as three letters, in any case."""
-    word = F.lower(F.regexp_extract(cell, r"^([A-Za-z]+)", 1))
-    month = F.greatest(
-        _month_number(word, [m[:3] for m in MONTHS]), _month_number(word, MONTHS))
-    day = F.regexp_extract(cell, r"(\d{1,2}),", 1)
-    year = F.regexp_extract(cell, r"(\d{4})$", 1)
-    return let(month, lambda m: F.when(
-        m > 0, F.concat_ws("-", year, m, day).try_cast("date")))
+    """``May 15, 2026``: the month as three letters or in full, in any case."""
+    names = F.array(*[F.lit(m[:3]) for m in MONTHS], *[F.lit(m) for m in MONTHS])
+
+    def read(parts: Column) -> Column:
+        word, day, year = (F.get(parts, F.lit(i)) for i in range(3))
+        return let(F.array_position(names, F.lower(word)), lambda at: F.when(
+            at > 0, F.concat_ws("-", year, (at - 1) % len(MONTHS) + 1, day).try_cast("date")))
+
+    return let(F.split(cell, r",?\s+"), read)
 
 
 def price_row(text: Column | str, anchored: bool = True) -> Column:
@@ -135,20 +130,24 @@ def price_row(text: Column | str, anchored: bool = True) -> Column:
     year.
     """
     text = _col(text)
-    row = F.regexp_extract(text, rf"(?is){TABLE_HEAD}{TABLE_RULE}({DAY_CELL}\s*\|[^|]*\|?)", 1)
-    after_span = _first(text, rf"(?is){DAILY_SPAN}({DAY_CELL})")
+
+    def match(where: Column, pattern: str) -> Column:
+        return F.regexp_extract(where, pattern, 1)
+
+    row = match(text, rf"(?is){TABLE_HEAD}{TABLE_RULE}({DAY_CELL}\s*\|[^|]*\|?)")
+    after_span = match(text, rf"(?is){DAILY_SPAN}({DAY_CELL})")
     lead = rf"{DAY_CELL}\s*\|\s*" if anchored else ""
-    loose = _first(text, rf"(?is)Historical Data.*?{TABLE_HEAD}{lead}{AMOUNT}")
-    first_number = _first(text, rf"(?is){TABLE_HEAD}{TABLE_RULE}{AMOUNT}\s*\|")
+    loose = clean_number(match(text, rf"(?is)Historical Data.*?{TABLE_HEAD}{lead}{AMOUNT}"))
+    first_number = clean_number(match(text, rf"(?is){TABLE_HEAD}{TABLE_RULE}{AMOUNT}\s*\|"))
 
     def read(found: Column) -> Column:
-        day = F.coalesce(
-            _named_day(_first(found, rf"({DAY_CELL})")), let(after_span, _named_day))
+        day = F.coalesce(_named_day(match(found, rf"({DAY_CELL})")), _named_day(after_span))
         if anchored:
-            value = F.when(found != "", _first(found, rf"\|\s*{AMOUNT}\s*\|$")).otherwise(loose)
+            behind = clean_number(match(found, rf"\|\s*{AMOUNT}\s*\|$"))
+            value = F.when(found != "", behind).otherwise(loose)
         else:
             value = F.coalesce(first_number, loose)
-        return F.struct(day.alias("day"), clean_number(value).alias("value"))
+        return F.struct(day.alias("day"), value.alias("value"))
 
     return let(row, read)
 
@@ -172,7 +171,6 @@ def period_day(period: Column | str) -> Column:
 
 def token_number(rest: Column | str, position: Column | str) -> Column:
     """The number at a 1-based whitespace token; NULL if missing, ``ND`` or no number."""
-    tokens = F.split(F.regexp_replace(_col(rest), SPACES, " "), " ")
-    tokens = F.filter(tokens, lambda t: t != "")
-    token = F.get(tokens, _col(position) - 1)
-    return F.when(token != NO_DATA, to_number(token))
+    tokens = F.filter(F.split(_col(rest), SPACES), lambda t: t != "")
+    return let(F.get(tokens, _col(position) - 1), lambda token: F.when(
+        token != NO_DATA, to_number(token)))

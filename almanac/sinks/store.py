@@ -3,7 +3,8 @@
 A run writes only the years it changes, under its own version directory, and then appends one
 row to the run log saying which version holds each year. Readers follow the newest log row, so
 they never see a half-written run, no file is overwritten while it is read, and unchanged years
-are neither read nor written.
+are neither read nor written. One run at a time writes to a store; a run that failed is simply
+repeated under the same version.
 """
 
 from __future__ import annotations
