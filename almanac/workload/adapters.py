@@ -117,7 +117,7 @@ def part_month() -> Column:
     return F.element_at(names, F.col("p_size") % 12 + 1)
 
 
-def part_pages(spark: SparkSession, sf: str) -> DataFrame:
+def part_pages(spark: SparkSession, sf: str, lead: Column | str = "") -> DataFrame:
     """A page per part that states its price behind a label, in one of two wordings."""
     price = F.format_number("p_retailprice", 2)
     label = text("Retail price of part ", F.col("p_partkey"))
@@ -131,7 +131,7 @@ def part_pages(spark: SparkSession, sf: str) -> DataFrame:
         text("P", F.col("p_partkey")).alias("symbol"),
         F.col("p_partkey").alias("pos"),
         F.lit(None).cast("string").alias("url"),
-        F.when(F.col("p_type") == "ECONOMY", piped).otherwise(spoken).alias("html"),
+        text(lead, F.when(F.col("p_type") == "ECONOMY", piped).otherwise(spoken)).alias("html"),
         label.alias("label"),
         F.lit("2024-06-30").cast("timestamp").alias("fetched_at"),
     )

@@ -246,6 +246,13 @@ SELECT 'W' || CAST(page_id AS VARCHAR) AS symbol,
        page_id * 1000 + 0.5::DOUBLE AS open, page_id * 1000 + 0.5::DOUBLE AS close,
        CAST(NULL AS DOUBLE) AS volume
 FROM dated WHERE month > 0""",
+    "page_rejects": """
+SELECT 'P' || CAST(p_partkey AS VARCHAR) AS symbol, 'pages' AS stage,
+       'month reference is not a month' AS reason
+FROM part WHERE p_type = 'PROMO'
+  AND NOT list_contains(
+    ['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'],
+    lower(left(p_name, 3)))""",
     "month_reference": f"""
 SELECT 'P' || CAST(p_partkey AS VARCHAR) AS symbol, {_iso(PART_MONTH)} AS month,
        false AS rejected

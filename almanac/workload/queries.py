@@ -170,6 +170,13 @@ def web_labelled_query(spark: SparkSession, sf: str) -> DataFrame:
     return _one_value(page_rows(A.web_pages(spark, sf), labelled_hits())[0])
 
 
+def page_rejects_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Part pages whose first ``in <word> <year>`` names a colour or size instead of a month."""
+    word = F.split("p_name", " ")[0]
+    early = F.when(F.col("p_type") == "PROMO", A.text("<i>in ", word, " 2023</i> ")).otherwise("")
+    return page_rows(A.part_pages(spark, sf, early), labelled_hits())[1]
+
+
 def month_query(spark: SparkSession, sf: str) -> DataFrame:
     found = P.month_reference(P.page_text("html"))
     rows = A.part_pages(spark, sf).select("symbol", F.inline(F.array(found)))
@@ -414,6 +421,7 @@ QUERIES = {
     "page_text": page_text_query,
     "labelled_value": labelled_query,
     "labelled_value_web": web_labelled_query,
+    "page_rejects": page_rejects_query,
     "month_reference": month_query,
     "period_table": period_query,
     "price_table": price_table_query,
