@@ -29,6 +29,7 @@ MONTH_NAME = r"^\d{6}$"
 # ----------------------------------------------------------------------------
 
 IDS = ["code", "series_name", "label_raw"]
+LABELS = ["indicator_name", "classification1", "classification2"]
 # The close comes last in the order, so that equal labels of a month can be split over tasks.
 INDEX_ORDER = ["indicator_name", "date", "classification1", "classification2", "close"]
 # What makes two long rows copies of each other.
@@ -50,6 +51,14 @@ def short_name(names: dict[str, str] = TARGET_SERIES) -> Column:
     return F.element_at(F.create_map(*pairs), F.col("series_name"))
 
 
+def with_labels(df: DataFrame, names: dict[str, str] = TARGET_SERIES) -> DataFrame:
+    """Short name and label levels, taken once per wide row instead of once per cell."""
+    level1, level2 = classification("label_raw")
+    return df.withColumns({
+        "indicator_name": short_name(names), "classification1": level1, "classification2": level2,
+    })
+
+
 def month_columns(df: DataFrame) -> list[str]:
     found = [c for c in df.columns if re.fullmatch(MONTH_NAME, c)]
     if not found:
@@ -62,8 +71,13 @@ def melt_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.unpivot(IDS + list(keep), month_columns(df), "yyyymm", "close")
 
 
-def melt_cells(rows: DataFrame) -> DataFrame:
-    """The same for archive rows, whose month columns differ from file to file.
+def name_cells(rows: DataFrame) -> DataFrame:
+    """The first three cells of archive rows as ``code``, ``series_name``, ``label_raw``."""
+    return rows.withColumns({name: F.get("cells", F.lit(i)) for i, name in enumerate(IDS)})
+
+
+def melt_cells(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Month cells of archive rows, whose month columns differ from file to file.
 
     ``rows`` holds ``header`` and ``cells`` arrays; the months are picked per row, so no
     schema has to be found out up front.
@@ -76,26 +90,15 @@ def melt_cells(rows: DataFrame) -> DataFrame:
         ),
         lambda c: c["yyyymm"].rlike(MONTH_NAME),
     )
-    return rows.select(
-        "path", "row",
-        *[F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(IDS)],
-        F.inline(months),
-    )
+    return rows.select(*IDS, *keep, F.inline(months))
 
 
-def tidy_index(long: DataFrame, order: list[str], names: dict[str, str] = TARGET_SERIES,
-               strict_months: bool = True) -> DataFrame:
-    """Numbers, dates, labels and constants on long cells, then the first of all copies."""
-    level1, level2 = classification("label_raw")
+def tidy_index(long: DataFrame, order: list[str], strict_months: bool = True) -> DataFrame:
+    """Numbers, dates and constants on labelled long cells, then the first of all copies."""
     rows = long.withColumn("close", to_number("close")).dropna(subset=["close"])
     rows = rows.withColumn("date", month_start("yyyymm", strict_months))
     if not strict_months:
         rows = rows.dropna(subset=["date"])
-    rows = rows.withColumns({
-        "indicator_name": short_name(names),
-        "classification1": level1,
-        "classification2": level2,
-    })
     rows = with_constants(rows, INDEX_CONSTANTS)
     return keep_first(rows, COPY_KEY, order).select(*INDEX_COLUMNS)
 

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from almanac.operators.wide import (
-    TARGET_SERIES, in_index_order, melt_cells, melt_columns, name_ids, target_rows, tidy_index,
+    LABELS, TARGET_SERIES, in_index_order, melt_cells, melt_columns, name_cells, name_ids,
+    target_rows, tidy_index, with_labels,
 )
 from almanac.sinks.csv import EXPORT_YEARS, write_index, write_yearly
 from almanac.sources.archives import archive_rejects, read_archives
@@ -23,15 +24,16 @@ class IndexRun:
 def index_from_archives(rows: DataFrame, names: dict[str, str] = TARGET_SERIES,
                         strict_months: bool = True) -> DataFrame:
     """Tidy rows out of archive records; of copies the first in path and file order stays."""
-    long = melt_cells(rows.where("error is null"))
-    return tidy_index(target_rows(long, names), ["path", "row"], names, strict_months)
+    order = ["path", "row"]
+    rows = with_labels(target_rows(name_cells(rows.where("error is null")), names), names)
+    return tidy_index(melt_cells(rows, (*order, *LABELS)), order, strict_months)
 
 
 def index_from_table(wide: DataFrame, order: list[str], names: dict[str, str] = TARGET_SERIES,
                      strict_months: bool = True) -> DataFrame:
     """The same for a wide frame; ``order`` names the columns that give the row order."""
-    wide = target_rows(name_ids(wide, tuple(order)), names)
-    return tidy_index(melt_columns(wide, tuple(order)), order, names, strict_months)
+    wide = with_labels(target_rows(name_ids(wide, tuple(order)), names), names)
+    return tidy_index(melt_columns(wide, (*order, *LABELS)), order, strict_months)
 
 
 def ingest_archives(spark: SparkSession, archives: str, out: str, bom: bool = True,
