@@ -3,6 +3,7 @@ import pytest
 from check import TABLES, canonical
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from almanac.workload.scratch import scratch_dir
 
 
 @pytest.fixture(scope="module")
@@ -32,3 +33,15 @@ def test_query_equals_sql(spark, tables, name):
 def test_entry(spark):
     rows = entry(spark).collect()
     assert len(rows) == 4 and rows[0]["change_pct"] >= rows[-1]["change_pct"]
+
+
+def test_scratch_folder_is_shared_on_a_cluster():
+    class Session:
+        def __init__(self, master, shared=None):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: shared)})
+
+    assert scratch_dir(Session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
+    assert scratch_dir(Session("local[2]"), "x") != scratch_dir(Session("local[2]"), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session("yarn"), "x")
