@@ -96,7 +96,24 @@ JOIN filled f ON s.source IS NOT DISTINCT FROM f.source AND s.place = f.place
   AND s.doc_id IS NOT DISTINCT FROM f.doc_id AND s.size = f.size
 """
 
+TOP_K = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+queries AS (SELECT DISTINCT vec_id AS query_id, v AS q FROM vectors WHERE vec_id % 50 = 0),
+scored AS (
+  SELECT query_id, vec_id, list_inner_product(q, v)::BIGINT AS score
+  FROM queries JOIN vectors ON vec_id <> query_id AND len(q) = len(v)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 ORACLES = {
     "op5_url_reputation": URL_REPUTATION,
+    "op8_top_k": TOP_K,
     "op9_source_mix": MIX,
 }

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm.byte_bpe import encode_documents
+from almanac.llm.cotraining import score_documents, train
 from almanac.llm.mixing import mix_documents
+from almanac.llm.mtree import top_k
 from almanac.llm.token_cache import token_counts
 from almanac.llm.url_reputation import judge_pages
 
@@ -41,9 +43,21 @@ def mixing_query(spark: SparkSession, sf: str) -> DataFrame:
     return mix_documents(_table(spark, sf, "documents"))
 
 
+def top_k_query(spark: SparkSession, sf: str) -> DataFrame:
+    return top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def quality_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    model = train(docs, _table(spark, sf, "labels").select("doc_id", "quality"))
+    return score_documents(docs, model)
+
+
 QUERIES = {
     "op2_token_counts": token_counts_query,
     "op5_url_reputation": url_reputation_query,
     "op7_byte_bpe": byte_bpe_query,
+    "op8_top_k": top_k_query,
     "op9_source_mix": mixing_query,
+    "op10_quality": quality_query,
 }
