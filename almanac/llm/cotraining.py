@@ -28,7 +28,7 @@ from almanac.session import ship_package
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ROWS_AT_ONCE = 256
 _SYMBOLS = re.compile(r"[^\w\s.,;:'’\"()?-]+")
-_DIGITS = re.compile(r"\d+")
+_DIGIT = re.compile(r"\d")
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,11 @@ class CoTraining:
 
 
 def text_features(text: str) -> list[float]:
+    """Words with digits are left out: numbers and addresses say nothing about the prose."""
     words = text.split()
+    if _DIGIT.search(text):
+        words = [word for word in words if not _DIGIT.search(word)]
+        text = " ".join(words)
     n, chars = max(1, len(words)), max(1, len(text))
     return [
         np.log1p(len(words)),
@@ -56,7 +60,6 @@ def text_features(text: str) -> list[float]:
         sum(map(str.isalpha, words)) / n,
         len(text) / n,
         sum(map(len, _SYMBOLS.findall(text))) / chars,
-        sum(map(len, _DIGITS.findall(text))) / chars,
         *[text.count(mark) / chars for mark in PUNCTUATION],
     ]
 

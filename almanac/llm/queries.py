@@ -10,9 +10,11 @@ from almanac.llm.byte_bpe import encode_documents
 from almanac.llm.cotraining import score_documents, train
 from almanac.llm.mixing import mix_documents
 from almanac.llm.mtree import top_k
+from almanac.llm.pii_surrogates import replace_pii
 from almanac.llm.token_cache import token_counts
 from almanac.llm.url_reputation import judge_pages
 
+PII_KEY = b"surrogates-1"
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
              ("allow", "org/fr/"))
 
@@ -21,6 +23,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def pii_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return replace_pii(docs, PII_KEY, count="n_replaced")
+
+
 def token_counts_query(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_table(spark, sf, "documents"),
                         public_tokenizers.path("piece_bpe_32k.model"))
@@ -54,6 +61,7 @@ def quality_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_surrogates": pii_query,
     "op2_token_counts": token_counts_query,
     "op5_url_reputation": url_reputation_query,
     "op7_byte_bpe": byte_bpe_query,
