@@ -114,18 +114,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) ->
 
 
 class View:
-    """A classifier over quantile bins of each feature."""
+    """A classifier over bins of each feature, at quantiles of the rows and of the values."""
 
     def __init__(self, sample: np.ndarray, by: CoTraining):
         cuts = np.linspace(0, 1, by.bins + 1)[1:-1]
-        self.edges = [np.unique(np.quantile(column, cuts)) for column in sample.T]
+        self.edges = [  # of the values too, as most documents have 0 of some
+            np.unique(np.concatenate([np.quantile(x, cuts) for x in (column, np.unique(column))]))
+            for column in sample.T]
         self.starts = np.cumsum([0, *(len(e) + 1 for e in self.edges)])
         self.ridge = by.ridge
         self.beta = np.zeros(self.starts[-1] + 1)
         self.scale, self.shift = 1.0, 0.0
 
     def _bins(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([start + np.searchsorted(edges, column, side="right")
+        return np.stack([start + np.searchsorted(edges, column, side="left")
                          for start, edges, column in zip(self.starts, self.edges, x.T)], axis=1)
 
     def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:

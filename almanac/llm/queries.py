@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from almanac.llm.byte_bpe import encode_documents
 from almanac.llm.cotraining import score_documents, train
+from almanac.llm.minhash import near_duplicate_classes
 from almanac.llm.mixing import mix_documents
 from almanac.llm.mtree import top_k
 from almanac.llm.pii_surrogates import replace_pii
@@ -33,6 +34,10 @@ def token_counts_query(spark: SparkSession, sf: str) -> DataFrame:
                         public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def near_duplicates_query(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicate_classes(_table(spark, sf, "documents"))
+
+
 def url_reputation_query(spark: SparkSession, sf: str) -> DataFrame:
     """The quality label whose id is the page's stands for the page's outcome."""
     labels = _table(spark, sf, "labels").select(
@@ -63,6 +68,7 @@ def quality_query(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_pii_surrogates": pii_query,
     "op2_token_counts": token_counts_query,
+    "op4_near_duplicates": near_duplicates_query,
     "op5_url_reputation": url_reputation_query,
     "op7_byte_bpe": byte_bpe_query,
     "op8_top_k": top_k_query,
