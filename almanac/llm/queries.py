@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.llm import cotraining, toxicity
 from almanac.llm.byte_bpe import encode_documents
-from almanac.llm.cotraining import score_documents, train
 from almanac.llm.minhash import near_duplicate_classes
 from almanac.llm.mixing import mix_documents
 from almanac.llm.mtree import top_k
@@ -34,6 +34,12 @@ def token_counts_query(spark: SparkSession, sf: str) -> DataFrame:
                         public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def toxicity_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    model = toxicity.train(docs, _table(spark, sf, "labels").select("doc_id", "toxic"))
+    return toxicity.score_documents(docs, model)
+
+
 def near_duplicates_query(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicate_classes(_table(spark, sf, "documents"))
 
@@ -61,13 +67,14 @@ def top_k_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def quality_query(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
-    model = train(docs, _table(spark, sf, "labels").select("doc_id", "quality"))
-    return score_documents(docs, model)
+    model = cotraining.train(docs, _table(spark, sf, "labels").select("doc_id", "quality"))
+    return cotraining.score_documents(docs, model)
 
 
 QUERIES = {
     "op1_pii_surrogates": pii_query,
     "op2_token_counts": token_counts_query,
+    "op3_toxicity": toxicity_query,
     "op4_near_duplicates": near_duplicates_query,
     "op5_url_reputation": url_reputation_query,
     "op7_byte_bpe": byte_bpe_query,
