@@ -102,12 +102,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) ->
     beta = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
-    for _ in range(12):
+    for _ in range(25):
         p = _sigmoid(x @ beta)
         slope = x.T @ (weight * (p - y)) + penalty * beta
         curve = (x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(curve, slope)
-        beta -= step
+        beta -= step / max(1.0, np.abs(step).max() / 2)  # far steps overshoot
         if np.abs(step).max() < 1e-6:
             break
     return beta
@@ -141,7 +141,7 @@ class View:
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         raw = np.stack([self.logit(x), np.ones(len(x))], axis=1)
-        self.scale, self.shift = _logistic(raw, y, np.ones(len(y)), 1e-2)
+        self.scale, self.shift = _logistic(raw, y, np.ones(len(y)), 0.5)
 
     def calibrated(self, x: np.ndarray) -> np.ndarray:
         return self.scale * self.logit(x) + self.shift
@@ -201,7 +201,7 @@ def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, held: np.nda
         views[name].calibrate(x[held], label[held])
     both = np.stack([views["text"].calibrated(text), views["meta"].calibrated(meta),
                      np.ones(len(text))], axis=1)
-    combined = _logistic(both[held], label[held], np.ones(held.sum()), 1e-1)
+    combined = _logistic(both[held], label[held], np.ones(held.sum()), 0.5)
     return QualityModel(views["text"], views["meta"], combined)
 
 

@@ -272,12 +272,14 @@ def _calibrate(model: ToxicModel, texts: list[list[str]], toxic: np.ndarray,
     parts = [model.document_logits(texts[i:i + 256]) for i in range(0, len(texts), 256)]
     highest, windows = (np.concatenate(x) for x in zip(*parts))
     x = np.stack([highest, np.log(windows), np.ones(len(texts))], axis=1).astype(float)
-    beta = np.array([1.0, 0.0, 0.0])
-    for _ in range(30):
+    weight = weight / weight.mean()
+    beta = start = np.array([1.0, 0.0, 0.0])
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (weight * (p - toxic)) + 0.05 * (beta - [1.0, 0.0, 0.0])
-        curve = (x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + 0.05 * np.eye(3)
-        beta -= np.linalg.solve(curve, slope)
+        slope = x.T @ (weight * (p - toxic)) + beta - start
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(3)
+        step = np.linalg.solve(curve, slope)
+        beta = beta - step / max(1.0, np.abs(step).max())  # far steps overshoot
     model.calibration = beta
     model.forget()
 
