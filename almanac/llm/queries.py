@@ -12,6 +12,7 @@ from almanac.llm.minhash import near_duplicate_classes
 from almanac.llm.mixing import mix_documents
 from almanac.llm.mtree import top_k
 from almanac.llm.pii_surrogates import replace_pii
+from almanac.llm.syncmers import fingerprint_documents
 from almanac.llm.token_cache import token_counts
 from almanac.llm.url_reputation import judge_pages
 
@@ -51,6 +52,10 @@ def url_reputation_query(spark: SparkSession, sf: str) -> DataFrame:
     return judge_pages(_table(spark, sf, "pages"), labels, URL_RULES)
 
 
+def fingerprints_query(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint_documents(_table(spark, sf, "documents"))
+
+
 def byte_bpe_query(spark: SparkSession, sf: str) -> DataFrame:
     return encode_documents(
         _table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -77,6 +82,7 @@ QUERIES = {
     "op3_toxicity": toxicity_query,
     "op4_near_duplicates": near_duplicates_query,
     "op5_url_reputation": url_reputation_query,
+    "op6_fingerprints": fingerprints_query,
     "op7_byte_bpe": byte_bpe_query,
     "op8_top_k": top_k_query,
     "op9_source_mix": mixing_query,
