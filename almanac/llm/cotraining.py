@@ -276,6 +276,7 @@ def score_documents(docs: DataFrame, model, by: CoTraining = CoTraining()) -> Da
 def keep_good(docs: DataFrame, model, by: CoTraining = CoTraining()) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with the same columns."""
     ship_package(docs.sparkSession)
+    columns = docs.columns
     names = [unused(docs, f"quality_{c}") for c in ("text", "lang", "source", "n_chars")]
     wide = docs.select("*", *[c.alias(n) for c, n in zip(_columns(docs), names)])
 
@@ -286,6 +287,6 @@ def keep_good(docs: DataFrame, model, by: CoTraining = CoTraining()) -> DataFram
                 seen = pa.RecordBatch.from_arrays(
                     [part.column(n) for n in names], ["text", "lang", "source", "n_chars"])
                 good = model.score(*features(seen)) >= by.threshold
-                yield part.select(docs.columns).filter(pa.array(good))
+                yield part.select(columns).filter(pa.array(good))
 
     return wide.mapInArrow(run, docs.schema)
