@@ -3,7 +3,8 @@
 A closed syncmer is a k-mer of characters whose least inner s-mer, by hash, is its first or last
 one. Whether a k-mer is one depends on nothing else, so that equal passages have equal anchors
 wherever they stand, and any ``k - s + 1`` neighbouring k-mers have one. At the end of a text
-the k-mers are cut off, so that a text of any length but 0 has an anchor.
+the k-mers are cut off and start with their least s-mer, so that a text of any length but 0 has an
+anchor.
 
 A fingerprint lists the anchors as ``place:hash`` in hexadecimal. The likeness of two fingerprints is
 the Jaccard similarity of their hashes; ``shared_anchors`` gives their places.
@@ -48,16 +49,16 @@ def anchors(chars: Column, offset: Column | int = 0) -> Column:
     def joined(a: Column, b: Column) -> Column:
         return F.xxhash64(a, b)
 
+    def least_of(by: int):
+        return lambda m: _paired(m, by, lambda a, b: F.least(a, b))
+
     def selected(smers: Column) -> Column:
         def anchor(least: Column, i: Column) -> Column:
-            last = F.get(smers, F.least(i + (WIDTH - 1), F.size(smers) - 1))
+            last = F.get(smers, i + (WIDTH - 1))  # null behind the end
             mer = F.xxhash64(*[F.get(smers, i + at) for at in (*range(0, WIDTH, S), WIDTH - 1)])
-            mer = mer.bitwiseAND(F.lit(0xFFFFFFFF))
             return F.when((least == F.get(smers, i)) | (least == last), F.struct(
-                (i + offset).cast("int").alias("place"), mer.alias("hash")))
-
-        def least_of(by: int):
-            return lambda m: _paired(m, by, lambda a, b: F.least(a, b))
+                (i + offset).cast("int").alias("place"),
+                mer.bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash")))
 
         minima = _chain(smers, *[least_of(1 << step) for step in range(WIDTH.bit_length() - 1)])
         return let(minima, lambda m: F.array_compact(F.transform(m, anchor)))
@@ -72,9 +73,9 @@ def fingerprint(found: Column) -> Column:
 
 
 def likeness(one: Column, two: Column) -> Column:
-    """Jaccard similarity of two arrays of hashes; two empty ones are alike."""
-    return F.when((F.size(one) == 0) & (F.size(two) == 0), 1.0).otherwise(
-        F.size(F.array_intersect(one, two)) / F.size(F.array_union(one, two)))
+    """Jaccard similarity of two arrays of distinct hashes; two empty ones are alike."""
+    return let(F.size(F.array_intersect(one, two)), lambda both: F.coalesce(
+        both / F.nullif(F.size(one) + F.size(two) - both, F.lit(0)), F.lit(1.0)))
 
 
 def shared_anchors(one: Column, two: Column) -> Column:
@@ -91,14 +92,27 @@ def shared_anchors(one: Column, two: Column) -> Column:
             h.alias("hash"), here[h].alias("here"), there[h].alias("there")))))
 
 
-def edited_anchors(found: Column, chars: Column, head: Column, tail: Column) -> Column:
+def edited_anchors(found: Column, of_tail: Column, text: Column, head: Column,
+                   tail: Column) -> Column:
     """Anchors after the characters behind the first ``head`` are replaced by ``tail``.
 
-    K-mers inside the head keep theirs, so only the rest is looked at.
+    ``found`` are the text's own, ``of_tail`` those of a text that starts with the tail. K-mers
+    inside the head or the tail keep theirs, so only those across the border and the cut-off ones
+    at the end are looked at.
     """
-    start = F.greatest(F.lit(0), head - (K - 1)).cast("int")
-    rest = F.concat(F.slice(chars, start + 1, F.greatest(F.lit(0), head - start)), tail)
-    return F.concat(F.filter(found, lambda a: a["place"] < start), anchors(rest, start))
+    size = F.char_length(tail)
+    start = F.greatest(F.lit(0), head - (K - 1))
+    border = F.concat(F.substring(text, start + 1, head - start),
+                      F.substring(tail, F.lit(1), F.lit(K - 1)))
+    across = anchors(characters(border), start)
+    moved = F.transform(F.filter(of_tail, lambda a: a["place"] <= size - K), lambda a: F.struct(
+        (a["place"] + head).cast("int").alias("place"), a["hash"].alias("hash")))
+    last = size - (K - 1)
+    end = anchors(characters(F.substring(tail, last + 1, F.lit(K - 1))), head + last)
+    return F.concat(
+        F.filter(found, lambda a: a["place"] < start),
+        F.when(size < K, across).otherwise(F.concat(
+            F.filter(across, lambda a: a["place"] < head), moved, end)))
 
 
 def _block_of(key: Column, bounds: list[int]) -> Column:
@@ -115,7 +129,7 @@ def _block_of(key: Column, bounds: list[int]) -> Column:
 
 
 def _with_next(docs: DataFrame) -> DataFrame:
-    """Documents with ``anchors``, ``next_text`` and ``next_hashes`` of the next one.
+    """Documents with ``next_text`` and ``next_anchors`` of the next one.
 
     Documents are dealt to as many blocks of neighbouring ids as there are shuffle partitions, in one
     shuffle of the texts. Each block also gets the first row of the block behind it.
@@ -147,7 +161,7 @@ def _with_next(docs: DataFrame) -> DataFrame:
     order = Window.partitionBy("block").orderBy("guest", F.desc("key"), F.sha2("text", 256))
     return dealt.withColumns({
         "next_text": F.lead("text").over(order),
-        "next_hashes": F.lead(F.col("anchors")["hash"]).over(order),
+        "next_anchors": F.lead("anchors").over(order),
     }).where("guest = 0")
 
 
@@ -168,13 +182,14 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     head = (F.col("n_chars") - cut).cast("int")
     edits = rows.withColumn("tail", F.substring(F.col("next_text"), F.lit(1), cut)).withColumn(
         "edited", F.concat(F.substring(F.col("text"), F.lit(1), head), "tail"))
-    chars, tail = characters(F.col("text")), characters(F.col("tail"))
-    changed = let(chars, lambda c: let(tail, lambda t: edited_anchors(
-        F.col("anchors"), c, head, t)))
-    hashes = F.col("anchors")["hash"]
-    return edits.withColumn("changed", changed).select(
+    changed = edited_anchors(F.col("anchors"), F.col("next_anchors"), F.col("text"), head,
+                             F.col("tail"))
+    hashes = {c: F.array_distinct(F.col(c)["hash"]) for c in ("anchors", "changed", "next_anchors")}
+    near = let(hashes["anchors"], lambda mine: F.struct(*[
+        let(hashes[c], lambda other: likeness(mine, other)).alias(name)
+        for c, name in (("changed", "edited"), ("next_anchors", "next"))]))
+    return edits.withColumn("changed", changed).withColumn("near", near).select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("anchors")).alias("fingerprint"),
         fingerprint(F.col("changed")).alias("edited_fingerprint"),
-        likeness(hashes, F.col("changed")["hash"]).alias("near_edited"),
-        likeness(hashes, F.col("next_hashes")).alias("near_next"))
+        F.col("near.edited").alias("near_edited"), F.col("near.next").alias("near_next"))
