@@ -159,13 +159,15 @@ def mixed_rows(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     rows = mix_documents(docs, mix, keep_text=True)
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
     rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
-    cut = F.concat(F.lit("^[\\x20\\x09-\\x0D]*(?:[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*){"),
-                   rest.cast("string"), F.lit("}"))
+    # A part is a word with the white space behind it; white space in front is one of its own.
+    parts = F.split(F.col("row.text"), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    indent = F.col("row.text").rlike(r"^[\x20\x09-\x0D]").cast("int")
+    cut = F.array_join(F.slice(parts, F.lit(1), rest.cast("int") + indent), "")
     copy, text = unused(docs, "copy"), unused(docs, "cut_text")
     copies = F.concat(F.array_repeat(F.lit(False), times.cast("int")),
                       F.array_repeat(F.lit(True), (rest > 0).cast("int")))
     out = rows.withColumn(copy, F.explode(copies)).withColumn(
-        text, F.when(F.col(copy), F.regexp_substr(F.col("row.text"), cut))
+        text, F.when(F.col(copy), cut)
         .otherwise(F.col("row.text")))
     return out.select(*[F.col(text).alias(c) if c == "text" else F.col("row")[c].alias(c)
                         for c in docs.columns])
