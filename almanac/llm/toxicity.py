@@ -36,9 +36,9 @@ GRAM = 5
 class Toxicity:
     """``toxic``, ``clean`` and ``sample_bytes`` bound the sample of labelled rows."""
 
-    toxic: int = 2500
-    clean: int = 5000
-    sample_bytes: int = 48 << 20
+    toxic: int = 1500
+    clean: int = 3000
+    sample_bytes: int = 16 << 20
     window: int = 64
     stride: int = 48
     word_chars: int = 20
@@ -227,16 +227,16 @@ def _train_chars(model: ToxicModel, words: list[str], marked: np.ndarray,
 def _train_words(model: ToxicModel, texts: list[list[str]], toxic: np.ndarray,
                  rng: np.random.Generator) -> None:
     by, optimiser = model.by, Adam()
-    vectors: dict[str, np.ndarray] = {}
     spelled = sorted({w for words in texts for w in words}, key=len)
-    for i in range(0, len(spelled), 8192):
-        part = spelled[i:i + 8192]
-        vectors.update(zip(part, model.word_vectors(part)))
-    none = np.zeros(2 * by.char_hidden + 2, np.float32)
-    evidence = {w: float(v[-2] + v[-1]) for w, v in vectors.items()}
+    row = {w: i for i, w in enumerate(spelled, 1)}
+    numbers = [np.fromiter(map(row.__getitem__, words), np.int32) for words in texts]
+    vectors = np.concatenate(  # row 0 stands for no word
+        [np.zeros((1, 2 * by.char_hidden + 2), np.float32),
+         *(model.word_vectors(spelled[i:i + 8192]) for i in range(0, len(spelled), 8192))])
+    evidence = vectors[:, -2] + vectors[:, -1]
     # The first choice of windows is by their words, later ones by the model.
-    highest = [max(window_starts(len(words), by), key=lambda s: max(
-        (evidence[w] for w in words[s:s + by.window]), default=0.0)) for words in texts]
+    highest = [max(window_starts(len(n), by), key=lambda s: evidence[n[s:s + by.window]].max(
+        initial=0.0)) for n in numbers]
     for turn in range(by.passes):
         if turn:
             model.forget()
@@ -252,11 +252,11 @@ def _train_words(model: ToxicModel, texts: list[list[str]], toxic: np.ndarray,
             y = toxic[chosen].astype(np.float32)
             starts = [highest[k] if toxic[k] or rng.random() < 0.5 else int(rng.choice(
                 window_starts(len(texts[k]), by))) for k in chosen]
-            parts = [texts[k][s:s + by.window] for k, s in zip(chosen, starts)]
-            steps = max(1, max(map(len, parts)))
-            mask = np.array([[t < len(p) for p in parts] for t in range(steps)], np.float32)
-            x = np.array([[vectors[p[t]] if t < len(p) else none for p in parts]
-                          for t in range(steps)], np.float32)
+            parts = [numbers[k][s:s + by.window] for k, s in zip(chosen, starts)]
+            at = np.zeros((max(1, max(map(len, parts))), len(parts)), np.int32)
+            for k, part in enumerate(parts):
+                at[:len(part), k] = part
+            x, mask = vectors[at], (at > 0).astype(np.float32)
             gates, keep = model.words.project(x), {}
             pooled = model.words.forward(lambda side, t: gates[side][t], mask, keep)
             error = (sigmoid(pooled @ model.head["w"] + model.head["c"]) - y) / len(y)
@@ -294,11 +294,13 @@ def fit(texts: list[str], toxic: np.ndarray, calibrating: np.ndarray, weight: np
                              for part in (learn, calibrating) for c in (False, True)) == 0:
         return ConstantModel(float(weight[toxic].sum() > weight.sum() / 2) if len(texts) else 0.0)
     rng = np.random.default_rng(by.seed)
-    words = [words_of(t, by.word_chars) for t in texts]
+    one: dict[str, str] = {}  # equal words share one object
+    words = [[one.setdefault(w, w) for w in words_of(t, by.word_chars)] for t in texts]
     mine = [w for w, part in zip(words, learn) if part]
-    bags = [{w.strip(EDGES) or w for w in ws} for ws in mine]
+    bags = [{one.setdefault(b, b) for b in (w.strip(EDGES) or w for w in ws)} for ws in mine]
     model = ToxicModel(by)
     spelled, marked, model.known = _marked_words(bags, toxic[learn])
+    del bags
     if marked.any() and not marked.all():
         _train_chars(model, spelled, marked, rng)
     _train_words(model, mine, toxic[learn], rng)
