@@ -10,7 +10,8 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class BiGru:
-    """Sequences go first by step: inputs are (steps, rows, features), the mask (steps, rows).
+    """Sequences go first by step and last by row: inputs are (steps, features, rows), the mask
+    (steps, rows). With rows last, each part of the gates is one block of memory.
 
     ``W`` and ``b`` project an input to the update gate, the reset gate and the candidate, ``U``
     the state; ``v`` scores the states of both directions for the pooling.
@@ -29,39 +30,38 @@ class BiGru:
         self.params["v"] = start(2 * hidden, 1)[:, 0]
 
     def project(self, x: np.ndarray) -> dict[str, np.ndarray]:
-        """What the inputs add to the gates; steps or rows of equal inputs can share it."""
-        return {side: x @ self.params[f"W{side}"] + self.params[f"b{side}"] for side in "fb"}
-
-    def _run(self, side: str, steps, projected, mask: np.ndarray, keep: list | None) -> np.ndarray:
-        hidden, u = self.hidden, self.params[f"U{side}"]
-        h = np.zeros((mask.shape[1], hidden), np.float32)
-        states = np.zeros((*mask.shape, hidden), np.float32)
+        """What inputs (.., features, rows) add to the gates; equal inputs can share it."""
+        return {side: self.params[f"W{side}"].T @ x + self.params[f"b{side}"][:, None]
+                for side in "fb"}
+
+    def _run(self, side: str, steps, projected, mask: np.ndarray, states: np.ndarray,
+             keep: list | None) -> None:
+        hidden, u = self.hidden, np.ascontiguousarray(self.params[f"U{side}"].T)
+        h = np.zeros((hidden, mask.shape[1]), states.dtype)
         for t in steps:
-            gates, from_h = projected(side, t), h @ u
-            both = sigmoid(gates[:, :2 * hidden] + from_h[:, :2 * hidden])
-            z, r = both[:, :hidden], both[:, hidden:]
-            n = np.tanh(gates[:, 2 * hidden:] + r * from_h[:, 2 * hidden:])
-            m = mask[t][:, None]
-            new = h + m * ((1 - z) * (n - h))
+            gates, from_h = projected(side, t), u @ h
+            both = sigmoid(gates[:2 * hidden] + from_h[:2 * hidden])
+            z, r = both[:hidden], both[hidden:]
+            n = np.tanh(gates[2 * hidden:] + r * from_h[2 * hidden:])
             if keep is not None:
-                keep.append((t, h, z, r, n, from_h[:, 2 * hidden:], m))
-            h = states[t] = new
-        return states
+                keep.append((t, h, z, r, n, from_h[2 * hidden:], mask[t]))
+            h = h + mask[t] * ((1 - z) * (n - h))
+            states[t] = h
 
     def forward(self, projected, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
-        """The pooled states (rows, 2 * hidden); rows without steps have zeros.
+        """The pooled states (2 * hidden, rows); rows without steps have zeros.
 
         ``projected(side, step)`` gives the projections of a step's inputs.
         """
-        steps = range(len(mask))
+        steps, hidden, v = range(len(mask)), self.hidden, self.params["v"]
         kept = {side: [] if keep is not None else None for side in "fb"}
-        states = np.concatenate([
-            self._run("f", steps, projected, mask, kept["f"]),
-            self._run("b", reversed(steps), projected, mask, kept["b"])], axis=2)
-        scores = np.where(mask > 0, states @ self.params["v"], np.float32(-1e9))
+        states = np.zeros((len(mask), 2 * hidden, mask.shape[1]), v.dtype)
+        self._run("f", steps, projected, mask, states[:, :hidden], kept["f"])
+        self._run("b", reversed(steps), projected, mask, states[:, hidden:], kept["b"])
+        scores = np.where(mask > 0, v @ states, v.dtype.type(-1e9))
         weights = np.exp(scores - scores.max(axis=0, initial=-1e9)) * mask
-        weights /= np.maximum(weights.sum(axis=0), np.float32(1e-9))
-        pooled = np.einsum("tr,trh->rh", weights, states)
+        weights /= np.maximum(weights.sum(axis=0), v.dtype.type(1e-9))
+        pooled = np.einsum("tr,thr->hr", weights, states)
         if keep is not None:
             keep |= {"states": states, "weights": weights, "pooled": pooled, "runs": kept}
         return pooled
@@ -69,29 +69,29 @@ class BiGru:
     def backward(self, x: np.ndarray, keep: dict, slope: np.ndarray) -> tuple[dict, np.ndarray]:
         """Gradients of the parameters and of the inputs for the pooled states' gradient."""
         states, weights, hidden = keep["states"], keep["weights"], self.hidden
-        inner = np.einsum("trh,rh->tr", states, slope)
+        inner = (states * slope).sum(axis=1)
         by_score = weights * (inner - (weights * inner).sum(axis=0))
-        by_state = weights[:, :, None] * slope + by_score[:, :, None] * self.params["v"]
-        grads = {"v": np.einsum("tr,trh->h", by_score, states)}
+        by_state = weights[:, None] * slope + by_score[:, None] * self.params["v"][:, None]
+        grads = {"v": np.einsum("tr,thr->h", by_score, states)}
         by_x = np.zeros_like(x)
         for side, part in (("f", slice(0, hidden)), ("b", slice(hidden, None))):
             u, w = self.params[f"U{side}"], self.params[f"W{side}"]
             grad_u = np.zeros_like(u)
-            by_gates = np.zeros((*weights.shape, 3 * hidden), np.float32)
-            carried = np.zeros((weights.shape[1], hidden), np.float32)
+            by_gates = np.zeros((len(x), 3 * hidden, x.shape[2]), x.dtype)
+            carried = np.zeros((hidden, x.shape[2]), x.dtype)
             for t, h, z, r, n, from_h, m in reversed(keep["runs"][side]):
-                whole = by_state[t][:, part] + carried
+                whole = by_state[t][part] + carried
                 now = m * whole
                 dz = now * (h - n) * z * (1 - z)
                 dn = now * (1 - z) * (1 - n * n)
                 dr = dn * from_h * r * (1 - r)
-                by_gates[t] = np.concatenate([dz, dr, dn], axis=1)
-                by_h = np.concatenate([dz, dr, dn * r], axis=1)
-                grad_u += h.T @ by_h
-                carried = (1 - m) * whole + now * z + by_h @ u.T
-            flat, inputs = by_gates.reshape(-1, 3 * hidden), x.reshape(-1, x.shape[2])
-            grads |= {f"U{side}": grad_u, f"W{side}": inputs.T @ flat, f"b{side}": flat.sum(axis=0)}
-            by_x += by_gates @ w.T
+                by_gates[t] = np.concatenate([dz, dr, dn])
+                by_h = np.concatenate([dz, dr, dn * r])
+                grad_u += h @ by_h.T
+                carried = (1 - m) * whole + now * z + u @ by_h
+            grads |= {f"U{side}": grad_u, f"b{side}": by_gates.sum(axis=(0, 2)),
+                      f"W{side}": (x @ by_gates.transpose(0, 2, 1)).sum(axis=0)}
+            by_x += w @ by_gates
         return grads, by_x
 
 

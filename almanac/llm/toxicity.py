@@ -18,6 +18,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ class Toxicity:
     word_steps: int = 400
     passes: int = 4
     cached_words: int = 200_000
-    windows_at_once: int = 2048
+    rows_at_once: int = 1024
     threshold: float = 0.5
     seed: int = 7
 
@@ -65,6 +66,15 @@ def window_starts(n: int, by: Toxicity) -> range:
     return range(0, max(1, n - by.window + by.stride), by.stride)
 
 
+def _as_rows(gates: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Projections as a table with a row for each input, from which rows are gathered."""
+    return {side: np.ascontiguousarray(g.T) for side, g in gates.items()}
+
+
+def _columns(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(table.take(rows, axis=0).T)
+
+
 class ToxicModel:
     """The trained layers; scores batches of texts."""
 
@@ -101,31 +111,34 @@ class ToxicModel:
         return numbers.T, np.ascontiguousarray(inside.T).astype(np.float32)
 
     def word_vectors(self, words: list[str]) -> np.ndarray:
+        """The words' vectors as columns."""
         numbers, mask = self.spelled(words)
-        gates = self.chars.project(self.letters)
-        pooled = self.chars.forward(lambda side, t: gates[side][numbers[t]], mask)
-        logit = pooled @ self.char_head["w"] + self.char_head["c"]
+        gates = _as_rows(self.chars.project(self.letters.T))
+        pooled = self.chars.forward(lambda side, t: _columns(gates[side], numbers[t]), mask)
+        logit = self.char_head["w"] @ pooled + self.char_head["c"]
         known = np.array([self.known.get(w.strip(EDGES), 0.0) for w in words], np.float32)
-        return np.concatenate([pooled, logit[:, None] / 4, known[:, None]], axis=1)
+        return np.concatenate([pooled, logit[None] / 4, known[None]])
 
     def _numbered(self, texts: list[list[str]]) -> np.ndarray:
         """The memo's row of every word, one text behind the other."""
-        new = {w for words in texts for w in words} - self.rows.keys()
+        every = set().union(*texts)
+        new = every - self.rows.keys()
         if len(self.rows) + len(new) > self.by.cached_words:
             self.forget()
-            new = {w for words in texts for w in words}
+            new = every
         if self.gates is None:
-            none = self.words.project(np.zeros((1, 2 * self.by.char_hidden + 2), np.float32))
-            self.gates = none
+            self.gates = _as_rows(self.words.project(
+                np.zeros((2 * self.by.char_hidden + 2, 1), np.float32)))
         if new:
             ordered = sorted(new, key=len)
             first = len(self.gates["f"])
-            parts = [self.words.project(self.word_vectors(ordered[i:i + 8192]))
-                     for i in range(0, len(ordered), 8192)]
+            parts = [_as_rows(self.words.project(self.word_vectors(
+                ordered[i:i + self.by.rows_at_once])))
+                for i in range(0, len(ordered), self.by.rows_at_once)]
             self.gates = {side: np.concatenate([self.gates[side], *(p[side] for p in parts)])
                           for side in "fb"}
             self.rows.update(zip(ordered, range(first, first + len(ordered))))
-        return np.fromiter((self.rows[w] for words in texts for w in words), np.int64)
+        return np.fromiter(map(self.rows.__getitem__, chain.from_iterable(texts)), np.int64)
 
     def window_logits(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of all windows: the text's place, the start and the logit. A text without words has one
@@ -137,13 +150,14 @@ class ToxicModel:
         text, start, first, last = (np.array(x, np.int64) for x in zip(*spans))
         logits = np.zeros(len(spans), np.float32)
         padded = np.append(numbers, np.zeros(by.window, np.int64))
-        for i in range(0, len(spans), by.windows_at_once):
-            part = slice(i, i + by.windows_at_once)
+        for i in range(0, len(spans), by.rows_at_once):
+            part = slice(i, i + by.rows_at_once)
             at = first[part][None, :] + np.arange(by.window)[:, None]
             mask = (at < last[part][None, :]).astype(np.float32)
             row = np.where(mask > 0, padded[np.minimum(at, len(padded) - 1)], 0)
-            pooled = self.words.forward(lambda side, t: self.gates[side][row[t]], mask)
-            logits[part] = pooled @ self.head["w"] + self.head["c"]
+            pooled = self.words.forward(
+                lambda side, t: _columns(self.gates[side], row[t]), mask)
+            logits[part] = self.head["w"] @ pooled + self.head["c"]
         return text, start, logits
 
     def document_logits(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -212,16 +226,16 @@ def _train_chars(model: ToxicModel, words: list[str], marked: np.ndarray,
         chosen = np.concatenate([rng.choice(p, 96) for p in pools])
         y = marked[chosen].astype(np.float32)
         numbers, mask = model.spelled([words[i] for i in chosen])
-        x = model.letters[numbers]
+        x = model.letters[numbers].transpose(0, 2, 1)
         gates, keep = model.chars.project(x), {}
         pooled = model.chars.forward(lambda side, t: gates[side][t], mask, keep)
-        error = (sigmoid(pooled @ model.char_head["w"] + model.char_head["c"]) - y) / len(y)
-        grads, by_x = model.chars.backward(x, keep, error[:, None] * model.char_head["w"])
+        error = (sigmoid(model.char_head["w"] @ pooled + model.char_head["c"]) - y) / len(y)
+        grads, by_x = model.chars.backward(x, keep, error * model.char_head["w"][:, None])
         letters = np.zeros_like(model.letters)
-        np.add.at(letters, numbers.ravel(), by_x.reshape(-1, by_x.shape[2]))
+        np.add.at(letters, numbers, by_x.transpose(0, 2, 1))
         params = model.chars.params | model.char_head | {"letters": model.letters}
         optimiser.update(params, grads | {
-            "w": pooled.T @ error, "c": error.sum(keepdims=True), "letters": letters})
+            "w": pooled @ error, "c": error.sum(keepdims=True), "letters": letters})
 
 
 def _train_words(model: ToxicModel, texts: list[list[str]], toxic: np.ndarray,
@@ -230,10 +244,11 @@ def _train_words(model: ToxicModel, texts: list[list[str]], toxic: np.ndarray,
     spelled = sorted({w for words in texts for w in words}, key=len)
     row = {w: i for i, w in enumerate(spelled, 1)}
     numbers = [np.fromiter(map(row.__getitem__, words), np.int32) for words in texts]
-    vectors = np.concatenate(  # row 0 stands for no word
-        [np.zeros((1, 2 * by.char_hidden + 2), np.float32),
-         *(model.word_vectors(spelled[i:i + 8192]) for i in range(0, len(spelled), 8192))])
-    evidence = vectors[:, -2] + vectors[:, -1]
+    vectors = np.concatenate(  # column 0 stands for no word
+        [np.zeros((2 * by.char_hidden + 2, 1), np.float32),
+         *(model.word_vectors(spelled[i:i + by.rows_at_once])
+           for i in range(0, len(spelled), by.rows_at_once))], axis=1)
+    evidence = vectors[-2] + vectors[-1]
     # The first choice of windows is by their words, later ones by the model.
     highest = [max(window_starts(len(n), by), key=lambda s: evidence[n[s:s + by.window]].max(
         initial=0.0)) for n in numbers]
@@ -256,13 +271,13 @@ def _train_words(model: ToxicModel, texts: list[list[str]], toxic: np.ndarray,
             at = np.zeros((max(1, max(map(len, parts))), len(parts)), np.int32)
             for k, part in enumerate(parts):
                 at[:len(part), k] = part
-            x, mask = vectors[at], (at > 0).astype(np.float32)
+            x, mask = vectors[:, at].transpose(1, 0, 2), (at > 0).astype(np.float32)
             gates, keep = model.words.project(x), {}
             pooled = model.words.forward(lambda side, t: gates[side][t], mask, keep)
-            error = (sigmoid(pooled @ model.head["w"] + model.head["c"]) - y) / len(y)
-            grads, _ = model.words.backward(x, keep, error[:, None] * model.head["w"])
+            error = (sigmoid(model.head["w"] @ pooled + model.head["c"]) - y) / len(y)
+            grads, _ = model.words.backward(x, keep, error * model.head["w"][:, None])
             optimiser.update(model.words.params | model.head, grads | {
-                "w": pooled.T @ error, "c": error.sum(keepdims=True)})
+                "w": pooled @ error, "c": error.sum(keepdims=True)})
     model.forget()
 
 

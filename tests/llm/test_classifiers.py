@@ -39,8 +39,8 @@ def test_gradients():
     rng = np.random.default_rng(0)
     layer = BiGru(3, 4, rng)
     layer.params = {k: v.astype(float) for k, v in layer.params.items()}
-    x, mask = rng.standard_normal((5, 6, 3)), (rng.random((5, 6)) < 0.8).astype(float)
-    slope = rng.standard_normal((6, 8))
+    x, mask = rng.standard_normal((5, 3, 6)), (rng.random((5, 6)) < 0.8).astype(float)
+    slope = rng.standard_normal((8, 6))
 
     def value():
         gates = layer.project(x)
@@ -74,11 +74,11 @@ def test_scores_equal_single_windows(toxic_model):
         for start in window_starts(len(words), by):
             part = words[start:start + by.window]
             vectors = toxic_model.word_vectors(part) if part else np.zeros(
-                (1, 2 * by.char_hidden + 2), np.float32)
+                (2 * by.char_hidden + 2, 1), np.float32)
             gates = toxic_model.words.project(vectors)
             mask = np.ones((max(1, len(part)), 1), np.float32) * bool(part)
-            pooled = toxic_model.words.forward(lambda side, t: gates[side][t:t + 1], mask)
-            logits.append(float((pooled @ toxic_model.head["w"] + toxic_model.head["c"])[0]))
+            pooled = toxic_model.words.forward(lambda side, t: gates[side][:, t:t + 1], mask)
+            logits.append(float((toxic_model.head["w"] @ pooled + toxic_model.head["c"])[0]))
         a, b, c = toxic_model.calibration
         want = 1 / (1 + np.exp(-(a * max(logits) + b * np.log(len(logits)) + c)))
         assert score == pytest.approx(want, abs=1e-3)
