@@ -23,8 +23,7 @@ def product_legs(catalog: DataFrame) -> DataFrame:
     )
 
 
-def combine_series(series: DataFrame, legs: DataFrame, small: bool | None = None,
-                   spread: bool = True) -> DataFrame:
+def combine_series(series: DataFrame, legs: DataFrame, small: bool = False) -> DataFrame:
     """``(symbol, pos, date, close, fetched_at)`` for the days on which every input has a value.
 
     The join of two inputs on the day is one aggregation: every leg keeps its last value per
@@ -35,7 +34,7 @@ def combine_series(series: DataFrame, legs: DataFrame, small: bool | None = None
         series = series.withColumn("fetched_at", F.lit(None).cast("timestamp"))
     values = series.select("series_id", "date", "close", "fetched_at", "seq")
     values = values.where(F.col("date").isNotNull() & F.col("close").isNotNull())
-    matched = lookup_join(values, legs, "series_id", "inner", ["seq"], small, spread)
+    matched = lookup_join(values, legs, "series_id", "inner", small)
 
     def last_of(leg: int):
         mine = F.col("leg") == leg

@@ -44,10 +44,9 @@ def metadata(catalog: DataFrame, key: str = "symbol") -> DataFrame:
     )
 
 
-def enrich(raw: DataFrame, catalog: DataFrame, row_id: list[str] | None = None,
-           small: bool | None = None) -> DataFrame:
+def enrich(raw: DataFrame, catalog: DataFrame, small: bool = False) -> DataFrame:
     """Attach metadata by ``symbol`` and project to the observation layout (``seq`` stays)."""
     raw = raw.drop(*[c for c in META if c != "symbol"])
-    joined = lookup_join(raw, metadata(catalog), "symbol", "inner", row_id, small)
+    joined = lookup_join(raw, metadata(catalog), "symbol", "inner", small)
     missing = {c: F.lit(None).cast("double") for c in PRICE_COLUMNS if c not in joined.columns}
     return align(joined.withColumns(missing) if missing else joined, keep=("seq",))

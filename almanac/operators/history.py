@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from almanac.functions.coerce import coerce_day, coerce_number, coerce_numbers
 from almanac.operators.dedupe import keep_last
 from almanac.operators.enrich import align
-from almanac.operators.joins import fits_broadcast, lookup_join
+from almanac.operators.joins import lookup_join
 from almanac.schemas import LITE, LITE_COLUMNS, MIN_DATE, PRICE_COLUMNS
 
 KEY = ["symbol", "date"]
@@ -55,12 +55,14 @@ def upsert(existing: DataFrame, new: DataFrame, floor: str = MIN_DATE) -> DataFr
     return keep_last(both, KEY, ["_batch", "seq"]).drop("_batch", "seq")
 
 
-def replace_rows(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """The upsert of a batch whose keys fit a broadcast, without a shuffle.
+def replace_rows(existing: DataFrame, batch: DataFrame, floor: str = MIN_DATE) -> DataFrame:
+    """The upsert of a batch whose keys were measured to fit a broadcast, without a shuffle.
 
     Both sides are clean and unique per ``(symbol, date)`` already: ``existing`` as read from
-    the store, ``batch`` as fetched. Old rows stay where they are unless the batch has their key.
+    the store, ``batch`` as fetched. Old rows stay where they are unless the batch has their key or
+    they are below the floor, so the rows are those of ``upsert``.
     """
+    existing, batch = since(existing, floor), since(batch, floor)
     keys = batch.select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date"))
     same = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("date") == F.col("_date"))
     kept = existing.join(F.broadcast(keys), same, "left_anti")
@@ -71,27 +73,16 @@ def active_symbols(catalog: DataFrame) -> DataFrame:
     return catalog.select("symbol").where("symbol <> ''").distinct()
 
 
-def keep_active(df: DataFrame, active: DataFrame, row_id: list[str] | None = None,
-                small: bool | None = None, spread: bool = True) -> DataFrame:
-    """Rows whose symbol is in ``active``; an empty set keeps nothing.
-
-    ``spread=False`` is for frames that are unique per symbol and day.
-    """
-    return lookup_join(df, active, "symbol", "left_semi", row_id or KEY, small, spread)
+def keep_active(df: DataFrame, active: DataFrame, small: bool = False) -> DataFrame:
+    """Rows whose symbol is in ``active``; an empty set keeps nothing."""
+    return lookup_join(df, active, "symbol", "left_semi", small)
 
 
 def upsert_active(existing: DataFrame, new: DataFrame, active: DataFrame,
-                  floor: str = MIN_DATE, small: bool | None = None) -> DataFrame:
-    """Upsert, then only active symbols.
-
-    The symbol is part of the upsert key, so a broadcast active set filters both sides before
-    the shuffle; a large one is joined after it, when no symbol is hot any more.
-    """
-    small = fits_broadcast(active) if small is None else small
-    if small:
-        existing, new = (keep_active(df, active, small=True) for df in (existing, new))
-        return upsert(existing, new, floor)
-    return keep_active(upsert(existing, new, floor), active, small=False, spread=False)
+                  floor: str = MIN_DATE, small: bool = False) -> DataFrame:
+    """Upsert of active symbols. The symbol is part of the key, so both sides are filtered first."""
+    existing, new = (keep_active(df, active, small) for df in (existing, new))
+    return upsert(existing, new, floor)
 
 
 def lite(df: DataFrame, floor: str = MIN_DATE) -> DataFrame:

@@ -1,7 +1,7 @@
 """Joins of a large fact table with a catalog-like lookup table.
 
-A lookup that is proven small is broadcast. A larger one is joined by shuffle, with the rows
-of frequent keys spread over several tasks and only those keys' lookup rows repeated.
+A lookup that was proven small is broadcast. Any other is left to Spark, which broadcasts by its own
+size estimate and else shuffles and splits the partitions of hot keys at run time.
 """
 
 from __future__ import annotations
@@ -12,13 +12,12 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-ROWS_PER_SLICE = 2_000_000
-HOT_KEYS = 200_000
 
 
 def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS,
                    max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure the lookup: one row of partial sums per task, whatever its size."""
+    """Measure the lookup: one row of partial sums per task, whatever its size. This runs a job, so
+    plans measure once and hand the outcome to the operators."""
     width = F.lit(0)
     for field in lookup.schema.fields:
         if isinstance(field.dataType, T.StringType):
@@ -33,60 +32,8 @@ def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS,
     return rows <= max_rows and size <= max_bytes
 
 
-def hot_keys(fact: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE,
-             limit: int = HOT_KEYS) -> DataFrame:
-    """Keys with more than a slice's worth of rows and the number of slices each one needs.
-
-    There are at most rows/rows_per_slice of them. The limit bounds what is broadcast, not
-    the result: a key beyond it is joined all the same, only in one slice.
-    """
-    return (
-        fact.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_key"))
-        .count()
-        .where(F.col("count") > rows_per_slice)
-        .orderBy(F.desc("count"), "_key")
-        .limit(limit)
-        .select("_key", F.ceil(F.col("count") / rows_per_slice).cast("int").alias("_slices"))
-    )
-
-
-def spread_join(fact: DataFrame, lookup: DataFrame, key: str, how: str, row_id: list[str],
-                rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Equi-join on ``key`` with hot keys cut into slices.
-
-    The slice comes from a hash of ``row_id``, which names a row: a task that runs again puts
-    every row where it was, and copies of one value still spread.
-    """
-    hot = F.broadcast(hot_keys(fact, key, rows_per_slice))
-    slice_no = F.pmod(F.xxhash64(*row_id), F.col("_slices").cast("bigint")).cast("int")
-    columns = fact.columns
-    sliced = (
-        fact.join(hot, fact[key] == F.col("_key"), "left")
-        .withColumn("_slice", F.coalesce(slice_no, F.lit(0)))
-        .select(*columns, "_slice")
-    )
-    repeated = (
-        lookup.join(hot, lookup[key] == F.col("_key"), "left")
-        .withColumn("_slice", F.explode(F.sequence(
-            F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
-        .select(*lookup.columns, "_slice")
-    )
-    return sliced.join(repeated, [key, "_slice"], how).drop("_slice")
-
-
 def lookup_join(fact: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
-                row_id: list[str] | None = None, small: bool | None = None,
-                spread: bool = True) -> DataFrame:
-    """Inner or left-semi join of ``fact`` to ``lookup``.
-
-    ``small`` skips the measurement where the answer is known. ``spread=False`` is for facts
-    whose rows per key are bounded already, for example unique per key and day.
-    """
-    if small is None:
-        small = fits_broadcast(lookup)
-    if small:
-        return fact.join(F.broadcast(lookup), key, how)
-    if not spread:
-        return fact.join(lookup, key, how)
-    return spread_join(fact, lookup, key, how, row_id or ["seq"])
+                small: bool = False) -> DataFrame:
+    """Inner or left-semi join of ``fact`` to ``lookup``; ``small`` says that it was measured to fit
+    a broadcast. The rows are the same either way."""
+    return fact.join(F.broadcast(lookup) if small else lookup, key, how)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -22,55 +21,39 @@ from almanac.sources.market import Landing, fetch
 SNAPSHOT_REFRESH = "daily"
 
 
-@dataclass(frozen=True)
-class Refreshed:
-    history: DataFrame
-    lite: DataFrame
-    snapshot: DataFrame
-
-
-def refresh_frames(existing: DataFrame, new: DataFrame, active: DataFrame,
-                   floor: str = MIN_DATE, small: bool | None = None) -> Refreshed:
-    """The run as one lazy plan, without writing: merged history and what derives from it."""
-    history = upsert_active(existing, new, active, floor, small)
-    snapshot = latest_snapshot(history).where(F.col("refresh") == SNAPSHOT_REFRESH)
-    return Refreshed(history, lite(history, floor), snapshot)
-
-
-def run_metrics(fetched: DataFrame, run: Refreshed) -> DataFrame:
-    """Row counts of a lazy run, one row per metric."""
-
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("metric"), "rows")
-
-    return (
-        count(fetched, "fetched")
-        .unionByName(count(run.history, "history"))
-        .unionByName(count(run.lite, "lite"))
-        .unionByName(count(run.snapshot, "snapshot"))
-    )
-
-
 def _years(df: DataFrame) -> list[int]:
     return [r[0] for r in df.select(F.year("date").alias("y")).distinct().collect()]
 
 
+def _below(store: HistoryStore, held: dict[int, dict[str, int]], floor: dt.date) -> set[int]:
+    """The floor's own year, if the store holds older rows of it."""
+    if floor.year not in held or floor == dt.date(floor.year, 1, 1):
+        return set()
+    rows = store.read({floor.year: held[floor.year]})
+    return set() if rows.where(F.col("date") < F.lit(floor)).isEmpty() else {floor.year}
+
+
 def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
                 run_at: dt.datetime, refresh: str | None = None, scope: str = "catalog",
                 exports: str | None = None, floor: str = MIN_DATE, bom: bool = True,
-                small_batch: bool | None = None) -> Row:
+                small_batch: bool | None = None, full_exports: bool = True) -> Row:
     """One published run; returns its run-log row with the metrics.
 
     ``refresh`` limits what is fetched. ``scope`` says which symbols stay in the history: those
     of the whole catalog, or with ``"run"`` only the fetched cadence's. Only years that get new
-    rows or lose inactive symbols are rewritten. A batch whose keys fit a broadcast is merged
-    without a shuffle of the history. Single values such as the list of years are all that
-    reaches the driver.
+    rows, or lose inactive symbols or rows below the floor, are rewritten. Whether the catalog and
+    the batch's keys fit a broadcast is measured once and changes how Spark joins, never the rows.
+
+    With ``exports`` the run writes CSV files under its version before it is published: the
+    snapshot, the segments of every held year that the folder lacks, and unless ``full_exports``
+    is off the whole history and its lite rows. Single values such as the list of years are all
+    that reaches the driver.
     """
     if scope not in ("catalog", "run"):
         raise ValueError("scope is 'catalog' or 'run'")
+    first = dt.date.fromisoformat(str(floor))
     before = store.last_run()
-    held = store.years(before)
+    held = {y: e for y, e in store.years(before).items() if y >= first.year}
     version = 1 if before is None else before["version"] + 1
     wanted = by_refresh(catalog, refresh)
     active = active_symbols(catalog if scope == "catalog" else wanted)
@@ -84,28 +67,36 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
         store.read(held, "tails").select("symbol", "year").distinct()
         .join(active, "symbol", "left_anti").select("year").distinct()
     )
-    years = {*_years(fetched), *[r["year"] for r in losing.collect()]}
+    years = {*_years(fetched), *[r["year"] for r in losing.collect()], *_below(store, held, first)}
     touched = store.read({y: e for y, e in held.items() if y in years})
     if small_batch is None:
         small_batch = fits_broadcast(fetched.select(*KEY))
     if small_batch:
-        merged = replace_rows(*(
-            keep_active(df, active, small=small, spread=False) for df in (touched, fetched)))
+        merged = replace_rows(*(keep_active(df, active, small) for df in (touched, fetched)), floor)
     else:
         merged = upsert_active(touched, fetched, active, floor, small)
+        merged, _ = store.stage(merged, "merged", version)
     written = store.write_years(merged, version, floor, clustered=not small_batch)
     held = {y: e for y, e in held.items() if y not in years} | written
 
     tails = store.read(held, "tails").drop("year")
     snapshot, n_snapshot = store.stage(
         latest_snapshot(tails).where(F.col("refresh") == SNAPSHOT_REFRESH), "snapshot", version)
-    run = store.publish(version, run_at, refresh, held,
-                        {"fetched": n_fetched, "rejected": n_rejected, "snapshot": n_snapshot})
+    exported = {}
     if exports is not None:
-        history = store.read(held).drop("year")
-        rows = lite(history, floor)
-        write_csv(history, f"{exports}/history", name_order(history), bom=bom)
-        write_csv(rows, f"{exports}/history_lite", name_order(rows), bom=bom)
-        write_csv(snapshot, f"{exports}/latest_snapshot", TABLE_ORDER, bom=bom)
-        write_segments(store.read(written), f"{exports}/segments", bom=bom, floor=floor)
-    return run
+        if before is not None and before["exports"] == exports:
+            exported = {int(y): v for y, v in before["exported"].items()
+                        if int(y) in held and int(y) not in written}
+        missing = {y: e for y, e in held.items() if y not in exported}
+        exported |= dict.fromkeys(missing, version)
+        write_segments(store.read(missing), f"{exports}/segments/version={version}", bom=bom,
+                       floor=floor)
+        write_csv(snapshot, f"{exports}/latest_snapshot/version={version}", TABLE_ORDER, bom=bom)
+        if full_exports:
+            history = store.read(held).drop("year")
+            rows = lite(history, floor)
+            write_csv(history, f"{exports}/history/version={version}", name_order(history), bom=bom)
+            write_csv(rows, f"{exports}/history_lite/version={version}", name_order(rows), bom=bom)
+    return store.publish(
+        version, run_at, refresh, held,
+        {"fetched": n_fetched, "rejected": n_rejected, "snapshot": n_snapshot}, exports, exported)

@@ -16,8 +16,6 @@ OBSERVATION_COLUMNS = [
 
 LITE_COLUMNS = ["date", "indicator_name", "category", "region", "refresh", "close"]
 
-SNAPSHOT_COLUMNS = OBSERVATION_COLUMNS + ["prev_close", "change", "change_pct"]
-
 LATEST_TABLE_COLUMNS = [
     "indicator_name", "category", "region", "refresh", "date",
     "close", "change", "change_pct", "unit", "source",
@@ -59,6 +57,7 @@ CATALOG = T.StructType([
 SEQ = T.StructType([
     T.StructField("pos", T.LongType()),
     T.StructField("at", T.TimestampType()),
+    T.StructField("file", T.StringType()),
     T.StructField("block", T.LongType()),
     T.StructField("row", T.LongType()),
 ])
@@ -80,29 +79,3 @@ def layout(columns: list[str]) -> T.StructType:
 
 OBSERVATION = layout(OBSERVATION_COLUMNS)
 LITE = layout(LITE_COLUMNS)
-SNAPSHOT = layout(SNAPSHOT_COLUMNS)
-INDEX_LONG = layout(INDEX_COLUMNS)
-
-# Landing tables: what a download step leaves behind, one response per row.
-SERIES_LANDING = T.StructType([
-    T.StructField("series_id", T.StringType()),
-    T.StructField("body", T.StringType()),
-    T.StructField("fetched_at", T.TimestampType()),
-])
-PAGE_LANDING = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("html", T.StringType()),
-    T.StructField("fetched_at", T.TimestampType()),
-])
-OHLCV_LANDING = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("Date", T.TimestampType()),
-    T.StructField("Open", T.DoubleType()),
-    T.StructField("High", T.DoubleType()),
-    T.StructField("Low", T.DoubleType()),
-    T.StructField("Close", T.DoubleType()),
-    T.StructField("Adj Close", T.DoubleType()),
-    T.StructField("Volume", T.DoubleType()),
-    T.StructField("fetched_at", T.TimestampType()),
-])

@@ -6,14 +6,14 @@ other in order, and one large year or cadence is written by several tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.functions.coerce import iso_day, iso_instant
 from almanac.operators.history import name_order, segments
 from almanac.operators.wide import INDEX_ORDER
-from almanac.schemas import INDEX_COLUMNS, INDEX_LITE_COLUMNS, MIN_DATE
+from almanac.schemas import INDEX_COLUMNS, INDEX_LITE_COLUMNS, LITE_COLUMNS, MIN_DATE
 
 BOM = "\ufeff"
 # Text as it is: spaces stay, quotes are doubled, empty and missing look alike.
@@ -21,9 +21,7 @@ CSV_TEXT = {
     "escape": '"', "emptyValue": "", "nullValue": "",
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
-# --- fixed values -----------------------------------------------------------
-EXPORT_YEARS = range(2020, 2027)
-# ----------------------------------------------------------------------------
+
 
 def as_text(df: DataFrame) -> DataFrame:
     """Dates and instants in their ISO text form."""
@@ -70,11 +68,33 @@ def write_segments(history: DataFrame, path: str, bom: bool = True,
               partition_by=("cadence", "year"))
 
 
-def write_yearly(index: DataFrame, path: str, lite_path: str, years: range = EXPORT_YEARS,
+def read_segments(spark: SparkSession, path: str, versions: dict[int, int]) -> DataFrame:
+    """Segment rows as text, of each year from the version that holds it, with ``cadence, year``."""
+    schema = ", ".join(f"`{c}` string" for c in LITE_COLUMNS)
+    if not versions:
+        return spark.createDataFrame([], f"{schema}, cadence string, year int")
+    rows = (
+        spark.read.options(header=True, basePath=path)
+        .schema(f"{schema}, version bigint, cadence string, year int")
+        .csv([f"{path}/version={v}" for v in sorted(set(versions.values()))])
+    )
+    current = F.lit(False)
+    for version in sorted(set(versions.values())):
+        its_years = [y for y, v in versions.items() if v == version]
+        current |= (F.col("version") == version) & F.col("year").isin(its_years)
+    return rows.where(current).drop("version")
+
+
+def write_yearly(index: DataFrame, path: str, lite_path: str, years: range | None = None,
                  bom: bool = True, files: int | None = None) -> None:
-    """Full and lite index rows by year; a year without rows gets no file."""
-    rows = index.withColumn("year", F.year("date")).where(
-        F.col("year").between(years.start, years.stop - 1))
+    """Full and lite index rows by year; a year without rows gets no file.
+
+    ``years`` limits the export; by default every year is exported. The rows are read four times (two
+    outputs, each sampled for its ranges), so ``index`` should be a written table.
+    """
+    rows = index.withColumn("year", F.year("date"))
+    if years is not None:
+        rows = rows.where(F.col("year").between(years.start, years.stop - 1))
     for columns, where in (([*INDEX_COLUMNS], path), ([*INDEX_LITE_COLUMNS], lite_path)):
         write_csv(rows.select(*columns, "year"), where, INDEX_ORDER, bom=bom, files=files,
                   partition_by=("year",))

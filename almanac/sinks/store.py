@@ -3,8 +3,8 @@
 A run writes only the years it changes, under its own version directory, and then appends one
 row to the run log saying which version holds each year. Readers follow the newest log row, so
 they never see a half-written run, no file is overwritten while it is read, and unchanged years
-are neither read nor written. One run at a time writes to a store; a run that failed is simply
-repeated under the same version.
+are neither read nor written. One run at a time writes to a store: a run whose version was published
+meanwhile by another one is refused. A run that failed is simply repeated under the same version.
 """
 
 from __future__ import annotations
@@ -32,6 +32,9 @@ RUN_LOG = T.StructType([
     T.StructField("years", T.MapType(T.StringType(), YEAR)),
     T.StructField("metrics", T.MapType(T.StringType(), T.LongType())),
     T.StructField("segments", T.ArrayType(T.StringType())),
+    # Where CSV exports go, and the version whose files hold the segments of each year.
+    T.StructField("exports", T.StringType()),
+    T.StructField("exported", T.MapType(T.StringType(), T.LongType())),
 ])
 
 
@@ -126,12 +129,17 @@ class HistoryStore:
         return {r["year"]: {k: r[k] for k in YEAR.names} for r in counts.collect()}
 
     def publish(self, version: int, run_at, refresh: str | None,
-                years: dict[int, dict[str, int]], metrics: dict[str, int]) -> Row:
+                years: dict[int, dict[str, int]], metrics: dict[str, int],
+                exports: str | None = None, exported: dict[int, int] | None = None) -> Row:
+        last = self.last_run()
+        if last is not None and last["version"] >= version:
+            raise RuntimeError(f"version {version} was published by another run meanwhile")
         totals = {k: sum(e[k] for e in years.values()) for k in ("history", "lite")}
         monthly = ["history_monthly"] if any(e["monthly"] for e in years.values()) else []
         daily = [f"history_daily_{y}" for y, e in sorted(years.items()) if e["daily"]]
         row = (version, run_at, refresh, {str(y): e for y, e in years.items()},
-               {**metrics, **totals}, daily + monthly)
+               {**metrics, **totals}, daily + monthly, exports,
+               {str(y): v for y, v in (exported or {}).items()})
         self.spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").json(
             self._at("runs"))
         return self.last_run()

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.session import ship_package
+
 # --- fixed values -----------------------------------------------------------
 ENCODINGS = ("cp932", "shift_jis", "utf-8-sig", "utf-8")
 # ----------------------------------------------------------------------------
@@ -18,6 +20,7 @@ ENCODINGS = ("cp932", "shift_jis", "utf-8-sig", "utf-8")
 ROWS = """path string, member string, encoding string, row bigint,
           header array<string>, cells array<string>, error string"""
 BATCH = 2_000
+HEADER_ROW = -1
 
 
 def _records(archive: zipfile.ZipFile, member: str, encoding: str) -> Iterator[list[str]]:
@@ -71,7 +74,7 @@ def _archive_rows(path: str, content: bytes, encodings: tuple[str, ...]) -> Iter
             return
         records = _records(archive, member, encoding)
         header = _unique(next(records))
-        batch: list[tuple] = []
+        batch: list[tuple] = [(path, member, encoding, HEADER_ROW, header, None, None)]
         for number, record in enumerate(records):
             cells = [c if c != "" else None for c in record]
             batch.append((path, member, encoding, number, header, cells, None))
@@ -86,8 +89,10 @@ def unpack_archives(files: DataFrame, encodings: tuple[str, ...] = ENCODINGS) ->
     """Records of the first CSV member of every archive in ``(path, content)``.
 
     Encodings are tried in order and the first that reads the whole member wins; members are
-    streamed, never held as a whole. An archive that cannot be read is one row with ``error``.
+    streamed, never held as a whole. An archive that cannot be read is one row with ``error``; of
+    any other the first row has the header and no cells.
     """
+    ship_package(files.sparkSession)
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -105,9 +110,12 @@ def read_archives(spark: SparkSession, path: str,
 
 def archive_rejects(rows: DataFrame) -> DataFrame:
     """Archives without readable records or without month columns."""
-    unreadable = rows.where("error is not null").select("path", F.col("error").alias("reason"))
-    no_months = (
-        rows.where(r"error is null and not exists(header, h -> h rlike '^\\d{6}$')")
-        .select("path").distinct().withColumn("reason", F.lit("no month columns"))
-    )
-    return unreadable.unionByName(no_months)
+    months = F.exists("header", lambda name: name.rlike(r"^\d{6}$"))
+    reason = F.when(F.col("error").isNotNull(), F.col("error")).when(
+        (F.col("row") == HEADER_ROW) & ~months, "no month columns")
+    return rows.select("path", reason.alias("reason")).where("reason is not null")
+
+
+def archive_records(rows: DataFrame) -> DataFrame:
+    """The records of readable archives, without their headers' rows."""
+    return rows.where(F.col("error").isNull() & (F.col("row") != HEADER_ROW))

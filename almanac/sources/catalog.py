@@ -21,9 +21,17 @@ KNOWN = [OHLCV, SERIES, DERIVED, PERIOD_PAGE, LABELLED_PAGE, PRICE_PAGE]
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Catalog rows with their position ``pos``; keys an entry lacks are NULL."""
+    """Catalog rows with their position ``pos``; keys an entry lacks are NULL.
+
+    Of a folder the files count in the order of their paths; only the paths reach the driver. A file
+    is read by one task, in which the generated ids grow.
+    """
     rows = spark.read.schema(CATALOG).option("multiLine", True).json(path)
-    return rows.withColumn("pos", F.monotonically_increasing_id())
+    file = F.col("_metadata.file_path")
+    files = sorted(r[0] for r in rows.select(file.alias("file")).distinct().collect())
+    place = F.array_position(F.array(*map(F.lit, files)).cast("array<string>"), file) - 1
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.withColumn("pos", F.shiftleft(place, 33) + row)
 
 
 def missing_keys() -> Column:

@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.functions.pagetext import DEFAULT_POSITION
-from almanac.operators.dedupe import keep_last
 from almanac.operators.derived import combine_series, direct_legs, product_legs
 from almanac.operators.enrich import align, flat_prices, metadata
 from almanac.operators.history import clean_observations, latest_arrivals, union_sources
-from almanac.operators.joins import fits_broadcast, lookup_join
+from almanac.operators.joins import lookup_join
 from almanac.schemas import MIN_DATE
 from almanac.sources import catalog as C
 from almanac.sources.ohlcv import ohlcv_values
@@ -46,6 +45,7 @@ def _arrival(df: DataFrame) -> DataFrame:
     return df.withColumn("seq", F.struct(
         F.col("pos").cast("bigint").alias("pos"),
         F.col("fetched_at").alias("at"),
+        F.lit(None).cast("string").alias("file"),
         F.lit(0).cast("bigint").alias("block"),
         F.col("row").cast("bigint").alias("row"),
     ))
@@ -54,22 +54,16 @@ def _arrival(df: DataFrame) -> DataFrame:
 def _series(landing: Landing, catalog: DataFrame, small: bool) -> DataFrame:
     """Direct and derived entries in one pass over the bodies."""
     values = series_values(landing.series).withColumn("seq", F.struct("fetched_at", "row"))
-    if not small:
-        # One row per series and day first: then no series is hot in the join below.
-        values = keep_last(values.where("date is not null"), ["series_id", "date"], ["seq"])
     legs = direct_legs(C.of_type(catalog, C.SERIES)).unionByName(
         product_legs(C.of_type(catalog, C.DERIVED)))
-    rows = combine_series(values, legs, small, spread=False)
+    rows = combine_series(values, legs, small)
     return flat_prices(rows.withColumn("row", F.lit(0).cast("bigint")))
 
 
 def _ohlcv(landing: Landing, catalog: DataFrame, as_of, months: int, small: bool) -> DataFrame:
     values = ohlcv_values(landing.ohlcv, as_of, months)
-    if not small:
-        values = values.dropna(subset=["close"]).withColumn("_day", F.col("date").cast("date"))
-        values = keep_last(values, ["symbol", "_day"], ["fetched_at", "row"]).drop("_day")
     wanted = C.of_type(catalog, C.OHLCV).select("symbol", "pos")
-    return lookup_join(values, wanted, "symbol", small=small, spread=False)
+    return lookup_join(values, wanted, "symbol", small=small)
 
 
 def _pages(landing: Landing, catalog: DataFrame, anchored: bool, small: bool,
@@ -81,12 +75,10 @@ def _pages(landing: Landing, catalog: DataFrame, anchored: bool, small: bool,
         F.coalesce("page_label", "name").alias("label"),
         F.coalesce("series_position", F.lit(DEFAULT_POSITION)).alias("position"),
     )
-    pages = landing.pages.select("symbol", "url", "html", "fetched_at")
-    if not small:
-        # Copies of one download give the same observation; what is left has a row identity.
-        pages = pages.distinct()
-    joined = lookup_join(
-        pages, wanted, "symbol", row_id=["fetched_at", "url", "html"], small=small)
+    # Copies of one download give the same observations, which are deduplicated later; the pages
+    # themselves are compared with nothing.
+    pages = landing.pages.select("symbol", "html", "fetched_at")
+    joined = lookup_join(pages, wanted, "symbol", small=small)
     hits = (
         F.when(kind == C.PERIOD_PAGE, period_hits())
         .when(kind == C.LABELLED_PAGE, labelled_hits())
@@ -94,22 +86,29 @@ def _pages(landing: Landing, catalog: DataFrame, anchored: bool, small: bool,
     )
     rows = page_hits(joined, hits)
     good, rejects = split_hits(rows if keep is None else keep(rows, "page_hits"))
-    return flat_prices(good), rejects
+    return flat_prices(good), rejects.distinct()
+
+
+def _landed(df: DataFrame | None, now) -> DataFrame | None:
+    """A download without a time counts as fetched now, before anything is compared by it."""
+    return df if df is None else df.withColumn("fetched_at", F.coalesce("fetched_at", now))
 
 
 def fetch(catalog: DataFrame, landing: Landing, run_at: dt.datetime | None = None,
           floor: str = MIN_DATE, lookback_months: int = 12, anchored: bool = True,
-          small: bool | None = None, keep: Keep | None = None) -> Fetched:
+          small: bool = False, keep: Keep | None = None) -> Fetched:
     """Observations of every catalog entry whose source has landed.
 
     Entries of an unknown type, and entries without a landed source, give no rows; entries
     that lack a required key are rejects. Metadata is
-    attached after the deduplication, when a symbol has at most one row per day left. ``keep``
+    attached after the deduplication, when a symbol has at most one row per day left. ``small``
+    says that the catalog was measured to fit a broadcast; it changes how Spark joins and nothing
+    else. ``keep``
     may write a named intermediate and return what it wrote: page hits serve both the
     observations and the rejects, and are far smaller than the pages.
     """
     now = F.current_timestamp() if run_at is None else F.lit(run_at).cast("timestamp")
-    small = fits_broadcast(catalog) if small is None else small
+    landing = Landing(*(_landed(df, now) for df in (landing.series, landing.ohlcv, landing.pages)))
     frames: list[DataFrame] = []
     catalog, rejects = C.complete(catalog)
     if landing.series is not None:
@@ -129,10 +128,11 @@ def fetch(catalog: DataFrame, landing: Landing, run_at: dt.datetime | None = Non
         f.select(*[F.col(c).cast("date") if c == "date" else F.col(c) for c in names])
         for f in frames
     ])
+    # A derived value has no download of its own.
     raw = _arrival(raw.withColumn("fetched_at", F.coalesce("fetched_at", now)))
     unique = latest_arrivals(clean_observations(raw, floor))
     about = metadata(catalog, "pos")
     return Fetched(
-        align(lookup_join(unique, about, "pos", small=small, spread=False), keep=("seq",)),
+        align(lookup_join(unique, about, "pos", small=small), keep=("seq",)),
         rejects,
     )

@@ -60,19 +60,3 @@ def series_values(bodies: DataFrame) -> DataFrame:
         "series_id", "_hit.date", "_hit.close", "fetched_at",
         F.col("row").cast("bigint").alias("row"),
     ).dropna(subset=["close"])
-
-
-def series_frame(df: DataFrame, series_id: str) -> DataFrame | None:
-    """The same rules on a frame that has one series' raw columns; None if unresolved."""
-    names = {c: c.strip() for c in df.columns}
-    first = df.columns
-    date = next((c for c in first if names[c].upper() == "DATE"), first[0] if first else None)
-    value = next((c for c in first if names[c] == series_id),
-                 first[1] if len(first) > 1 else None)
-    if date is None or value is None:
-        return None
-    return df.select(
-        F.lit(series_id).alias("series_id"),
-        to_day(F.col(f"`{date}`").cast("string")).alias("date"),
-        to_number(F.col(f"`{value}`").cast("string")).alias("close"),
-    ).dropna(subset=["close"])

@@ -13,7 +13,7 @@ from almanac.schemas import OBSERVATION, PRICE_COLUMNS, SEQ
 
 def read_text_table(spark: SparkSession, path: str, sep: str = ",",
                     multi_line: bool = False) -> DataFrame | None:
-    """Header CSV as strings, empty cells NULL, with the file order in ``seq``.
+    """Header CSV as strings, empty cells NULL, with the order of files and lines in ``seq``.
 
     ``multi_line`` allows line breaks inside quotes, for which a file cannot be split. None if
     the path does not exist.
@@ -29,6 +29,7 @@ def read_text_table(spark: SparkSession, path: str, sep: str = ",",
     seq = F.struct(
         F.lit(0).cast("bigint").alias("pos"),
         F.lit(None).cast("timestamp").alias("at"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )

@@ -61,7 +61,7 @@ def order_observations(spark: SparkSession, sf: str) -> DataFrame:
         .select("c_custkey", "c_mktsegment", "n_nationkey", "n_name", "r_name")
     )
     return (
-        lookup_join(orders, customers, "c_custkey", row_id=["o_orderkey"])
+        lookup_join(orders, customers, "c_custkey")
         .select(
             F.col("o_orderdate").cast("date").alias("date"),
             F.col("o_totalprice").alias("close"),
@@ -233,8 +233,13 @@ def raw_ohlcv(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def index_archives(spark: SparkSession, sf: str) -> DataFrame:
-    """The wide table as zipped CSV files ``(path, content)`` of a hundred suppliers each."""
+def index_archives(spark: SparkSession, sf: str, suppliers: int = 100,
+                   broken: bool = False) -> DataFrame:
+    """The wide table as zipped CSV files ``(path, content)`` of so many suppliers each.
+
+    With ``broken`` of every four archives the second is no zip file and the third has a header
+    without months only.
+    """
     wide = wide_table(spark, sf)
     own = [c for c in wide.columns if c != "file_row"]
     cells = [F.concat(F.lit('"'), F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit('"')) for c in own]
@@ -252,14 +257,16 @@ def index_archives(spark: SparkSession, sf: str) -> DataFrame:
         return texts.map(pack)
 
     lines = wide.select(
-        F.expr("file_row div 100").alias("archive"),
+        F.expr(f"file_row div {suppliers}").alias("archive"),
         F.struct("file_row", F.concat_ws(",", *cells).alias("line")).alias("entry"))
     texts = lines.groupBy("archive").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+    whole = F.concat(F.lit(header), F.array_join("entries.line", "\r\n"), F.lit("\r\n"))
+    kind = F.when(F.lit(broken), F.col("archive") % 4).otherwise(0)
     return texts.select(
-        F.format_string("archive-%012d.zip", "archive").alias("path"),
-        zipped(F.concat(F.lit(header), F.array_join("entries.line", "\r\n"), F.lit("\r\n")))
-        .alias("content"),
-    )
+        F.format_string("archive-%012d.zip", "archive").alias("path"), kind.alias("kind"),
+        F.when(kind == 2, ",".join(own[:4]) + "\r\n").otherwise(whole).alias("body"),
+    ).select("path", F.when(F.col("kind") == 1, F.col("body").cast("binary")).otherwise(
+        zipped("body")).alias("content"))
 
 
 def wide_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -53,8 +53,8 @@ merged AS (
 RUN = LOADS + """,
 kept AS (
   SELECT * FROM merged
-  WHERE category IN ('click', 'view', 'purchase', 'error')
-    AND user_id IN (SELECT user_id FROM events WHERE event_type = 'click')),""" + (
+  WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'click')
+    AND user_id % 7 <> 3),""" + (
     SNAPSHOT_OF.format(rows="kept"))
 
 FIRST_TARGET = "企業物価指数 2020年基準/輸入物価指数/円ベース"
@@ -193,7 +193,7 @@ FROM cells WHERE series_name <> 'other series'""",
     "yearly_files": f"""
 SELECT date, indicator_name, classification1, classification2, close, code, label_raw,
        CAST(substr(date, 1, 4) AS INTEGER) AS year
-FROM ({TIDY}) WHERE substr(date, 1, 4) BETWEEN '1996' AND '1999'""",
+FROM ({TIDY})""",
     "csv_round_trip": "WITH " + UNIQUE_EVENTS + f"""
 SELECT {_iso('d')} AS date, symbol, indicator_name, category, region, refresh, close FROM uniq""",
     "segment_files": "WITH " + ORDERS + f"""
@@ -335,13 +335,52 @@ raw AS (
   FROM valued a JOIN valued b ON b.l_suppkey = a.l_suppkey + 1 AND b.d = a.d)
 SELECT mark || CAST(key AS VARCHAR) AS symbol, {_iso('d')} AS date, open, close, volume,
        kind || ' ' || CAST(key AS VARCHAR) AS indicator_name, 'cat' AS category,
-       'reg' AS region, 'daily' AS refresh, kind AS source, '' AS unit
+       'reg' AS region, 'daily' AS refresh, kind AS source, '' AS unit,
+       CASE WHEN mark = 'X' THEN '2001-08-01 00:00:00' ELSE '2024-06-30 00:00:00' END AS fetched_at
 FROM raw WHERE d >= DATE '1998-01-01'""",
     "refresh_run": "WITH " + RUN + " SELECT * FROM snap WHERE refresh = 'daily'",
     "run_metrics": "WITH " + RUN + """
-SELECT 'fetched' AS metric, count(*) AS rows FROM ev WHERE d >= DATE '2024-01-11'
+SELECT 'fetched' AS metric, count(DISTINCT (symbol, d)) AS rows FROM ev
+WHERE d >= DATE '2024-01-11' AND symbol IN (SELECT symbol FROM kept)
+UNION ALL SELECT 'rejected', count(DISTINCT symbol) FROM ev
+WHERE user_id % 7 = 3 AND user_id IN (SELECT user_id FROM events WHERE event_type = 'click')
 UNION ALL SELECT 'history', count(*) FROM kept
 UNION ALL SELECT 'lite', count(*) FROM kept
 UNION ALL SELECT 'snapshot', count(*) FROM snap WHERE refresh = 'daily'""",
 }
+ORACLES["run_rejects"] = "WITH " + EVENTS + """
+SELECT DISTINCT symbol, 'catalog' AS stage, 'missing name' AS reason FROM ev
+WHERE user_id % 7 = 3 AND user_id IN (SELECT user_id FROM events WHERE event_type = 'click')"""
+ORACLES["run_exports"] = "WITH " + RUN + f"""
+SELECT unnest(['segment_' || refresh || '_' || year(d), 'history', 'history_lite']) AS file,
+       {_iso('d')} AS date, indicator_name, category, region, refresh, close
+FROM kept"""
+ORACLES["index_exports"] = f"""
+SELECT unnest(['index_csv', 'index_tsv', 'yearly', 'yearly_lite']) AS file, date, indicator_name,
+       classification1, classification2, close FROM ({TIDY})"""
+ORACLES["archive_rejects"] = """
+SELECT DISTINCT printf('archive-%012d.zip', l_suppkey // 10) AS path,
+       CASE l_suppkey // 10 % 4 WHEN 1 THEN 'not a zip archive' ELSE 'no month columns' END AS reason
+FROM lineitem WHERE l_suppkey // 10 % 4 IN (1, 2)"""
+ORACLES["catalog_file"] = """
+SELECT CASE WHEN c_acctbal < 0 THEN '' ELSE 'C' || c_custkey END AS symbol, c_name AS name,
+       c_mktsegment AS category, 'N' || c_nationkey AS region,
+       CASE WHEN c_nationkey % 5 <> 0 THEN 'daily' END AS refresh,
+       CASE WHEN c_mktsegment <> 'BUILDING' THEN 'USD' END AS unit,
+       c_custkey % 25 AS file,
+       row_number() OVER (PARTITION BY c_custkey % 25 ORDER BY c_custkey) AS place
+FROM customer"""
+ORACLES["ordered_dataset"] = "WITH " + ORDERS + f"""
+SELECT row_number() OVER (ORDER BY indicator_name NULLS LAST, d NULLS LAST, close NULLS LAST,
+         category NULLS LAST, region NULLS LAST) AS position,
+       {_iso('d')} AS date, indicator_name, category, region, refresh, close
+FROM ob"""
+ORACLES["ordered_snapshot"] = SNAPSHOT + """
+SELECT row_number() OVER (ORDER BY refresh, category, region, indicator_name, symbol) AS position,
+       refresh, category, region, symbol, close FROM snap"""
+ORACLES["ordered_index"] = f"""
+SELECT row_number() OVER (ORDER BY indicator_name, date, classification1 NULLS LAST,
+         classification2 NULLS LAST, close) AS position,
+       date, indicator_name, classification1, classification2, close, code
+FROM ({TIDY})"""
 ORACLES["store_runs"] = ORACLES["fetch_observations"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.functions import pagetext as P
@@ -19,19 +19,21 @@ from almanac.operators.enrich import align, enrich, flat_prices
 from almanac.operators.snapshot import in_table_order, latest_snapshot
 from almanac.operators.wide import in_index_order, melt_columns, name_ids, short_name, target_rows
 from almanac.plans import dashboard as D
-from almanac.plans.refresh import Refreshed, refresh_frames, refresh_run, run_metrics
-from almanac.plans.wide_index import index_from_archives, index_from_table
-from almanac.schemas import INDEX_LITE_COLUMNS, LITE_COLUMNS
-from almanac.sinks.csv import write_csv, write_segments, write_yearly
-from almanac.sinks.store import HistoryStore
+from almanac.plans.refresh import refresh_run
+from almanac.plans.wide_index import index_from_archives, index_from_table, ingest_records
+from almanac.schemas import CATALOG, INDEX_LITE_COLUMNS, LITE_COLUMNS
+from almanac.sinks.csv import read_segments, write_csv, write_segments, write_yearly
+from almanac.sinks.store import RUN_LOG, HistoryStore
 from almanac.sources import catalog as C
-from almanac.sources.archives import unpack_archives
+from almanac.sources.archives import archive_rejects, unpack_archives
+from almanac.sources.catalog import read_catalog
 from almanac.sources.market import Landing, fetch
 from almanac.sources.ohlcv import ohlcv_values
 from almanac.sources.pages import labelled_hits, page_rows, period_hits, price_hits
 from almanac.sources.series import series_values
 from almanac.sources.tables import read_observations
 from almanac.workload import adapters as A
+from almanac.workload.positions import with_position
 from almanac.workload.scratch import scratch_dir
 
 RUN_AT = dt.datetime(2001, 8, 1)
@@ -99,7 +101,7 @@ def segment_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def active_query(spark: SparkSession, sf: str) -> DataFrame:
     active = H.active_symbols(A.customer_catalog(spark, sf))
-    rows = H.keep_active(A.customer_series(spark, sf), active, row_id=["seq"])
+    rows = H.keep_active(A.customer_series(spark, sf), active)
     return _out(rows, "symbol", "date", "close", "seq")
 
 
@@ -282,23 +284,74 @@ def latest_slice_query(spark: SparkSession, sf: str) -> DataFrame:
     return _out(rows, *rows.columns)
 
 
-def _event_run(spark: SparkSession, sf: str) -> tuple[DataFrame, Refreshed]:
-    """A refresh run over the two event loads; only symbols that had a click stay active."""
-    old, new = _loads(spark, sf)
-    entries = A.table(spark, sf, "events").groupBy("user_id").agg(
-        F.max(F.col("event_type") == "click").alias("clicked"))
-    active = entries.where("clicked").select(F.explode(F.array(*[
-        A.text(kind + "_", F.col("user_id")) for kind in ("click", "view", "purchase", "error")
-    ])).alias("symbol"))
-    return new, refresh_frames(old, new, H.active_symbols(active))
+EVENT_RUN_AT = dt.datetime(2024, 2, 15)
+
+
+def _event_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """An OHLCV entry per event type and user; some users' entries lack a name."""
+    user = F.col("user_id")
+    users = A.table(spark, sf, "events").groupBy("event_type", "user_id").agg(
+        F.min("event_id").alias("first"))
+    symbol = A.text(F.col("event_type"), "_", user)
+    return A.catalog_rows(
+        users, symbol=symbol, name=F.when(user % 7 != 3, symbol), category=F.col("event_type"),
+        region=A.text("R", user % 5), refresh=F.when(user % 10 == 0, "monthly").otherwise("daily"),
+        source=F.lit("events"), source_type=F.lit(C.OHLCV), unit=F.lit(""), pos=F.col("first"))
+
+
+def _event_run(spark: SparkSession, sf: str) -> tuple[HistoryStore, Row]:
+    """Two published runs over the two loads of events, the second one with exports.
+
+    Only users with a click are in the second run's catalog. Of a day's events the last id counts.
+    """
+    catalog = _event_catalog(spark, sf)
+    clicked = A.table(spark, sf, "events").where("event_type = 'click'").select(
+        F.col("user_id").alias("u")).distinct()
+    fewer = catalog.join(
+        clicked, F.substring_index("symbol", "_", -1) == F.col("u").cast("string"), "left_semi")
+    store = HistoryStore(spark, scratch_dir(spark, "events"))
+    exports = scratch_dir(spark, "event-exports")
+    for entries, load, out in zip((catalog, fewer), _loads(spark, sf), (None, exports)):
+        moment = F.timestamp_micros(F.unix_micros(F.col("date").cast("timestamp")) + F.col("seq"))
+        rows = load.select("symbol", moment.alias("Date"), F.col("close").alias("Close"),
+                           F.lit(EVENT_RUN_AT).alias("fetched_at"))
+        run = refresh_run(store, entries, Landing(ohlcv=rows), EVENT_RUN_AT, exports=out)
+    return store, run
 
 
 def refresh_query(spark: SparkSession, sf: str) -> DataFrame:
-    return _out(in_table_order(_event_run(spark, sf)[1].snapshot), *SNAPSHOT)
+    """The snapshot that a run wrote as CSV."""
+    _, run = _event_run(spark, sf)
+    path = f"{run['exports']}/latest_snapshot/version={run['version']}"
+    numbers = ["close", "prev_close", "change", "change_pct"]
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(*[to_number(c).alias(c) if c in numbers else F.col(c) for c in SNAPSHOT])
 
 
 def metrics_query(spark: SparkSession, sf: str) -> DataFrame:
-    return run_metrics(*_event_run(spark, sf))
+    """What the run observed, from its row in the run log."""
+    store, run = _event_run(spark, sf)
+    log = spark.read.schema(RUN_LOG).json(f"{store.path}/runs")
+    return log.where(F.col("version") == run["version"]).select(
+        F.explode("metrics").alias("metric", "rows"))
+
+
+def rejects_query(spark: SparkSession, sf: str) -> DataFrame:
+    store, run = _event_run(spark, sf)
+    return spark.read.parquet(f"{store.path}/rejects/version={run['version']}")
+
+
+def exports_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of the segment files and of the history files, with the file's kind."""
+    _, run = _event_run(spark, sf)
+    held = {int(y): v for y, v in run["exported"].items()}
+    rows = read_segments(spark, f"{run['exports']}/segments", held).select(
+        F.concat_ws("_", F.lit("segment"), "cadence", "year").alias("file"), *LITE_COLUMNS)
+    for name in ("history", "history_lite"):
+        whole = spark.read.option("header", True).csv(
+            f"{run['exports']}/{name}/version={run['version']}")
+        rows = rows.unionByName(whole.select(F.lit(name).alias("file"), *LITE_COLUMNS))
+    return rows.withColumn("close", to_number("close"))
 
 
 def _all_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, Landing]:
@@ -340,12 +393,17 @@ def _all_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, Landing]:
     return catalog, Landing(series=A.series_bodies(spark, sf), ohlcv=ohlcv, pages=pages)
 
 
+def _fetched(rows: DataFrame) -> DataFrame:
+    shown = rows.withColumn("fetched_at", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss"))
+    return _out(shown, "symbol", "date", "open", "close", "volume", "indicator_name", "category",
+                "region", "refresh", "source", "unit", "fetched_at")
+
+
 def fetch_query(spark: SparkSession, sf: str) -> DataFrame:
     """Every source type at once: series, OHLCV rows and three kinds of pages."""
     catalog, landing = _all_sources(spark, sf)
     rows = fetch(catalog, landing, RUN_AT, floor=A.ORDER_FLOOR).observations
-    return _out(rows, "symbol", "date", "open", "close", "volume", "indicator_name", "category",
-                "region", "refresh", "source", "unit")
+    return _fetched(rows)
 
 
 def archive_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -354,6 +412,58 @@ def archive_query(spark: SparkSession, sf: str) -> DataFrame:
     return _out(rows, *rows.columns)
 
 
+def index_exports_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole ingest; each of its four exports read back under its name."""
+    out = scratch_dir(spark, "index")
+    ingest_records(unpack_archives(A.index_archives(spark, sf)), out)
+    frames = []
+    for name, sep in (("index_csv", ","), ("index_tsv", "\t"), ("yearly", ","),
+                      ("yearly_lite", ",")):
+        rows = spark.read.options(header=True, sep=sep).csv(f"{out}/{name}")
+        frames.append(rows.select(F.lit(name).alias("file"), *INDEX_LITE_COLUMNS))
+    rows = H.union_sources(frames)
+    return rows.withColumns({
+        "close": to_number("close"), "classification2": F.coalesce("classification2", F.lit(""))})
+
+
+def archive_rejects_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives of ten suppliers, of which some are no zip files or have no months."""
+    return archive_rejects(unpack_archives(A.index_archives(spark, sf, 10, broken=True)))
+
+
+def catalog_file_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The customer catalog written as a JSON array and read back, with its file order."""
+    path = scratch_dir(spark, "catalog")
+    rows = A.customer_catalog(spark, sf)
+    entry = F.to_json(F.struct(*CATALOG.names))
+    # One array per nation, as files in the order of their names.
+    arrays = rows.groupBy((F.col("pos") % 25).alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", entry.alias("entry")))).alias("entries"))
+    text = F.concat(F.lit("[\n"), F.array_join("entries.entry", ",\n"), F.lit("\n]"))
+    arrays.select(F.format_string("%02d", "part").alias("part"), text.alias("value")).write.option(
+        "lineSep", "\n").partitionBy("part").text(path)
+    read = read_catalog(spark, path)
+    place = F.row_number().over(Window.partitionBy(F.shiftright("pos", 33)).orderBy("pos"))
+    return read.select("symbol", "name", "category", "region", "refresh", "unit",
+                       F.shiftright("pos", 33).alias("file"), place.alias("place"))
+
+
+def ordered_dataset_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The dashboard's dataset by name, each row with its position."""
+    rows = H.lite(D.dataset(A.order_observations(spark, sf)), "1900-01-01")
+    return _out(with_position(H.in_name_order(rows)), "position", *LITE_COLUMNS)
+
+
+def ordered_snapshot_query(spark: SparkSession, sf: str) -> DataFrame:
+    rows = in_table_order(latest_snapshot(_unique_events(spark, sf)))
+    return _out(with_position(rows), "position", "refresh", "category", "region", "symbol", "close")
+
+
+def ordered_index_query(spark: SparkSession, sf: str) -> DataFrame:
+    rows = in_index_order(index_from_table(A.wide_table(spark, sf), ["file_row"]))
+    return _out(with_position(rows), "position", *INDEX_LITE_COLUMNS, "code")
+
+
 def csv_query(spark: SparkSession, sf: str) -> DataFrame:
     """Observations written as CSV with a byte order mark and read back."""
     path = scratch_dir(spark, "observations")
@@ -373,10 +483,11 @@ def segment_files_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def yearly_files_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Index rows of four years written by year, in full and lite form, and joined again."""
+    """Index rows written by year, in full and lite form, and joined again."""
     full, short = scratch_dir(spark, "yearly"), scratch_dir(spark, "yearly_lite")
-    table = index_from_table(A.wide_table(spark, sf), ["file_row"])
-    write_yearly(table, full, short, range(1996, 2000))
+    path = scratch_dir(spark, "index-table")
+    index_from_table(A.wide_table(spark, sf), ["file_row"]).write.parquet(path)
+    write_yearly(spark.read.parquet(path), full, short)
     rows = spark.read.option("header", True).csv(full)
     keys = [*INDEX_LITE_COLUMNS, "year"]
     light = spark.read.option("header", True).csv(short).select(*keys)
@@ -396,9 +507,7 @@ def store_query(spark: SparkSession, sf: str) -> DataFrame:
     for part in (Landing(series=landing.series, pages=landing.pages),
                  Landing(ohlcv=landing.ohlcv, pages=landing.pages)):
         run = refresh_run(store, catalog, part, RUN_AT, floor=A.ORDER_FLOOR)
-    rows = store.read(store.years(run))
-    return _out(rows, "symbol", "date", "open", "close", "volume", "indicator_name", "category",
-                "region", "refresh", "source", "unit")
+    return _fetched(store.read(store.years(run)))
 
 
 QUERIES = {
@@ -442,4 +551,12 @@ QUERIES = {
     "store_runs": store_query,
     "refresh_run": refresh_query,
     "run_metrics": metrics_query,
+    "run_rejects": rejects_query,
+    "run_exports": exports_query,
+    "index_exports": index_exports_query,
+    "archive_rejects": archive_rejects_query,
+    "catalog_file": catalog_file_query,
+    "ordered_dataset": ordered_dataset_query,
+    "ordered_snapshot": ordered_snapshot_query,
+    "ordered_index": ordered_index_query,
 }

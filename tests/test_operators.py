@@ -8,7 +8,7 @@ from almanac.operators import history as H
 from almanac.operators.dedupe import keep_first, keep_last
 from almanac.operators.derived import combine_series, direct_legs, product_legs
 from almanac.operators.enrich import align, enrich, flat_prices
-from almanac.operators.joins import fits_broadcast, hot_keys, lookup_join, spread_join
+from almanac.operators.joins import fits_broadcast, lookup_join
 from almanac.operators.snapshot import in_table_order, latest_snapshot
 from almanac.schemas import LITE_COLUMNS, OBSERVATION, OBSERVATION_COLUMNS
 from almanac.workload.adapters import catalog_rows
@@ -59,28 +59,13 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
-def test_spread_join_equals_plain_join(skewed, how):
+def test_lookup_join_gives_the_same_rows_either_way(skewed, how):
     fact, lookup = skewed
     plain = fact.join(lookup, "symbol", how)
-    spread = spread_join(fact, lookup, "symbol", how, ["seq"], rows_per_slice=700)
-    assert spread.columns == plain.columns
-    assert values(spread, *plain.columns) == values(plain, *plain.columns)
-    for small in (True, False, None):
-        assert lookup_join(fact, lookup, "symbol", how, small=small).count() == plain.count()
-
-
-def test_spread_join_cuts_the_hot_key(skewed):
-    fact, _ = skewed
-    hot = hot_keys(fact, "symbol", 700).collect()
-    assert [tuple(r) for r in hot] == [("hot", 15)]
-
-
-def test_spread_join_keeps_keys_beyond_the_limit(skewed):
-    fact, lookup = skewed
-    assert hot_keys(fact, "symbol", 10, limit=3).count() == 3
-    plain = fact.join(lookup, "symbol")
-    spread = spread_join(fact, lookup, "symbol", "inner", ["seq"], rows_per_slice=10)
-    assert spread.count() == plain.count()
+    for small in (True, False):
+        joined = lookup_join(fact, lookup, "symbol", how, small)
+        assert joined.columns == plain.columns
+        assert values(joined, *plain.columns) == values(plain, *plain.columns)
 
 
 def test_broadcast_is_measured(spark, skewed):
@@ -112,7 +97,7 @@ def test_enrich_and_align(spark):
     assert rows.columns == OBSERVATION_COLUMNS + ["seq"]
     assert values(rows, "symbol", "indicator_name", "refresh", "unit", "open", "volume", "seq") == [
         ("A", "a", "daily", "", 5.0, None, 1), ("B", "b", "", "USD", 6.0, None, 2)]
-    spread = enrich(flat_prices(raw), entries, small=False)
+    spread = enrich(flat_prices(raw), entries, small=True)
     assert values(spread, *rows.columns) == values(rows, *rows.columns)
     assert enrich(raw, entries).first()["high"] is None
     assert align(raw.withColumn("extra", F.lit(1))).schema.names == OBSERVATION.names
@@ -172,8 +157,8 @@ def test_active_symbols(spark, observations):
     active = H.active_symbols(entries)
     assert values(active, "symbol") == [("A",)]
     for small in (True, False):
-        assert values(H.keep_active(rows, active, ["seq"], small), "symbol") == [("A",)]
-        assert H.keep_active(rows, active.limit(0), ["seq"], small).count() == 0
+        assert values(H.keep_active(rows, active, small), "symbol") == [("A",)]
+        assert H.keep_active(rows, active.limit(0), small).count() == 0
         both = H.upsert_active(rows, rows.limit(0), active, small=small)
         assert values(both, "symbol") == [("A",)]
 
@@ -226,7 +211,7 @@ def test_combine_series(spark, observations):
     ])
     want = [("XX", DAY(2026, 1, 1), 9.0), ("XX", DAY(2026, 1, 2), 25.0),
             ("XY", DAY(2026, 1, 1), 60.0)]
-    for small in (True, False, None):
+    for small in (True, False):
         got = combine_series(series, inputs, small)
         assert values(got, "symbol", "date", "close") == want
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from almanac.operators.enrich import align
 from almanac.operators.history import latest_arrivals, replace_rows, upsert
 from almanac.operators.snapshot import latest_snapshot
-from almanac.plans.refresh import refresh_frames, refresh_run, run_metrics
+from almanac.plans.refresh import refresh_run
 from almanac.schemas import LITE_COLUMNS, OBSERVATION_COLUMNS
-from almanac.sinks.csv import write_segments
+from almanac.sinks.csv import read_segments, write_segments
 from almanac.sinks.store import HistoryStore
 from almanac.sources import catalog as C
 from almanac.sources.market import Landing, fetch
@@ -75,7 +75,7 @@ WANT = sorted([
 ], key=repr)
 
 
-@pytest.mark.parametrize("small", [True, False, None])
+@pytest.mark.parametrize("small", [True, False])
 def test_fetch_every_source(spark, catalog, small):
     got = fetch(catalog, landing(spark, SERIES, PAGES, OHLCV), RUN_AT, small=small)
     rows = got.observations
@@ -228,7 +228,7 @@ def csv_lines(folder):
 def test_exports(spark, catalog, tmp_path):
     out = tmp_path / "out"
     run(spark, tmp_path / "s", catalog, landing(spark, SERIES, PAGES, OHLCV), exports=str(out))
-    segments = out / "segments"
+    segments = out / "segments" / "version=1"
     assert sorted(str(p.relative_to(segments)) for p in segments.glob("cadence=*/year=*")) == [
         "cadence=daily/year=2025", "cadence=daily/year=2026",
         "cadence=monthly/year=2025", "cadence=monthly/year=2026"]
@@ -238,10 +238,10 @@ def test_exports(spark, catalog, tmp_path):
     assert [tuple(x.split(",")[i] for i in (1, 0)) for x in body] == sorted(
         (n, str(d)) for s, d, _ in WANT for n in [next(e[1] for e in ENTRIES if e[0] == s)]
         if d.year == 2026 and s not in ("IDX", "PMI"))
-    assert len([x for x in csv_lines(out / "history_lite") if not x.startswith("date")]) == 12
-    snapshot = csv_lines(out / "latest_snapshot")
+    assert len([x for x in csv_lines(out / "history_lite" / "version=1") if not x.startswith("date")]) == 12
+    snapshot = csv_lines(out / "latest_snapshot" / "version=1")
     assert snapshot[0].split(",") == OBSERVATION_COLUMNS + ["prev_close", "change", "change_pct"]
-    full = csv_lines(out / "history")
+    full = csv_lines(out / "history" / "version=1")
     assert full[0].split(",") == OBSERVATION_COLUMNS
 
 
@@ -278,11 +278,70 @@ def test_a_small_batch_moves_no_history(spark, observations):
     assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
 
 
-def test_lazy_run(spark, observations):
-    old = observations([("A", "2026-01-01", 1.0, 1), ("B", "2026-01-01", 1.0, 2)])
-    new = observations([("A", "2026-01-02", 3.0, 1)])
-    active = spark.createDataFrame([("A",)], "symbol string")
-    lazy = refresh_frames(old, new, active)
-    assert values(lazy.snapshot, "symbol", "close", "prev_close") == [("A", 3.0, 1.0)]
-    assert values(run_metrics(new, lazy), "metric", "rows") == [
-        ("fetched", 1), ("history", 2), ("lite", 2), ("snapshot", 1)]
+@pytest.mark.parametrize("small", [True, False])
+def test_the_size_of_the_catalog_changes_no_row(spark, catalog, small):
+    """A download without a time counts as fetched now, and a later one without a price as none."""
+    day, schema = dt.datetime(2026, 5, 19), "symbol string, Date timestamp, Close {}, fetched_at timestamp"
+    early = RUN_AT - dt.timedelta(days=1)
+    untimed = spark.createDataFrame([("SOX", day, 1.0, early), ("SOX", day, 2.0, None)],
+                                    schema.format("double"))
+    got = fetch(catalog, Landing(ohlcv=untimed), RUN_AT, small=small).observations
+    assert values(got, "close") == [(2.0,)]
+    text = spark.createDataFrame([("SOX", day, "1.0", early), ("SOX", day, "ND", RUN_AT)],
+                                 schema.format("string"))
+    got = fetch(catalog, Landing(ohlcv=text), RUN_AT, small=small).observations
+    assert values(got, "close") == [(1.0,)]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_repeated_pages_are_not_compared(spark, catalog, small):
+    broken = ("PMI", "u", "in Cars 2026 PMI in Japan rose to 5")
+    got = fetch(catalog, landing(spark, pages=[*PAGES, *PAGES, broken, broken]), RUN_AT, small=small)
+    assert values(got.observations, "symbol", "close") == [
+        (s, c) for s, d, c in WANT if s in ("IDX", "OIL", "PMI")]
+    assert values(got.rejects, "symbol") == [("PMI",)]
+    plan = got.observations._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("html" in line for line in plan.splitlines() if "Aggregate" in line)
+
+
+@pytest.mark.parametrize("small_batch", [True, False])
+def test_a_raised_floor_prunes_every_year(spark, catalog, tmp_path, small_batch):
+    old = [("S_JPY", "DATE,S_JPY\n2024-03-03,1\n2025-01-10,2\n2025-12-31,3\n2026-01-02,4\n")]
+    run(spark, tmp_path, catalog, landing(spark, old), small_batch=small_batch)
+    new = [("S_JPY", "DATE,S_JPY\n2026-01-05,5\n")]
+    log = run(spark, tmp_path, catalog, landing(spark, new, at=LATER), LATER, floor="2025-06-01",
+              small_batch=small_batch)
+    assert values(current(spark, tmp_path), "date", "close") == [
+        (DAY(2025, 12, 31), 3.0), (DAY(2026, 1, 2), 4.0), (DAY(2026, 1, 5), 5.0)]
+    assert set(log["years"]) == {"2025", "2026"} and log["metrics"]["history"] == 3
+
+
+def test_exports_hold_every_year(spark, catalog, tmp_path):
+    """A run without exports comes first; later ones write what the folder lacks or what changed."""
+    store, out = tmp_path / "s", str(tmp_path / "out")
+    history = [("S_JPY", "DATE,S_JPY\n2024-03-03,1\n2025-01-10,2\n")]
+    run(spark, store, catalog, landing(spark, history))
+
+    def segments(log):
+        rows = read_segments(spark, f"{out}/segments", {int(y): v for y, v in log["exported"].items()})
+        return values(rows, "year", "date", "close")
+
+    for number, (line, exported) in enumerate((
+            ("2026-01-05,5", {"2024": 2, "2025": 2, "2026": 2}),
+            ("2025-01-10,7", {"2024": 2, "2025": 3, "2026": 2}))):
+        log = run(spark, store, catalog, landing(spark, [("S_JPY", f"DATE,S_JPY\n{line}\n")], at=LATER),
+                  LATER, exports=out, full_exports=number == 0)
+        assert dict(log["exported"]) == exported
+        assert log["segments"] == ["history_daily_2024", "history_daily_2025", "history_daily_2026"]
+    assert segments(log) == [(2024, "2024-03-03", "1.0"), (2025, "2025-01-10", "7.0"),
+                             (2026, "2026-01-05", "5.0")]
+    assert [p.name for p in (tmp_path / "out" / "history").iterdir()] == ["version=2"]
+    assert segments({"exported": {}}) == []
+
+
+def test_a_version_is_published_once(spark, catalog, tmp_path):
+    run(spark, tmp_path, catalog, landing(spark, SERIES))
+    store = HistoryStore(spark, str(tmp_path))
+    held = store.years(store.last_run())
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        store.publish(1, RUN_AT, None, held, {})

@@ -9,7 +9,7 @@ from almanac.operators.history import active_symbols
 from almanac.sinks.csv import write_csv
 from almanac.sources import catalog as C
 from almanac.sources.ohlcv import ohlcv_values
-from almanac.sources.series import read_series_files, series_frame, series_values
+from almanac.sources.series import read_series_files, series_values
 from almanac.sources.tables import read_observations, read_text_table
 
 DAY = dt.date
@@ -99,16 +99,32 @@ def test_series_values(spark):
         ("Y", None, 8.0), ("Y", DAY(2026, 1, 2), 7.0), ("Z", DAY(2026, 1, 2), 3.0)]
 
 
-def test_series_files_and_frame(spark, tmp_path):
+def test_series_files(spark, tmp_path):
     (tmp_path / "S1.csv").write_text("DATE,S1\n2026-01-02,1\n")
     (tmp_path / "S2.csv").write_text(" S2 ,x, date \n5,9,2026-01-03\n")
     landed = read_series_files(spark, str(tmp_path))
     assert values(series_values(landed), "series_id", "date", "close") == [
         ("S1", DAY(2026, 1, 2), 1.0), ("S2", DAY(2026, 1, 3), 5.0)]
-    frame = spark.createDataFrame([("5", "9", "2026-01-03"), ("x", "9", "2026-01-04")],
-                                  [" S2 ", "x", " date "])
-    assert values(series_frame(frame, "S2"), "date", "close") == [(DAY(2026, 1, 3), 5.0)]
-    assert series_frame(frame.select("x"), "S2") is None
+
+
+def test_files_count_in_the_order_of_their_paths(spark, tmp_path):
+    """Spark packs files by size, so that the largest one would come first."""
+    for number, rows in ((0, 1), (1, 400), (2, 3)):
+        lines = [f"2026-01-02,f{number},{i}" for i in range(rows)]
+        (tmp_path / f"part-{number}.csv").write_text("date,symbol,close\n" + "\n".join(lines) + "\n")
+    rows = read_observations(spark, str(tmp_path)).orderBy("seq").select("symbol", "close").collect()
+    assert [tuple(r) for r in rows] == [
+        (f"f{n}", float(i)) for n, k in ((0, 1), (1, 400), (2, 3)) for i in range(k)]
+
+
+def test_catalogs_count_in_the_order_of_their_paths(spark, tmp_path):
+    for number, entries in (("b", 1), ("a", 50), ("c", 2)):
+        (tmp_path / f"{number}.json").write_text(
+            json.dumps([{"symbol": f"{number}{i}"} for i in range(entries)]))
+    rows = C.read_catalog(spark, str(tmp_path)).orderBy("pos").collect()
+    assert [r["symbol"] for r in rows] == [
+        f"{n}{i}" for n, k in (("a", 50), ("b", 1), ("c", 2)) for i in range(k)]
+    assert len({r["pos"] for r in rows}) == 53
 
 
 def test_ohlcv_values(spark):

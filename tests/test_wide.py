@@ -1,6 +1,10 @@
 import datetime as dt
 import io
+import os
+import subprocess
+import sys
 import zipfile
+from pathlib import Path
 
 import pytest
 from conftest import values
@@ -9,7 +13,8 @@ from pyspark.sql import functions as F
 from almanac.operators import wide as W
 from almanac.plans.wide_index import index_from_archives, index_from_table, ingest_archives
 from almanac.schemas import INDEX_COLUMNS
-from almanac.sources.archives import archive_rejects, read_archives
+from almanac.sinks.csv import write_yearly
+from almanac.sources.archives import archive_records, archive_rejects, read_archives
 
 DAY = dt.date
 FIRST, SECOND = list(W.TARGET_SERIES)
@@ -101,7 +106,7 @@ def test_many_rows_keep_their_order(spark, tmp_path):
     rows = [(f"c{i}", SECOND, "電力", "7", "") for i in range(7000)]
     archive(tmp_path / "a.zip", table(rows=rows))
     records = read_archives(spark, str(tmp_path))
-    assert records.count() == 7000
+    assert archive_records(records).count() == 7000
     assert values(index_from_archives(records), "code") == [("c0",)]
 
 
@@ -176,6 +181,41 @@ def test_ingest_writes_every_export(spark, tmp_path):
     assert [x.split(",")[4] for x in lines("index_csv")] == ["3.0", "1.0", "4.0", "2.0"]
     assert lines("index_tsv")[0].split("\t") == [
         "2019-12-01", "輸入物価指数/円ベース", "a", "", "3.0"]
-    assert [p.name for p in (out / "yearly").glob("year=*")] == ["year=2020"]
-    assert [x.split(",")[-3] for x in lines("yearly")] == ["c2", "c1"]
-    assert lines("yearly_lite")[0] == "2020-01-01,輸入物価指数/円ベース,a,,4.0"
+    assert sorted(p.name for p in (out / "yearly").glob("year=*")) == ["year=2019", "year=2020"]
+    assert [x.split(",")[-3] for x in lines("yearly/year=2020")] == ["c2", "c1"]
+    assert lines("yearly_lite/year=2020")[0] == "2020-01-01,輸入物価指数/円ベース,a,,4.0"
+
+
+def test_yearly_files_of_some_years(spark, tmp_path):
+    rows = [("c1", FIRST, "b", "1", "2")]
+    archive(tmp_path / "a.zip", table(("202612", "203001"), rows))
+    tidy = index_from_archives(read_archives(spark, str(tmp_path)))
+    write_yearly(tidy, str(tmp_path / "all"), str(tmp_path / "all_lite"))
+    write_yearly(tidy, str(tmp_path / "some"), str(tmp_path / "some_lite"), range(2020, 2027))
+    years = {n: sorted(p.name for p in (tmp_path / n).glob("year=*")) for n in ("all", "some")}
+    assert years == {"all": ["year=2026", "year=2030"], "some": ["year=2026"]}
+
+
+def test_an_archive_with_a_header_only(spark, tmp_path):
+    archive(tmp_path / "months.zip", "a,b,c,202001\n", "utf-8")
+    archive(tmp_path / "none.zip", "a,b,c,d\n", "utf-8")
+    rows = read_archives(spark, str(tmp_path))
+    assert [(p.rsplit("/", 1)[1], r) for p, r in values(archive_rejects(rows), "path", "reason")] == [
+        ("none.zip", "no month columns")]
+    assert index_from_archives(rows).count() == 0
+
+
+def test_python_runs_on_executors_from_any_folder(tmp_path):
+    """The package is shipped: the workers don't start in the folder that has it."""
+    code = (
+        "import sys; sys.path.append(sys.argv[1])\n"
+        "import __spark_entry__ as entry\n"
+        "from almanac.session import local_session\n"
+        "spark = local_session('away', cores=2, shuffle_partitions=2)\n"
+        "sys.path.remove(sys.argv[1])\n"
+        "print('rows', entry.queries()['archive_ingest'](spark, entry.SMOKE_DIR).count())\n")
+    root = str(Path(__file__).resolve().parents[1])
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, capture_output=True,
+                          text=True, timeout=300, env=environment)
+    assert "rows " in done.stdout, done.stderr[-2000:]
