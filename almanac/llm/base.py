@@ -2,22 +2,50 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.workload.scratch import scratch_dir
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back, which cuts its lineage."""
+_FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write a table to the shared folder and read it back, which cuts its lineage.
+
+    Inside ``intermediates`` the table goes with the others, unless it is to be kept.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
+    folders = _FOLDERS.get()
+    if folders is not None and not keep:
+        folders.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that are written inside, once what needs them has been written too."""
+    folders: list[str] = []
+    token = _FOLDERS.set(folders)
+    try:
+        yield
+    finally:
+        _FOLDERS.reset(token)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(hadoop).delete(path, True)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that the frame doesn't have, in any case."""
     taken = {c.lower() for c in df.columns}
