@@ -9,7 +9,6 @@ from contextvars import ContextVar
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from almanac.workload.scratch import scratch_dir
 
@@ -71,7 +70,3 @@ def text_digest(column: str = "text") -> Column:
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of an Arrow batch, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
-
-
-def schema_with(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType([*df.schema.fields, *(T.StructField(n, k) for n, k in fields)])

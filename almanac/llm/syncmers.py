@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.llm.base import let, text_or_empty, written
+from almanac.llm.base import let, text_or_empty
 
 S, WIDTH = 4, 16
 K = S + WIDTH - 1

@@ -1,8 +1,17 @@
+import base64
+
+import public_tokenizers
 import pytest
+import tiktoken
 
 import corpus_pipeline
 from __spark_entry__ import SMOKE_DIR, queries
-from almanac.llm.queries import QUERIES
+from almanac.llm.mixing import mix_documents
+from almanac.llm.pii_surrogates import replace
+from almanac.llm.queries import PII_KEY, QUERIES
+
+from .conftest import texts
+from .test_minhash import brute_force
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -12,17 +21,35 @@ def test_queries_are_registered():
     assert {*QUERIES, "pipeline"} <= queries().keys()
 
 
-def test_pipeline_stages_take_effect(spark, tmp_path):
-    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
-    counts = [docs.count()]
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Each stage is compared with what its input should become."""
+    inputs, docs = [], spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
     for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        inputs.append(docs)
         out = stage(spark, docs, SMOKE_DIR)
         if number < len(corpus_pipeline.STAGES) - 1:
             assert out.columns == COLUMNS, name
         out.write.parquet(f"{tmp_path}/{number}")
         docs = spark.read.parquet(f"{tmp_path}/{number}")
-        counts.append(docs.count())
-    assert counts[0] > counts[1] > counts[2] == counts[3] and counts[4] == counts[5]
+    labels = spark.read.parquet(f"{SMOKE_DIR}/labels.parquet")
+    good = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    bad = {r["doc_id"] for r in labels.where("quality = 0").collect()}
+    kept = {d for d, _ in texts(inputs[1])}
+    assert len(good - kept) <= 0.02 * len(good) and len(bad & kept) <= 0.1 * len(bad)
+    unique = sorted(texts(inputs[2]))
+    assert [d for d, _ in unique] == sorted({c for _, c in brute_force(sorted(texts(inputs[1])))})
+    assert sorted(texts(inputs[3])) == [(d, replace(t, PII_KEY, {})[0]) for d, t in unique]
+    taken = {r["doc_id"]: r["taken"] for r in mix_documents(inputs[3]).collect()}
+    mixed = {}
+    for doc_id, text in texts(inputs[4]):
+        mixed[doc_id] = mixed.get(doc_id, 0) + len(text.split())
+    assert mixed == {d: n for d, n in taken.items() if n}
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                special_tokens={})
+    assert sorted((r["doc_id"], list(r["ids"])) for r in docs.collect()) == sorted(
+        (d, library.encode_ordinary(t)) for d, t in texts(inputs[4]))
 
 
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
