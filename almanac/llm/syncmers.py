@@ -6,8 +6,9 @@ wherever they stand, and any ``k - s + 1`` neighbouring k-mers have one. At the
 the k-mers are cut off and start with their least s-mer, so that a text of any length but 0 has an
 anchor.
 
-A fingerprint lists the anchors as ``place:hash`` in hexadecimal. The likeness of two fingerprints is
-the Jaccard similarity of their hashes; ``shared_anchors`` gives their places.
+An anchor is a number: its place in the upper, the hash of its k-mer in the lower 32 bits. A
+fingerprint lists these numbers in hexadecimal, so the last eight digits are the hash. The likeness of
+two fingerprints is the Jaccard similarity of their hashes; ``shared_anchors`` gives their places.
 """
 
 from __future__ import annotations
@@ -20,6 +21,12 @@ from almanac.llm.base import let, text_or_empty
 S, WIDTH = 4, 16
 K = S + WIDTH - 1
 LEAST_ID = -(1 << 63)
+HASH = 0xFFFFFFFF
+
+
+def _at(place: Column) -> Column:
+    """A place as the upper half of an anchor."""
+    return F.shiftleft(place.cast("long"), 32)
 
 
 def _shifted(values: Column, by: int) -> Column:
@@ -44,7 +51,7 @@ def characters(text: Column) -> Column:
 
 
 def anchors(chars: Column, offset: Column | int = 0) -> Column:
-    """``array<struct<place, hash>>`` of the closed syncmers of an array of characters."""
+    """The anchors of the closed syncmers of an array of characters, as an array of numbers."""
 
     def joined(a: Column, b: Column) -> Column:
         return F.xxhash64(a, b)
@@ -56,9 +63,8 @@ def anchors(chars: Column, offset: Column | int = 0) -> Column:
         def anchor(least: Column, i: Column) -> Column:
             last = F.get(smers, i + (WIDTH - 1))  # null behind the end
             mer = F.xxhash64(*[F.get(smers, i + at) for at in (*range(0, WIDTH, S), WIDTH - 1)])
-            return F.when((least == F.get(smers, i)) | (least == last), F.struct(
-                (i + offset).cast("int").alias("place"),
-                mer.bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash")))
+            return F.when((least == F.get(smers, i)) | (least == last), _at(i + offset).bitwiseOR(
+                mer.bitwiseAND(F.lit(HASH))))
 
         minima = _chain(smers, *[least_of(1 << step) for step in range(WIDTH.bit_length() - 1)])
         return let(minima, lambda m: F.array_compact(F.transform(m, anchor)))
@@ -68,8 +74,12 @@ def anchors(chars: Column, offset: Column | int = 0) -> Column:
 
 def fingerprint(found: Column) -> Column:
     """The anchors as text; of no text, the empty one."""
-    return F.array_join(F.transform(found, lambda a: F.concat(
-        F.hex(a["place"]), F.lit(":"), F.hex(a["hash"]))), " ")
+    return F.array_join(F.transform(found, lambda a: F.hex(a)), " ")
+
+
+def hashes_of(found: Column) -> Column:
+    """The distinct hashes of anchors."""
+    return F.array_distinct(F.transform(found, lambda a: a.bitwiseAND(F.lit(HASH))))
 
 
 def likeness(one: Column, two: Column) -> Column:
@@ -84,8 +94,9 @@ def shared_anchors(one: Column, two: Column) -> Column:
     def first_places(found: Column) -> Column:
         return F.aggregate(
             found, F.create_map().cast("map<bigint,int>"),
-            lambda seen, a: F.when(F.map_contains_key(seen, a["hash"]), seen).otherwise(
-                F.map_concat(seen, F.map_from_arrays(F.array(a["hash"]), F.array(a["place"])))))
+            lambda seen, a: F.when(F.map_contains_key(seen, a.bitwiseAND(F.lit(HASH))), seen).otherwise(
+                F.map_concat(seen, F.map_from_arrays(
+                    F.array(a.bitwiseAND(F.lit(HASH))), F.array(F.shiftright(a, 32).cast("int"))))))
 
     return let(first_places(one), lambda here: let(first_places(two), lambda there: F.transform(
         F.array_intersect(F.map_keys(here), F.map_keys(there)), lambda h: F.struct(
@@ -100,19 +111,27 @@ def edited_anchors(found: Column, of_tail: Column, text: Column, head: Column,
     inside the head or the tail keep theirs, so only those across the border and the cut-off ones
     at the end are looked at.
     """
-    size = F.char_length(tail)
-    start = F.greatest(F.lit(0), head - (K - 1))
-    border = F.concat(F.substring(text, start + 1, head - start),
+    first = F.greatest(F.lit(0), head - (K - 1)).cast("int")
+    border = F.concat(F.substring(text, first + 1, head - first),
                       F.substring(tail, F.lit(1), F.lit(K - 1)))
-    across = anchors(characters(border), start)
-    moved = F.transform(F.filter(of_tail, lambda a: a["place"] <= size - K), lambda a: F.struct(
-        (a["place"] + head).cast("int").alias("place"), a["hash"].alias("hash")))
-    last = size - (K - 1)
-    end = anchors(characters(F.substring(tail, last + 1, F.lit(K - 1))), head + last)
-    return F.concat(
-        F.filter(found, lambda a: a["place"] < start),
-        F.when(size < K, across).otherwise(F.concat(
-            F.filter(across, lambda a: a["place"] < head), moved, end)))
+
+    def joined(at: Column) -> Column:
+        start, middle, size = at["start"], at["head"], at["size"]
+        last = size - (K - 1)
+        across = anchors(characters(border), start)
+        moved = F.transform(F.filter(of_tail, lambda a: a < at["inside"]),
+                            lambda a: a + at["to_head"])
+        end = anchors(characters(F.substring(tail, last + 1, F.lit(K - 1))), middle + last)
+        return F.concat(
+            F.filter(found, lambda a: a < at["to_start"]),
+            F.when(size < K, across).otherwise(F.concat(
+                F.filter(across, lambda a: a < at["to_head"]), moved, end)))
+
+    # Bound, as the lambdas would count the tail's characters for each anchor.
+    size = F.char_length(tail)
+    return let(F.struct(
+        first.alias("start"), head.alias("head"), size.alias("size"), _at(first).alias("to_start"),
+        _at(head).alias("to_head"), _at(size - (K - 1)).alias("inside")), joined)
 
 
 def _block_of(key: Column, bounds: list[int]) -> Column:
@@ -184,7 +203,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         "edited", F.concat(F.substring(F.col("text"), F.lit(1), head), "tail"))
     changed = edited_anchors(F.col("anchors"), F.col("next_anchors"), F.col("text"), head,
                              F.col("tail"))
-    hashes = {c: F.array_distinct(F.col(c)["hash"]) for c in ("anchors", "changed", "next_anchors")}
+    hashes = {c: hashes_of(F.col(c)) for c in ("anchors", "changed", "next_anchors")}
     near = let(hashes["anchors"], lambda mine: F.struct(*[
         let(hashes[c], lambda other: likeness(mine, other)).alias(name)
         for c, name in (("changed", "edited"), ("next_anchors", "next"))]))

@@ -36,7 +36,7 @@ def brute_force(text):
 
 
 def shown(found):
-    return " ".join(f"{place:X}:{value:X}" for place, value in found)
+    return " ".join(f"{(place << 32) | value:X}" for place, value in found)
 
 
 def jaccard(one, two):
