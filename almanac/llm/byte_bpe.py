@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from almanac.llm.base import texts_of
 from almanac.session import ship_package
 
-CACHE_PIECES = 300_000
-CACHE_PAIRS = 1_000_000
+CACHE_PIECES = 250_000
+CACHE_PAIRS = 400_000
 CACHED_BYTES = 64
 ROWS_AT_ONCE = 256
 
@@ -72,7 +72,7 @@ class ByteBpe:
             self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
         self.shorter = {rank: self._prefix(self.bytes_of[rank]) for rank in self.left}
-        self.memo: dict[tuple[int, int], bool] = {}
+        self.memo: dict[int, bool] = {}
         self.cache = _PieceCache(self)
 
     def _prefix(self, token: bytes) -> int | None:
@@ -104,11 +104,12 @@ class ByteBpe:
                 return True
 
     def compatible(self, one: int, two: int) -> bool:
-        known = self.memo.get((one, two))
+        pair = one << 32 | two
+        known = self.memo.get(pair)
         if known is None:
             if len(self.memo) >= CACHE_PAIRS:
                 self.memo.clear()
-            known = self.memo[one, two] = self._stands(one, two)
+            known = self.memo[pair] = self._stands(one, two)
         return known
 
     def encode_piece(self, piece: bytes) -> list[int]:
