@@ -8,6 +8,7 @@ script, country code, card checksum and the gender of given names stay.
 
 Surrogates are checked over the whole corpus: two entities with one surrogate, or a surrogate that
 is somebody's real value, make all but one of them take their next surrogate, until none collide.
+Surrogates get longer after ``SAME_LENGTH`` attempts, so a shape that is nearly all in use ends, too.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from almanac.llm.base import text_digest, unused, written
 from almanac.session import ship_package
 
 ROWS_AT_ONCE = 512
-MOST_ATTEMPTS = 50
+SAME_LENGTH = 8  # attempts; each later one makes the surrogate longer by one
 
 # --- fixed values -----------------------------------------------------------
 TITLES = {
@@ -44,6 +45,9 @@ GIVEN_NAMES = {
           "María", "Ольга", "Елена", "Наталья"],
 }
 RESERVED_DOMAINS = ("example.com", "example.net", "example.org")
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+PHONE_DIGITS = 10
+MARKS = "!#$%&*+-.:?@^_~"
 SYLLABLES = {
     "latin": ("bdfgklmnprstv", "aeiou", "nrsl"),
     "cyrillic": ("бвгдклмнпрст", "аеиоу", "нрсл"),
@@ -113,6 +117,26 @@ def _names(match: re.Match, gender: str) -> Iterator[tuple[int, int, str, str]]:
         at += len(word) + 1
 
 
+def _replaced_part(kind: str, canonical: str) -> str:
+    """What a surrogate changes of a secret or a mailbox; the rest of it is fixed."""
+    if kind == "email":
+        local, domain = canonical.rsplit("@", 1)
+        return local if domain.endswith(RESERVED_DOMAINS) else canonical
+    return canonical[len(_prefix(canonical)):]
+
+
+def _prefix(secret: str) -> str:
+    if re.match(r"gh[pousr]_", secret):
+        return secret[:4]
+    return next((p for p in ("AKIA", "sk-") if secret.startswith(p)), "")
+
+
+def _masked(kind: str, canonical: str) -> bool:
+    """Whether nothing is left to hide: no character, or one mark again and again."""
+    part = set(_replaced_part(kind, canonical))
+    return len(part) < 2 and not any(c.isalpha() or c.isdigit() for c in part)
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """``start, end, kind, canonical`` of the entities, from left to right, without overlaps."""
     found: list[tuple[int, int, str, str]] = []
@@ -141,7 +165,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                     named = "card" if _luhn(digits[:-1]) == int(digits[-1]) else "account"
                     canonical = digits
                 elif kind == "phone":
-                    canonical = _digits(mention)[-10:]
+                    canonical = _digits(mention)[-PHONE_DIGITS:]
                 elif kind == "ssn":
                     canonical = _digits(mention)
                 elif kind == "iban":
@@ -150,6 +174,8 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                     canonical = mention.lower()
                 else:
                     canonical = mention
+                if kind in ("secret", "email") and _masked(kind, canonical):
+                    continue
                 if free(start, end):
                     found.append((start, end, named, canonical))
     for pattern in (_TITLED, _KNOWN):
@@ -182,9 +208,14 @@ class _Draw:
         return choices[self.below(len(choices))]
 
 
-def _like(text: str, draw: _Draw) -> str:
-    """Other characters of the same classes; separators stay, hexadecimal text stays it."""
-    letters = "abcdef" if _HEX.fullmatch(text) else "abcdefghijklmnopqrstuvwxyz"
+def _like(text: str, draw: _Draw, more: int = 0, marks: str = MARKS) -> str:
+    """Other characters of the same classes, and ``more`` of the last one's; separators stay,
+    hexadecimal text stays it. Text of separators only gets others of ``marks``."""
+    last = next((c for c in reversed(text) if c.isalpha() or c.isdigit()), None)
+    if last is None:
+        return "".join(draw.of(marks) for _ in range(len(text) + more))
+    text += ("0" if last.isdigit() else "A" if last.isupper() else "a") * more
+    letters = "abcdef" if _HEX.fullmatch(text) else LETTERS
 
     def other(char: str) -> str:
         if char.isdigit():
@@ -200,49 +231,50 @@ def _number(digits: str, draw: _Draw) -> str:
     return draw.of("23456789") + "".join(draw.of("0123456789") for _ in digits[1:])
 
 
-def _name(kind: str, draw: _Draw) -> str:
+def _name(kind: str, draw: _Draw, more: int) -> str:
     script, gender = kind.split(".")[-1], kind.split(".")[1]
     onsets, vowels, codas = SYLLABLES[script]
-    syllables = [draw.of(onsets) + draw.of(vowels) for _ in range(4)]
+    syllables = [draw.of(onsets) + draw.of(vowels) for _ in range(4 + more)]
     if kind.startswith("given"):
         end = ENDINGS.get(gender, {}).get(script, "")
-        return "".join(syllables[:3]) + draw.of(onsets) + end
+        return "".join(syllables[:-1]) + draw.of(onsets) + end
     return "".join(syllables) + draw.of(codas)
 
 
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     """The canonical form of the entity's surrogate."""
     draw = _Draw(key, kind, canonical, attempt)
+    more = max(0, attempt - SAME_LENGTH + 1)
     if kind.startswith(("given", "family")):
-        return _name(kind, draw)
+        return _name(kind, draw, more)
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "card":
-        body = canonical[0] + "".join(draw.of("0123456789") for _ in canonical[2:])
+        body = canonical[0] + "".join(draw.of("0123456789") for _ in range(
+            len(canonical) - 2 + more))
         return body + str(_luhn(body))
     if kind in ("account", "phone", "ssn"):
-        return _number(canonical, draw)
+        return _number(canonical + "0" * more, draw)
     if kind == "iban":
-        body = _like(canonical[4:], draw)
+        body = _like(canonical[4:], draw, more)
         check = int("".join(str(int(c, 36)) for c in body + canonical[:2] + "00")) % 97
         return f"{canonical[:2]}{98 - check:02d}{body}"
     if kind == "email":
         local, domain = canonical.rsplit("@", 1)
         if not domain.endswith(RESERVED_DOMAINS):
             host, _, top = domain.rpartition(".")
-            domain = _like(host, draw) + "." + top
-        return _like(local, draw) + "@" + domain
-    prefix = next((p for p in ("AKIA", "sk-") if canonical.startswith(p)), "")
-    if re.match(r"gh[pousr]_", canonical):
-        prefix = canonical[:4]
-    return prefix + _like(canonical[len(prefix):], draw)
+            domain = _like(host, draw, marks=LETTERS) + "." + top
+        return _like(local, draw, more, LETTERS) + "@" + domain
+    prefix = _prefix(canonical)
+    return prefix + _like(canonical[len(prefix):], draw, more)
 
 
 def render(kind: str, mention: str, canonical: str) -> str:
     """The surrogate in the format of the mention."""
     if kind in ("card", "account", "ssn", "phone", "iban"):
         rest = iter(canonical)
-        skip = sum(c.isalnum() for c in mention) - len(canonical)  # a country code stays
+        # A country code stays.
+        skip = sum(c.isalnum() for c in mention) - PHONE_DIGITS if kind == "phone" else 0
         out = []
         for char in mention:
             if not char.isalnum():
@@ -252,7 +284,7 @@ def render(kind: str, mention: str, canonical: str) -> str:
                 out.append(char)
             else:
                 out.append(next(rest))
-        return "".join(out)
+        return "".join([*out, *rest])
     if kind.startswith(("given", "family")):
         return canonical.upper() if mention.isupper() else canonical.capitalize()
     if kind == "email" and mention.isupper():
@@ -303,7 +335,7 @@ def _with_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
 def surrogate_table(found: DataFrame, key: bytes) -> DataFrame:
     """``kind, canonical, attempt, surrogate`` of the distinct entities, without collisions."""
     entities = found.select("kind", "canonical").distinct().withColumn("attempt", F.lit(0))
-    for _ in range(MOST_ATTEMPTS):
+    while True:
         table = written(_with_surrogates(entities, key), "pii-surrogates")
         same = Window.partitionBy("kind", "surrogate").orderBy("attempt", "canonical")
         real = table.select(F.col("kind").alias("k"), F.col("canonical").alias("c")).distinct()
@@ -316,7 +348,6 @@ def surrogate_table(found: DataFrame, key: bytes) -> DataFrame:
             return table
         entities = judged.select("kind", "canonical",
                                  (F.col("attempt") + F.col("collides").cast("int")).alias("attempt"))
-    raise ValueError(f"surrogates still collide after {MOST_ATTEMPTS} attempts")
 
 
 def _with_attempts(docs: DataFrame, found: DataFrame, table: DataFrame, name: str) -> DataFrame:

@@ -101,3 +101,40 @@ def test_length_column_follows(spark):
 
 def test_render_keeps_country_code():
     assert render("phone", "+44 20 7946 0958", "1234567890") == "+44 12 3456 7890"
+
+
+@pytest.mark.parametrize("text", [
+    "password: ********", "token = ......", "ask _@example.com", "password=AKIA****",
+    "secret: ghp______________________"])
+def test_masked_values_are_left_alone(text):
+    assert replace(text, KEY, {}) == (text, 0)
+
+
+def test_secret_of_marks_is_replaced():
+    new, n = replace("password=!#$%&* and write to _-_@example.com", KEY, {})
+    assert n == 2 and "!#$%&*" not in new and "_-_@" not in new
+
+
+def test_full_shapes_get_longer_surrogates(spark):
+    """All one-letter mailboxes, all secrets with one digit, and masked values."""
+    real = [f"{c}@example.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    secrets = [f"****{d}***" for d in range(10)]
+    rows = [*enumerate([f"write to {m}" for m in real] + [f"password={s}" for s in secrets]),
+            (100, "password: ********"), (101, "token = ......"), (102, "_@example.com")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = dict(texts(replace_pii(docs, KEY)))
+    assert [got[i] for i in (100, 101, 102)] == [t for _, t in rows[-3:]]
+    new = [got[i].split("write to ")[-1].split("password=")[-1] for i in range(36)]
+    assert len(set(new)) == 36 and not set(new) & {*real, *secrets}
+    assert all(re.fullmatch(r"[a-z]+@example\.com", m) for m in new[:26])
+
+
+@pytest.mark.parametrize("kind, canonical", [
+    ("phone", "12345"), ("ssn", "123456789"), ("card", "4111111111111111"),
+    ("account", "1234567890123"), ("iban", "DE89370400440532013000"), ("secret", "****1***"),
+    ("family.latin", "smith"), ("given.m.latin", "john"), ("email", "a@b.com")])
+def test_late_attempts_are_longer_and_rendered_whole(kind, canonical):
+    first, late = (surrogate(KEY, kind, canonical, n) for n in (0, 9))
+    assert len(late) > len(first)
+    assert render(kind, canonical, late).casefold() == late.casefold()
+    assert render("phone", "+44 20 7946 0958", "12345678901") == "+44 12 3456 78901"
