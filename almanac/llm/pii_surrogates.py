@@ -1,8 +1,8 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
 Entities are e-mail and IP addresses, phone, card, account and social security numbers, IBANs,
-secrets, and names of persons behind a title or with a known given name. An entity has a canonical
-form, so that its mentions in other formats are the same entity; its surrogate comes from an HMAC
+secrets, and names of persons: behind a title or with a known given name, and wherever such a name
+comes again in the same text. An entity has a canonical form, so that its mentions in other formats are the same entity; its surrogate comes from an HMAC
 of type and canonical form and is written in the format of each mention: separators, case,
 script, country code, card checksum and the gender of given names stay.
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -57,9 +58,17 @@ ENDINGS = {"m": {"latin": "o", "cyrillic": "", "greek": "ος"},
            "f": {"latin": "a", "cyrillic": "а", "greek": "α"}}
 # ----------------------------------------------------------------------------
 
+
+
+def _plain(name: str) -> str:
+    """A Latin name without accents; any other as it is."""
+    letters = "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
+    return letters if letters.isascii() else name
+
+
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _VALUE = r"[\"']?(?P<value>[^\s\"',;]{6,})"
-_CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яά-ώ][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яά-ώ][^\W\d_]+(?:(?!['’]s(?!\w))[-'’][^\W\d_]+)*"
 STRUCTURED = [
     ("secret", re.compile(r"(?<!\w)(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}"
                           + _VALUE)),
@@ -68,6 +77,8 @@ STRUCTURED = [
     ("email", re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}+@[A-Za-z0-9-]{1,63}+"
                          r"(?:\.[A-Za-z0-9-]{1,63}+){1,8}")),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")),
+    ("ip6", re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:)[0-9A-Fa-f:]{2,39}"
+                       r"(?:(?<=::)|(?<!:))(?!\w|:[0-9A-Fa-f:]|\.\d)")),
     ("ip", re.compile(rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\w]|\.\d)")),
     ("phone", re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}"
                          r"(?:[ .-]\d{2,4}){1,4}(?!\w)|(?<![\w+])\+\d{8,15}(?!\w)|"
@@ -78,12 +89,16 @@ STRUCTURED = [
 ]
 _HEX = re.compile(r"[0-9a-f]{8,}|[0-9A-F]{8,}")
 _TITLE_GENDER = {t: g for g, titles in TITLES.items() for t in titles}
-_GIVEN_GENDER = {n.casefold(): g for g, names in GIVEN_NAMES.items() for n in names}
-_TITLED = re.compile(r"(?<!\w)(?P<title>" + "|".join(sorted(map(re.escape, _TITLE_GENDER),
-                     key=len, reverse=True)) + rf")\.?[  ](?P<names>{_CAPITAL}(?: {_CAPITAL})"
-                     r"{0,2})")
-_KNOWN = re.compile(r"(?<!\w)(?P<names>(?:" + "|".join(
-    re.escape(n) for names in GIVEN_NAMES.values() for n in names) + rf")(?: {_CAPITAL}){{1,2}})")
+_TITLE_WORDS = {t.casefold() for t in _TITLE_GENDER}
+_GIVEN_GENDER = {form.casefold(): g for g, names in GIVEN_NAMES.items() for n in names
+                 for form in (n, _plain(n))}
+_ANY_TITLE = "|".join(sorted(map(re.escape, _TITLE_GENDER), key=len, reverse=True))
+_TITLED = re.compile(rf"(?<!\w)(?P<titles>(?:(?:{_ANY_TITLE})\.?[  ]){{1,3}})"
+                     rf"(?P<names>{_CAPITAL}(?: {_CAPITAL}){{0,2}})")
+_KNOWN = re.compile(r"(?<!\w)(?P<names>(?:" + "|".join(sorted(
+    {re.escape(form) for names in GIVEN_NAMES.values() for n in names for form in (n, _plain(n))})
+    ) + rf")(?: {_CAPITAL}){{1,2}})")
+_WORD = re.compile(rf"(?<!\w){_CAPITAL}(?!\w)")
 
 
 def _luhn(digits: str) -> int:
@@ -104,19 +119,71 @@ def _script(word: str) -> str:
     return name if name in SYLLABLES else "latin"
 
 
-def _names(match: re.Match, gender: str) -> Iterator[tuple[int, int, str, str]]:
-    """Given names and the family name of a match, each an entity of its own."""
+def _names(match: re.Match, gender: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """``start, end, word, role, gender`` of the given names and the family name of a match. A
+    word that stands alone behind a title may be either."""
     at = match.start("names")
     words = match["names"].split(" ")
     known = [_GIVEN_GENDER.get(w.casefold()) for w in words]
     gender = next((g for g in known if g), gender)
     for place, word in enumerate(words):
-        family = place == len(words) - 1 and (len(words) > 1 or not known[place])
-        kind = f"family.{_script(word)}" if family else f"given.{gender}.{_script(word)}"
-        yield at, at + len(word), kind, word.casefold()
+        if len(words) > 1:
+            role = "family" if place == len(words) - 1 else "given"
+        else:
+            role = "given" if known[place] else "either"
+        yield at, at + len(word), word, role, gender
         at += len(word) + 1
 
 
+def _persons(text: str, free: Callable[[int, int], bool]) -> list[tuple[int, int, str, str]]:
+    """The names, and all later and earlier mentions of the same words in the text.
+
+    In a text a given name has one gender: its own, or else the first that a title or another
+    given name tells.
+    """
+    found = []
+    for pattern in (_TITLED, _KNOWN):
+        for match in pattern.finditer(text):
+            gender = "n"
+            if pattern is _TITLED:
+                genders = [_TITLE_GENDER[t] for t in re.findall(_ANY_TITLE, match["titles"])]
+                gender = next((g for g in genders if g != "n"), "n")
+            if free(match.start("names"), match.end("names")):
+                found.extend(_names(match, gender))
+    if not found:
+        return []
+    given: dict[str, str] = {}
+    families = set()
+    for _, _, word, role, gender in sorted(found):
+        key = word.casefold()
+        if role == "given":
+            if given.get(key, "n") == "n":
+                given[key] = _GIVEN_GENDER.get(key, gender)
+        elif role == "family":
+            families.add(key)
+    families |= {key for key in (f[2].casefold() for f in found if f[3] == "either")
+                 if key not in given}
+
+    def entity(start: int, word: str, role: str) -> tuple[int, int, str, str]:
+        key = word.casefold()
+        is_family = role == "family" or role == "either" and key in families
+        kind = "family" if is_family else f"given.{given[key]}"
+        return start, start + len(word), f"{kind}.{_script(word)}", key
+
+    out = [entity(start, word, role) for start, _, word, role, _ in found]
+    named = (families | given.keys()) - _TITLE_WORDS
+    for match in _WORD.finditer(text):
+        words = [match]
+        if match[0].casefold() not in named:  # one name of a compound
+            words = re.finditer(r"[^\W\d_]+", match[0]) if re.search(r"[-'’]", match[0]) else []
+        for word in words:
+            start = match.start() + (word.start() if word is not match else 0)
+            if (word[0].casefold() in named and word[0][0].isupper()
+                    and free(start, start + len(word[0]))):
+                out.append(entity(start, word[0], "either"))
+    return out
+
+
 def _replaced_part(kind: str, canonical: str) -> str:
     """What a surrogate changes of a secret or a mailbox; the rest of it is fixed."""
     if kind == "email":
@@ -131,6 +198,18 @@ def _prefix(secret: str) -> str:
     return next((p for p in ("AKIA", "sk-") if secret.startswith(p)), "")
 
 
+def _ip6(mention: str) -> str | None:
+    """The shortest form of an address of a host; nothing for other text, such as ``a::b``."""
+    try:
+        address = ipaddress.IPv6Address(mention)
+    except ValueError:
+        return None
+    groups = [g for g in mention.split(":") if g]
+    if address.is_loopback or len(groups) < 3 and not any(map(str.isdigit, mention)):
+        return None
+    return address.compressed if groups else None
+
+
 def _masked(kind: str, canonical: str) -> bool:
     """Whether nothing is left to hide: no character, or one mark again and again."""
     part = set(_replaced_part(kind, canonical))
@@ -156,6 +235,8 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         for kind, pattern in STRUCTURED:
             if kind == "email" and "@" not in text:
                 continue
+            if kind == "ip6" and "::" not in text and text.count(":") < 7:
+                continue
             for match in pattern.finditer(text):
                 start, end = match.span("value" if kind == "secret" else 0)
                 mention = text[start:end]
@@ -172,17 +253,15 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                     canonical = mention.replace(" ", "")
                 elif kind == "email":
                     canonical = mention.lower()
+                elif kind == "ip6":
+                    canonical = _ip6(mention)
                 else:
                     canonical = mention
-                if kind in ("secret", "email") and _masked(kind, canonical):
+                if not canonical or kind in ("secret", "email") and _masked(kind, canonical):
                     continue
                 if free(start, end):
                     found.append((start, end, named, canonical))
-    for pattern in (_TITLED, _KNOWN):
-        for match in pattern.finditer(text):
-            gender = _TITLE_GENDER[match["title"]] if pattern is _TITLED else "n"
-            if free(match.start("names"), match.end("names")):
-                found.extend(_names(match, gender))
+    found.extend(_persons(text, free))
     return sorted(found)
 
 
@@ -249,6 +328,10 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         return _name(kind, draw, more)
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
+    if kind == "ip6":  # of the addresses for documentation; the run of zeros can be shortened
+        groups = [0x2001, 0xDB8, *[1 + draw.below(0xFFFF) for _ in range(min(more, 2))],
+                  *[0] * (2 - min(more, 2)), *[1 + draw.below(0xFFFF) for _ in range(4)]]
+        return ipaddress.IPv6Address(":".join(f"{g:x}" for g in groups)).compressed
     if kind == "card":
         body = canonical[0] + "".join(draw.of("0123456789") for _ in range(
             len(canonical) - 2 + more))
@@ -287,7 +370,12 @@ def render(kind: str, mention: str, canonical: str) -> str:
         return "".join([*out, *rest])
     if kind.startswith(("given", "family")):
         return canonical.upper() if mention.isupper() else canonical.capitalize()
-    if kind == "email" and mention.isupper():
+    if kind == "ip6" and "::" not in mention:
+        whole = ipaddress.IPv6Address(canonical).exploded.split(":")
+        if min(map(len, mention.split(":"))) < 4:
+            whole = [f"{int(group, 16):x}" for group in whole]
+        canonical = ":".join(whole)
+    if kind in ("email", "ip6") and mention.isupper():
         return canonical.upper()
     return canonical
 

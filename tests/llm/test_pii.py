@@ -138,3 +138,50 @@ def test_late_attempts_are_longer_and_rendered_whole(kind, canonical):
     assert len(late) > len(first)
     assert render(kind, canonical, late).casefold() == late.casefold()
     assert render("phone", "+44 20 7946 0958", "12345678901") == "+44 12 3456 78901"
+
+
+def test_later_mentions_of_a_name_are_replaced():
+    text = ("Earlier KOWALSKA wrote. Dr. Maria Kowalska came. Kowalska's friend said that Maria and "
+            "Kowalska-Nowak left; Frau Dr. Müller and Müller stayed, kowalska is no name here.")
+    new, _ = replace(text, KEY, {})
+    for real in ("KOWALSKA", "Kowalska", "Maria", "Müller"):
+        assert real not in new, real
+    given, family = re.search(r"Dr\. (\w+) (\w+) came\. ", new).groups()
+    assert new.startswith(f"Earlier {family.upper()} wrote")
+    assert f"{family}'s friend said that {given} and {family}-" in new
+    other = re.search(r"Frau Dr\. (\w+) and (\w+) stayed", new)
+    assert other[1] == other[2] != family and "kowalska is no name" in new
+    assert replace("Then Kowalska came", KEY, {})[1] == 0
+
+
+@pytest.mark.parametrize("text, kind", [
+    ("Dr Alex Novak, Mr Alex Novak and Alex", "given.m.latin"),
+    ("Mrs Alex Novak, Dr Alex Novak and Alex", "given.f.latin"),
+    ("Dr Alex. Dr Alex Novak", "given.n.latin"), ("Mr María Novak or María", "given.f.latin")])
+def test_a_given_name_has_one_gender_in_a_text(text, kind):
+    kinds = {k for k, canonical in found(text) if canonical != "novak"}
+    assert kinds == {kind}
+
+
+def test_given_names_without_accents_are_known():
+    assert found("Jose Lopez saw José Lopez")[0] == ("given.m.latin", "jose")
+
+
+def test_ip6_addresses():
+    text = ("from 2001:DB8:0:0:8:800:200C:417A, [2a02:810d::1]:443, 2A02:810D:0:0:0:0:0:1 and "
+            "2a02:810d:0000:0000:0000:0000:0000:0001/64: at fe80::1. Not 12:30:45, std::vector, "
+            "a::b, ::, ::1 or 00:1a:2b:3c:4d:5e; but ::ffff:10.0.0.7")
+    assert found(text) == [("ip6", "2001:db8::8:800:200c:417a"), *[("ip6", "2a02:810d::1")] * 3,
+                           ("ip6", "fe80::1"), ("ip", "10.0.0.7")]
+    new, _ = replace(text, KEY, {})
+    short = re.search(r"\[(2001:db8::[0-9a-f:]+)\]:443", new)[1]
+    plain = short.replace("::", ":0:0:")
+    whole = ":".join(g.zfill(4) for g in plain.split(":"))
+    assert f" {plain.upper()} and {whole}/64: at 2001:db8::" in new
+    assert "2a02" not in new.lower() and "Not 12:30:45, std::vector, a::b, ::, ::1 or 00:1a" in new
+
+
+def test_scanning_for_later_mentions_is_linear():
+    for text in ("Dr. Maria Kowalska " + "Kowalska " * 60_000, "Dr Novak " + "A-" * 100_000,
+                 "Dr. " * 60_000, "1:" * 150_000, "::" * 150_000, "Mr Novak " + "Bo-Novak-" * 30_000):
+        detect(text)
