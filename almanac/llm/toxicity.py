@@ -22,9 +22,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almanac.llm.base import text_digest, text_or_empty
 from almanac.llm.gru import Adam, BiGru, sigmoid
 from almanac.session import ship_package
 
@@ -35,11 +36,13 @@ GRAM = 5
 
 @dataclass(frozen=True)
 class Toxicity:
-    """``toxic``, ``clean`` and ``sample_bytes`` bound the sample of labelled rows."""
+    """``toxic``, ``clean`` and ``sample_bytes`` bound the sample of labelled rows. A class with fewer
+    than ``least`` whole texts in it has excerpts of its long ones."""
 
     toxic: int = 1500
     clean: int = 3000
     sample_bytes: int = 16 << 20
+    least: int = 50
     window: int = 64
     stride: int = 48
     word_chars: int = 20
@@ -330,32 +333,87 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(column.cast("string")) % 5 == 0, F.lit(False))
 
 
+def excerpt(text: str, size: int, pieces: int = 32) -> str:
+    """About ``size`` bytes of a text: pieces at equal distances, without words that they cut."""
+    size = size * len(text) // max(1, len(text.encode()))
+    each = max(1, size // pieces)
+    if len(text) <= max(size, each * pieces):
+        return text
+    out = []
+    for start in (k * (len(text) - each) // (pieces - 1) for k in range(pieces)):
+        end = start + each
+        words = text[start:end].split()
+        if len(words) > 2:
+            words = words[0 if start == 0 or text[start - 1].isspace() else 1:
+                          None if end == len(text) or text[end].isspace() else -1]
+        out += words
+    return " ".join(out)
+
+
+def _chosen(parts: list[pa.Table], by: Toxicity) -> pa.Table:
+    """The rows of each class that fit its share of the bytes, and whether their text is whole.
+
+    A class has half of the bytes, or what the other one leaves. Short texts come first, so a long
+    one takes no other's place. If fewer than ``least`` fit, long texts count as excerpts, of which
+    half of the bytes hold that many.
+    """
+    longest, out = by.sample_bytes // 100, []
+    size = [np.asarray(part.column("bytes").to_pylist(), np.int64) for part in parts]
+    for part, mine, other in zip(parts, size, size[::-1]):
+        room = max(by.sample_bytes // 2, by.sample_bytes - int(other.sum()))
+        fits = np.cumsum(mine) <= room
+        whole = np.ones(len(mine), bool)
+        if fits.sum() < min(by.least, len(mine)):
+            whole = mine <= longest
+            fits = np.cumsum(np.minimum(mine, longest)) <= room
+        out.append(part.append_column("whole", pa.array(whole)).filter(pa.array(fits)))
+    return pa.concat_tables(out)
+
+
 def train(docs: DataFrame, labels: DataFrame,
           by: Toxicity = Toxicity()) -> ToxicModel | ConstantModel:
     """Learn from ``labels`` (``doc_id, toxic``), of which held-out rows are left out.
 
-    A document with several labels is toxic if one says so. The sample is the first rows by a hash
-    of their ids, up to a number of each class and of bytes. Rows with a null id aren't learned
-    from.
+    A document with several labels is toxic if one says so, one with several texts has that of the
+    least digest. The sample is the first rows by a hash of their ids, up to a number of each class
+    and of bytes; long texts come last. Rows with a null id aren't learned from.
     """
+    spark = docs.sparkSession
+    ship_package(spark)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     by_id = known.groupBy(F.col("doc_id").alias("id")).agg(
         F.max(F.col("toxic").cast("int")).alias("label"))
-    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    sizes = docs.select("doc_id", F.struct(
+        text_digest().alias("digest"), F.octet_length(text_or_empty()).alias("bytes")).alias("row"))
     found = by_id.join(sizes, F.col("id") == F.col("doc_id")).groupBy("id", "label").agg(
-        F.max("bytes").alias("bytes"))
+        F.min("row").alias("row")).select("id", "label", "row.digest", "row.bytes")
     totals = {r["label"]: r["n"] for r in by_id.groupBy("label").agg(
         F.count(F.lit(1)).alias("n")).collect()}
-    limits = {0: by.clean, 1: by.toxic}
-    order = [F.xxhash64("id"), F.col("id")]
-    parts = [found.where(F.col("label") == c).orderBy(*order).limit(n) for c, n in limits.items()]
-    # At most toxic + clean rows of three numbers: one task and a broadcast are bounded.
-    running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    sample = parts[0].union(parts[1]).withColumn("upto", F.sum("bytes").over(running)).where(
-        F.col("upto") <= by.sample_bytes).select("id", "label")
-    rows = docs.select("doc_id", "text").join(
-        F.broadcast(sample), F.col("doc_id") == F.col("id")).select("id", "label", "text").toArrow()
-    rows = rows.sort_by([("id", "ascending"), ("text", "ascending")])
+    longest = by.sample_bytes // 100
+    order = [F.when(F.col("bytes") > longest, F.col("bytes")).otherwise(0), F.xxhash64("id"),
+             F.col("id")]
+    # At most toxic + clean rows of four values: the driver and a broadcast are bounded.
+    parts = [found.where(F.col("label") == c).orderBy(*order).limit(n).toArrow()
+             for c, n in ((0, by.clean), (1, by.toxic))]
+    sample = spark.createDataFrame(_chosen(parts, by), found.withColumn("whole", F.lit(True)).schema)
+    chosen = (
+        docs.select("doc_id", "text", text_digest().alias("text_digest"))
+        .join(F.broadcast(sample), (F.col("doc_id") == F.col("id"))
+              & (F.col("text_digest") == F.col("digest")))
+        .groupBy("id", "label", "whole").agg(F.first("text").alias("text"))
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t if whole else excerpt(t or "", longest) for t, whole in zip(
+                batch.column("text").to_pylist(), batch.column("whole").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("label"), pa.array(texts, pa.string())],
+                ["id", "label", "text"])
+
+    kind = found.schema["id"].dataType.simpleString()
+    rows = chosen.mapInArrow(cut, f"id {kind}, label int, text string").toArrow()
+    rows = rows.sort_by("id")
     label = np.array(rows.column("label").to_pylist(), int)
     weight = np.array([totals[c] / max(1, (label == c).sum()) for c in (0, 1)]) if len(label) \
         and set(totals) == {0, 1} else np.ones(2)

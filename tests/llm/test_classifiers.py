@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from almanac.llm import cotraining, toxicity
@@ -138,6 +139,48 @@ def test_toxicity_without_both_classes(spark, messy, no_documents):
         assert toxicity.score_documents(no_documents, model).count() == 0
 
 
+def test_a_long_text_takes_no_other_place_in_the_sample(spark):
+    sample, labels = corpus(400, 6)
+    ids = spark.range(400).selectExpr("id", "xxhash64(id) AS place", "crc32(CAST(id AS STRING)) % 5 AS held")
+    first = ids.where("held <> 0").orderBy("place").first()["id"]
+    sample[first] = prose(7, 40_000)
+    labels[first] = 0
+    docs = spark.createDataFrame(list(enumerate(sample)), "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(m)) for i, m in enumerate(labels)], "doc_id long, toxic int")
+    by = Toxicity(char_steps=150, word_steps=160, passes=2, sample_bytes=200_000)
+    assert len(sample[first]) > by.sample_bytes
+    model = toxicity.train(docs, known, by)
+    assert isinstance(model, ToxicModel)
+    predicted = model.score(sample) >= 0.5
+    assert predicted[labels == 1].mean() >= 0.9 and predicted[labels == 0].mean() <= 0.05
+
+
+def test_sample_has_both_classes():
+    by = Toxicity()
+
+    def rows(label, sizes):
+        return pa.table({"label": pa.array([label] * len(sizes), pa.int32()),
+                         "bytes": pa.array(sizes, pa.int32())})
+
+    def kept(clean, toxic):
+        out = toxicity._chosen([rows(0, clean), rows(1, toxic)], by).to_pylist()
+        assert sum(r["bytes"] if r["whole"] else by.sample_bytes // 100 for r in out) <= by.sample_bytes
+        return [[(r["bytes"], r["whole"]) for r in out if r["label"] == c] for c in (0, 1)]
+
+    assert kept([2000] * 3000, [2000] * 1500) == [[(2000, True)] * 3000, [(2000, True)] * 1500]
+    assert kept([5000] * 3000, [100] * 10)[1] == [(100, True)] * 10
+    assert list(map(len, kept([20 << 20] * 80, [5 << 20] * 70))) == [50, 50]
+    assert kept([2000] * 3000, [2000] * 60 + [1 << 30]) == [[(2000, True)] * 3000, [(2000, True)] * 60]
+
+
+def test_excerpts_are_bounded_and_of_whole_words():
+    text = prose(11, 20_000)
+    part = toxicity.excerpt(text, 10_000)
+    assert 8_000 < len(part) <= 10_500 and set(part.split()) <= set(text.split())
+    assert toxicity.excerpt(text, len(text)) == text and toxicity.excerpt("", 10) == ""
+    assert len(toxicity.excerpt("é" * 100_000, 10_000)) <= 5_100
+
+
 def documents(n, seed):
     rng = random.Random(seed)
     rows = []
