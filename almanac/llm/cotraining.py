@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almanac.llm.base import unused
+from almanac.llm.base import text_digest, unused
 from almanac.session import ship_package
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -213,7 +213,8 @@ def _columns(docs: DataFrame) -> list:
 def train(docs: DataFrame, labels: DataFrame,
           by: CoTraining = CoTraining()) -> QualityModel | Constant:
     """Learn from ``labels`` (``doc_id, quality``). A document with several labels has their
-    rounded mean; null labels count for nothing. Rows with a null id aren't sampled."""
+    rounded mean; null labels count for nothing. Of the rows with one id, the sampled one with the
+    least text digest counts; rows with a null id count once for each text."""
     ship_package(docs.sparkSession)
     by_id = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.round(F.avg("quality")).cast("double").alias("label"))
@@ -221,12 +222,16 @@ def train(docs: DataFrame, labels: DataFrame,
     sample = by_id.orderBy(F.xxhash64("doc_id"), "doc_id").limit(by.labelled).select(
         F.col("doc_id").alias("id"), "label")
     rate = min(1.0, by.unlabelled / max(1, docs.count()))
-    pooled = F.pmod(F.xxhash64(F.lit("pool"), "doc_id"), F.lit(1 << 30)) < int(rate * (1 << 30))
+    pooled = F.pmod(F.xxhash64(F.lit("pool"), "doc_id", "text"), F.lit(1 << 30)) < int(
+        rate * (1 << 30))
     rows = (
         docs.select("doc_id", *_columns(docs))
         .join(F.broadcast(sample), F.col("doc_id") == F.col("id"), "left")
         .where(F.col("label").isNotNull() | pooled)
-        .drop("id")
+        .withColumn("digest", text_digest())
+        .groupBy("doc_id", "label", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("none"))
+        .agg(F.min(F.struct("digest", "text", "lang", "source", "n_chars")).alias("row"))
+        .select("doc_id", "label", "row.*")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,12 +240,14 @@ def train(docs: DataFrame, labels: DataFrame,
                 part = batch.slice(start, ROWS_AT_ONCE)
                 both = np.hstack(features(part))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("label"),
-                     pa.array(list(both), pa.list_(pa.float32()))], ["doc_id", "label", "x"])
+                    [part.column("doc_id"), part.column("label"), part.column("digest"),
+                     pa.array(list(both), pa.list_(pa.float32()))],
+                    ["doc_id", "label", "digest", "x"])
 
     seen = rows.mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label double, x array<float>"
-    ).toArrow().sort_by("doc_id")
+        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label double, digest binary, "
+             "x array<float>"
+    ).toArrow().sort_by([("doc_id", "ascending"), ("digest", "ascending")])
     if not seen.num_rows:
         return Constant(1.0)
     x = seen.column("x").combine_chunks().flatten().to_numpy().reshape(seen.num_rows, -1)

@@ -181,6 +181,32 @@ def test_excerpts_are_bounded_and_of_whole_words():
     assert len(toxicity.excerpt("é" * 100_000, 10_000)) <= 5_100
 
 
+def test_toxicity_learns_from_one_row_for_each_id(spark, monkeypatch):
+    rows = [(i, f"text {i}") for i in range(40)] * 2 + [(7, f"other {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda *args: seen.append(args))
+    toxicity.train(docs, labels)
+    held = sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(40))
+    assert len(seen[0][0]) == len(set(seen[0][0])) == 40 - held
+
+
+def test_quality_learns_from_one_row_for_each_id(spark, monkeypatch):
+    rows = [(i, f"text {i}") for i in range(40)] * 2 + [(i, f"other {k}") for i in (7, 33)
+                                                        for k in range(300)]
+    rows += [(None, f"nobody {k}") for k in range(1000)] + [(None, "same")] * 500
+    docs = spark.createDataFrame([(*r, "en", "src", 5) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(cotraining, "co_train", lambda *args: seen.append(args[2]))
+    cotraining.train(docs.repartition(4), labels)
+    assert len(seen[0]) == 40 + 1001 and (~np.isnan(seen[0])).sum() == 20
+    cotraining.train(docs, labels, cotraining.CoTraining(unlabelled=600))  # of 2,180 rows
+    assert 20 + 150 < len(seen[1]) < 20 + 450 and (~np.isnan(seen[1])).sum() == 20
+
+
 def documents(n, seed):
     rng = random.Random(seed)
     rows = []
