@@ -431,21 +431,27 @@ def archive_rejects_query(spark: SparkSession, sf: str) -> DataFrame:
     return archive_rejects(unpack_archives(A.index_archives(spark, sf, 10, broken=True)))
 
 
+ENTRIES_PER_FILE = 10_000
+
+
 def catalog_file_query(spark: SparkSession, sf: str) -> DataFrame:
     """The customer catalog written as a JSON array and read back, with its file order."""
     path = scratch_dir(spark, "catalog")
     rows = A.customer_catalog(spark, sf)
     entry = F.to_json(F.struct(*CATALOG.names))
-    # One array per nation, as files in the order of their names.
-    arrays = rows.groupBy((F.col("pos") % 25).alias("part")).agg(
+    # 25 parts, each of arrays of a bounded number of entries, as files in the order of their names.
+    block = F.floor(F.col("pos") / (25 * ENTRIES_PER_FILE))
+    arrays = rows.groupBy((F.col("pos") % 25).alias("part"), block.alias("block")).agg(
         F.array_sort(F.collect_list(F.struct("pos", entry.alias("entry")))).alias("entries"))
     text = F.concat(F.lit("[\n"), F.array_join("entries.entry", ",\n"), F.lit("\n]"))
-    arrays.select(F.format_string("%02d", "part").alias("part"), text.alias("value")).write.option(
-        "lineSep", "\n").partitionBy("part").text(path)
+    arrays.select(
+        F.format_string("%02d", "part").alias("part"),
+        F.format_string("%012d", "block").alias("block"), text.alias("value"),
+    ).write.option("lineSep", "\n").partitionBy("part", "block").text(path)
     read = read_catalog(spark, path)
-    place = F.row_number().over(Window.partitionBy(F.shiftright("pos", 33)).orderBy("pos"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("pos"))
     return read.select("symbol", "name", "category", "region", "refresh", "unit",
-                       F.shiftright("pos", 33).alias("file"), place.alias("place"))
+                       F.col("part").cast("long").alias("file"), place.alias("place"))
 
 
 def ordered_dataset_query(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,6 +3,7 @@ import pytest
 from check import TABLES, canonical
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from almanac.workload import queries as workload
 from almanac.workload.oracles import ORACLES
 from almanac.workload.queries import QUERIES
 from almanac.workload.scratch import scratch_dir
@@ -33,6 +34,20 @@ def test_query_equals_sql(spark, tables, name):
     assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(expected, columns)
 
 
+def test_catalog_files_hold_a_bounded_number_of_entries(spark, tables, monkeypatch):
+    written = []
+    monkeypatch.setattr(workload, "scratch_dir",
+                        lambda *args: written.append(scratch_dir(*args)) or written[-1])
+    monkeypatch.setattr(workload, "ENTRIES_PER_FILE", 2, raising=False)
+    df = QUERIES["catalog_file"](spark, SMOKE_DIR)
+    result = tables.execute(ORACLES["catalog_file"])
+    columns = [d[0] for d in result.description]
+    assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(
+        result.fetchall(), columns)
+    sizes = [r["value"].count('"symbol"') for r in spark.read.text(written[0], wholetext=True).collect()]
+    assert len(sizes) > 25 and max(sizes) <= 2
+
+
 def test_entry(spark):
     rows = entry(spark).collect()
     assert len(rows) == 4 and rows[0]["change_pct"] >= rows[-1]["change_pct"]
