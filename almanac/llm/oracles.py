@@ -112,8 +112,61 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+WORD_RUNS = r"""
+WITH hashed AS (
+  SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text,
+         xor(list_reduce(
+           list_prepend(4294967295::UBIGINT, list_transform(
+             string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+           lambda crc, byte: list_reduce(
+             list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+             lambda v, bit: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)),
+           4294967295)::BIGINT AS h
+  FROM documents),
+split AS (
+  SELECT doc_id, row, h, h // 10 AS g,
+         regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM hashed),
+drawn AS (SELECT *, len(words) AS n, g % nullif(len(words), 0) AS a FROM split),
+periods AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM drawn),
+texts AS (
+  SELECT doc_id, row, n,
+         CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(
+           range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+         ELSE words END AS words
+  FROM periods),
+placed AS (
+  SELECT row, n, generate_subscripts(words, 1) - 1 AS i, unnest(words) AS word FROM texts),
+equal AS (
+  SELECT x.row, x.i, y.i - x.i AS q,
+         x.i - row_number() OVER (PARTITION BY x.row, y.i - x.i ORDER BY x.i) AS island
+  FROM placed x JOIN placed y
+    ON x.row = y.row AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (
+  SELECT row, min(i) AS start, count(*) + q AS length, q
+  FROM equal GROUP BY row, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT row, start, length, min(q) AS period FROM stretches GROUP BY ALL),
+per_text AS (
+  SELECT row, count(*) AS n_runs,
+         max(struct_pack(length := length, back := -start, least := -period)) AS longest,
+         string_agg(start || ',' || length || ',' || period || chr(10), ''
+                    ORDER BY start, period) AS lines
+  FROM runs GROUP BY row),
+dropped AS (
+  SELECT row, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS collapsed
+  FROM placed ANTI JOIN dropped USING (row, i) GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, (-longest.back)::BIGINT AS start,
+       longest.length::BIGINT AS length, (-longest.least)::BIGINT AS period,
+       (1000 * longest.length // -longest.least)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM texts LEFT JOIN per_text USING (row) LEFT JOIN kept USING (row)
+"""
+
 ORACLES = {
     "op5_url_reputation": URL_REPUTATION,
     "op8_top_k": TOP_K,
     "op9_source_mix": MIX,
+    "op11_word_runs": WORD_RUNS,
 }

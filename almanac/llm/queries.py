@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm import cotraining, toxicity
+from almanac.llm.base import let
 from almanac.llm.byte_bpe import encode_documents
 from almanac.llm.minhash import near_duplicate_classes
-from almanac.llm.mixing import mix_documents
+from almanac.llm.mixing import WORD, mix_documents
 from almanac.llm.mtree import top_k
 from almanac.llm.pii_surrogates import replace_pii
 from almanac.llm.syncmers import fingerprint_documents
 from almanac.llm.token_cache import token_counts
 from almanac.llm.url_reputation import judge_pages
+from almanac.llm.word_runs import word_runs
 
 PII_KEY = b"surrogates-1"
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
@@ -76,6 +78,42 @@ def quality_query(spark: SparkSession, sf: str) -> DataFrame:
     return cotraining.score_documents(docs, model)
 
 
+def periodic_text() -> Column:
+    """The text of one document in ten, by the id's digest, made periodic behind some word."""
+    digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    seed = F.floor(digest / 10)
+
+    def edited(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        first = seed % n
+        period = F.floor((n - first) / (F.lit(3) + seed % 8)) + 1
+        repeated = F.transform(
+            F.sequence(first, n - 1),
+            lambda i: F.get(words, (first + (i - first) % period).cast("int")))
+        return F.array_join(
+            F.concat(F.slice(words, F.lit(1), first.cast("int")), repeated), " ")
+
+    chosen = (digest % 10 == 0) & (F.regexp_count("text", F.lit(WORD)) > 0)
+    return F.when(chosen, let(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), edited)
+                  ).otherwise(F.col("text"))
+
+
+def word_runs_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", periodic_text().alias("text"))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("least"))))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return word_runs(docs).select(
+        "doc_id", "runs", "collapsed", longest.alias("longest"), lines.alias("lines")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.back")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.least")).alias("period"),
+        F.expr("(1000 * longest.length) div -longest.least").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_pii_surrogates": pii_query,
     "op2_token_counts": token_counts_query,
@@ -87,4 +125,5 @@ QUERIES = {
     "op8_top_k": top_k_query,
     "op9_source_mix": mixing_query,
     "op10_quality": quality_query,
+    "op11_word_runs": word_runs_query,
 }
