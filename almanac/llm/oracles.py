@@ -164,9 +164,53 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, (-longest.back)::BIGINT AS
 FROM texts LEFT JOIN per_text USING (row) LEFT JOIN kept USING (row)
 """
 
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+words AS (
+  SELECT row, lang, source,
+         unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+vocabulary AS (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+langs AS (SELECT lang, count(*) AS terms, sum(n) AS n FROM vocabulary GROUP BY lang),
+counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN vocabulary USING (lang, term)
+  GROUP BY ALL),
+groups AS (
+  SELECT lang, source, coalesce(sum(counts.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source)
+  GROUP BY ALL),
+priced AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.n + l.terms)::HUGEINT AS p,
+         1 + 1000000000::HUGEINT * (v.n + 1) // (l.n + l.terms)::HUGEINT AS q
+  FROM groups g JOIN langs l USING (lang) JOIN vocabulary v USING (lang)
+  LEFT JOIN counts c USING (lang, source, term)),
+sums AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM priced x JOIN priced y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+  GROUP BY ALL),
+valued AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN sums s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM priced
+  WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                               ORDER BY value DESC, item COLLATE "binary")::INT AS rank
+  FROM valued)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLES = {
     "op5_url_reputation": URL_REPUTATION,
     "op8_top_k": TOP_K,
     "op9_source_mix": MIX,
     "op11_word_runs": WORD_RUNS,
+    "op12_source_divergence": DIVERGENCE,
 }

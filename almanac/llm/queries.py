@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from almanac.llm import cotraining, toxicity
 from almanac.llm.base import let
 from almanac.llm.byte_bpe import encode_documents
+from almanac.llm.divergence import audit_sources
 from almanac.llm.minhash import near_duplicate_classes
 from almanac.llm.mixing import WORD, mix_documents
 from almanac.llm.mtree import top_k
@@ -114,6 +115,10 @@ def word_runs_query(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def divergence_query(spark: SparkSession, sf: str) -> DataFrame:
+    return audit_sources(_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_pii_surrogates": pii_query,
     "op2_token_counts": token_counts_query,
@@ -126,4 +131,5 @@ QUERIES = {
     "op9_source_mix": mixing_query,
     "op10_quality": quality_query,
     "op11_word_runs": word_runs_query,
+    "op12_source_divergence": divergence_query,
 }
