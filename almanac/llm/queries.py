@@ -16,8 +16,10 @@ from almanac.llm.mtree import top_k
 from almanac.llm.pii_surrogates import replace_pii
 from almanac.llm.syncmers import fingerprint_documents
 from almanac.llm.token_cache import token_counts
+from almanac.llm.token_files import read_token_files, write_token_files
 from almanac.llm.url_reputation import judge_pages
 from almanac.llm.word_runs import word_runs
+from almanac.workload.scratch import scratch_dir
 
 PII_KEY = b"surrogates-1"
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
@@ -119,6 +121,13 @@ def divergence_query(spark: SparkSession, sf: str) -> DataFrame:
     return audit_sources(_table(spark, sf, "documents"))
 
 
+def token_files_query(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_dir(spark, "token-files")
+    write_token_files(_table(spark, sf, "documents"),
+                      public_tokenizers.path("byte_bpe_50k.json"), folder, end_id=2)
+    return read_token_files(spark, folder, with_ids=False)
+
+
 QUERIES = {
     "op1_pii_surrogates": pii_query,
     "op2_token_counts": token_counts_query,
@@ -132,4 +141,5 @@ QUERIES = {
     "op10_quality": quality_query,
     "op11_word_runs": word_runs_query,
     "op12_source_divergence": divergence_query,
+    "op13_token_files": token_files_query,
 }
