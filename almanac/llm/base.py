@@ -16,14 +16,14 @@ from almanac.workload.scratch import scratch_dir
 _FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 
 
-def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, keep: bool = False, codec: str = "snappy") -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts its lineage.
 
     Inside ``intermediates`` the table goes with the others, unless it is to be kept.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     folders = _FOLDERS.get()
     if folders is not None and not keep:
         folders.append(path)

@@ -35,6 +35,8 @@ from almanac.session import ship_package
 #: One space and then characters that are no white space.
 PLAIN = r"^ [!-~\x{C0}-\x{24F}\x{370}-\x{52F}]+$"
 BYTES_AT_ONCE = 32_000_000
+BYTES_IN_GROUP = 4_000_000
+PIECES_IN_GROUP = 500_000
 PIECES_IN_ROW = 1000
 TEXTS_AT_ONCE = 64
 LEAST_BITS = 18
@@ -43,6 +45,15 @@ BLOCK_SCHEMA = ("part int, block int, first long, n int, first_doc long, from_be
 TABLE_SCHEMA = "bits int, frequencies binary"
 
 
+def _row_groups(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Neighbouring rows of about ``most`` together, or none for 0; every row is in one group."""
+    if not most or not len(sizes):
+        return []
+    nth = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(nth)) + 1).tolist(), len(sizes)]
+    return list(zip(cuts, cuts[1:]))
+
+
 #: Classes of bytes: letters, other visible ones, the apostrophe, which may begin a contraction, the
 #: first bytes of characters that are surely no white space, and the space.
 _LETTER, _SIGN, _APOSTROPHE, _LEAD, _SPACE, _LINE = 1, 2, 3, 4, 5, 6
@@ -81,7 +92,7 @@ def _cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     cut[line] = (kind[:-3][line] >= _LETTER) & (kind[:-3][line] <= _APOSTROPHE)
     # The second byte of a letter isn't one's start.
     cut[latin + 1] = False
-    return np.append(cut, False)
+    return cut
 
 
 class PieceEncoder:
@@ -127,7 +138,9 @@ class PieceEncoder:
         bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:][:len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
         bounds = bounds.astype(np.int64) - bounds[0]
-        cut = _cuts(data, bounds) if self.by_word else np.zeros(len(data) + 1, bool)
+        cut = np.zeros(len(data) + 1, bool)
+        for i, j in _row_groups(np.diff(bounds), BYTES_IN_GROUP if self.by_word else 0):
+            cut[bounds[i]:bounds[j]] = _cuts(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i])
         for token in self.whole:
             for k in np.flatnonzero(pc.match_substring(texts, token).to_numpy(zero_copy_only=False)):
                 cut[bounds[k]:bounds[k + 1]] = False
@@ -152,17 +165,20 @@ class PieceEncoder:
             (np.array(end, self.dtype), np.array([len(end)]))))
         plain = plain.to_numpy(zero_copy_only=False)
         item = np.where(plain, np.cumsum(plain) - 1, np.cumsum(~plain) - 1 + np.count_nonzero(plain))
-        order = np.insert(item[coded.indices.to_numpy()], bounds[1:], len(sizes) - 1)
-        lengths = sizes[order]
-        ends = np.cumsum(lengths)
-        width = np.int32 if len(ends) and ends[-1] < 1 << 31 else np.int64
-        places = np.repeat(((np.cumsum(sizes) - sizes)[order] - ends + lengths).astype(width),
-                           lengths)
-        places += np.arange(len(places), dtype=width)
-        ends = np.concatenate([[0], ends[bounds[1:] + np.arange(len(texts))]])
-        ends = (ends * self.dtype.itemsize).astype(np.int32)
-        return pa.Array.from_buffers(
-            pa.binary(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(ids[places])])
+        starts, order = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        out = [pa.array([], pa.binary())]
+        for i, j in _row_groups(np.diff(bounds), PIECES_IN_GROUP):
+            of = np.insert(item[order[bounds[i]:bounds[j]]], bounds[i + 1:j + 1] - bounds[i],
+                           len(sizes) - 1)
+            lengths = sizes[of]
+            ends = np.cumsum(lengths)
+            places = np.repeat(starts[of] - ends + lengths, lengths)
+            places += np.arange(len(places))
+            ends = np.append(0, ends[bounds[i + 1:j + 1] - bounds[i] + np.arange(j - i)])
+            out.append(pa.Array.from_buffers(
+                pa.binary(), j - i, [None, pa.py_buffer((ends * self.dtype.itemsize).astype(np.int32)),
+                                     pa.py_buffer(ids[places])]))
+        return pa.concat_arrays(out)
 
 
 _LOADED: dict[str, PieceEncoder] = {}
@@ -176,13 +192,6 @@ def load(path: str) -> PieceEncoder:
     return _LOADED[path]
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Rows of about ``BYTES_AT_ONCE``."""
-    nth = np.cumsum(pc.binary_length(batch.column(column)).to_numpy()) // BYTES_AT_ONCE
-    cuts = [0, *(np.flatnonzero(np.diff(nth)) + 1).tolist(), batch.num_rows]
-    return (batch.slice(i, j - i) for i, j in zip(cuts, cuts[1:]) if j > i)
-
-
 def encoded_documents(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """``doc_id, ids`` (packed, the end id last) and ``crc``, the checksum of the packed ids."""
     ship_package(docs.sparkSession)
@@ -190,7 +199,9 @@ def encoded_documents(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(path)
         for batch in batches:
-            for part in _slices(batch, 1):
+            sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            for i, j in _row_groups(sizes, BYTES_AT_ONCE):
+                part = batch.slice(i, j - i)
                 packed = encoder.encode(part.column(1), end_id)
                 crcs = [zlib.crc32(ids.as_buffer()) for ids in packed]
                 yield pa.RecordBatch.from_arrays(
@@ -280,7 +291,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int,
     encoder = load(path)
     # The place tells equal rows apart, so that a frequent id can be ranged over several parts.
     rows = written(encoded_documents(docs, path, end_id).withColumn(
-        "place", F.monotonically_increasing_id()), "token-ids")
+        "place", F.monotonically_increasing_id()), "token-ids", codec="zstd")
     counts = id_counts(rows, max(encoder.size, end_id + 1), encoder.dtype)
     bits = max(LEAST_BITS, int(np.count_nonzero(counts)).bit_length() + 2)
     table = Table(scaled(counts, bits), bits)
