@@ -359,9 +359,9 @@ ORACLES["index_exports"] = f"""
 SELECT unnest(['index_csv', 'index_tsv', 'yearly', 'yearly_lite']) AS file, date, indicator_name,
        classification1, classification2, close FROM ({TIDY})"""
 ORACLES["archive_rejects"] = """
-SELECT DISTINCT printf('archive-%012d.zip', l_suppkey // 10) AS path,
-       CASE l_suppkey // 10 % 4 WHEN 1 THEN 'not a zip archive' ELSE 'no month columns' END AS reason
-FROM lineitem WHERE l_suppkey // 10 % 4 IN (1, 2)"""
+SELECT DISTINCT printf('archive-%012d.zip', l_suppkey // 2) AS path,
+       CASE l_suppkey // 2 % 4 WHEN 1 THEN 'not a zip archive' ELSE 'no month columns' END AS reason
+FROM lineitem WHERE l_suppkey // 2 % 4 IN (1, 2)"""
 ORACLES["catalog_file"] = """
 SELECT CASE WHEN c_acctbal < 0 THEN '' ELSE 'C' || c_custkey END AS symbol, c_name AS name,
        c_mktsegment AS category, 'N' || c_nationkey AS region,

@@ -427,8 +427,8 @@ def index_exports_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def archive_rejects_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Archives of ten suppliers, of which some are no zip files or have no months."""
-    return archive_rejects(unpack_archives(A.index_archives(spark, sf, 10, broken=True)))
+    """Archives of two suppliers, of which some are no zip files or have no months."""
+    return archive_rejects(unpack_archives(A.index_archives(spark, sf, 2, broken=True)))
 
 
 ENTRIES_PER_FILE = 10_000
