@@ -12,6 +12,7 @@ from almanac.operators.history import (
 )
 from almanac.operators.joins import fits_broadcast
 from almanac.operators.snapshot import TABLE_ORDER, latest_snapshot
+from almanac.jobs import at_once
 from almanac.schemas import MIN_DATE
 from almanac.sinks.csv import write_csv, write_segments
 from almanac.sinks.store import HistoryStore
@@ -25,6 +26,15 @@ def _years(df: DataFrame) -> list[int]:
     return [r[0] for r in df.select(F.year("date").alias("y")).distinct().collect()]
 
 
+def _losing(store: HistoryStore, held: dict[int, dict[str, int]], active: DataFrame) -> list[int]:
+    """Years that hold a symbol which isn't active any more."""
+    if not held:
+        return []
+    rows = store.read(held, "tails").select("symbol", "year").distinct()
+    lost = rows.join(active, "symbol", "left_anti").select("year").distinct()
+    return [r["year"] for r in lost.collect()]
+
+
 def _below(store: HistoryStore, held: dict[int, dict[str, int]], floor: dt.date) -> set[int]:
     """The floor's own year, if the store holds older rows of it."""
     if floor.year not in held or floor == dt.date(floor.year, 1, 1):
@@ -61,16 +71,18 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
 
     new = fetch(wanted, landing, run_at, floor, small=small,
                 keep=lambda df, name: store.stage(df, name, version)[0])
-    fetched, n_fetched = store.stage(new.observations, "fetched", version)
-    _, n_rejected = store.stage(new.rejects, "rejects", version)
-    losing = (
-        store.read(held, "tails").select("symbol", "year").distinct()
-        .join(active, "symbol", "left_anti").select("year").distinct()
-    )
-    years = {*_years(fetched), *[r["year"] for r in losing.collect()], *_below(store, held, first)}
+    (fetched, n_fetched), (_, n_rejected), losing, below = at_once(
+        store.spark,
+        lambda: store.stage(new.observations, "fetched", version),
+        lambda: store.stage(new.rejects, "rejects", version),
+        lambda: _losing(store, held, active),
+        lambda: _below(store, held, first))
+    gaining, fits = at_once(
+        store.spark, lambda: _years(fetched),
+        lambda: fits_broadcast(fetched.select(*KEY)) if small_batch is None else small_batch)
+    years = {*gaining, *losing, *below}
+    small_batch = fits
     touched = store.read({y: e for y, e in held.items() if y in years})
-    if small_batch is None:
-        small_batch = fits_broadcast(fetched.select(*KEY))
     if small_batch:
         merged = replace_rows(*(keep_active(df, active, small) for df in (touched, fetched)), floor)
     else:
@@ -80,8 +92,15 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     held = {y: e for y, e in held.items() if y not in years} | written
 
     tails = store.read(held, "tails").drop("year")
-    snapshot, n_snapshot = store.stage(
-        latest_snapshot(tails).where(F.col("refresh") == SNAPSHOT_REFRESH), "snapshot", version)
+    latest = latest_snapshot(tails).where(F.col("refresh") == SNAPSHOT_REFRESH)
+
+    def snapshot() -> int:
+        rows, n = store.stage(latest, "snapshot", version)
+        if exports is not None:
+            write_csv(rows, f"{exports}/latest_snapshot/version={version}", TABLE_ORDER, bom=bom)
+        return n
+
+    actions = [snapshot]
     exported = {}
     if exports is not None:
         if before is not None and before["exports"] == exports:
@@ -89,14 +108,17 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
                         if int(y) in held and int(y) not in written}
         missing = {y: e for y, e in held.items() if y not in exported}
         exported |= dict.fromkeys(missing, version)
-        write_segments(store.read(missing), f"{exports}/segments/version={version}", bom=bom,
-                       floor=floor)
-        write_csv(snapshot, f"{exports}/latest_snapshot/version={version}", TABLE_ORDER, bom=bom)
+        actions.append(lambda: write_segments(
+            store.read(missing), f"{exports}/segments/version={version}", bom=bom, floor=floor))
         if full_exports:
             history = store.read(held).drop("year")
             rows = lite(history, floor)
-            write_csv(history, f"{exports}/history/version={version}", name_order(history), bom=bom)
-            write_csv(rows, f"{exports}/history_lite/version={version}", name_order(rows), bom=bom)
+            actions += [
+                lambda: write_csv(history, f"{exports}/history/version={version}",
+                                  name_order(history), bom=bom),
+                lambda: write_csv(rows, f"{exports}/history_lite/version={version}",
+                                  name_order(rows), bom=bom)]
+    n_snapshot = at_once(store.spark, *actions)[0]
     return store.publish(
         version, run_at, refresh, held,
         {"fetched": n_fetched, "rejected": n_rejected, "snapshot": n_snapshot}, exports, exported)

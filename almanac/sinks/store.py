@@ -9,6 +9,7 @@ meanwhile by another one is refused. A run that failed is simply repeated under
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from almanac.operators.enrich import align
 from almanac.operators.snapshot import yearly_tails
+from almanac.jobs import at_once
 from almanac.schemas import MIN_DATE, OBSERVATION
 
 # What the log knows of one year: the version that holds it and its row counts.
@@ -92,7 +94,7 @@ class HistoryStore:
         where = self._at(name, f"version={version}")
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(where)
-        return self.spark.read.parquet(where), seen.get["rows"]
+        return self.spark.read.schema(df.schema).parquet(where), seen.get["rows"]
 
     def write_years(self, history: DataFrame, version: int, floor: str = MIN_DATE,
                     clustered: bool = True) -> dict[int, dict[str, int]]:
@@ -110,11 +112,6 @@ class HistoryStore:
             rows = rows.repartitionByRange(*keys)
         rows.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("year").parquet(where)
         written = self.spark.read.schema(rows.schema).parquet(where)
-        (
-            yearly_tails(written).sortWithinPartitions("year")
-            .write.mode("overwrite").partitionBy("year")
-            .parquet(self._at("tails", f"version={version}"))
-        )
         is_lite = (
             F.col("indicator_name").isNotNull() & F.col("close").isNotNull()
             & ~F.isnan("close") & (F.col("date") >= F.lit(floor).cast("date"))
@@ -126,7 +123,12 @@ class HistoryStore:
             F.count_if(is_lite & (F.col("refresh") == "daily")).alias("daily"),
             F.count_if(is_lite & (F.col("refresh") == "monthly")).alias("monthly"),
         )
-        return {r["year"]: {k: r[k] for k in YEAR.names} for r in counts.collect()}
+        tails = yearly_tails(written).sortWithinPartitions("year").write.mode("overwrite")
+        _, found = at_once(
+            self.spark,
+            lambda: tails.partitionBy("year").parquet(self._at("tails", f"version={version}")),
+            counts.collect)
+        return {r["year"]: {k: r[k] for k in YEAR.names} for r in found}
 
     def publish(self, version: int, run_at, refresh: str | None,
                 years: dict[int, dict[str, int]], metrics: dict[str, int],
@@ -137,9 +139,11 @@ class HistoryStore:
         totals = {k: sum(e[k] for e in years.values()) for k in ("history", "lite")}
         monthly = ["history_monthly"] if any(e["monthly"] for e in years.values()) else []
         daily = [f"history_daily_{y}" for y, e in sorted(years.items()) if e["daily"]]
-        row = (version, run_at, refresh, {str(y): e for y, e in years.items()},
+        row = (version, None, refresh, {str(y): e for y, e in years.items()},
                {**metrics, **totals}, daily + monthly, exports,
                {str(y): v for y, v in (exported or {}).items()})
-        self.spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").json(
-            self._at("runs"))
+        # As a literal, so that one row takes no Python worker.
+        entry = F.from_json(F.lit(json.dumps(dict(zip(RUN_LOG.names, row)))), RUN_LOG)
+        self.spark.range(1, numPartitions=1).select(entry.alias("entry")).select("entry.*").withColumn(
+            "run_at", F.lit(run_at).cast("timestamp")).write.mode("append").json(self._at("runs"))
         return self.last_run()
