@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from almanac.operators.history import (
-    KEY, active_symbols, keep_active, lite, name_order, replace_rows, upsert_active,
+    KEY, active_symbols, keep_active, lite, name_order, replace_rows, upsert, upsert_active,
 )
 from almanac.operators.joins import fits_broadcast
 from almanac.operators.snapshot import TABLE_ORDER, latest_snapshot
@@ -122,3 +122,18 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     return store.publish(
         version, run_at, refresh, held,
         {"fetched": n_fetched, "rejected": n_rejected, "snapshot": n_snapshot}, exports, exported)
+
+
+def import_history(store: HistoryStore, rows: DataFrame, run_at: dt.datetime,
+                   floor: str = MIN_DATE) -> Row:
+    """Publish a history that was kept elsewhere as an empty store's first version.
+
+    ``rows`` are observations as ``read_observations`` gives them: cleaned, cut at the floor, and of
+    one symbol's day the last row stays. Later runs upsert into them. A store that has a version
+    already is refused, since its rows may be newer.
+    """
+    if store.last_run() is not None:
+        raise ValueError("the store has a history already")
+    cleaned, n = store.stage(upsert(store.read({}).drop("year"), rows, floor), "imported", 1)
+    held = store.write_years(cleaned, 1, floor)
+    return store.publish(1, run_at, None, held, {"imported": n})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almanac.functions.coerce import empty_to_null, to_day, to_number
 from almanac.operators.enrich import align
@@ -40,7 +41,8 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """A history or lite CSV in the observation layout; empty if the path does not exist."""
     rows = read_text_table(spark, path)
     if rows is None:
-        return spark.createDataFrame([], OBSERVATION.add("seq", SEQ))
+        return spark.createDataFrame(
+            [], T.StructType([*OBSERVATION.fields, T.StructField("seq", SEQ)]))
     typed = {c: to_number(c) for c in PRICE_COLUMNS if c in rows.columns}
     if "date" in rows.columns:
         typed["date"] = to_day("date")

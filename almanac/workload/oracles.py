@@ -351,6 +351,11 @@ UNION ALL SELECT 'snapshot', count(*) FROM snap WHERE refresh = 'daily'""",
 ORACLES["run_rejects"] = "WITH " + EVENTS + """
 SELECT DISTINCT symbol, 'catalog' AS stage, 'missing name' AS reason FROM ev
 WHERE user_id % 7 = 3 AND user_id IN (SELECT user_id FROM events WHERE event_type = 'click')"""
+ORACLES["imported_history"] = "WITH " + LOADS + f"""
+SELECT {_iso('d')} AS date, symbol, indicator_name, category, region, refresh, close
+FROM (
+  SELECT * FROM loads WHERE batch = 0 OR user_id % 7 <> 3
+  QUALIFY row_number() OVER (PARTITION BY symbol, d ORDER BY batch DESC, seq DESC) = 1)"""
 ORACLES["run_exports"] = "WITH " + RUN + f"""
 SELECT unnest(['segment_' || refresh || '_' || year(d), 'history', 'history_lite']) AS file,
        {_iso('d')} AS date, indicator_name, category, region, refresh, close

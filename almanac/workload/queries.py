@@ -19,7 +19,7 @@ from almanac.operators.enrich import align, enrich, flat_prices
 from almanac.operators.snapshot import in_table_order, latest_snapshot
 from almanac.operators.wide import in_index_order, melt_columns, name_ids, short_name, target_rows
 from almanac.plans import dashboard as D
-from almanac.plans.refresh import refresh_run
+from almanac.plans.refresh import import_history, refresh_run
 from almanac.plans.wide_index import index_from_archives, index_from_table, ingest_records
 from almanac.schemas import CATALOG, INDEX_LITE_COLUMNS, LITE_COLUMNS
 from almanac.sinks.csv import read_segments, write_csv, write_segments, write_yearly
@@ -299,6 +299,14 @@ def _event_catalog(spark: SparkSession, sf: str) -> DataFrame:
         source=F.lit("events"), source_type=F.lit(C.OHLCV), unit=F.lit(""), pos=F.col("first"))
 
 
+def _ohlcv_landing(load: DataFrame) -> Landing:
+    """Events as OHLCV rows; of a day's events the one with the last id is the latest."""
+    moment = F.timestamp_micros(F.unix_micros(F.col("date").cast("timestamp")) + F.col("seq"))
+    return Landing(ohlcv=load.select(
+        "symbol", moment.alias("Date"), F.col("close").alias("Close"),
+        F.lit(EVENT_RUN_AT).alias("fetched_at")))
+
+
 def _event_run(spark: SparkSession, sf: str) -> tuple[HistoryStore, Row]:
     """Two published runs over the two loads of events, the second one with exports.
 
@@ -312,13 +320,22 @@ def _event_run(spark: SparkSession, sf: str) -> tuple[HistoryStore, Row]:
     store = HistoryStore(spark, scratch_dir(spark, "events"))
     exports = scratch_dir(spark, "event-exports")
     for entries, load, out in zip((catalog, fewer), _loads(spark, sf), (None, exports)):
-        moment = F.timestamp_micros(F.unix_micros(F.col("date").cast("timestamp")) + F.col("seq"))
-        rows = load.select("symbol", moment.alias("Date"), F.col("close").alias("Close"),
-                           F.lit(EVENT_RUN_AT).alias("fetched_at"))
-        run = refresh_run(store, entries, Landing(ohlcv=rows), EVENT_RUN_AT, exports=out)
+        run = refresh_run(store, entries, _ohlcv_landing(load), EVENT_RUN_AT, exports=out)
     return store, run
 
 
+def import_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The first load as a history file, imported into a store, and the second one as its next run."""
+    old, new = _loads(spark, sf)
+    path = scratch_dir(spark, "old-history")
+    rows = align(H.latest_arrivals(old))
+    write_csv(rows, path, H.name_order(rows))
+    store = HistoryStore(spark, scratch_dir(spark, "imported"))
+    import_history(store, read_observations(spark, path), EVENT_RUN_AT)
+    run = refresh_run(store, _event_catalog(spark, sf), _ohlcv_landing(new), EVENT_RUN_AT)
+    return _out(store.read(store.years(run)), *OBSERVED)
+
+
 def refresh_query(spark: SparkSession, sf: str) -> DataFrame:
     """The snapshot that a run wrote as CSV."""
     _, run = _event_run(spark, sf)
@@ -556,6 +573,7 @@ QUERIES = {
     "yearly_files": yearly_files_query,
     "store_runs": store_query,
     "refresh_run": refresh_query,
+    "imported_history": import_query,
     "run_metrics": metrics_query,
     "run_rejects": rejects_query,
     "run_exports": exports_query,

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from almanac.operators.enrich import align
 from almanac.operators.history import latest_arrivals, replace_rows, upsert
 from almanac.operators.snapshot import latest_snapshot
-from almanac.plans.refresh import refresh_run
-from almanac.schemas import LITE_COLUMNS, OBSERVATION_COLUMNS
+from almanac.plans.refresh import import_history, refresh_run
+from almanac.schemas import LITE_COLUMNS, OBSERVATION, OBSERVATION_COLUMNS
 from almanac.sinks.csv import read_segments, write_segments
 from almanac.sinks.store import HistoryStore
 from almanac.sources import catalog as C
 from almanac.sources.market import Landing, fetch
+from almanac.sources.tables import read_observations
 from almanac.workload.adapters import catalog_rows
 
 DAY = dt.date
@@ -345,3 +346,41 @@ def test_a_version_is_published_once(spark, catalog, tmp_path):
     held = store.years(store.last_run())
     with pytest.raises(RuntimeError, match="meanwhile"):
         store.publish(1, RUN_AT, None, held, {})
+
+
+def test_a_history_file_is_imported(spark, catalog, tmp_path):
+    lines = ["\ufeffdate,open,high,low,close,adj_close,volume,symbol,indicator_name,category,region,"
+             "refresh,source,unit,fetched_at",
+             "2026-01-02,1,1,1,7.5,1,,JPY,USD/JPY,cat,reg,daily,src,,2026-01-03T00:00:00+00:00",
+             "2026-01-02,1,1,1,8.5,1,,JPY,USD/JPY,cat,reg,daily,src,,",
+             "2026/01/09,,,,99,,,JPY,USD/JPY,cat,reg,daily,src,,",
+             "2026-01-09,,,,5,,,GONE,Left,cat,reg,daily,src,,",
+             "2019-12-31,,,,5,,,JPY,USD/JPY,cat,reg,daily,src,,",
+             "no day,,,,5,,,JPY,USD/JPY,cat,reg,daily,src,,",
+             "2025-03-01,,,,,,,JPY,USD/JPY,cat,reg,daily,src,,"]
+    (tmp_path / "history.csv").write_text("\n".join(lines), encoding="utf-8")
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    run = import_history(store, read_observations(spark, str(tmp_path / "history.csv")), RUN_AT)
+    assert run["version"] == 1 and run["metrics"]["imported"] == 4
+    assert run["metrics"]["lite"] == 3
+    rows = store.read(store.years(run))
+    assert values(rows, "symbol", "date", "close") == sorted([
+        ("JPY", DAY(2026, 1, 2), 8.5), ("JPY", DAY(2026, 1, 9), 99.0),
+        ("GONE", DAY(2026, 1, 9), 5.0), ("JPY", DAY(2025, 3, 1), None)], key=repr)
+    run = refresh_run(store, catalog, landing(spark, series=SERIES), LATER)
+    rows = store.read(store.years(run)).where("symbol in ('JPY', 'GONE')")
+    assert values(rows, "symbol", "date", "close") == sorted([
+        ("JPY", DAY(2025, 12, 31), 100.0), ("JPY", DAY(2026, 1, 2), 150.0),
+        ("JPY", DAY(2026, 1, 6), 160.0), ("JPY", DAY(2026, 1, 9), 99.0),
+        ("JPY", DAY(2025, 3, 1), None)], key=repr)
+    with pytest.raises(ValueError, match="already"):
+        import_history(store, rows, LATER)
+
+
+def test_importing_nothing_gives_an_empty_version(spark, catalog, tmp_path):
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    run = import_history(store, read_observations(spark, str(tmp_path / "none.csv")), RUN_AT)
+    assert run["metrics"]["history"] == 0 and store.years(run) == {}
+    assert OBSERVATION.names == OBSERVATION_COLUMNS  # reading nothing leaves the layout alone
+    run = refresh_run(store, catalog, landing(spark, series=SERIES), LATER)
+    assert run["version"] == 2 and run["metrics"]["history"] > 0
