@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from almanac.llm.base import text_or_empty, written
+from almanac.llm.base import intermediates, text_or_empty, written
 from almanac.llm.rans import BadBlock, Layout, Table, scaled
 from almanac.session import ship_package
 
@@ -286,30 +286,31 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int,
     Order is by ``doc_id``, null last; rows of one id come by checksum and length of their ids. A
     null text has the end id only. Rows of a repeated id are spread over parts as any others. Other
     columns play no part; no documents give an empty table and no blocks. A text is encoded in one
-    piece.
+    piece. The uncompressed ids are kept in the shared folder until the blocks are written.
     """
     encoder = load(path)
-    # The place tells equal rows apart, so that a frequent id can be ranged over several parts.
-    rows = written(encoded_documents(docs, path, end_id).withColumn(
-        "place", F.monotonically_increasing_id()), "token-ids", codec="zstd")
-    counts = id_counts(rows, max(encoder.size, end_id + 1), encoder.dtype)
-    bits = max(LEAST_BITS, int(np.count_nonzero(counts)).bit_length() + 2)
-    table = Table(scaled(counts, bits), bits)
-    spark, dtype = docs.sparkSession, encoder.dtype
-    spark.createDataFrame(
-        [(bits, bytearray(table.frequencies.astype("<u4").tobytes()))], TABLE_SCHEMA
-    ).coalesce(1).write.parquet(f"{folder}/table")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = _Part(TaskContext.get().partitionId(), table, layout)
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                yield from part.add(doc_id, np.frombuffer(ids.as_buffer(), dtype))
-        yield from part.flush()
-
-    order = [F.col("doc_id").asc_nulls_last(), "crc", F.length("ids"), "place"]
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.select("doc_id", "ids").mapInArrow(run, BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
+    with intermediates(docs.sparkSession):
+        # The place tells equal rows apart, so that a frequent id can be ranged over several parts.
+        rows = written(encoded_documents(docs, path, end_id).withColumn(
+            "place", F.monotonically_increasing_id()), "token-ids", codec="zstd")
+        counts = id_counts(rows, max(encoder.size, end_id + 1), encoder.dtype)
+        bits = max(LEAST_BITS, int(np.count_nonzero(counts)).bit_length() + 2)
+        table = Table(scaled(counts, bits), bits)
+        spark, dtype = docs.sparkSession, encoder.dtype
+        spark.createDataFrame(
+            [(bits, bytearray(table.frequencies.astype("<u4").tobytes()))], TABLE_SCHEMA
+        ).coalesce(1).write.parquet(f"{folder}/table")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = _Part(TaskContext.get().partitionId(), table, layout)
+            for batch in batches:
+                for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    yield from part.add(doc_id, np.frombuffer(ids.as_buffer(), dtype))
+            yield from part.flush()
+
+        order = [F.col("doc_id").asc_nulls_last(), "crc", F.length("ids"), "place"]
+        ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        ranged.select("doc_id", "ids").mapInArrow(run, BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
 
 
 def read_table(spark: SparkSession, folder: str) -> Table:
