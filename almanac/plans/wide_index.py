@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from almanac.jobs import at_once
 from almanac.operators.wide import (
     LABELS, TARGET_SERIES, in_index_order, melt_cells, melt_columns, name_cells, name_ids,
     target_rows, tidy_index, with_labels,
@@ -50,9 +51,10 @@ def ingest_records(records: DataFrame, out: str, bom: bool = True, years: range
     index_from_archives(records, strict_months=strict_months).write.mode("overwrite").parquet(
         f"{out}/table")
     table = spark.read.parquet(f"{out}/table")
-    write_index(table, f"{out}/index_csv", f"{out}/index_tsv", bom)
-    write_yearly(table, f"{out}/yearly", f"{out}/yearly_lite", years, bom)
-    return IndexRun(in_index_order(table), archive_rejects(records), table.count())
+    _, _, rows = at_once(
+        spark, lambda: write_index(table, f"{out}/index_csv", f"{out}/index_tsv", bom),
+        lambda: write_yearly(table, f"{out}/yearly", f"{out}/yearly_lite", years, bom), table.count)
+    return IndexRun(in_index_order(table), archive_rejects(records), rows)
 
 
 def ingest_archives(spark: SparkSession, archives: str, out: str, bom: bool = True,
