@@ -17,7 +17,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_queries_are_registered():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert {*QUERIES, "pipeline"} <= queries().keys()
 
 
