@@ -7,14 +7,19 @@ unlabelled documents that it is most sure of, for the other one to learn from. A
 each view is calibrated on labelled rows that neither has learned from, and the calibrated views
 are combined.
 
-The classifiers learn on the driver from a sample of bounded size; all documents are scored.
+Labelled rows are a sample of bounded size on the driver. All other documents take part in the
+exchange, where they are: a written table holds the bins of each distinct one (a byte for a
+feature), tasks count how sure the views are and add up the slopes and curvatures of Newton's
+method, and what a document has been labelled follows from the views of the rounds before. Only
+counts and sums, whose size is that of the model, reach the driver. All documents are scored.
 """
 
 from __future__ import annotations
 
+import copy
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,24 +27,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almanac.llm.base import text_digest, unused
+from almanac.llm.base import intermediates, text_digest, unused, written
 from almanac.session import ship_package
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ROWS_AT_ONCE = 256
+BINNED_AT_ONCE = 4096
+CELLS = 4096
+REACH = 16.0
 _SYMBOLS = re.compile(r"[^\w\s.,;:'’\"()?-]+")
 _DIGIT = re.compile(r"\d")
 
 
 @dataclass(frozen=True)
 class CoTraining:
-    """``labelled`` and ``unlabelled`` bound the sample, by a hash of ``doc_id``."""
+    """``labelled`` bounds the sample of labelled rows, by a hash of ``doc_id``. ``exchanged`` is the
+    share of the other documents that a view labels in a round. A pseudo-label weighs half a label,
+    and less where all of a view's would weigh more than ``influence`` times its labels."""
 
     labelled: int = 20_000
-    unlabelled: int = 20_000
     rounds: int = 4
     exchanged: float = 0.05
     confidence: float = 0.95
+    influence: float = 1.0
+    steps: int = 8
     bins: int = 8
     ridge: float = 1.0
     threshold: float = 0.5
@@ -97,17 +108,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
-    """Newton's method; the last column of ``x`` is the intercept."""
-    beta = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
+def _step(beta: np.ndarray, slope: np.ndarray, curve: np.ndarray, ridge: float) -> np.ndarray:
+    """A step of Newton's method with a penalty on all but the last coefficient, the intercept."""
+    penalty = np.full(len(beta), ridge)
     penalty[-1] = 1e-3
+    step = np.linalg.solve(curve + np.diag(penalty), slope + penalty * beta)
+    return step / max(1.0, np.abs(step).max() / 2)  # far steps overshoot
+
+
+def _slope_and_curve(x: np.ndarray, y: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    p = _sigmoid(x @ beta)
+    return x.T @ (p - y), (x * (p * (1 - p) + 1e-6)[:, None]).T @ x
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
+    beta = np.zeros(x.shape[1])
     for _ in range(25):
-        p = _sigmoid(x @ beta)
-        slope = x.T @ (weight * (p - y)) + penalty * beta
-        curve = (x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(curve, slope)
-        beta -= step / max(1.0, np.abs(step).max() / 2)  # far steps overshoot
+        step = _step(beta, *_slope_and_curve(x, y, beta), ridge)
+        beta -= step
         if np.abs(step).max() < 1e-6:
             break
     return beta
@@ -126,25 +144,124 @@ class View:
         self.beta = np.zeros(self.starts[-1] + 1)
         self.scale, self.shift = 1.0, 0.0
 
-    def _bins(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([start + np.searchsorted(edges, column, side="left")
-                         for start, edges, column in zip(self.starts, self.edges, x.T)], axis=1)
-
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
-        one_hot = np.zeros((len(x), self.starts[-1] + 1))
-        one_hot[np.arange(len(x))[:, None], self._bins(x)] = 1
-        one_hot[:, -1] = 1
-        self.beta = _logistic(one_hot, y, weight, self.ridge)
-
-    def logit(self, x: np.ndarray) -> np.ndarray:
-        return self.beta[self._bins(x)].sum(axis=1) + self.beta[-1]
-
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        raw = np.stack([self.logit(x), np.ones(len(x))], axis=1)
-        self.scale, self.shift = _logistic(raw, y, np.ones(len(y)), 0.5)
-
-    def calibrated(self, x: np.ndarray) -> np.ndarray:
-        return self.scale * self.logit(x) + self.shift
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(edges, column, side="left")
+                         for edges, column in zip(self.edges, x.T)], axis=1).astype(np.uint8)
+
+    def one_hot(self, bins: np.ndarray) -> np.ndarray:
+        """The last column is the intercept."""
+        out = np.zeros((len(bins), len(self.beta)))
+        out[np.arange(len(bins))[:, None], self.starts[:-1] + bins] = 1
+        out[:, -1] = 1
+        return out
+
+    def logit(self, bins: np.ndarray) -> np.ndarray:
+        return self.beta[self.starts[:-1] + bins].sum(axis=1) + self.beta[-1]
+
+    def calibrate(self, bins: np.ndarray, y: np.ndarray) -> None:
+        raw = np.stack([self.logit(bins), np.ones(len(bins))], axis=1)
+        self.scale, self.shift = _logistic(raw, y, 0.5)
+
+    def calibrated(self, bins: np.ndarray) -> np.ndarray:
+        return self.scale * self.logit(bins) + self.shift
+
+    def cells(self, bins: np.ndarray) -> np.ndarray:
+        """The calibrated logits on a grid."""
+        at = (self.calibrated(bins) + REACH) * (CELLS / (2 * REACH))
+        return np.clip(at, 0, CELLS - 1).astype(np.int64)
+
+
+class Giver:
+    """A view of some round, and the cells from and up to which it is sure of a class."""
+
+    def __init__(self, view: View, counts: np.ndarray, share: float, by: CoTraining):
+        """``counts`` are of the unlabelled documents in each cell. The surest are taken in whole
+        cells until there are enough."""
+        self.view = copy.copy(view)
+        sure = np.log(by.confidence / (1 - by.confidence))
+        wanted = by.exchanged * counts.sum()
+        above = np.cumsum(counts[::-1])[::-1] - counts
+        below = np.cumsum(counts) - counts
+        edge = (np.arange(CELLS) * (2 * REACH / CELLS)) - REACH
+        self.high = np.flatnonzero(np.append((above < wanted * share) & (edge >= sure), True))[0]
+        self.low = np.flatnonzero(np.append(
+            True, (below < wanted * (1 - share)) & (edge + 2 * REACH / CELLS <= -sure)))[-1] - 1
+
+    def marks(self, bins: np.ndarray) -> np.ndarray:
+        cells = self.view.cells(bins)
+        return np.where(cells >= self.high, 1.0, np.where(cells <= self.low, 0.0, np.nan))
+
+
+def pseudo_labels(givers: list[Giver], bins: np.ndarray) -> np.ndarray:
+    """The label of the first giver that was sure, else NaN."""
+    out = np.full(len(bins), np.nan)
+    for giver in givers:
+        open_ = np.isnan(out)
+        out[open_] = giver.marks(bins[open_])
+    return out
+
+
+def count_cells(views: list[View], both: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.bincount(v.cells(b), minlength=CELLS) for v, b in zip(views, both)])
+
+
+def add_up(views: list[View], givers: list[list[Giver]], both: list[np.ndarray]) -> list[np.ndarray]:
+    """For each view ``curve | slope | count`` over the documents that the other view has labelled."""
+    out = []
+    for at, view in enumerate(views):
+        label = pseudo_labels(givers[1 - at], both[1 - at])
+        known = ~np.isnan(label)
+        slope, curve = _slope_and_curve(view.one_hot(both[at][known]), label[known], view.beta)
+        out.append(np.column_stack([curve, slope, np.full(len(slope), float(known.sum()))]))
+    return out
+
+
+class Pool:
+    """The unlabelled documents: a table whose ``bins`` are the bytes of the bins of both views."""
+
+    def __init__(self, table: DataFrame):
+        self.table = table
+
+    def _sums(self, start: list[np.ndarray], part) -> list[np.ndarray]:
+        """Sums of the arrays that ``part`` gives for blocks of documents: within a task, then
+        row by row over the tasks."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = [x.copy() for x in start]
+            for batch in batches:
+                for at in range(0, batch.num_rows, BINNED_AT_ONCE):
+                    rows = batch.column("bins").slice(at, BINNED_AT_ONCE).to_pylist()
+                    bins = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+                    for x, more in zip(total, part(bins)):
+                        x += more
+            for view, x in enumerate(total):
+                if x.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([view] * len(x), pa.int32()), pa.array(range(len(x)), pa.int32()),
+                         pa.array(list(x), pa.list_(pa.float64()))], ["view", "row", "x"])
+
+        def add(group: pa.Table) -> pa.Table:
+            x = np.array(group.column("x").to_pylist()).sum(axis=0)
+            return pa.table([group.column("view").slice(0, 1), group.column("row").slice(0, 1),
+                             pa.array([x], pa.list_(pa.float64()))], ["view", "row", "x"])
+
+        kind = "view int, row int, x array<double>"
+        sums = self.table.mapInArrow(run, kind).groupBy("view", "row").applyInArrow(add, kind)
+        total = [x.copy() for x in start]
+        for row in sums.toArrow().to_pylist():
+            total[row["view"]][row["row"]] = row["x"]
+        return total
+
+    def counts(self, views: list[View]) -> np.ndarray:
+        width = len(views[0].edges)
+        return np.stack([x[0] for x in self._sums(
+            [np.zeros((1, CELLS))] * 2,
+            lambda bins: count_cells(views, [bins[:, :width], bins[:, width:]])[:, None])])
+
+    def added_up(self, views: list[View], givers: list[list[Giver]]) -> list[np.ndarray]:
+        width = len(views[0].edges)
+        return self._sums(
+            [np.zeros((len(v.beta), len(v.beta) + 2)) for v in views],
+            lambda bins: add_up(views, givers, [bins[:, :width], bins[:, width:]]))
 
 
 class QualityModel:
@@ -154,8 +271,8 @@ class QualityModel:
         self.text, self.meta, self.combined = text, meta, combined
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> np.ndarray:
-        both = np.stack([self.text.calibrated(text), self.meta.calibrated(meta),
-                         np.ones(len(text))], axis=1)
+        both = np.stack([*(v.calibrated(v.bins(x)) for v, x in (
+            (self.text, text), (self.meta, meta))), np.ones(len(text))], axis=1)
         return _sigmoid(both @ self.combined)
 
 
@@ -170,39 +287,39 @@ class Constant:
 
 
 def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, held: np.ndarray,
+             pool_of: Callable[[list[View]], Pool],
              by: CoTraining = CoTraining()) -> QualityModel | Constant:
-    """``label`` is NaN for unlabelled rows; ``held`` marks the labelled rows for calibration."""
-    known = ~np.isnan(label)
-    learn, held = known & ~held, known & held
-    if min((label[part] == c).sum() for part in (learn, held) for c in (0, 1)) == 0:
-        return Constant(float(label[known].mean() >= 0.5) if known.any() else 1.0)
-    data = {"text": text, "meta": meta}
-    views = {name: View(x, by) for name, x in data.items()}
-    pseudo = {name: np.where(learn, label, np.nan) for name in data}
-    share = label[learn].mean()
-    for _ in range(by.rounds + 1):
-        for name, x in data.items():
-            rows = ~np.isnan(pseudo[name])
-            views[name].fit(x[rows], pseudo[name][rows], np.where(learn[rows], 1.0, 0.5))
-        given = {}
-        for name, x in data.items():
-            views[name].calibrate(x[learn], label[learn])
-            p = np.where(known, 0.5, _sigmoid(views[name].calibrated(x)))
-            marks = np.full(len(p), np.nan)
-            for value, sure, part in ((1.0, p, share), (0.0, 1 - p, 1 - share)):
-                count = int(by.exchanged * (~known).sum() * part)
-                top = np.argsort(-sure, kind="stable")[:count]
-                marks[top[sure[top] >= by.confidence]] = value
-            given[name] = marks
-        for to, giver in (("text", "meta"), ("meta", "text")):
-            new = np.isnan(pseudo[to]) & ~np.isnan(given[giver])
-            pseudo[to][new] = given[giver][new]
-    for name, x in data.items():
-        views[name].calibrate(x[held], label[held])
-    both = np.stack([views["text"].calibrated(text), views["meta"].calibrated(meta),
-                     np.ones(len(text))], axis=1)
-    combined = _logistic(both[held], label[held], np.ones(held.sum()), 0.5)
-    return QualityModel(views["text"], views["meta"], combined)
+    """``held`` marks the labelled rows for calibration; ``pool_of`` bins the other documents."""
+    if min((label[part] == c).sum() for part in (~held, held) for c in (0, 1)) == 0:
+        return Constant(float(label.mean() >= 0.5) if len(label) else 1.0)
+    views = [View(text, by), View(meta, by)]
+    bins = [view.bins(x) for view, x in zip(views, (text, meta))]
+    y, share = label[~held], label[~held].mean()
+    learned = [view.one_hot(b[~held]) for view, b in zip(views, bins)]
+    for view, x in zip(views, learned):
+        view.beta = _logistic(x, y, by.ridge)
+    pool = pool_of(views)
+    givers: list[list[Giver]] = [[], []]
+    for _ in range(by.rounds):
+        for view, b in zip(views, bins):
+            view.calibrate(b[~held], y)
+        for at, counts in enumerate(pool.counts(views)):
+            givers[at].append(Giver(views[at], counts, share, by))
+        for _ in range(by.steps):
+            steps = []
+            for view, x, sums in zip(views, learned, pool.added_up(views, givers)):
+                weight = min(0.5, by.influence * len(y) / max(1.0, sums[0, -1]))
+                slope, curve = _slope_and_curve(x, y, view.beta)
+                steps.append(_step(view.beta, slope + weight * sums[:, -2],
+                                   curve + weight * sums[:, :-2], by.ridge))
+            for view, step in zip(views, steps):
+                view.beta = view.beta - step
+            if max(np.abs(step).max() for step in steps) < 1e-2:
+                break
+    for view, b in zip(views, bins):
+        view.calibrate(b[held], label[held])
+    both = np.stack([*(v.calibrated(b[held]) for v, b in zip(views, bins)), np.ones(held.sum())], axis=1)
+    return QualityModel(*views, _logistic(both, label[held], 0.5))
 
 
 def _columns(docs: DataFrame) -> list:
@@ -213,24 +330,21 @@ def _columns(docs: DataFrame) -> list:
 def train(docs: DataFrame, labels: DataFrame,
           by: CoTraining = CoTraining()) -> QualityModel | Constant:
     """Learn from ``labels`` (``doc_id, quality``). A document with several labels has their
-    rounded mean; null labels count for nothing. Of the rows with one id, the sampled one with the
-    least text digest counts; rows with a null id count once for each text."""
+    rounded mean; null labels count for nothing. Of the rows with one id, the one with the least text
+    digest counts. All documents without a sampled label are exchanged, also those without an id,
+    once where they have the same bins, so copies count as one."""
     ship_package(docs.sparkSession)
     by_id = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.round(F.avg("quality")).cast("double").alias("label"))
     # At most ``labelled`` rows of two numbers: a proven bound for the broadcast.
     sample = by_id.orderBy(F.xxhash64("doc_id"), "doc_id").limit(by.labelled).select(
         F.col("doc_id").alias("id"), "label")
-    rate = min(1.0, by.unlabelled / max(1, docs.count()))
-    pooled = F.pmod(F.xxhash64(F.lit("pool"), "doc_id", "text"), F.lit(1 << 30)) < int(
-        rate * (1 << 30))
+    sampled = F.col("doc_id") == F.col("id")
+    read = docs.select("doc_id", *_columns(docs))
     rows = (
-        docs.select("doc_id", *_columns(docs))
-        .join(F.broadcast(sample), F.col("doc_id") == F.col("id"), "left")
-        .where(F.col("label").isNotNull() | pooled)
-        .withColumn("digest", text_digest())
-        .groupBy("doc_id", "label", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("none"))
-        .agg(F.min(F.struct("digest", "text", "lang", "source", "n_chars")).alias("row"))
+        read.join(F.broadcast(sample), sampled)
+        .groupBy("doc_id", "label")
+        .agg(F.min(F.struct(text_digest().alias("digest"), "text", "lang", "source", "n_chars")).alias("row"))
         .select("doc_id", "label", "row.*")
     )
 
@@ -240,21 +354,34 @@ def train(docs: DataFrame, labels: DataFrame,
                 part = batch.slice(start, ROWS_AT_ONCE)
                 both = np.hstack(features(part))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("label"), part.column("digest"),
-                     pa.array(list(both), pa.list_(pa.float32()))],
-                    ["doc_id", "label", "digest", "x"])
-
-    seen = rows.mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label double, digest binary, "
-             "x array<float>"
-    ).toArrow().sort_by([("doc_id", "ascending"), ("digest", "ascending")])
+                    [part.column("doc_id"), part.column("label"),
+                     pa.array(list(both), pa.list_(pa.float32()))], ["doc_id", "label", "x"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    seen = rows.mapInArrow(run, f"doc_id {kind}, label double, x array<float>").toArrow().sort_by("doc_id")
     if not seen.num_rows:
         return Constant(1.0)
     x = seen.column("x").combine_chunks().flatten().to_numpy().reshape(seen.num_rows, -1)
     label = seen.column("label").to_numpy(zero_copy_only=False).astype(float)
     held = np.array([zlib.crc32(str(i).encode()) % 4 == 0
                      for i in seen.column("doc_id").to_pylist()])
-    return co_train(x[:, :N_TEXT], x[:, N_TEXT:], label, held, by)
+    others = read.join(F.broadcast(sample), sampled, "left_anti")
+    with intermediates(docs.sparkSession):
+        return co_train(x[:, :N_TEXT], x[:, N_TEXT:], label, held,
+                        lambda views: Pool(written(binned(others, views), "quality-bins")), by)
+
+
+def binned(docs: DataFrame, views: list[View]) -> DataFrame:
+    """The ``bins`` of both views, once where documents have the same ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                both = features(batch.slice(start, ROWS_AT_ONCE))
+                bins = np.hstack([view.bins(x) for view, x in zip(views, both)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row.tobytes() for row in bins], pa.binary())], ["bins"])
+
+    return docs.mapInArrow(run, "bins binary").distinct()
 
 
 def score_documents(docs: DataFrame, model, by: CoTraining = CoTraining()) -> DataFrame:

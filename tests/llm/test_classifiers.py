@@ -200,11 +200,99 @@ def test_quality_learns_from_one_row_for_each_id(spark, monkeypatch):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
     seen = []
-    monkeypatch.setattr(cotraining, "co_train", lambda *args: seen.append(args[2]))
+    monkeypatch.setattr(cotraining, "co_train", lambda *args: seen.append(args))
     cotraining.train(docs.repartition(4), labels)
-    assert len(seen[0]) == 40 + 1001 and (~np.isnan(seen[0])).sum() == 20
-    cotraining.train(docs, labels, cotraining.CoTraining(unlabelled=600))  # of 2,180 rows
-    assert 20 + 150 < len(seen[1]) < 20 + 450 and (~np.isnan(seen[1])).sum() == 20
+    assert len(seen[0][2]) == 20
+
+
+def test_every_other_document_is_exchanged(spark, monkeypatch):
+    """Whatever their number, with and without an id; documents with the same bins count once."""
+    rows = documents(300, 3)
+    docs = spark.createDataFrame(
+        [(r[0] if r[0] % 5 else None, *r[1:5]) for r in rows] * 2 + [rows[299][:5]] * 400,
+        "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    labels = spark.createDataFrame([(r[0], r[5]) for r in rows[:100]], "doc_id long, quality int")
+    seen = []
+
+    def counted(self, views):
+        seen.append([bytes(r["bins"]) for r in self.table.collect()])
+        return np.zeros((2, cotraining.CELLS), np.int64)
+
+    monkeypatch.setattr(cotraining.Pool, "counts", counted)
+    model = cotraining.train(docs, labels)
+    sampled = {r[0] for r in rows[:100] if r[0] % 5}
+    others = [r for r in rows if r[0] not in sampled]
+    x = [np.array([f(*r) for r in others], np.float32) for f in (
+        lambda _, text, *rest: cotraining.text_features(text),
+        lambda _, text, lang, source, n, good: cotraining.metadata_features(text, lang, source, n))]
+    want = {row.tobytes() for row in np.hstack([v.bins(b) for v, b in zip((model.text, model.meta), x)])}
+    assert set(seen[0]) == want and len(seen[0]) == len(want)
+
+
+def local_pool(spark, bins, parts=3):
+    rows = [(bytearray(row.tobytes()),) for row in np.hstack(bins)]
+    return cotraining.Pool(spark.createDataFrame(rows, "bins binary").repartition(parts))
+
+
+def two_views(n, seed=0):
+    rng = np.random.default_rng(seed)
+    label = np.where(rng.random(n) < 0.3, 0.0, 1.0)
+    return label, [(label + noise * rng.standard_normal(n))[:, None] for noise in (0.1, 0.4)]
+
+
+def test_sums_over_tasks_equal_sums_over_all(spark):
+    by = cotraining.CoTraining(exchanged=0.2, confidence=0.6)
+    label, data = two_views(9000)
+    views = [cotraining.View(x, by) for x in data]
+    bins = [v.bins(x) for v, x in zip(views, data)]
+    for v, b in zip(views, bins):
+        v.beta = cotraining._logistic(v.one_hot(b[:50]), label[:50], by.ridge)
+    pool = local_pool(spark, bins)
+    counts = pool.counts(views)
+    assert (counts == cotraining.count_cells(views, bins)).all() and (counts.sum(axis=1) == 9000).all()
+    givers = [[cotraining.Giver(v, c, 0.7, by)] for v, c in zip(views, counts)]
+    sums = pool.added_up(views, givers)
+    for got, want in zip(sums, cotraining.add_up(views, givers, bins)):
+        assert np.allclose(got, want) and got[0, -1] > 0
+    marks = givers[0][0].marks(bins[0])
+    cells = views[0].cells(bins[0])
+    for value, share in ((1, 0.7), (0, 0.3)):
+        given = marks == value
+        least = cells[given].min() if value else -cells[given].max()
+        inside = given & (cells != (least if value else -least))
+        assert given.sum() >= 0.2 * share * 9000 > inside.sum()  # whole cells, and no more of them
+
+
+def test_steps_over_tasks_end_where_weighted_rows_do(spark):
+    """Newton's steps with the pool's sums find the optimum of labelled and pseudo-labelled rows."""
+    by = cotraining.CoTraining(rounds=1, exchanged=0.2, confidence=0.6, steps=30)
+    label, data = two_views(3000, 1)
+    views, held, pools = [], np.arange(100) % 4 == 0, []
+
+    def pool_of(made):
+        views.extend(made)
+        pools.append([v.bins(x[100:]) for v, x in zip(made, data)])
+        return local_pool(spark, pools[0])
+
+    first = [cotraining.View(x[:100], by) for x in data]
+    model = cotraining.co_train(data[0][:100], data[1][:100], label[:100], held, pool_of, by)
+    y = label[:100][~held]
+    for v, x in zip(first, data):
+        v.beta = cotraining._logistic(v.one_hot(v.bins(x[:100][~held])), y, by.ridge)
+        v.calibrate(v.bins(x[:100][~held]), y)
+    counts = cotraining.count_cells(first, pools[0])
+    givers = [cotraining.Giver(v, c, y.mean(), by) for v, c in zip(first, counts)]
+    for at, view in enumerate((model.text, model.meta)):
+        marks = givers[1 - at].marks(pools[0][1 - at])
+        known = ~np.isnan(marks)
+        weight = min(0.5, len(y) / known.sum())
+        assert known.sum() > 2 * len(y)
+        x = np.vstack([view.one_hot(view.bins(data[at][:100][~held])), view.one_hot(pools[0][at][known])])
+        p = 1 / (1 + np.exp(-x @ view.beta))
+        weights = np.r_[np.ones(len(y)), np.full(known.sum(), weight)]
+        penalty = np.r_[np.full(x.shape[1] - 1, by.ridge), 1e-3]
+        slope = x.T @ (weights * (p - np.r_[y, marks[known]])) + penalty * view.beta
+        assert np.abs(slope).max() < 0.05
 
 
 def documents(n, seed):
@@ -240,22 +328,34 @@ def test_quality_on_unlabelled_documents(spark, quality):
     assert kept == {r["doc_id"] for r in rows if r["keep"]}
 
 
+class InOneTask:
+    """A pool whose sums are those of one block."""
+
+    def __init__(self, bins):
+        self.bins = bins
+
+    def counts(self, views):
+        return cotraining.count_cells(views, self.bins)
+
+    def added_up(self, views, givers):
+        return cotraining.add_up(views, givers, self.bins)
+
+
 def test_each_view_learns_from_the_other():
     """Text tells the classes apart; metadata does so only with the other view's pseudo-labels."""
-    rng = np.random.default_rng(0)
-    label = np.where(rng.random(2000) < 0.3, 0.0, 1.0)
-    text = (label + 0.1 * rng.standard_normal(2000))[:, None]
-    meta = (label + 0.4 * rng.standard_normal(2000))[:, None]
-    known = np.where(np.arange(2000) < 60, label, np.nan)
-    held = np.arange(2000) % 4 == 0
-
-    def errors(rounds):
-        by = cotraining.CoTraining(rounds=rounds, exchanged=0.2)
-        model = cotraining.co_train(text, meta, known, held, by)
-        return ((model.meta.logit(meta) > 0) != (label > 0)).mean(), \
-            ((model.score(text, meta) >= 0.5) != (label > 0)).mean()
-
-    assert errors(6)[0] < errors(0)[0] and errors(6)[1] <= errors(0)[1]
+    known, held = np.arange(2000) < 100, np.arange(100) % 4 == 0
+
+    def errors(rounds, seed):
+        label, data = two_views(2000, seed)
+        model = cotraining.co_train(
+            data[0][known], data[1][known], label[known], held,
+            lambda views: InOneTask([v.bins(x[~known]) for v, x in zip(views, data)]),
+            cotraining.CoTraining(rounds=rounds, exchanged=0.2))
+        return np.array([((model.meta.logit(model.meta.bins(data[1])) > 0) != (label > 0)).mean(),
+                         ((model.score(*data) >= 0.5) != (label > 0)).mean()])
+
+    few, many = (sum(errors(rounds, seed) for seed in range(8)) for rounds in (0, 6))
+    assert (many < few).all()
 
 
 def test_quality_of_messy_documents(spark, messy, no_documents, quality):
