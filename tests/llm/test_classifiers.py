@@ -367,6 +367,22 @@ def test_quality_of_messy_documents(spark, messy, no_documents, quality):
     assert cotraining.keep_good(no_documents, model).count() == 0
 
 
+def test_messy_documents_are_exchanged(spark, messy):
+    rows = documents(200, 5)
+    docs = spark.createDataFrame([(r[0] + 1000, *r[1:5]) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    both = messy.unionByName(docs, allowMissingColumns=True)
+    labels = spark.createDataFrame(
+        [(r[0] + 1000, r[5]) for r in rows[:120]] + [(1, 1), (None, 0), (4, None)],
+        "doc_id long, quality int")
+    model = cotraining.train(both, labels)
+    assert isinstance(model, cotraining.QualityModel)
+    assert cotraining.score_documents(both, model).where("score between 0 and 1").count() == both.count()
+    only = cotraining.train(docs, labels.union(spark.createDataFrame(
+        [(r[0] + 1000, r[5]) for r in rows[120:]], labels.schema)))  # no other documents
+    assert isinstance(only, cotraining.QualityModel)
+
+
 @pytest.mark.parametrize("rows, keep", [([], True), ([(1, 1)], True), ([(1, 0), (2, 0)], False),
                                         ([(1, None), (None, 0)], True)])
 def test_quality_without_both_classes(spark, messy, no_documents, rows, keep):
