@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from almanac.operators.history import (
-    KEY, active_symbols, keep_active, lite, name_order, replace_rows, upsert, upsert_active,
+    KEY, active_symbols, keep_active, lite, name_order, replace_rows, since, upsert,
 )
 from almanac.operators.joins import fits_broadcast
 from almanac.operators.snapshot import TABLE_ORDER, latest_snapshot
@@ -43,6 +43,10 @@ def _below(store: HistoryStore, held: dict[int, dict[str, int]], floor: dt.date)
     return set() if rows.where(F.col("date") < F.lit(floor)).isEmpty() else {floor.year}
 
 
+def _repeats(df: DataFrame, key: str) -> bool:
+    return not df.groupBy(key).count().where("count > 1").isEmpty()
+
+
 def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
                 run_at: dt.datetime, refresh: str | None = None, scope: str = "catalog",
                 exports: str | None = None, floor: str = MIN_DATE, bom: bool = True,
@@ -51,7 +55,8 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
 
     ``refresh`` limits what is fetched. ``scope`` says which symbols stay in the history: those
     of the whole catalog, or with ``"run"`` only the fetched cadence's. Only years that get new
-    rows, or lose inactive symbols or rows below the floor, are rewritten. Whether the catalog and
+    rows, or lose inactive symbols or rows below the floor, are rewritten; a batch that meets no held
+    year is written as it was fetched. Whether the catalog and
     the batch's keys fit a broadcast is measured once and changes how Spark joins, never the rows.
 
     With ``exports`` the run writes CSV files under its version before it is published: the
@@ -81,14 +86,18 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
         store.spark, lambda: _years(fetched),
         lambda: fits_broadcast(fetched.select(*KEY)) if small_batch is None else small_batch)
     years = {*gaining, *losing, *below}
-    small_batch = fits
-    touched = store.read({y: e for y, e in held.items() if y in years})
-    if small_batch:
-        merged = replace_rows(*(keep_active(df, active, small) for df in (touched, fetched)), floor)
-    else:
-        merged = upsert_active(touched, fetched, active, floor, small)
-        merged, _ = store.stage(merged, "merged", version)
-    written = store.write_years(merged, version, floor, clustered=not small_batch)
+    touched = {y: e for y, e in held.items() if y in years}
+    # Every fetched symbol is one of the catalog's, so it is active unless it is empty; and one
+    # that isn't active makes its year a losing one.
+    merged = since(fetched.where("symbol <> ''"), floor)
+    if touched or not fits and _repeats(catalog, "pos"):
+        kept = store.read(touched)
+        kept = keep_active(kept, active, small) if losing else kept
+        if fits:
+            merged = replace_rows(kept, merged, floor)
+        else:
+            merged, _ = store.stage(upsert(kept, merged, floor), "merged", version)
+    written = store.write_years(merged, version, floor, clustered=not fits)
     held = {y: e for y, e in held.items() if y not in years} | written
 
     tails = store.read(held, "tails").drop("year")

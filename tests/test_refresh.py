@@ -305,6 +305,31 @@ def test_repeated_pages_are_not_compared(spark, catalog, small):
     assert not any("html" in line for line in plan.splitlines() if "Aggregate" in line)
 
 
+def test_a_large_batch_is_merged_only_where_it_has_to_be(spark, catalog, tmp_path):
+    """Without held years a clean batch is written as it was fetched; a catalog that repeats itself
+    gives copies, which are merged, and so are rows that meet held ones."""
+    bodies = landing(spark, SERIES, PAGES, OHLCV)
+    run(spark, tmp_path / "a", catalog, bodies, small_batch=False)
+    assert not (tmp_path / "a" / "merged").exists()
+    assert values(current(spark, tmp_path / "a"), "symbol", "date", "close") == WANT
+    run(spark, tmp_path / "a", catalog, bodies, LATER, small_batch=False)
+    assert (tmp_path / "a" / "merged" / "version=2").exists()
+    assert values(current(spark, tmp_path / "a"), "symbol", "date", "close") == WANT
+    run(spark, tmp_path / "b", catalog.union(catalog), bodies, small_batch=False)
+    assert values(current(spark, tmp_path / "b"), "symbol", "date", "close") == WANT
+
+
+def test_rows_without_a_symbol_are_not_kept(spark, catalog, tmp_path):
+    named = F.when(F.col("symbol") != "JPY", F.col("symbol")).otherwise("")
+    for small_batch in (True, False):
+        path = tmp_path / str(small_batch)
+        for at in (RUN_AT, LATER):
+            run(spark, path, catalog.withColumn("symbol", named),
+                landing(spark, SERIES, PAGES, OHLCV), at, small_batch=small_batch)
+        got = values(current(spark, path), "symbol", "date", "close")
+        assert got == [w for w in WANT if w[0] != "JPY"]
+
+
 @pytest.mark.parametrize("small_batch", [True, False])
 def test_a_raised_floor_prunes_every_year(spark, catalog, tmp_path, small_batch):
     old = [("S_JPY", "DATE,S_JPY\n2024-03-03,1\n2025-01-10,2\n2025-12-31,3\n2026-01-02,4\n")]
