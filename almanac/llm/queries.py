@@ -10,7 +10,7 @@ from almanac.llm import cotraining, toxicity
 from almanac.llm.base import let
 from almanac.llm.byte_bpe import encode_documents
 from almanac.llm.divergence import audit_sources
-from almanac.llm.minhash import near_duplicate_classes
+from almanac.llm.minhash import NearDuplicates, near_duplicate_classes
 from almanac.llm.mixing import WORD, mix_documents
 from almanac.llm.mtree import top_k
 from almanac.llm.pii_surrogates import replace_pii
@@ -22,6 +22,7 @@ from almanac.llm.word_runs import word_runs
 from almanac.workload.scratch import scratch_dir
 
 PII_KEY = b"surrogates-1"
+NEAR_DUPLICATES = NearDuplicates(weighted=True)
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
              ("allow", "org/fr/"))
 
@@ -47,7 +48,7 @@ def toxicity_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def near_duplicates_query(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicate_classes(_table(spark, sf, "documents"))
+    return near_duplicate_classes(_table(spark, sf, "documents"), NEAR_DUPLICATES)
 
 
 def url_reputation_query(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,7 +15,7 @@ from almanac.llm.byte_bpe import encode_documents
 from almanac.llm.minhash import keep_one
 from almanac.llm.mixing import mixed_rows
 from almanac.llm.pii_surrogates import replace_pii
-from almanac.llm.queries import PII_KEY
+from almanac.llm.queries import NEAR_DUPLICATES, PII_KEY
 from almanac.workload.scratch import scratch_dir
 
 
@@ -27,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays."""
-    return keep_one(docs)
+    return keep_one(docs, NEAR_DUPLICATES)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,10 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from almanac.llm.components import components
 from almanac.llm.minhash import (
     NearDuplicates, keep_one, near_duplicate_classes, probability_jaccard, shingles, signatures,
 )
+from almanac.llm.queries import QUERIES
 
 from .conftest import prose, texts
 
@@ -146,6 +148,19 @@ def test_weighted_classes_equal_brute_force(spark):
     assert {r["doc_id"] for r in keep_one(docs, by).collect()} == {c for _, c in want}
 
 
+def test_query_and_pipeline_weigh_shingles(spark, tmp_path):
+    rng = random.Random(3)
+    rows = list(enumerate(text for k in range(6) for text in repeating(rng, k)))
+    want = brute_force(rows, weighted_jaccard, [counted(text) for _, text in rows])
+    assert want != brute_force(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op4_near_duplicates"](spark, str(tmp_path)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == want
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in kept} == {c for _, c in want}
+
+
 def test_weighted_buckets_are_compared_in_blocks(spark):
     rng = random.Random(6)
     base = [f"b{rng.randrange(5000)}" for _ in range(120)]
