@@ -27,6 +27,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,8 @@ from almanac.llm.base import intermediates, text_digest, unused, written
 from almanac.llm.components import components
 from almanac.session import ship_package
 
-CHARS_AT_ONCE = 250_000
+CHARS_AT_ONCE = 100_000
+ROWS_AT_ONCE = 256
 CACHED_WORDS = 200_000
 CACHED_CHARS = 64
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -172,7 +174,7 @@ def _packed(value: np.ndarray, count: np.ndarray, by: NearDuplicates) -> bytes:
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with a bounded number of characters, or one text."""
-    sizes = [len(t or "") for t in batch.column("text").to_pylist()]
+    sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
     start = total = 0
     for at, size in enumerate(sizes):
         if at > start and total + size > CHARS_AT_ONCE:
@@ -214,6 +216,9 @@ def signed(docs: DataFrame, by: NearDuplicates) -> DataFrame:
                      pa.array([r[1] for r in rows], pa.binary()),
                      pa.array([r[2] for r in rows], pa.binary())],
                     ["doc_id", "text_digest", "node", "bands", "sketch", "shingles"])
+        # The worker goes on to other tasks, of other operators too.
+        _WORDS.clear()
+        pa.default_memory_pool().release_unused()
 
     return written(
         docs.select("doc_id", text_digest().alias("text_digest"), "text").mapInArrow(
@@ -275,9 +280,11 @@ def verified(pairs: DataFrame, contents: DataFrame, by: NearDuplicates) -> DataF
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                both = zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist())
-                keep = pa.array([agree(x, y, by) for x, y in both], pa.bool_())
-                yield batch.select(["a", "b"]).filter(keep)
+                for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    part = batch.slice(start, ROWS_AT_ONCE)
+                    both = zip(part.column("of_a").to_pylist(), part.column("of_b").to_pylist())
+                    keep = pa.array([agree(x, y, by) for x, y in both], pa.bool_())
+                    yield part.select(["a", "b"]).filter(keep)
 
         return written(
             pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
@@ -339,7 +346,8 @@ class _Group:
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], by: NearDuplicates) -> Iterator[_Group]:
-    rows = (row for batch in batches for row in batch.to_pylist())
+    rows = (row for batch in batches for start in range(0, batch.num_rows, ROWS_AT_ONCE)
+            for row in batch.slice(start, ROWS_AT_ONCE).to_pylist())
     for _, group in groupby(rows, key=lambda r: (r["band"], r["i"], r["j"])):
         yield _Group(list(group), by)
 
