@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from almanac.functions.coerce import strip, to_day, to_number
 
+# What is left of a line by ``strip``, unless nothing is.
+VISIBLE = r"(?U)[^\s\x1c-\x1f]"
+
 
 def read_series_files(spark: SparkSession, path: str) -> DataFrame:
     """Landed series files as bodies; the file's stem is the series id."""
@@ -35,7 +38,7 @@ def series_values(bodies: DataFrame) -> DataFrame:
     without lines, has no rows. Lines are parsed inside the array, so each one is split once.
     """
     text = F.regexp_replace("body", "^\ufeff", "")
-    lines = F.filter(F.split(text, r"\r\n|\n|\r"), lambda x: strip(x) != "")
+    lines = F.filter(F.split(text, r"\r\n|\n|\r"), lambda x: x.rlike(VISIBLE))
 
     def place(found: Column, fallback: int) -> Column:
         other = F.when(F.size("_names") >= fallback, fallback)

@@ -185,7 +185,7 @@ def period_pages(spark: SparkSession, sf: str) -> DataFrame:
                 shown, "</td></tr>")
     return (
         supplier_months(spark, sf)
-        .groupBy("l_suppkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+        .groupBy("l_suppkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
         .select(
             text("S", F.col("l_suppkey")).alias("symbol"),
             F.col("l_suppkey").alias("pos"),
@@ -209,7 +209,7 @@ def series_bodies(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("day"))
         .agg(F.max("l_extendedprice").alias("price"), F.max("l_discount").alias("discount"))
         .groupBy("l_suppkey")
-        .agg(F.array_sort(F.collect_list(text(F.col("day"), ",", shown))).alias("lines"))
+        .agg(F.sort_array(F.collect_list(text(F.col("day"), ",", shown))).alias("lines"))
         .select(
             series.alias("series_id"),
             F.concat(F.lit("observation_date, "), series, F.lit("\n"),

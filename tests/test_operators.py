@@ -225,6 +225,20 @@ def test_direct_series(spark, observations):
     assert values(got, "symbol", "pos", "close") == [("A", 0, 3.0), ("B", 1, 3.0)]
 
 
+def test_combined_days_are_sorted_by_a_number_first(spark, observations):
+    entries = spark.createDataFrame([("A", 0, "A")], "symbol string, pos bigint, series_id string")
+    series = observations([("A", "2026-01-05", 1.0, 0), ("A", "2026-01-05", 2.0, 1),
+                           ("A", "2026-01-06", 3.0, 0)])
+    series = series.withColumnRenamed("symbol", "series_id").withColumn("seq", F.struct("seq"))
+    got = combine_series(series, direct_legs(entries))
+    assert values(got, "symbol", "date", "close") == [
+        ("A", DAY(2026, 1, 5), 2.0), ("A", DAY(2026, 1, 6), 3.0)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    sorts = [line.split("Sort [")[1] for line in plan.splitlines() if "Sort [" in line]
+    grouped = [s for s in sorts if not s.startswith("series_id")]
+    assert grouped and all(s.startswith(("hash(", "_groupingexpression")) for s in grouped)
+
+
 def test_product_is_bit_exact(spark, observations):
     # --- fixed values: two days of published input and output closes
     usdjpy = {"2026-01-02": 156.82, "2026-05-15": 158.69}

@@ -99,6 +99,15 @@ def test_series_values(spark):
         ("Y", None, 8.0), ("Y", DAY(2026, 1, 2), 7.0), ("Z", DAY(2026, 1, 2), 3.0)]
 
 
+def test_lines_of_any_white_space_are_no_rows(spark):
+    body = "DATE,S\n\u3000\u2028\n2026-01-01,1\n\x1c \x1f\n\u20282026-01-02,2\u2029\n\t\n"
+    df = spark.createDataFrame([("S", body, AT)], "series_id string, body string, fetched_at timestamp")
+    rows = series_values(df)
+    assert values(rows, "date", "close", "row") == [(DAY(2026, 1, 1), 1.0, 0)]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(split" in plan and "rlike" in plan.lower()
+
+
 def test_series_files(spark, tmp_path):
     (tmp_path / "S1.csv").write_text("DATE,S1\n2026-01-02,1\n")
     (tmp_path / "S2.csv").write_text(" S2 ,x, date \n5,9,2026-01-03\n")
