@@ -20,6 +20,7 @@ from almanac.llm.base import let, text_or_empty
 
 S, WIDTH = 4, 16
 K = S + WIDTH - 1
+BLOCK_BYTES = 8_000_000
 LEAST_ID = -(1 << 63)
 HASH = 0xFFFFFFFF
 
@@ -147,16 +148,27 @@ def _block_of(key: Column, bounds: list[int]) -> Column:
     return F.when(coarse > 0, (coarse - 1) * step + fine).otherwise(0).cast("int")
 
 
+def _blocks(rows: DataFrame) -> int:
+    """As many blocks as there are shuffle partitions, fewer where they would be small: each is a task
+    that writes a file. Two for each core at least."""
+    spark = rows.sparkSession
+    most = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    least = 2 * spark.sparkContext.defaultParallelism
+    if most <= least:
+        return most
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(most, max(least, -(-size // BLOCK_BYTES)))
+
+
 def _with_next(docs: DataFrame) -> DataFrame:
     """Documents with ``next_text`` and ``next_anchors`` of the next one.
 
-    Documents are dealt to as many blocks of neighbouring ids as there are shuffle partitions, in one
-    shuffle of the texts. Each block also gets the first row of the block behind it.
+    Documents are dealt to blocks of neighbouring ids, in one shuffle of the texts. Each block also
+    gets the first row of the block behind it.
     """
-    spark = docs.sparkSession
-    blocks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn(
         "key", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)))
+    blocks = _blocks(rows)
     # One bound and one first id per block reach the driver.
     cuts = [i / blocks for i in range(blocks - 1, 0, -1)]
     found = rows.select(F.percentile_approx("key", cuts, 10 * blocks)).first()[0] if cuts else []

@@ -108,3 +108,26 @@ def test_blocks_follow_the_bounds(spark):
         bounds = sorted({(7 * i) % 1000 for i in range(n)}, reverse=True)
         keys = spark.range(-5, 1005, 9).select("id", Y._block_of(F.col("id"), bounds).alias("b"))
         assert all(r["b"] == sum(x > r["id"] for x in bounds) for r in keys.collect())
+
+
+def test_small_tables_have_few_blocks(spark, monkeypatch):
+    rows = spark.createDataFrame([("x" * 100,), (None,), ("é" * 100,)], "text string")
+    cores = spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 211)
+        assert Y._blocks(rows) == 2 * cores and Y._blocks(rows.limit(0)) == 2 * cores
+        monkeypatch.setattr(Y, "BLOCK_BYTES", 5)
+        assert Y._blocks(rows) == 60
+        monkeypatch.setattr(Y, "BLOCK_BYTES", 1)
+        assert Y._blocks(rows) == 211
+        spark.conf.set("spark.sql.shuffle.partitions", 3)
+        assert Y._blocks(rows) == 3
+        docs = spark.createDataFrame([(i, prose(i, 20)) for i in range(90)], "doc_id long, text string")
+        spark.conf.set("spark.sql.shuffle.partitions", 40)
+        monkeypatch.setattr(Y, "BLOCK_BYTES", 8_000_000)
+        out = Y.fingerprint_documents(docs)
+        assert out.rdd.getNumPartitions() <= 2 * cores
+        assert actual(out) == expected([(i, prose(i, 20)) for i in range(90)])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
