@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from almanac.workload.scratch import scratch_dir
 
 
+ROWS_IN_TASK = 4096
+
 _FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+_TASKS: ContextVar[int | None] = ContextVar("tasks", default=None)
 
 
 def written(df: DataFrame, name: str, keep: bool = False, codec: str = "snappy") -> DataFrame:
@@ -23,6 +26,9 @@ def written(df: DataFrame, name: str, keep: bool = False, codec: str = "snappy")
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    tasks = _TASKS.get()
+    if tasks is not None:
+        df = df.coalesce(tasks)
     df.write.option("compression", codec).parquet(path)
     folders = _FOLDERS.get()
     if folders is not None and not keep:
@@ -30,6 +36,18 @@ def written(df: DataFrame, name: str, keep: bool = False, codec: str = "snappy")
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def tasks_for(rows: DataFrame) -> Iterator[None]:
+    """Tables written inside have no more files than a written table of ``rows`` asks for: one for
+    each ``ROWS_IN_TASK``, and two for each core at least. Of many rows, as many as they have."""
+    least = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    token = _TASKS.set(max(least, -(-rows.count() // ROWS_IN_TASK)))
+    try:
+        yield
+    finally:
+        _TASKS.reset(token)
+
+
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that are written inside, once what needs them has been written too."""

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.llm.base import intermediates, text_digest, unused, written
+from almanac.llm.base import intermediates, tasks_for, text_digest, unused, written
 from almanac.llm.components import components
 from almanac.session import ship_package
 
@@ -433,9 +433,10 @@ def near_duplicate_classes(docs: DataFrame, by: NearDuplicates = NearDuplicates(
     """
     with intermediates(docs.sparkSession):
         rows = signed(docs, by)
-        classes = _numbered(rows, _classes(rows, by))
-        return written(rows.select("doc_id", "node").join(classes.hint("merge"), "node").select(
-            "doc_id", "class_id"), "minhash-result", keep=True)
+        with tasks_for(rows):
+            classes = _numbered(rows, _classes(rows, by))
+            return written(rows.select("doc_id", "node").join(classes.hint("merge"), "node").select(
+                "doc_id", "class_id"), "minhash-result", keep=True)
 
 
 def _numbered(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -453,7 +454,8 @@ def keep_one(docs: DataFrame, by: NearDuplicates = NearDuplicates()) -> DataFram
     and of several such rows the one with the least digest of its text."""
     with intermediates(docs.sparkSession):
         rows = signed(docs, by)
-        labels = _classes(rows, by)
+        with tasks_for(rows):
+            labels = _classes(rows, by)
         classed = rows.join(labels.hint("merge"), "node", "left").select(
             F.coalesce("label", "node").alias("label"), F.struct(
                 F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),

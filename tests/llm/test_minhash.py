@@ -224,3 +224,27 @@ def test_components(spark):
     got = {r["node"]: r["label"] for r in components(df).collect()}
     assert all(got[i] == 0 for i in [*range(41), 200]) and {got[i] for i in (100, 101, 102)} == {100}
     assert components(df.where(F.lit(False))).count() == 0
+
+
+def test_small_tables_are_written_in_few_files(spark, monkeypatch, tmp_path):
+    import almanac.llm.base as base
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(100).repartition(100)
+    with base.tasks_for(rows):
+        assert len(base.written(rows, "few").inputFiles()) <= 2 * cores
+        assert base.written(rows, "few").count() == 100
+    monkeypatch.setattr(base, "ROWS_IN_TASK", 1)
+    with base.tasks_for(rows):
+        assert len(base.written(rows, "many").inputFiles()) > 2 * cores
+    assert len(base.written(rows, "many").inputFiles()) > 2 * cores
+    monkeypatch.undo()
+    written = []
+    monkeypatch.setattr("almanac.llm.minhash.written", lambda df, name, **more: (
+        written.append((name, base._TASKS.get())), base.written(df, name, **more))[1])
+    docs = spark.createDataFrame([(1, prose(1, 60)), (2, prose(1, 60)), (3, prose(2, 60))],
+                                 "doc_id long, text string")
+    got = sorted(tuple(r) for r in near_duplicate_classes(docs).collect())
+    assert got == [(1, 1), (2, 1), (3, 3)]
+    assert {t for name, t in written if name != "minhash-signed"} == {2 * cores}
+    assert dict(written)["minhash-signed"] is None
