@@ -95,6 +95,17 @@ def _cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return cut
 
 
+def _places(marks: np.ndarray) -> np.ndarray:
+    """Where the marks are, as 32-bit numbers, found in parts so that no wider ones are held."""
+    out = np.empty(np.count_nonzero(marks), np.int32)
+    at = 0
+    for start in range(0, len(marks), BYTES_IN_GROUP):
+        found = np.flatnonzero(marks[start:start + BYTES_IN_GROUP])
+        out[at:at + len(found)] = found + start
+        at += len(found)
+    return out
+
+
 class PieceEncoder:
     """Ids of texts by a tokenizers file, as packed integers of ``dtype``."""
 
@@ -145,11 +156,11 @@ class PieceEncoder:
             for k in np.flatnonzero(pc.match_substring(texts, token).to_numpy(zero_copy_only=False)):
                 cut[bounds[k]:bounds[k + 1]] = False
         cut[bounds[:-1][np.diff(bounds) > 0]] = True
-        starts = np.flatnonzero(cut[:len(data)])
+        cut[-1] = True  # the end of the last piece
+        places = _places(cut)
         pieces = pa.StringArray.from_buffers(
-            len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int32)),
-            pa.py_buffer(data))
-        return pieces, np.searchsorted(starts, bounds)
+            len(places) - 1, pa.py_buffer(places), pa.py_buffer(data))
+        return pieces, np.searchsorted(places[:-1], bounds.astype(np.int32))
 
     def encode(self, texts: pa.StringArray, end_id: int | None = None) -> pa.BinaryArray:
         """The packed ids of each text, and ``end_id`` behind them."""

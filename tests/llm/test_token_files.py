@@ -166,3 +166,11 @@ def test_query_by_the_library(spark, tmp_path):
     got = token_files_query(spark, str(tmp_path))
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[1]) == expected(rows)
+
+
+def test_places_are_found_in_parts(monkeypatch):
+    marks = np.random.default_rng(1).random(1000) < 0.3
+    monkeypatch.setattr(T, "BYTES_IN_GROUP", 7)
+    for some in (marks, marks[:0], marks[:7], marks[:8]):
+        found = T._places(some)
+        assert found.dtype == np.int32 and found.tolist() == np.flatnonzero(some).tolist()
