@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from almanac.workload.scratch import scratch_dir
 
 
-ROWS_IN_TASK = 4096
+ROWS_IN_TASK = 16_384
 
 _FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 _TASKS: ContextVar[int | None] = ContextVar("tasks", default=None)
