@@ -14,9 +14,12 @@ from almanac.workload.scratch import scratch_dir
 
 
 ROWS_IN_TASK = 16_384
+BYTES_IN_TASK = 8_000_000
+BYTES_IN_FILE = 128_000_000
 
 _FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 _TASKS: ContextVar[int | None] = ContextVar("tasks", default=None)
+_FILES: ContextVar[int | None] = ContextVar("files", default=None)
 
 
 def written(df: DataFrame, name: str, keep: bool = False, codec: str = "snappy") -> DataFrame:
@@ -29,6 +32,9 @@ def written(df: DataFrame, name: str, keep: bool = False, codec: str = "snappy")
     tasks = _TASKS.get()
     if tasks is not None:
         df = df.coalesce(tasks)
+    files = _FILES.get()
+    if files is not None:
+        df = df.repartition(files)
     df.write.option("compression", codec).parquet(path)
     folders = _FOLDERS.get()
     if folders is not None and not keep:
@@ -37,15 +43,26 @@ def written(df: DataFrame, name: str, keep: bool = False, codec: str = "snappy")
 
 
 @contextmanager
-def tasks_for(rows: DataFrame) -> Iterator[None]:
+def tasks_for(rows: DataFrame, size: Column | None = None) -> Iterator[int]:
     """Tables written inside have no more files than a written table of ``rows`` asks for: one for
-    each ``ROWS_IN_TASK``, and two for each core at least. Of many rows, as many as they have."""
+    each ``ROWS_IN_TASK``, and two for each core at least. Of many rows, as many as they have.
+
+    With the ``size`` of a row in bytes, tables of small inputs are also gathered behind the tasks
+    that work them out, into a file for each ``BYTES_IN_FILE`` or four times ``ROWS_IN_TASK``; inputs
+    that ask for two such files for each core are not. Gives the number of tasks that rows of that
+    size ask for.
+    """
     least = 2 * rows.sparkSession.sparkContext.defaultParallelism
-    token = _TASKS.set(max(least, -(-rows.count() // ROWS_IN_TASK)))
+    n, total = rows.agg(F.count(F.lit(1)), F.lit(0) if size is None else F.sum(size)).first()
+    tasks, total = max(least, -(-n // ROWS_IN_TASK)), total or 0
+    files = max(1, -(-total // BYTES_IN_FILE), -(-n // (4 * ROWS_IN_TASK)))
+    tokens = [(_TASKS, _TASKS.set(tasks)),
+              (_FILES, _FILES.set(None if size is None or files >= least else files))]
     try:
-        yield
+        yield max(tasks, -(-total // BYTES_IN_TASK))
     finally:
-        _TASKS.reset(token)
+        for variable, token in tokens:
+            variable.reset(token)
 
 
 @contextmanager

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almanac.llm.base import intermediates, text_digest, unused, written
+from almanac.llm.base import intermediates, tasks_for, text_digest, unused, written
 from almanac.session import ship_package
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -366,7 +366,7 @@ def train(docs: DataFrame, labels: DataFrame,
     held = np.array([zlib.crc32(str(i).encode()) % 4 == 0
                      for i in seen.column("doc_id").to_pylist()])
     others = read.join(F.broadcast(sample), sampled, "left_anti")
-    with intermediates(docs.sparkSession):
+    with intermediates(docs.sparkSession), tasks_for(read):
         return co_train(x[:, :N_TEXT], x[:, N_TEXT:], label, held,
                         lambda views: Pool(written(binned(others, views), "quality-bins")), by)
 

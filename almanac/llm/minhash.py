@@ -433,7 +433,7 @@ def near_duplicate_classes(docs: DataFrame, by: NearDuplicates = NearDuplicates(
     """
     with intermediates(docs.sparkSession):
         rows = signed(docs, by)
-        with tasks_for(rows):
+        with tasks_for(rows, F.octet_length("shingles")):
             classes = _numbered(rows, _classes(rows, by))
             return written(rows.select("doc_id", "node").join(classes.hint("merge"), "node").select(
                 "doc_id", "class_id"), "minhash-result", keep=True)
@@ -454,16 +454,16 @@ def keep_one(docs: DataFrame, by: NearDuplicates = NearDuplicates()) -> DataFram
     and of several such rows the one with the least digest of its text."""
     with intermediates(docs.sparkSession):
         rows = signed(docs, by)
-        with tasks_for(rows):
+        with tasks_for(rows, F.octet_length("shingles")) as tasks:
             labels = _classes(rows, by)
-        classed = rows.join(labels.hint("merge"), "node", "left").select(
-            F.coalesce("label", "node").alias("label"), F.struct(
-                F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
-                F.col("text_digest").alias("digest")).alias("row"))
-        kept = written(
-            classed.groupBy("label").agg(F.min("row").alias("row")).select(
-                F.col("row.id").alias("kept_id"), F.col("row.digest").alias("kept_digest")),
-            "minhash-kept", keep=True)
+            classed = rows.join(labels.hint("merge"), "node", "left").select(
+                F.coalesce("label", "node").alias("label"), F.struct(
+                    F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                    F.col("text_digest").alias("digest")).alias("row"))
+            kept = written(
+                classed.groupBy("label").agg(F.min("row").alias("row")).select(
+                    F.col("row.id").alias("kept_id"), F.col("row.digest").alias("kept_digest")),
+                "minhash-kept", keep=True)
     digest, place = unused(docs, "row_digest"), unused(docs, "row_place")
     same = Window.partitionBy("doc_id", digest).orderBy(F.lit(1))
     first = (
@@ -471,4 +471,5 @@ def keep_one(docs: DataFrame, by: NearDuplicates = NearDuplicates()) -> DataFram
         .withColumn(place, F.row_number().over(same)).where(F.col(place) == 1)
     )
     return first.join(kept.hint("merge"), first["doc_id"].eqNullSafe(F.col("kept_id"))
-                      & (first[digest] == F.col("kept_digest")), "left_semi").select(*docs.columns)
+                      & (first[digest] == F.col("kept_digest")), "left_semi").select(
+        *docs.columns).coalesce(tasks)

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.llm.base import text_or_empty, unused, written
+from almanac.llm.base import tasks_for, text_or_empty, unused, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_DIGITS = 4
@@ -127,7 +127,8 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), keep_text: bool = False) ->
     """
     sized = docs.select("doc_id", "source", word_count().alias("size"), place(mix).alias("place"))
     sized = written(sized, "mix-sizes")
-    plans, last = _plans(sized, mix)
+    with tasks_for(sized):
+        plans, last = _plans(sized, mix)
     if keep_text:
         rows = docs.select(F.struct("*").alias("row"), "doc_id", "source",
                            word_count().alias("size"), place(mix).alias("place"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.llm.base import text_digest, unused, written
+from almanac.llm.base import tasks_for, text_digest, unused, written
 from almanac.session import ship_package
 
 ROWS_AT_ONCE = 512
@@ -464,9 +464,10 @@ def replace_pii(docs: DataFrame, key: bytes, length: str | None = None,
     surrogates in all documents, so equal texts stay equal; no documents give no rows.
     """
     ship_package(docs.sparkSession)
-    found = written(mentions(docs).distinct(), "pii-mentions")
     late = unused(docs, "late")
-    rows = _with_attempts(docs, found, surrogate_table(found, key), late)
+    with tasks_for(docs):
+        found = written(mentions(docs).distinct(), "pii-mentions")
+        rows = _with_attempts(docs, found, surrogate_table(found, key), late)
     edit: Callable = _replacer(docs.columns, late, key, length, count)
     schema = docs.schema
     if count:
