@@ -15,7 +15,7 @@ from almanac.workload.scratch import scratch_dir
 
 ROWS_IN_TASK = 16_384
 BYTES_IN_TASK = 8_000_000
-BYTES_IN_FILE = 128_000_000
+BYTES_IN_FILE = 512_000_000
 
 _FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 _TASKS: ContextVar[int | None] = ContextVar("tasks", default=None)
@@ -48,14 +48,14 @@ def tasks_for(rows: DataFrame, size: Column | None = None) -> Iterator[int]:
     each ``ROWS_IN_TASK``, and two for each core at least. Of many rows, as many as they have.
 
     With the ``size`` of a row in bytes, tables of small inputs are also gathered behind the tasks
-    that work them out, into a file for each ``BYTES_IN_FILE`` or four times ``ROWS_IN_TASK``; inputs
-    that ask for two such files for each core are not. Gives the number of tasks that rows of that
-    size ask for.
+    that work them out, into a file for each ``BYTES_IN_FILE`` or four times ``ROWS_IN_TASK``, two at
+    least; inputs that ask for two such files for each core are not. Gives the number of tasks
+    that rows of that size ask for.
     """
     least = 2 * rows.sparkSession.sparkContext.defaultParallelism
     n, total = rows.agg(F.count(F.lit(1)), F.lit(0) if size is None else F.sum(size)).first()
     tasks, total = max(least, -(-n // ROWS_IN_TASK)), total or 0
-    files = max(1, -(-total // BYTES_IN_FILE), -(-n // (4 * ROWS_IN_TASK)))
+    files = max(2, -(-total // BYTES_IN_FILE), -(-n // (4 * ROWS_IN_TASK)))
     tokens = [(_TASKS, _TASKS.set(tasks)),
               (_FILES, _FILES.set(None if size is None or files >= least else files))]
     try:
