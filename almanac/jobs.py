@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import SparkSession
 from pyspark.util import inheritable_thread_target
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def at_once(spark: SparkSession, *actions: Callable[[], Any]) -> list[Any]:
     """Results of actions that run side by side, so that one's last tasks don't leave the
@@ -16,3 +19,15 @@ def at_once(spark: SparkSession, *actions: Callable[[], Any]) -> list[Any]:
     with ThreadPoolExecutor(max(1, len(actions))) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
     return [each.result() for each in running]
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of an action inside go when it ends. Else they stay on the executors' disks until
+    the driver happens to collect its garbage, which may be after a run's last job."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, True)
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)

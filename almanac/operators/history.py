@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.functions.coerce import coerce_day, coerce_number, coerce_numbers
@@ -37,12 +37,8 @@ def latest_arrivals(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     return keep_last(df, KEY, order or ["seq"])
 
 
-def upsert(existing: DataFrame, new: DataFrame, floor: str = MIN_DATE) -> DataFrame:
-    """New rows replace old ones with the same ``(symbol, date)``.
-
-    Both sides are always cleaned and deduplicated, so repeating an upsert changes nothing.
-    A NULL close in new data replaces an old value.
-    """
+def _both_sides(existing: DataFrame, new: DataFrame, floor: str) -> DataFrame:
+    """Cleaned rows of both with the batch they came in, of which 1 is the newer one."""
 
     def side(df: DataFrame, batch: int) -> DataFrame:
         if "seq" not in df.columns:
@@ -51,10 +47,33 @@ def upsert(existing: DataFrame, new: DataFrame, floor: str = MIN_DATE) -> DataFr
         df = align(coerce_numbers(df, PRICE_COLUMNS), keep=("seq",))
         return since(df, floor).withColumn("_batch", F.lit(batch))
 
-    both = side(existing, 0).unionByName(side(new, 1))
+    return side(existing, 0).unionByName(side(new, 1))
+
+
+def upsert(existing: DataFrame, new: DataFrame, floor: str = MIN_DATE) -> DataFrame:
+    """New rows replace old ones with the same ``(symbol, date)``.
+
+    Both sides are always cleaned and deduplicated, so repeating an upsert changes nothing.
+    A NULL close in new data replaces an old value.
+    """
+    both = _both_sides(existing, new, floor)
     return keep_last(both, KEY, ["_batch", "seq"]).drop("_batch", "seq")
 
 
+def upsert_by_year(existing: DataFrame, new: DataFrame, floor: str = MIN_DATE) -> DataFrame:
+    """The rows of ``upsert`` in ranges of ``year``, symbol and date, as a store's files are laid out.
+
+    The exchange that lays the rows out also brings the rows of a key together, so there is no other.
+    It ships the copies of a key: for sides that have few, as a store and a fetched batch do.
+    """
+    both = _both_sides(existing, new, floor).withColumn("year", F.year("date"))
+    ranges = ["year", *KEY]
+    order = [F.col(c).desc_nulls_last() for c in ("_batch", "seq")]
+    place = F.row_number().over(Window.partitionBy(*ranges).orderBy(*order))
+    laid_out = both.repartitionByRange(*ranges).withColumn("_rank", place)
+    return laid_out.where("_rank = 1").drop("_batch", "seq", "year", "_rank")
+
+
 def replace_rows(existing: DataFrame, batch: DataFrame, floor: str = MIN_DATE) -> DataFrame:
     """The upsert of a batch whose keys were measured to fit a broadcast, without a shuffle.
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from almanac.operators.history import (
-    KEY, active_symbols, keep_active, lite, name_order, replace_rows, since, upsert,
+    KEY, active_symbols, keep_active, lite, name_order, replace_rows, since, upsert, upsert_by_year,
 )
 from almanac.operators.joins import fits_broadcast
 from almanac.operators.snapshot import TABLE_ORDER, latest_snapshot
-from almanac.jobs import at_once
+from almanac.jobs import at_once, shuffles_removed
 from almanac.schemas import MIN_DATE
 from almanac.sinks.csv import write_csv, write_segments
 from almanac.sinks.store import HistoryStore
@@ -66,6 +66,14 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     """
     if scope not in ("catalog", "run"):
         raise ValueError("scope is 'catalog' or 'run'")
+    with shuffles_removed(store.spark):
+        return _run(store, catalog, landing, run_at, refresh, scope, exports, floor, bom,
+                    small_batch, full_exports)
+
+
+def _run(store: HistoryStore, catalog: DataFrame, landing: Landing, run_at: dt.datetime,
+         refresh: str | None, scope: str, exports: str | None, floor: str, bom: bool,
+         small_batch: bool | None, full_exports: bool) -> Row:
     first = dt.date.fromisoformat(str(floor))
     before = store.last_run()
     held = {y: e for y, e in store.years(before).items() if y >= first.year}
@@ -74,14 +82,21 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     active = active_symbols(catalog if scope == "catalog" else wanted)
     small = fits_broadcast(catalog)
 
-    new = fetch(wanted, landing, run_at, floor, small=small,
-                keep=lambda df, name: store.stage(df, name, version)[0])
+    staged: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        staged.append(name)
+        return store.stage(df, name, version)[0]
+
+    new = fetch(wanted, landing, run_at, floor, small=small, keep=keep)
     (fetched, n_fetched), (_, n_rejected), losing, below = at_once(
         store.spark,
         lambda: store.stage(new.observations, "fetched", version),
         lambda: store.stage(new.rejects, "rejects", version),
         lambda: _losing(store, held, active),
         lambda: _below(store, held, first))
+    for name in staged:
+        store.drop(name, version)
     gaining, fits = at_once(
         store.spark, lambda: _years(fetched),
         lambda: fits_broadcast(fetched.select(*KEY)) if small_batch is None else small_batch)
@@ -89,15 +104,18 @@ def refresh_run(store: HistoryStore, catalog: DataFrame, landing: Landing,
     touched = {y: e for y, e in held.items() if y in years}
     # Every fetched symbol is one of the catalog's, so it is active unless it is empty; and one
     # that isn't active makes its year a losing one.
-    merged = since(fetched.where("symbol <> ''"), floor)
+    merged, laid_out, spent = since(fetched.where("symbol <> ''"), floor), fits, "fetched"
     if touched or not fits and _repeats(catalog, "pos"):
         kept = store.read(touched)
         kept = keep_active(kept, active, small) if losing else kept
         if fits:
             merged = replace_rows(kept, merged, floor)
         else:
-            merged, _ = store.stage(upsert(kept, merged, floor), "merged", version)
-    written = store.write_years(merged, version, floor, clustered=not fits)
+            merged, _ = store.stage(upsert_by_year(kept, merged, floor), "merged", version)
+            laid_out = True
+            store.drop("fetched", version)
+            spent = "merged"
+    written = store.write_years(merged, version, floor, clustered=not laid_out, spent=spent)
     held = {y: e for y, e in held.items() if y not in years} | written
 
     tails = store.read(held, "tails").drop("year")
@@ -143,6 +161,7 @@ def import_history(store: HistoryStore, rows: DataFrame, run_at: dt.datetime,
     """
     if store.last_run() is not None:
         raise ValueError("the store has a history already")
-    cleaned, n = store.stage(upsert(store.read({}).drop("year"), rows, floor), "imported", 1)
-    held = store.write_years(cleaned, 1, floor)
+    with shuffles_removed(store.spark):
+        cleaned, n = store.stage(upsert(store.read({}).drop("year"), rows, floor), "imported", 1)
+        held = store.write_years(cleaned, 1, floor, spent="imported")
     return store.publish(1, run_at, None, held, {"imported": n})

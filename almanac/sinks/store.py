@@ -27,6 +27,8 @@ YEAR = T.StructType([
     T.StructField(name, T.LongType())
     for name in ("version", "history", "lite", "daily", "monthly")
 ])
+# Prices and names take about a quarter less of the disk than with Spark's default codec.
+CODEC = "zstd"
 RUN_LOG = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("run_at", T.TimestampType()),
@@ -93,24 +95,34 @@ class HistoryStore:
         """
         where = self._at(name, f"version={version}")
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(where)
+        rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows.write.mode("overwrite").option("compression", CODEC).parquet(where)
         return self.spark.read.schema(df.schema).parquet(where), seen.get["rows"]
 
+    def drop(self, name: str, version: int) -> None:
+        """Replace an intermediate table that nothing reads any more by an empty one."""
+        where = self._at(name, f"version={version}")
+        self.spark.range(0, numPartitions=1).write.mode("overwrite").parquet(where)
+
     def write_years(self, history: DataFrame, version: int, floor: str = MIN_DATE,
-                    clustered: bool = True) -> dict[int, dict[str, int]]:
+                    clustered: bool = True, spent: str | None = None) -> dict[int, dict[str, int]]:
         """Observations under the version's directory, in symbol order inside every file.
 
         ``clustered`` also brings the rows of a symbol together across files; without it every
         task writes the rows it has, which keeps files that were clustered before as they are.
-        The tails of these years are written beside them. Returns the log entries of the years
-        that have rows, counted on what was written.
+        The tails of these years are written beside them. ``spent`` names an intermediate that only the
+        observations were read from, which goes before the tails come. Returns the log entries of the
+        years that have rows, counted on what was written.
         """
         keys = ["year", "symbol", "date"]
         rows = align(history).withColumn("year", F.year("date"))
         where = self._at("history", f"version={version}")
         if clustered:
             rows = rows.repartitionByRange(*keys)
-        rows.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("year").parquet(where)
+        rows.sortWithinPartitions(*keys).write.mode("overwrite").option(
+            "compression", CODEC).partitionBy("year").parquet(where)
+        if spent is not None:
+            self.drop(spent, version)
         written = self.spark.read.schema(rows.schema).parquet(where)
         is_lite = (
             F.col("indicator_name").isNotNull() & F.col("close").isNotNull()
@@ -123,7 +135,8 @@ class HistoryStore:
             F.count_if(is_lite & (F.col("refresh") == "daily")).alias("daily"),
             F.count_if(is_lite & (F.col("refresh") == "monthly")).alias("monthly"),
         )
-        tails = yearly_tails(written).sortWithinPartitions("year").write.mode("overwrite")
+        tails = yearly_tails(written).sortWithinPartitions("year").write.mode("overwrite").option(
+            "compression", CODEC)
         _, found = at_once(
             self.spark,
             lambda: tails.partitionBy("year").parquet(self._at("tails", f"version={version}")),

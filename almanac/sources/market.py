@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from almanac.functions.pagetext import DEFAULT_POSITION
 from almanac.operators.derived import combine_series, direct_legs, product_legs
 from almanac.operators.enrich import align, flat_prices, metadata
-from almanac.operators.history import clean_observations, latest_arrivals, union_sources
+from almanac.operators.history import clean_observations, latest_arrivals, since, union_sources
 from almanac.operators.joins import lookup_join
 from almanac.schemas import MIN_DATE
 from almanac.sources import catalog as C
@@ -23,6 +23,7 @@ from almanac.sources.pages import (
 from almanac.sources.series import series_values
 
 
+#: Writes an intermediate under a name and returns what was written.
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
@@ -51,12 +52,14 @@ def _arrival(df: DataFrame) -> DataFrame:
     ))
 
 
-def _series(landing: Landing, catalog: DataFrame, small: bool) -> DataFrame:
+def _series(landing: Landing, catalog: DataFrame, floor: str, small: bool,
+            keep: Keep | None) -> DataFrame:
     """Direct and derived entries in one pass over the bodies."""
     values = series_values(landing.series).withColumn("seq", F.struct("fetched_at", "row"))
     legs = direct_legs(C.of_type(catalog, C.SERIES)).unionByName(
         product_legs(C.of_type(catalog, C.DERIVED)))
     rows = combine_series(values, legs, small)
+    rows = rows if keep is None else keep(since(rows, floor), "series")
     return flat_prices(rows.withColumn("row", F.lit(0).cast("bigint")))
 
 
@@ -105,14 +108,15 @@ def fetch(catalog: DataFrame, landing: Landing, run_at: dt.datetime | None = Non
     says that the catalog was measured to fit a broadcast; it changes how Spark joins and nothing
     else. ``keep``
     may write a named intermediate and return what it wrote: page hits serve both the
-    observations and the rejects, and are far smaller than the pages.
+    observations and the rejects, and are far smaller than the pages; combined series and the latest
+    arrivals end the shuffles behind them, so that not all of a run's shuffles hold disk at once.
     """
     now = F.current_timestamp() if run_at is None else F.lit(run_at).cast("timestamp")
     landing = Landing(*(_landed(df, now) for df in (landing.series, landing.ohlcv, landing.pages)))
     frames: list[DataFrame] = []
     catalog, rejects = C.complete(catalog)
     if landing.series is not None:
-        frames.append(_series(landing, catalog, small))
+        frames.append(_series(landing, catalog, floor, small, keep))
     if landing.ohlcv is not None:
         as_of = None if run_at is None else run_at.date()
         frames.append(_ohlcv(landing, catalog, as_of, lookback_months, small))
@@ -130,7 +134,11 @@ def fetch(catalog: DataFrame, landing: Landing, run_at: dt.datetime | None = Non
     ])
     # A derived value has no download of its own.
     raw = _arrival(raw.withColumn("fetched_at", F.coalesce("fetched_at", now)))
-    unique = latest_arrivals(clean_observations(raw, floor))
+    # What the arrival order holds is shuffled once, and read from it again.
+    raw = raw.drop("pos", "fetched_at", "row")
+    unique = latest_arrivals(clean_observations(raw, floor)).withColumns(
+        {"pos": F.col("seq.pos"), "fetched_at": F.col("seq.at")})
+    unique = unique if keep is None else keep(unique, "latest")
     about = metadata(catalog, "pos")
     return Fetched(
         align(lookup_join(unique, about, "pos", small=small), keep=("seq",)),

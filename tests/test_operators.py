@@ -5,7 +5,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from almanac.operators import history as H
-from almanac.operators.dedupe import keep_first, keep_last
+from almanac.operators.dedupe import keep_first, keep_last, key_hash
 from almanac.operators.derived import combine_series, direct_legs, product_legs
 from almanac.operators.enrich import align, enrich, flat_prices
 from almanac.operators.joins import fits_broadcast, lookup_join
@@ -34,6 +34,14 @@ def test_dedupe_limits_rows_before_the_exchange(spark, observations):
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
+def test_rows_of_a_symbol_are_neighbours_in_the_order_of_their_hash(spark):
+    days = spark.range(50).select(F.expr("date_add(date'2026-01-01', cast(id as int))").alias("date"))
+    names = spark.range(40).select(F.when(F.col("id") > 0, F.concat(F.lit("s"), "id")).alias("symbol"))
+    ordered = [r["symbol"] for r in names.crossJoin(days).orderBy(key_hash(H.KEY)).collect()]
+    assert sum(a != b for a, b in zip(ordered, ordered[1:])) == 39
+    assert names.crossJoin(days).select(key_hash(H.KEY)).distinct().count() == 2000
+
+
 def test_hot_group_of_copies_ships_one_row_per_task(spark):
     rows = spark.range(0, 60_000, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id")))

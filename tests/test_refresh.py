@@ -5,7 +5,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from almanac.operators.enrich import align
-from almanac.operators.history import latest_arrivals, replace_rows, upsert
+from almanac.operators.history import latest_arrivals, replace_rows, upsert, upsert_by_year
 from almanac.operators.snapshot import latest_snapshot
 from almanac.plans.refresh import import_history, refresh_run
 from almanac.schemas import LITE_COLUMNS, OBSERVATION, OBSERVATION_COLUMNS
@@ -409,3 +409,42 @@ def test_importing_nothing_gives_an_empty_version(spark, catalog, tmp_path):
     assert OBSERVATION.names == OBSERVATION_COLUMNS  # reading nothing leaves the layout alone
     run = refresh_run(store, catalog, landing(spark, series=SERIES), LATER)
     assert run["version"] == 2 and run["metrics"]["history"] > 0
+
+
+@pytest.mark.parametrize("small_batch", [True, False])
+def test_intermediates_go_when_they_are_spent(spark, catalog, tmp_path, small_batch):
+    bodies = landing(spark, SERIES, PAGES, OHLCV)
+    for version, at in ((1, RUN_AT), (2, LATER)):
+        run(spark, tmp_path, catalog, bodies, at, small_batch=small_batch)
+        names = ["page_hits", "series", "latest", "fetched"] + ["merged"] * (
+            version == 2 and not small_batch)
+        for name in names:
+            assert spark.read.parquet(str(tmp_path / name / f"version={version}")).count() == 0, name
+        assert values(current(spark, tmp_path), "symbol", "date", "close") == WANT
+    assert spark.read.parquet(str(tmp_path / "snapshot" / "version=2")).count() == 5
+
+
+def test_what_a_fetch_keeps_is_above_the_floor(spark, catalog):
+    kept = {}
+    got = fetch(catalog, landing(spark, SERIES, PAGES, OHLCV), RUN_AT, floor="2026-01-03",
+                keep=lambda df, name: kept.setdefault(name, df)).observations
+    want = [w for w in WANT if w[1] >= DAY(2026, 1, 3)]
+    assert values(got, "symbol", "date", "close") == want
+    assert values(kept["latest"], "symbol", "date", "close") == want
+    assert values(kept["series"], "symbol", "date", "close") == [
+        w for w in want if w[0] in ("JPY", "EUR", "CROSS")]
+    assert "page_hits" in kept
+
+
+def test_the_upsert_of_a_store_has_one_exchange(spark, observations):
+    old = observations([("A", "2026-01-01", 1.0, 1), ("A", "2026-01-02", 2.0, 1),
+                        (None, "2026-01-01", 3.0, 1), (None, "2026-01-02", 4.0, 1),
+                        ("A", "2019-12-31", 9.0, 1), ("A", None, 9.0, 1)])
+    new = observations([("A", "2026-01-02", 5.0, 1), ("A", "2026-01-02", 6.0, 2),
+                        (None, "2026-01-02", None, 1), ("B", "2025-01-02", 7.0, None),
+                        ("B", "2025-01-02", 8.0, 0)])
+    got = upsert_by_year(old, new)
+    assert got.columns == OBSERVATION_COLUMNS
+    assert values(got, *OBSERVATION_COLUMNS) == values(upsert(old, new), *OBSERVATION_COLUMNS)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning(year") == 1
