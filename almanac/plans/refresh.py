@@ -85,8 +85,12 @@ def _run(store: HistoryStore, catalog: DataFrame, landing: Landing, run_at: dt.d
     staged: list[str] = []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
+        rows, _ = store.stage(df, name, version)
+        if name == "latest" and "series" in staged:
+            staged.remove("series")
+            store.drop("series", version)
         staged.append(name)
-        return store.stage(df, name, version)[0]
+        return rows
 
     new = fetch(wanted, landing, run_at, floor, small=small, keep=keep)
     (fetched, n_fetched), (_, n_rejected), losing, below = at_once(

@@ -50,6 +50,17 @@ def test_shuffle_files_go_with_their_action(spark, tmp_path):
             time.sleep(0.1)
         assert not shuffle_files(spark) - held
     assert spark.conf.get(CLEANUP, "false") == before
+
+
+def test_the_setting_comes_back_after_the_last_run(spark):
+    before = spark.conf.get(CLEANUP, "false")
+    one, two = shuffles_removed(spark), shuffles_removed(spark)
+    one.__enter__()
+    two.__enter__()
+    one.__exit__(None, None, None)
+    assert spark.conf.get(CLEANUP) == "true"
+    two.__exit__(None, None, None)
+    assert spark.conf.get(CLEANUP, "false") == before
     with pytest.raises(ValueError):
         with shuffles_removed(spark):
             raise ValueError
